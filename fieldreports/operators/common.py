@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldreports.session import checkpoint_dir
+
 # Largest dimension (rows) we are willing to ship to every executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
@@ -63,18 +65,26 @@ def rank_within(
     a large group into consecutive slices; rows are numbered inside each
     (group, slice) and shifted by the row count of the group's earlier slices.
     The per-slice counts form a small table (at most groups + slices rows).
+    The sliced rows are checkpointed (one eager job) so both uses agree.
     NULL keys form one group. ``size_col`` optionally receives the group size.
     ``order`` must be a total order for the numbering to be deterministic.
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    n = num_slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     gk = F.struct(*[F.col(k) for k in keys])
 
+    # The slice id must be the same in both branches below (counts and
+    # numbering). A range exchange evaluated twice may sample different
+    # bounds, so the sliced rows are checkpointed once to the shared
+    # checkpoint folder; that also makes them survive executor loss.
+    checkpoint_dir(spark)
     sliced = (
         df.withColumn("_gk", gk)
         .repartitionByRange(n, F.col("_gk"), *order_cols)
         .withColumn("_slice", F.spark_partition_id())
+        .checkpoint(eager=True)
     )
     per_slice = sliced.groupBy("_gk", "_slice").agg(F.count(F.lit(1)).alias("_slice_rows"))
     earlier = Window.partitionBy("_gk").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

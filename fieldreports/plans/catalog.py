@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from fieldreports.sources import adapter as A
 from fieldreports.operators import enrich as E
 from fieldreports.operators import payments as P
+from fieldreports.operators import calls as C
 
 AS_OF = A.AS_OF
 
@@ -92,6 +93,51 @@ def super_payments(spark, sf):
     return P.sort_payments(P.super_payments(_capped(spark, sf)))
 
 
+# --- calls --------------------------------------------------------------------
+
+def _candidates(spark, sf):
+    return C.call_candidates(_enriched(spark, sf), AS_OF)
+
+
+def _picks(spark, sf):
+    return C.call_batch(_enriched(spark, sf), AS_OF)
+
+
+def call_candidates(spark, sf):
+    return _candidates(spark, sf)
+
+
+def call_counts(spark, sf):
+    return C.call_counts(_candidates(spark, sf))
+
+
+def needed_calls(spark, sf):
+    return C.needed_calls(C.call_counts(_candidates(spark, sf)), C.DEFAULT_TARGET)
+
+
+def pick_needed_calls(spark, sf):
+    return _picks(spark, sf)
+
+
+def training_queue(spark, sf):
+    t = C.training_batch(_enriched(spark, sf))
+    return t.select("_id", "paymentPhone", "chw_district", "training_date", "workerName")
+
+
+def queue_payload(spark, sf):
+    return C.queue_entries(_picks(spark, sf)).drop("_order")
+
+
+def district_load(spark, sf):
+    return C.district_load(_picks(spark, sf))
+
+
+def queue_refresh(spark, sf):
+    e = _enriched(spark, sf)
+    after_calls = C.queue_refresh(A.old_queue(spark, sf), C.queue_entries(C.call_batch(e, AS_OF)))
+    return C.queue_refresh(after_calls, C.queue_entries(C.training_batch(e)))
+
+
 QUERIES: dict[str, Query] = {
     "normalize_messages": normalize_messages,
     "dedupe_messages": dedupe_messages,
@@ -106,4 +152,12 @@ QUERIES: dict[str, Query] = {
     "capped_counts": capped_counts,
     "worker_payments": worker_payments,
     "super_payments": super_payments,
+    "call_candidates": call_candidates,
+    "call_counts": call_counts,
+    "needed_calls": needed_calls,
+    "pick_needed_calls": pick_needed_calls,
+    "training_queue": training_queue,
+    "queue_payload": queue_payload,
+    "district_load": district_load,
+    "queue_refresh": queue_refresh,
 }

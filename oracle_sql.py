@@ -112,9 +112,70 @@ GROUP BY paymentPhone, payment_due"""),
 SELECT phone_ps, payment_due, CAST(sum(counted) AS BIGINT) AS counted, CAST(sum(reports) AS BIGINT) AS reports,
   first(treat ORDER BY paymentPhone) FILTER (WHERE treat IS NOT NULL) AS treat
 FROM counts WHERE phone_ps IS NOT NULL GROUP BY phone_ps, payment_due"""),
+    ("cand", f"""
+SELECT * FROM enriched
+WHERE serviceDate > {AS_OF} - INTERVAL 28 DAY AND NOT training AND NOT noConsent"""),
+    ("cc", """
+SELECT paymentPhone, CAST(count(*) AS BIGINT) AS reports, CAST(sum(CAST(called AS BIGINT)) AS BIGINT) AS called
+FROM cand WHERE paymentPhone IS NOT NULL GROUP BY paymentPhone"""),
+    ("need", """
+SELECT *, CAST(ceil(CAST(reports AS DOUBLE) * CAST(0.2 AS DOUBLE)) AS BIGINT) - called AS needed FROM cc"""),
+    ("picks", """
+SELECT c.* EXCLUDE (_rank, _cnt, _needed) FROM (
+  SELECT x.*, row_number() OVER (PARTITION BY x.paymentPhone ORDER BY x."timestamp", x._id) AS _rank,
+         count(*) OVER (PARTITION BY x.paymentPhone) AS _cnt, coalesce(n.needed, 0) AS _needed
+  FROM cand x LEFT JOIN need n ON x.paymentPhone = n.paymentPhone
+  WHERE x.paymentPhone IS NOT NULL) c
+WHERE c._rank <= CASE WHEN c._needed >= 0 THEN c._needed ELSE c._cnt + c._needed END"""),
+    ("trainq", """
+SELECT * REPLACE ('Test' AS chw_district, coalesce(training_date, TIMESTAMP '1970-01-01 00:00:00') AS training_date,
+  coalesce(workerName, 'Tester McTesterson') AS workerName)
+FROM enriched WHERE training"""),
+    ("oldq", """
+SELECT n_name AS district, CAST(s.seq AS BIGINT) AS seq, '{"old":' || CAST(s.seq AS VARCHAR) || '}' AS payload
+FROM nation, LATERAL (SELECT unnest(range(1, n_nationkey % 5 + 1)) AS seq) s"""),
 ]
 
 
+def _entries(src: str) -> str:
+    iso = "'%Y-%m-%dT%H:%M:%S'"
+    return f"""
+SELECT chw_district AS district,
+  to_json(struct_pack(_id := _id, paymentPhone := paymentPhone, workerName := workerName,
+    chw_district := chw_district, patientName := patientName, patientPhone := patientPhone, code := code,
+    serviceDate := strftime(serviceDate, {iso}), training_date := strftime(training_date, {iso}),
+    called := called, attempted := attempted)) AS payload,
+  md5('42' || coalesce(_id, '')) AS _order
+FROM {src}"""
+
+
+def _refresh(old: str, entries: str, out: str) -> list[tuple[str, str]]:
+    """Queue refresh in SQL: windows over whole districts."""
+    return [
+        (f"{out}_e", entries),
+        (f"{out}_n", f"""
+SELECT district, payload, row_number() OVER (PARTITION BY district ORDER BY _order, payload) AS _pos,
+  count(*) OVER (PARTITION BY district) AS _new_cnt FROM {out}_e"""),
+        (f"{out}_nc", f"SELECT DISTINCT district, _new_cnt FROM {out}_n"),
+        (f"{out}_oc", f"SELECT district, count(*) AS _o FROM {old} GROUP BY district"),
+        (f"{out}", f"""
+SELECT o.district, o.seq, o.payload FROM {old} o
+WHERE NOT EXISTS (SELECT 1 FROM {out}_nc c WHERE c.district IS NOT DISTINCT FROM o.district)
+UNION ALL
+SELECT r.district, CAST(r._age - c._new_cnt AS BIGINT), r.payload
+FROM (SELECT *, row_number() OVER (PARTITION BY district ORDER BY seq) AS _age FROM {old}) r
+JOIN {out}_nc c ON c.district IS NOT DISTINCT FROM r.district
+WHERE r._age > c._new_cnt
+UNION ALL
+SELECT n.district, CAST(greatest(coalesce(oc._o, 0) - n._new_cnt, 0) + n._pos AS BIGINT), n.payload
+FROM {out}_n n LEFT JOIN {out}_oc oc ON oc.district IS NOT DISTINCT FROM n.district"""),
+    ]
+
+
+CTES += _refresh("oldq", _entries("picks"), "q1")
+CTES += _refresh("q1", _entries("trainq"), "q2")
+
+
 def with_ctes(select: str) -> str:
     body = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in CTES)
     return f"WITH {body}\n{select.strip()}"
@@ -145,6 +206,14 @@ FROM counts WHERE counted > 0 ORDER BY payment_due, number""",
     "super_payments": f"""
 SELECT CAST(CAST(phone_ps AS BIGINT) AS VARCHAR) AS number, {_pay({1: 2000, 3: 1000})} AS payment, reports, payment_due
 FROM sup WHERE counted > 0 ORDER BY payment_due, number""",
+    "call_candidates": "SELECT * FROM cand",
+    "call_counts": "SELECT * FROM cc",
+    "needed_calls": "SELECT * FROM need",
+    "pick_needed_calls": "SELECT * FROM picks",
+    "training_queue": "SELECT _id, paymentPhone, chw_district, training_date, workerName FROM trainq",
+    "queue_payload": "SELECT district, payload FROM q1_e",
+    "district_load": "SELECT chw_district AS district, CAST(count(*) AS BIGINT) AS loaded FROM picks GROUP BY chw_district",
+    "queue_refresh": "SELECT * FROM q2",
 }
 
 
