@@ -128,3 +128,86 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> No
     )
     if dup:
         raise ValueError(f"{what}: duplicate key {dict((k, dup[0][k]) for k in keys)}")
+
+
+def nearest_match(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[str],
+    right_keys: Sequence[str],
+    left_day: Column,
+    right_day: Column,
+    match_col: str = "_match",
+    right_order: Sequence[str] | None = None,
+    num_slices: int | None = None,
+) -> DataFrame:
+    """As-of style join: each ``right`` row gets the ``left`` row with equal keys
+    (NULL-safe) whose day is nearest to its own; equal distance prefers the
+    earlier day. ``left`` must hold at most one row per (keys, day) - reduce it
+    with :func:`first_per_group` first. The match is a struct of all ``left``
+    columns in ``match_col`` (NULL when no left row shares the keys).
+
+    No pairs are formed: both sides are unioned, range-partitioned on
+    (keys, day) into slices, and each right row looks at the nearest left row
+    before and after it in sort order. Matches that lie in another slice come
+    from a small per-slice summary (first/last left row of each slice).
+    ``right_order`` (default: all right columns) orders right rows that share
+    keys and day, which only matters for determinism of the slicing.
+    """
+    spark = left.sparkSession
+    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lrow = F.struct(*[F.col(c) for c in left.columns], left_day.alias("_day"))
+    rrow = F.struct(*[F.col(c) for c in right.columns])
+    rorder = F.struct(*[F.col(c) for c in (right_order or right.columns)])
+    l_side = left.select(
+        F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(left_keys)]).alias("_gk"),
+        left_day.alias("_t"), F.lit(0).alias("_side"), lrow.alias("_l"),
+        F.lit(None).cast(right.select(rrow).schema[0].dataType).alias("_r"),
+        F.lit(None).cast(right.select(rorder).schema[0].dataType).alias("_ro"),
+    )
+    r_side = right.select(
+        F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(right_keys)]).alias("_gk"),
+        right_day.alias("_t"), F.lit(1).alias("_side"),
+        F.lit(None).cast(l_side.schema["_l"].dataType).alias("_l"), rrow.alias("_r"), rorder.alias("_ro"),
+    )
+    checkpoint_dir(spark)
+    sliced = (
+        l_side.unionByName(r_side)
+        .repartitionByRange(n, "_gk", "_t", "_side", "_ro")
+        .withColumn("_slice", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    part = Window.partitionBy("_gk", "_slice").orderBy("_t", "_side", "_ro")
+    before = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = part.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    local = sliced.select(
+        "_gk", "_slice", "_side", "_t", "_r",
+        F.last("_l", ignorenulls=True).over(before).alias("_prev"),
+        F.first("_l", ignorenulls=True).over(after).alias("_next"),
+    ).where(F.col("_side") == 1)
+
+    ends = sliced.where(F.col("_side") == 0).groupBy("_gk", "_slice").agg(
+        F.max_by("_l", "_t").alias("_last"), F.min_by("_l", "_t").alias("_first")
+    )
+    # Every slice that holds right rows needs a carry, also slices without left rows.
+    slices = sliced.select("_gk", "_slice").distinct().join(ends, ["_gk", "_slice"], "left")
+    w = Window.partitionBy("_gk").orderBy("_slice")
+    carry = slices.select(
+        F.col("_gk").alias("_cgk"), F.col("_slice").alias("_cslice"),
+        F.last("_last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_cprev"),
+        F.first("_first", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_cnext"),
+    )
+    joined = local.join(
+        carry, (F.col("_gk") == F.col("_cgk")) & (F.col("_slice") == F.col("_cslice")), "inner"
+    )
+    prev = F.coalesce(F.col("_prev"), F.col("_cprev"))
+    nxt = F.coalesce(F.col("_next"), F.col("_cnext"))
+    d_prev = F.abs(F.datediff(F.col("_t"), prev["_day"]))
+    d_next = F.abs(F.datediff(nxt["_day"], F.col("_t")))
+    chosen = (
+        F.when(prev.isNull(), nxt)
+        .when(nxt.isNull(), prev)
+        .when(d_prev <= d_next, prev)
+        .otherwise(nxt)
+    )
+    return joined.select(*[F.col(f"_r.{c}").alias(c) for c in right.columns], chosen.dropFields("_day").alias(match_col))

@@ -17,6 +17,8 @@ from fieldreports.sources import adapter as A
 from fieldreports.operators import enrich as E
 from fieldreports.operators import payments as P
 from fieldreports.operators import calls as C
+from fieldreports.operators import survey as V
+from fieldreports.operators.normalize import flatten_survey as _flatten
 
 AS_OF = A.AS_OF
 
@@ -138,6 +140,54 @@ def queue_refresh(spark, sf):
     return C.queue_refresh(after_calls, C.queue_entries(C.training_batch(e)))
 
 
+# --- survey ---------------------------------------------------------------------
+
+def _clean(spark, sf):
+    return V.clean_survey(_flatten(A.survey_responses(spark, sf)))
+
+
+def _roster_now(spark, sf):
+    return E.translate_numbers(A.roster(spark, sf), A.crosswalk(spark, sf), "reporting_number", "reporting_number")
+
+
+def flatten_survey(spark, sf):
+    return _flatten(A.survey_responses(spark, sf))
+
+
+def clean_survey(spark, sf):
+    return _clean(spark, sf)
+
+
+def merge_exact(spark, sf):
+    return V.merge_exact(_enriched(spark, sf), _clean(spark, sf), with_date=True)
+
+
+def reconcile_survey(spark, sf):
+    return V.reconcile_survey(_enriched(spark, sf), _clean(spark, sf))[0]
+
+
+def survey_orphans(spark, sf):
+    return V.reconcile_survey(_enriched(spark, sf), _clean(spark, sf))[1]
+
+
+def orphan_candidates(spark, sf):
+    return V.orphan_candidates(_enriched(spark, sf), _clean(spark, sf))
+
+
+def roster_coverage(spark, sf):
+    report = V.reconcile_survey(_enriched(spark, sf), _clean(spark, sf))[0]
+    return V.roster_coverage(report, _roster_now(spark, sf))
+
+
+def final_report(spark, sf):
+    report = V.reconcile_survey(_enriched(spark, sf), _clean(spark, sf))[0]
+    return V.final_report(report, _roster_now(spark, sf))
+
+
+def unique_visits(spark, sf):
+    return V.unique_visits(_enriched(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "normalize_messages": normalize_messages,
     "dedupe_messages": dedupe_messages,
@@ -160,4 +210,13 @@ QUERIES: dict[str, Query] = {
     "queue_payload": queue_payload,
     "district_load": district_load,
     "queue_refresh": queue_refresh,
+    "flatten_survey": flatten_survey,
+    "clean_survey": clean_survey,
+    "merge_exact": merge_exact,
+    "reconcile_survey": reconcile_survey,
+    "survey_orphans": survey_orphans,
+    "orphan_candidates": orphan_candidates,
+    "roster_coverage": roster_coverage,
+    "final_report": final_report,
+    "unique_visits": unique_visits,
 }

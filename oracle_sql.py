@@ -172,6 +172,108 @@ FROM {out}_n n LEFT JOIN {out}_oc oc ON oc.district IS NOT DISTINCT FROM n.distr
     ]
 
 
+_VISIT_PATTERNS = [
+    ("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "%Y-%m-%d"),
+    ("^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "%Y/%m/%d"),
+    ("^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}$", "%m.%d.%Y"),
+    ("^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}$", "%d.%m.%Y"),
+    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "%m/%d/%Y"),
+    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "%d/%m/%Y"),
+    ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "%m-%d-%Y"),
+    ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "%d-%m-%Y"),
+]
+
+
+def _visit(v: str) -> str:
+    parts = ", ".join(
+        f"CASE WHEN regexp_matches(trim({v}), '{rx}') THEN try_strptime(trim({v}), '{fmt}') END"
+        for rx, fmt in _VISIT_PATTERNS
+    )
+    return f"strftime(CAST(coalesce({parts}) AS DATE), '%Y-%m-%d')"
+
+
+_K5 = ["senderPhone", "patientPhone", "patientName", "code", "_sday"]
+_R5 = ["workerphone", "patientphone_typeform", "patient", "code", "visitdate"]
+
+
+def _eq(l: str, r: str, lk, rk) -> str:
+    return " AND ".join(f"{l}.{a} IS NOT DISTINCT FROM {r}.{b}" for a, b in zip(lk, rk))
+
+
+CTES += [
+    ("sv6", "SELECT *, CAST(patientPhone AS INTEGER) AS k FROM dd WHERE CAST(patientPhone AS INTEGER) % 6 = 0"),
+    ("resp", """
+SELECT sourceId AS response_id, "timestamp" + INTERVAL 2 DAY AS submitted_at, senderPhone AS workerphone,
+  'w' || senderPhone AS worker,
+  CASE WHEN k % 54 = 0 THEN '9' || patientPhone ELSE patientPhone END AS patientphone,
+  lower(patientName) AS patient, lower(code) AS code,
+  CASE WHEN k % 36 = 0 THEN strftime(CAST(serviceDate AS DATE) + CASE WHEN k % 18 = 0 THEN 1 ELSE 0 END, '%m.%d.%Y')
+       ELSE strftime(CAST(serviceDate AS DATE) + CASE WHEN k % 18 = 0 THEN 1 ELSE 0 END, '%Y-%m-%d') END AS visitdate,
+  _id AS messageid, (k % 60 <> 0) AS called,
+  CASE WHEN k % 60 = 0 THEN NULL ELSE (k % 12 = 0) END AS provided_care
+FROM sv6
+UNION ALL
+SELECT sourceId + 1000000, "timestamp" + INTERVAL 2 DAY + INTERVAL 1 HOUR, senderPhone, 'w' || senderPhone,
+  CASE WHEN k % 54 = 0 THEN '9' || patientPhone ELSE patientPhone END,
+  lower(patientName), lower(code),
+  CASE WHEN k % 36 = 0 THEN strftime(CAST(serviceDate AS DATE) + CASE WHEN k % 18 = 0 THEN 1 ELSE 0 END, '%m.%d.%Y')
+       ELSE strftime(CAST(serviceDate AS DATE) + CASE WHEN k % 18 = 0 THEN 1 ELSE 0 END, '%Y-%m-%d') END,
+  _id, (k % 60 <> 0), CASE WHEN k % 60 = 0 THEN NULL ELSE NOT (k % 12 = 0) END
+FROM sv6 WHERE sourceId % 4 = 0"""),
+    ("cs", f"""
+SELECT response_id, submitted_at, workerphone, worker, patientphone, upper(patient) AS patient, upper(code) AS code,
+  {_visit('visitdate')} AS visitdate, messageid, called, _any AS provided_care
+FROM (SELECT *, row_number() OVER (PARTITION BY patientphone, patient, code, visitdate
+                                   ORDER BY submitted_at, response_id) AS _rn,
+             bool_or(provided_care) OVER (PARTITION BY patientphone, patient, code, visitdate) AS _any
+      FROM resp WHERE provided_care IS NOT NULL AND patientphone IS NOT NULL AND patient IS NOT NULL
+        AND code IS NOT NULL AND visitdate IS NOT NULL)
+WHERE _rn = 1"""),
+    ("ml", "SELECT * RENAME (called AS called_app), strftime(serviceDate, '%Y-%m-%d') AS _sday FROM enriched"),
+    ("sr", "SELECT * RENAME (called AS called_typeform, patientphone AS patientphone_typeform) FROM cs"),
+    ("both1", f"""
+SELECT m.* EXCLUDE (_sday), s.* EXCLUDE (code), 'both' AS _merge
+FROM ml m JOIN sr s ON {_eq('m', 's', _K5, _R5)}"""),
+    ("left1", f"""
+SELECT m.* EXCLUDE (_sday), 'left_only' AS _merge FROM ml m
+WHERE NOT EXISTS (SELECT 1 FROM sr s WHERE {_eq('m', 's', _K5, _R5)})"""),
+    ("orph1", f"""
+SELECT s.* FROM sr s WHERE NOT EXISTS (SELECT 1 FROM ml m WHERE {_eq('m', 's', _K5, _R5)})"""),
+    ("right1", "SELECT *, 'right_only' AS _merge FROM orph1"),
+    ("mday", """
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, CAST(serviceDate AS DATE) AS _d,
+    row_number() OVER (PARTITION BY senderPhone, patientPhone, patientName, code, CAST(serviceDate AS DATE)
+                       ORDER BY "timestamp" DESC, _id DESC) AS _rn
+  FROM ml) WHERE _rn = 1"""),
+    ("both2", f"""
+SELECT * EXCLUDE (_r, _d, _sday) FROM (
+  SELECT m.*, o.* EXCLUDE (code), 'both' AS _merge,
+    row_number() OVER (PARTITION BY o.response_id
+                       ORDER BY abs(date_diff('day', m._d, CAST(o.visitdate AS DATE))), m._d) AS _r
+  FROM orph1 o JOIN mday m ON {_eq('m', 'o', _K5[:4], _R5[:4])}) WHERE _r = 1"""),
+    ("orph2", f"""
+SELECT o.* RENAME (called_typeform AS called, patientphone_typeform AS patientphone) FROM orph1 o
+WHERE NOT EXISTS (SELECT 1 FROM ml m WHERE {_eq('m', 'o', _K5[:4], _R5[:4])})"""),
+    ("report", """
+SELECT * EXCLUDE (_id, messageid, patient, patientphone_typeform, worker, workerphone) FROM (
+  SELECT * FROM both1 UNION ALL BY NAME SELECT * FROM left1 UNION ALL BY NAME SELECT * FROM both2)"""),
+    ("cand_day", """
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT patientPhone, _id, CAST(serviceDate AS DATE) AS _d,
+    row_number() OVER (PARTITION BY patientPhone, CAST(serviceDate AS DATE) ORDER BY "timestamp" DESC, _id DESC) AS _rn
+  FROM left1 WHERE patientPhone IS NOT NULL) WHERE _rn = 1"""),
+    ("ocand", """
+SELECT response_id, patientphone, visitdate, n_candidates, candidate_id, candidate_date FROM (
+  SELECT o.response_id, o.patientphone, o.visitdate, c._id AS candidate_id, CAST(c._d AS TIMESTAMP) AS candidate_date,
+    row_number() OVER (PARTITION BY o.response_id
+                       ORDER BY abs(date_diff('day', c._d, CAST(o.visitdate AS DATE))), c._d) AS _r
+  FROM orph2 o JOIN cand_day c ON c.patientPhone = o.patientphone) x
+JOIN (SELECT patientPhone AS _pp, CAST(count(*) AS BIGINT) AS n_candidates FROM left1
+      WHERE patientPhone IS NOT NULL GROUP BY patientPhone) n ON n._pp = x.patientphone
+WHERE _r = 1"""),
+]
+
 CTES += _refresh("oldq", _entries("picks"), "q1")
 CTES += _refresh("q1", _entries("trainq"), "q2")
 
@@ -214,6 +316,23 @@ FROM sup WHERE counted > 0 ORDER BY payment_due, number""",
     "queue_payload": "SELECT district, payload FROM q1_e",
     "district_load": "SELECT chw_district AS district, CAST(count(*) AS BIGINT) AS loaded FROM picks GROUP BY chw_district",
     "queue_refresh": "SELECT * FROM q2",
+    "flatten_survey": "SELECT * FROM resp",
+    "clean_survey": "SELECT * FROM cs",
+    "merge_exact": """
+SELECT * FROM both1 UNION ALL BY NAME SELECT * FROM left1
+UNION ALL BY NAME SELECT * FROM right1""",
+    "reconcile_survey": "SELECT * FROM report",
+    "survey_orphans": "SELECT * FROM orph2",
+    "orphan_candidates": "SELECT * FROM ocand",
+    "roster_coverage": """
+SELECT CAST(count(*) AS BIGINT) AS missing FROM report r
+WHERE r.training = false AND NOT EXISTS (SELECT 1 FROM roster_t t WHERE t.reporting_number = r.paymentPhone)""",
+    "final_report": """
+SELECT r.* EXCLUDE (_merge), t.contact_number FROM report r JOIN roster_t t ON r.paymentPhone = t.reporting_number""",
+    "unique_visits": """
+SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY patientName, code, serviceDate, patientPhone
+  ORDER BY "timestamp", _id) AS _rn FROM enriched
+  WHERE patientName IS NOT NULL AND code IS NOT NULL AND serviceDate IS NOT NULL AND patientPhone IS NOT NULL) WHERE _rn = 1""",
 }
 
 
