@@ -19,6 +19,10 @@ from fieldreports.operators import payments as P
 from fieldreports.operators import calls as C
 from fieldreports.operators import survey as V
 from fieldreports.operators.normalize import flatten_survey as _flatten
+from fieldreports.operators import maintenance as M
+from fieldreports.functions.dates import day_start
+from fieldreports.functions.money import SUPERVISOR_BONUS, WORKER_BONUS, bonus
+from fieldreports.sources import readers as R
 
 AS_OF = A.AS_OF
 
@@ -188,6 +192,79 @@ def unique_visits(spark, sf):
     return V.unique_visits(_enriched(spark, sf))
 
 
+# --- maintenance ------------------------------------------------------------------
+
+def testers(spark, sf):
+    return M.testers(E.dedupe_messages(A.messages(spark, sf)), A.roster(spark, sf), A.crosswalk(spark, sf))
+
+
+def directory_upsert(spark, sf):
+    roster = A.roster(spark, sf)
+    found = M.testers(E.dedupe_messages(A.messages(spark, sf)), roster, A.crosswalk(spark, sf))
+    return M.directory_upsert(A.existing_directory(spark, sf), roster, found)
+
+
+def flags_to_events(spark, sf):
+    return M.flat_events(M.flags_to_events(A.legacy_messages(spark, sf)))
+
+
+def event_upsert(spark, sf):
+    new = M.flags_to_events(A.legacy_messages(spark, sf))
+    return M.flat_events(M.event_upsert(A.status_events(spark, sf), new))
+
+
+def repair_dates(spark, sf):
+    return M.repair_dates(A.legacy_messages(spark, sf))
+
+
+def date_or_keep(spark, sf):
+    return M.dates_or_kept(A.raw_messages(spark, sf).select("sourceId", "Service_Date"))
+
+
+# --- remaining single operators ------------------------------------------------
+
+def payment_windows(spark, sf):
+    return P.payment_windows(_roster_now(spark, sf), AS_OF)
+
+
+def bonus_schedule(spark, sf):
+    c = _capped(spark, sf)
+    return c.select(
+        "paymentPhone", "payment_due", "treat", "counted",
+        bonus("treat", "counted", WORKER_BONUS).alias("worker_bonus"),
+        bonus("treat", "counted", SUPERVISOR_BONUS).alias("supervisor_bonus"),
+    )
+
+
+def _paid(spark, sf):
+    d = E.dedupe_messages(A.messages(spark, sf))
+    return E.translate_numbers(d, A.crosswalk(spark, sf), "senderPhone", "paymentPhone")
+
+
+def merge_worker_info(spark, sf):
+    m = E.merge_worker_info(_paid(spark, sf), _roster_now(spark, sf))
+    return m.select("_id", "paymentPhone", "workerName", "chw_district", "treat", "phone_ps", "training_date")
+
+
+def tag_testers(spark, sf):
+    m = _paid(spark, sf).withColumn("training", F.lit(False))
+    return E.tag_testers(m, _roster_now(spark, sf)).select("_id", "paymentPhone", "training")
+
+
+def tag_training_day(spark, sf):
+    m = E.merge_worker_info(_paid(spark, sf), _roster_now(spark, sf)).withColumn("training", F.lit(False))
+    return E.tag_training_day(m).select("_id", "serviceDate", "training_date", "training")
+
+
+def latest_file(spark, sf):
+    return R.latest_file(spark, sf, "*.parquet")
+
+
+def extraction_windows(spark, sf):
+    starts = A.raw_messages(spark, sf).agg(F.min(day_start("Report_Date")).alias("start"))
+    return R.extraction_windows(starts, AS_OF, weeks=1)
+
+
 QUERIES: dict[str, Query] = {
     "normalize_messages": normalize_messages,
     "dedupe_messages": dedupe_messages,
@@ -219,4 +296,17 @@ QUERIES: dict[str, Query] = {
     "roster_coverage": roster_coverage,
     "final_report": final_report,
     "unique_visits": unique_visits,
+    "testers": testers,
+    "directory_upsert": directory_upsert,
+    "flags_to_events": flags_to_events,
+    "event_upsert": event_upsert,
+    "repair_dates": repair_dates,
+    "date_or_keep": date_or_keep,
+    "payment_windows": payment_windows,
+    "bonus_schedule": bonus_schedule,
+    "merge_worker_info": merge_worker_info,
+    "tag_testers": tag_testers,
+    "tag_training_day": tag_training_day,
+    "latest_file": latest_file,
+    "extraction_windows": extraction_windows,
 }

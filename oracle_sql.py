@@ -274,6 +274,38 @@ JOIN (SELECT patientPhone AS _pp, CAST(count(*) AS BIGINT) AS n_candidates FROM
 WHERE _r = 1"""),
 ]
 
+CTES += [
+    ("tst", """
+SELECT DISTINCT senderPhone AS reporting_number, senderPhone AS contact_number, 'Tester McTesterson' AS name,
+  'Test' AS chw_district, CAST(NULL AS TIMESTAMP) AS training_date, CAST(NULL AS INTEGER) AS treat,
+  CAST(NULL AS VARCHAR) AS phone_ps
+FROM dd WHERE senderPhone IS NOT NULL
+  AND senderPhone NOT IN (SELECT reporting_number FROM roster
+                          UNION SELECT new_payment_number FROM cw WHERE new_payment_number IS NOT NULL)"""),
+    ("dir_old", "SELECT * FROM roster WHERE CAST(reporting_number AS BIGINT) % 2 = 0"),
+    ("dir_new", """
+SELECT * EXCLUDE (_p, _rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY reporting_number ORDER BY _p, contact_number, name) AS _rn FROM (
+    SELECT *, 0 AS _p FROM roster UNION ALL BY NAME SELECT *, 1 AS _p FROM tst)) b
+WHERE _rn = 1 AND NOT EXISTS (SELECT 1 FROM dir_old o WHERE o.reporting_number IS NOT DISTINCT FROM b.reporting_number)"""),
+    ("lg", "SELECT *, CAST(patientPhone AS INTEGER) AS k FROM dd"),
+    ("f2e", """
+SELECT 'called' AS event, TIMESTAMP '1970-01-01 00:00:00' AS event_time, _id AS record_id, code AS updates_code
+FROM lg WHERE k % 6 = 0
+UNION ALL SELECT 'noConsent', TIMESTAMP '1970-01-01 00:00:00', _id, NULL FROM lg WHERE k % 13 = 0
+UNION ALL SELECT 'attempted', "timestamp", _id, NULL FROM lg WHERE k % 17 <> 0 AND k % 7 = 0
+UNION ALL SELECT 'attempted', "timestamp" + INTERVAL 1 DAY, _id, NULL FROM lg WHERE k % 17 <> 0 AND k % 7 = 0
+UNION ALL SELECT 'attempted', "timestamp", _id, NULL FROM lg WHERE k % 17 <> 0 AND k % 7 <> 0 AND k % 11 = 0"""),
+    ("leg_raw", """
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, md5(coalesce(Service_Date, 'None') || coalesce(upper(Patient_Name), 'None')
+             || coalesce(Patient_Phone_Number, 'None') || coalesce(upper(Service_Code), 'None')) AS _id,
+    row_number() OVER (PARTITION BY md5(coalesce(Service_Date, 'None') || coalesce(upper(Patient_Name), 'None')
+             || coalesce(Patient_Phone_Number, 'None') || coalesce(upper(Service_Code), 'None'))
+      ORDER BY Report_Date, sourceId) AS _rn
+  FROM raw_p) WHERE _rn = 1"""),
+]
+
 CTES += _refresh("oldq", _entries("picks"), "q1")
 CTES += _refresh("q1", _entries("trainq"), "q2")
 
@@ -329,6 +361,44 @@ SELECT CAST(count(*) AS BIGINT) AS missing FROM report r
 WHERE r.training = false AND NOT EXISTS (SELECT 1 FROM roster_t t WHERE t.reporting_number = r.paymentPhone)""",
     "final_report": """
 SELECT r.* EXCLUDE (_merge), t.contact_number FROM report r JOIN roster_t t ON r.paymentPhone = t.reporting_number""",
+    "testers": "SELECT * FROM tst",
+    "directory_upsert": "SELECT * FROM dir_old UNION ALL BY NAME SELECT * FROM dir_new",
+    "flags_to_events": "SELECT * FROM f2e",
+    "event_upsert": """
+SELECT event, event_time, record_id, updates_code FROM sev
+UNION ALL
+SELECT * FROM f2e n WHERE NOT EXISTS (
+  SELECT 1 FROM sev o WHERE o.event_time IS NOT DISTINCT FROM n.event_time AND o.event = n.event
+    AND o.record_id IS NOT DISTINCT FROM n.record_id)""",
+    "repair_dates": """
+SELECT _id, CASE WHEN _p IS NOT NULL AND _p <= Report_Date THEN _p ELSE Report_Date END AS serviceDate FROM leg_raw""",
+    "date_or_keep": """
+SELECT sourceId, Service_Date, coalesce(strftime(CASE WHEN regexp_full_match(Service_Date, '[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}')
+  THEN try_strptime(Service_Date, '%d.%m.%Y') END, '%Y-%m-%d'), Service_Date) AS serviceDate FROM raw""",
+    "payment_windows": f"""
+SELECT reporting_number, training_date, _anchor + to_months(CAST(m AS INTEGER)) AS window_start,
+  _anchor + to_months(CAST(m + 1 AS INTEGER)) AS window_end
+FROM (SELECT *, CASE WHEN {AS_OF} < _anchor THEN 0
+                     ELSE (_rawn - CASE WHEN _anchor + to_months(CAST(_rawn AS INTEGER)) > {AS_OF} THEN 1 ELSE 0 END) % 12 END AS _n
+      FROM (SELECT *, (year({AS_OF}) - year(_anchor)) * 12 + month({AS_OF}) - month(_anchor) AS _rawn
+            FROM (SELECT *, training_date + INTERVAL 1 DAY AS _anchor FROM roster_t WHERE training_date IS NOT NULL))) w,
+     LATERAL (SELECT unnest(range(0, w._n)) AS m) s""",
+    "bonus_schedule": """
+SELECT paymentPhone, payment_due, treat, counted,
+  CAST(CASE treat WHEN 2 THEN 2000 * counted WHEN 3 THEN 1000 * counted ELSE 0 END AS BIGINT) AS worker_bonus,
+  CAST(CASE treat WHEN 1 THEN 2000 * counted WHEN 3 THEN 1000 * counted ELSE 0 END AS BIGINT) AS supervisor_bonus
+FROM counts""",
+    "merge_worker_info": """
+SELECT _id, paymentPhone, workerName, chw_district, treat, phone_ps, training_date FROM m_info""",
+    "tag_testers": "SELECT _id, paymentPhone, _tester AS training FROM m_info",
+    "tag_training_day": """
+SELECT _id, serviceDate, training_date, coalesce(training_date >= date_trunc('day', serviceDate), false) AS training
+FROM m_info""",
+    "extraction_windows": f"""
+SELECT strftime(s, '%Y-%m-%dT%H:%M:%S') AS since, strftime(s + INTERVAL 7 DAY, '%Y-%m-%dT%H:%M:%S') AS until
+FROM (SELECT min(date_trunc('day', Report_Date)) AS st FROM raw) b,
+     LATERAL (SELECT unnest(generate_series(b.st, {AS_OF}, INTERVAL 7 DAY)) AS s) g
+WHERE s < {AS_OF}""",
     "unique_visits": """
 SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY patientName, code, serviceDate, patientPhone
   ORDER BY "timestamp", _id) AS _rn FROM enriched
