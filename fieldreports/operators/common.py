@@ -19,6 +19,8 @@ from fieldreports.session import checkpoint_dir
 
 # Largest dimension (rows) we are willing to ship to every executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# Largest group one task may hold in a window; bigger groups are sliced.
+DEFAULT_MAX_GROUP_ROWS = 1_000_000
 
 
 def first_per_group(
@@ -57,20 +59,30 @@ def rank_within(
     rank_col: str = "_rank",
     size_col: str | None = None,
     num_slices: int | None = None,
+    max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add ``rank_col`` = 1-based position of each row inside its ``keys`` group.
 
     A plain ``row_number() over (partition by keys)`` sends a whole group to one
-    task. Here the rows are range-partitioned on ``(keys, order)``, which cuts
-    a large group into consecutive slices; rows are numbered inside each
-    (group, slice) and shifted by the row count of the group's earlier slices.
-    The per-slice counts form a small table (at most groups + slices rows).
-    The sliced rows are checkpointed (one eager job) so both uses agree.
+    task. So the largest group is measured first (one partially aggregated
+    job): up to ``max_group_rows`` the plain window is used. Beyond it the rows
+    are range-partitioned on ``(keys, order)``, which cuts a large group into
+    consecutive slices; rows are numbered inside each (group, slice) and
+    shifted by the row count of the group's earlier slices. The per-slice
+    counts form a small table (at most groups + slices rows). The sliced rows
+    are checkpointed (one eager job) so both uses agree on the slices.
     NULL keys form one group. ``size_col`` optionally receives the group size.
     ``order`` must be a total order for the numbering to be deterministic.
+    ``max_group_rows=None`` always slices.
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    if max_group_rows is not None and largest_group(df, keys) <= max_group_rows:
+        w = Window.partitionBy(*keys)
+        out = df.withColumn(rank_col, F.row_number().over(w.orderBy(*order_cols)).cast("bigint"))
+        if size_col:
+            out = out.withColumn(size_col, F.count(F.lit(1)).over(w).cast("bigint"))
+        return out
     spark = df.sparkSession
     n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     gk = F.struct(*[F.col(k) for k in keys])
@@ -106,14 +118,28 @@ def rank_within(
     return out.drop("_gk", "_slice", "_ogk", "_oslice", "_local", "_offset", "_group_rows")
 
 
+def largest_group(df: DataFrame, keys: Sequence[str | Column]) -> int:
+    """Row count of the biggest group (0 for no rows). One partially aggregated job."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    top = sizes.agg(F.max("_n")).first()[0]
+    return int(top or 0)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` once to the shared checkpoint folder and read it
+    from there. For intermediates that several branches of a plan consume."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
 
     Otherwise the DataFrame is returned unhinted and the planner (and AQE at
-    run time) picks a shuffle join. The count is one small job over the
-    dimension; callers that reuse the dimension should persist it first.
+    run time) picks a shuffle join. The check counts at most ``max_rows + 1``
+    rows, so it stays cheap for a large dimension.
     """
-    rows = df.count()
+    rows = df.limit(max_rows + 1).count()
     return F.broadcast(df) if rows <= max_rows else df
 
 
@@ -140,6 +166,7 @@ def nearest_match(
     match_col: str = "_match",
     right_order: Sequence[str] | None = None,
     num_slices: int | None = None,
+    max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """As-of style join: each ``right`` row gets the ``left`` row with equal keys
     (NULL-safe) whose day is nearest to its own; equal distance prefers the
@@ -152,7 +179,9 @@ def nearest_match(
     before and after it in sort order. Matches that lie in another slice come
     from a small per-slice summary (first/last left row of each slice).
     ``right_order`` (default: all right columns) orders right rows that share
-    keys and day, which only matters for determinism of the slicing.
+    keys and day, which only matters for determinism of the slicing. When no
+    key holds more than ``max_group_rows`` rows (measured first), one window
+    per key replaces the slicing.
     """
     spark = left.sparkSession
     n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -170,13 +199,17 @@ def nearest_match(
         right_day.alias("_t"), F.lit(1).alias("_side"),
         F.lit(None).cast(l_side.schema["_l"].dataType).alias("_l"), rrow.alias("_r"), rorder.alias("_ro"),
     )
-    checkpoint_dir(spark)
-    sliced = (
-        l_side.unionByName(r_side)
-        .repartitionByRange(n, "_gk", "_t", "_side", "_ro")
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    both = l_side.unionByName(r_side)
+    small = max_group_rows is not None and largest_group(both, ["_gk"]) <= max_group_rows
+    if small:
+        sliced = both.withColumn("_slice", F.lit(0))
+    else:
+        checkpoint_dir(spark)
+        sliced = (
+            both.repartitionByRange(n, "_gk", "_t", "_side", "_ro")
+            .withColumn("_slice", F.spark_partition_id())
+            .checkpoint(eager=True)
+        )
     part = Window.partitionBy("_gk", "_slice").orderBy("_t", "_side", "_ro")
     before = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = part.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -186,6 +219,9 @@ def nearest_match(
         F.first("_l", ignorenulls=True).over(after).alias("_next"),
     ).where(F.col("_side") == 1)
 
+    if small:
+        no_match = F.lit(None).cast(l_side.schema["_l"].dataType)
+        return _choose_nearest(local.withColumn("_cprev", no_match).withColumn("_cnext", no_match), right, match_col)
     ends = sliced.where(F.col("_side") == 0).groupBy("_gk", "_slice").agg(
         F.max_by("_l", "_t").alias("_last"), F.min_by("_l", "_t").alias("_first")
     )
@@ -200,6 +236,10 @@ def nearest_match(
     joined = local.join(
         carry, (F.col("_gk") == F.col("_cgk")) & (F.col("_slice") == F.col("_cslice")), "inner"
     )
+    return _choose_nearest(joined, right, match_col)
+
+
+def _choose_nearest(joined: DataFrame, right: DataFrame, match_col: str) -> DataFrame:
     prev = F.coalesce(F.col("_prev"), F.col("_cprev"))
     nxt = F.coalesce(F.col("_next"), F.col("_cnext"))
     d_prev = F.abs(F.datediff(F.col("_t"), prev["_day"]))

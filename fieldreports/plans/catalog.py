@@ -23,6 +23,7 @@ from fieldreports.operators import maintenance as M
 from fieldreports.functions.dates import day_start
 from fieldreports.functions.money import SUPERVISOR_BONUS, WORKER_BONUS, bonus
 from fieldreports.sources import readers as R
+from fieldreports.operators.common import materialize
 
 AS_OF = A.AS_OF
 
@@ -33,6 +34,12 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     return E.enrich(A.messages(spark, sf), A.status_events(spark, sf), A.roster(spark, sf), A.crosswalk(spark, sf))
 
 
+def _enriched_shared(spark: SparkSession, sf: str) -> DataFrame:
+    """Enriched messages written once to the checkpoint folder, for queries
+    that read them in several branches."""
+    return materialize(_enriched(spark, sf))
+
+
 def _capped(spark: SparkSession, sf: str) -> DataFrame:
     return P.capped_counts(_enriched(spark, sf), AS_OF)
 
@@ -106,7 +113,7 @@ def _candidates(spark, sf):
 
 
 def _picks(spark, sf):
-    return C.call_batch(_enriched(spark, sf), AS_OF)
+    return C.call_batch(_enriched_shared(spark, sf), AS_OF)
 
 
 def call_candidates(spark, sf):
@@ -139,15 +146,15 @@ def district_load(spark, sf):
 
 
 def queue_refresh(spark, sf):
-    e = _enriched(spark, sf)
+    e = _enriched_shared(spark, sf)
     after_calls = C.queue_refresh(A.old_queue(spark, sf), C.queue_entries(C.call_batch(e, AS_OF)))
-    return C.queue_refresh(after_calls, C.queue_entries(C.training_batch(e)))
+    return C.queue_refresh(materialize(after_calls), C.queue_entries(C.training_batch(e)))
 
 
 # --- survey ---------------------------------------------------------------------
 
 def _clean(spark, sf):
-    return V.clean_survey(_flatten(A.survey_responses(spark, sf)))
+    return materialize(V.clean_survey(_flatten(A.survey_responses(spark, sf))))
 
 
 def _roster_now(spark, sf):
@@ -163,28 +170,28 @@ def clean_survey(spark, sf):
 
 
 def merge_exact(spark, sf):
-    return V.merge_exact(_enriched(spark, sf), _clean(spark, sf), with_date=True)
+    return V.merge_exact(_enriched_shared(spark, sf), _clean(spark, sf), with_date=True)
 
 
 def reconcile_survey(spark, sf):
-    return V.reconcile_survey(_enriched(spark, sf), _clean(spark, sf))[0]
+    return V.reconcile_survey(_enriched_shared(spark, sf), _clean(spark, sf))[0]
 
 
 def survey_orphans(spark, sf):
-    return V.reconcile_survey(_enriched(spark, sf), _clean(spark, sf))[1]
+    return V.reconcile_survey(_enriched_shared(spark, sf), _clean(spark, sf))[1]
 
 
 def orphan_candidates(spark, sf):
-    return V.orphan_candidates(_enriched(spark, sf), _clean(spark, sf))
+    return V.orphan_candidates(_enriched_shared(spark, sf), _clean(spark, sf))
 
 
 def roster_coverage(spark, sf):
-    report = V.reconcile_survey(_enriched(spark, sf), _clean(spark, sf))[0]
+    report = V.reconcile_survey(_enriched_shared(spark, sf), _clean(spark, sf))[0]
     return V.roster_coverage(report, _roster_now(spark, sf))
 
 
 def final_report(spark, sf):
-    report = V.reconcile_survey(_enriched(spark, sf), _clean(spark, sf))[0]
+    report = V.reconcile_survey(_enriched_shared(spark, sf), _clean(spark, sf))[0]
     return V.final_report(report, _roster_now(spark, sf))
 
 

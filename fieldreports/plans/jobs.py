@@ -27,7 +27,7 @@ from fieldreports.operators import enrich as E
 from fieldreports.operators import maintenance as M
 from fieldreports.operators import payments as P
 from fieldreports.operators import survey as V
-from fieldreports.operators.common import assert_unique
+from fieldreports.operators.common import assert_unique, materialize
 from fieldreports.operators.normalize import flatten_survey, normalize_messages
 from fieldreports.session import build_session, checkpoint_dir
 from fieldreports.sinks.writers import write_csv_report, write_table_version
@@ -111,7 +111,7 @@ def run_calls(spark: SparkSession, data: dict[str, DataFrame], as_of: datetime,
     old = data.get("queue")
     if old is None:
         old = spark.createDataFrame([], schemas.QUEUE)
-    after_calls = C.queue_refresh(old, C.queue_entries(C.call_batch(enriched, as_of, target)))
+    after_calls = materialize(C.queue_refresh(old, C.queue_entries(C.call_batch(enriched, as_of, target))))
     refreshed = C.queue_refresh(after_calls, C.queue_entries(C.training_batch(enriched)))
     return write_table_version(refreshed, queue_out, as_of.strftime("%Y%m%d"))
 
@@ -120,7 +120,7 @@ def run_report(spark: SparkSession, data: dict[str, DataFrame], out_dir: str, ru
                run_id: str) -> tuple[str, str]:
     """K2: reconciled survey report and the orphan surveys."""
     enriched = enriched_table(spark, data, run_id)
-    survey = V.clean_survey(flatten_survey(data["responses"]))
+    survey = materialize(V.clean_survey(flatten_survey(data["responses"])))
     report, orphans = V.reconcile_survey(enriched, survey)
     return (
         write_csv_report(report.drop("_merge"), out_dir, "reports", run_ts),

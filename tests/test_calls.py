@@ -117,7 +117,8 @@ def test_call_candidates_window_is_strict(spark):
     assert [r[0] for r in C.call_candidates(df, as_of).collect()] == [datetime(2018, 5, 14)]
 
 
-def test_rank_within_matches_row_number_on_a_hot_group(spark):
+@pytest.mark.parametrize("max_group_rows", [None, 1_000_000], ids=["sliced", "window"])
+def test_rank_within_matches_row_number_on_a_hot_group(spark, max_group_rows):
     # one key holds half the rows; NULL keys form a group of their own
     df = spark.range(0, 6000).select(
         F.when(F.col("id") % 2 == 0, F.lit("hot"))
@@ -126,7 +127,7 @@ def test_rank_within_matches_row_number_on_a_hot_group(spark):
         ((F.col("id") * 7919) % 6007).alias("o"),
         F.col("id"),
     )
-    ranked = rank_within(df, ["g"], ["o", "id"], "r", "n", num_slices=6)
+    ranked = rank_within(df, ["g"], ["o", "id"], "r", "n", num_slices=6, max_group_rows=max_group_rows)
     ref = df.withColumn("e", F.row_number().over(Window.partitionBy("g").orderBy("o", "id"))).withColumn(
         "c", F.count(F.lit(1)).over(Window.partitionBy("g")))
     joined = ranked.join(ref, "id")
@@ -134,7 +135,8 @@ def test_rank_within_matches_row_number_on_a_hot_group(spark):
     assert joined.where((F.col("r") != F.col("e")) | (F.col("n") != F.col("c"))).count() == 0
 
 
-def test_nearest_match_picks_nearest_day(spark):
+@pytest.mark.parametrize("max_group_rows", [None, 1_000_000], ids=["sliced", "window"])
+def test_nearest_match_picks_nearest_day(spark, max_group_rows):
     left = spark.createDataFrame(
         [("a", "2018-01-01", "m1"), ("a", "2018-01-10", "m2"), ("a", "2018-01-20", "m3"), ("b", "2018-01-05", "m4")],
         "k string, d string, mid string").withColumn("d", F.to_date("d"))
@@ -142,7 +144,8 @@ def test_nearest_match_picks_nearest_day(spark):
         [(1, "a", "2018-01-04"), (2, "a", "2018-01-16"), (3, "a", "2018-01-15"), (4, "c", "2018-01-01"),
          (5, "a", "2017-12-01"), (6, "b", "2018-03-01")],
         "rid int, k string, d string").withColumn("d", F.to_date("d"))
-    out = nearest_match(left, right, ["k"], ["k"], F.col("d"), F.col("d"), num_slices=3)
+    out = nearest_match(left, right, ["k"], ["k"], F.col("d"), F.col("d"), num_slices=3,
+                        max_group_rows=max_group_rows)
     got = {r["rid"]: (r["_match"]["mid"] if r["_match"] else None) for r in out.collect()}
     # 15th is 5 days from both the 10th and the 20th: the earlier day wins
     assert got == {1: "m1", 2: "m3", 3: "m2", 4: None, 5: "m1", 6: "m4"}
