@@ -121,45 +121,50 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_crosswalk(landed_crosswalk(spark, sf_dir))
 
 
-def _record(m_cols=None) -> Column:
-    return F.struct(*[F.col(f.name) for f in schemas.MESSAGE.fields])
-
-
 def status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events about raw reports (before dedupe): k%6 called, k%7 attempted,
-    k%13 noConsent; plus events about unknown ids for k%41."""
+    k%13 noConsent; plus events about unknown ids for k%41.
+
+    The record struct is built above the generator so that Catalyst can prune
+    it to the fields a consumer reads (the flags only need ``record._id``).
+    """
     m = messages(spark, sf_dir)
     k = F.col("patientPhone").cast("int")
-    rec = _record()
-    unknown = rec.withField("_id", F.concat(F.lit("x"), F.col("sourceId").cast("string")))
     no_update = F.lit(None).cast("struct<code:string>")
 
-    def ev(cond: Column, name: str, record: Column, updates: Column) -> Column:
+    def kind(cond: Column, name: str, updates: Column, unknown: bool) -> Column:
         return F.when(
             cond,
-            F.struct(
-                F.lit(name).alias("event"),
-                F.col("timestamp").alias("event_time"),
-                record.alias("record"),
-                updates.alias("updates"),
-            ),
+            F.struct(F.lit(name).alias("event"), updates.alias("updates"), F.lit(unknown).alias("unknown")),
         )
 
-    candidates = F.array(
-        ev(k % 6 == 0, "called", rec, F.struct(F.col("code").alias("code"))),
-        ev(k % 7 == 0, "attempted", rec, no_update),
-        ev(k % 13 == 0, "noConsent", rec, no_update),
-        ev(k % 41 == 0, "called", unknown, no_update),
+    kinds = F.array(
+        kind(k % 6 == 0, "called", F.struct(F.col("code").alias("code")), False),
+        kind(k % 7 == 0, "attempted", no_update, False),
+        kind(k % 13 == 0, "noConsent", no_update, False),
+        kind(k % 41 == 0, "called", no_update, True),
+    )
+    exploded = m.select("*", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("_e"))
+    record_id = F.when(F.col("_e.unknown"), F.concat(F.lit("x"), F.col("sourceId").cast("string"))).otherwise(
+        F.col("_id")
+    )
+    record = F.struct(*[record_id.alias("_id") if f.name == "_id" else F.col(f.name) for f in schemas.MESSAGE.fields])
+    return exploded.select(
+        F.col("_e.event").alias("event"),
+        F.col("timestamp").alias("event_time"),
+        record.alias("record"),
+        F.col("_e.updates").alias("updates"),
     )
-    return m.select(F.inline(F.filter(candidates, lambda x: x.isNotNull())))
 
 
 def survey_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One response per deduped report with k%6=0, plus a contradicting copy
     for ``sourceId % 4 = 0``."""
-    d = dedupe_messages(messages(spark, sf_dir))
     k = F.col("patientPhone").cast("int")
-    d = d.where(k % 6 == 0)
+    # k comes from the patient phone, which is part of the id, so every copy of
+    # an id has the same k: filtering before the dedupe keeps the result and
+    # sends a sixth of the rows through the shuffle.
+    d = dedupe_messages(messages(spark, sf_dir).where(k % 6 == 0))
     visit = F.date_add(F.to_date("serviceDate"), F.when(k % 18 == 0, 1).otherwise(0))
     visit_text = F.when(k % 36 == 0, F.date_format(visit, "MM.dd.yyyy")).otherwise(
         F.date_format(visit, "yyyy-MM-dd")
