@@ -139,8 +139,18 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     run time) picks a shuffle join. The check counts at most ``max_rows + 1``
     rows, so it stays cheap for a large dimension.
     """
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    return broadcast_all_if_bounded([df], max_rows)[0]
+
+
+def broadcast_all_if_bounded(dfs: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
+    """:func:`broadcast_if_bounded` for several dimensions in one counting job."""
+    tagged = [df.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, df in enumerate(dfs)]
+    union = tagged[0]
+    for t in tagged[1:]:
+        union = union.unionByName(t)
+    # at most len(dfs) rows come back
+    counts = {r["_i"]: r["_n"] for r in union.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).collect()}
+    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> None:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from fieldreports.functions.dates import day_start
 from fieldreports.operators.common import (
     DEFAULT_BROADCAST_ROWS,
-    broadcast_if_bounded,
+    broadcast_all_if_bounded,
     first_per_group,
 )
 
@@ -121,9 +121,8 @@ def enrich(
     dedupe → payment number → roster attributes + tester tag → training-day
     tag → status flags. ``training`` starts false.
     """
-    crosswalk = broadcast_if_bounded(crosswalk, broadcast_max_rows)
     roster_now = translate_numbers(roster, crosswalk, "reporting_number", "reporting_number")
-    roster_now = broadcast_if_bounded(roster_now, broadcast_max_rows)
+    crosswalk, roster_now = broadcast_all_if_bounded([crosswalk, roster_now], broadcast_max_rows)
     m = dedupe_messages(messages)
     m = translate_numbers(m, crosswalk, "senderPhone", "paymentPhone")
     m = merge_worker_info(m, roster_now, tester_flag="training")
