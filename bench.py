@@ -47,6 +47,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="fr-bench-ckpt-"))
+    if os.environ.get("BENCH_MAX_GROUP_ROWS"):
+        # e.g. 1000 forces the sliced (skew-safe) path of rank_within / nearest_match
+        spark.conf.set("fieldreports.maxGroupRows", os.environ["BENCH_MAX_GROUP_ROWS"])
 
     run(QUERIES["worker_payments"](spark, sf_dir))  # warm-up: JVM, code paths, file cache
     times = {}

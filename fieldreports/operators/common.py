@@ -20,7 +20,9 @@ from fieldreports.session import checkpoint_dir
 # Largest dimension (rows) we are willing to ship to every executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 # Largest group one task may hold in a window; bigger groups are sliced.
+# A session can change it with the setting ``fieldreports.maxGroupRows``.
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
+MAX_GROUP_ROWS_CONF = "fieldreports.maxGroupRows"
 
 
 def first_per_group(
@@ -77,6 +79,7 @@ def rank_within(
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    max_group_rows = _group_limit(df, max_group_rows)
     if max_group_rows is not None and largest_group(df, keys) <= max_group_rows:
         w = Window.partitionBy(*keys)
         out = df.withColumn(rank_col, F.row_number().over(w.orderBy(*order_cols)).cast("bigint"))
@@ -118,6 +121,14 @@ def rank_within(
     return out.drop("_gk", "_slice", "_ogk", "_oslice", "_local", "_offset", "_group_rows")
 
 
+def _group_limit(df: DataFrame, given: int | None) -> int | None:
+    """The group-size switch: an explicit argument, else the session setting, else the default."""
+    if given != DEFAULT_MAX_GROUP_ROWS:
+        return given
+    configured = df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, None)
+    return int(configured) if configured else given
+
+
 def largest_group(df: DataFrame, keys: Sequence[str | Column]) -> int:
     """Row count of the biggest group (0 for no rows). One partially aggregated job."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -210,6 +221,7 @@ def nearest_match(
         F.lit(None).cast(l_side.schema["_l"].dataType).alias("_l"), rrow.alias("_r"), rorder.alias("_ro"),
     )
     both = l_side.unionByName(r_side)
+    max_group_rows = _group_limit(left, max_group_rows)
     small = max_group_rows is not None and largest_group(both, ["_gk"]) <= max_group_rows
     if small:
         sliced = both.withColumn("_slice", F.lit(0))
