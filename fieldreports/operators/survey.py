@@ -39,26 +39,19 @@ def clean_survey(rows: DataFrame) -> DataFrame:
     and code are upper-cased.
     """
     answered = rows.where(F.col("provided_care").isNotNull())
-    any_care = (
-        answered.where(_not_null(SURVEY_KEYS))
-        .groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(SURVEY_KEYS)])
-        .agg(F.bool_or("provided_care").alias("_any"))
-    )
-    first = first_per_group(answered, SURVEY_KEYS, SURVEY_ORDER, drop_null_keys=True)
-    joined = first.join(
-        any_care, [F.col(k) == F.col(f"_g{i}") for i, k in enumerate(SURVEY_KEYS)], "inner"
+    first = first_per_group(
+        answered, SURVEY_KEYS, SURVEY_ORDER, drop_null_keys=True,
+        replace={"provided_care": F.bool_or("provided_care")},
     )
     out = []
     for c in rows.columns:
-        if c == "provided_care":
-            out.append(F.col("_any").alias(c))
-        elif c == "visitdate":
+        if c == "visitdate":
             out.append(iso_day(parse_visit_date("visitdate")).alias(c))
         elif c in ("patient", "code"):
             out.append(F.upper(c).alias(c))
         else:
             out.append(F.col(c))
-    return joined.select(*out)
+    return first.select(*out)
 
 
 def _not_null(cols: Sequence[str]) -> Column:
