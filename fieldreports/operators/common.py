@@ -161,13 +161,19 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
 
 def broadcast_all_if_bounded(dfs: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
     """:func:`broadcast_if_bounded` for several dimensions in one counting job."""
+    return [F.broadcast(df) if ok else df for df, ok in zip(dfs, within_rows(dfs, max_rows))]
+
+
+def within_rows(dfs: Sequence[DataFrame], max_rows: int) -> list[bool]:
+    """Whether each DataFrame has at most ``max_rows`` rows: one job, and each
+    input is read only up to ``max_rows + 1`` rows."""
     tagged = [df.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, df in enumerate(dfs)]
     union = tagged[0]
     for t in tagged[1:]:
         union = union.unionByName(t)
     # at most len(dfs) rows come back
     counts = {r["_i"]: r["_n"] for r in union.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).collect()}
-    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> None:

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from fieldreports.functions.dates import day_start
 from fieldreports.operators.common import (
     DEFAULT_BROADCAST_ROWS,
-    broadcast_all_if_bounded,
     first_per_group,
+    within_rows,
 )
 
 # First-wins order among copies of one report: earliest report time, then landing id.
@@ -122,7 +122,12 @@ def enrich(
     tag → status flags. ``training`` starts false.
     """
     roster_now = translate_numbers(roster, crosswalk, "reporting_number", "reporting_number")
-    crosswalk, roster_now = broadcast_all_if_bounded([crosswalk, roster_now], broadcast_max_rows)
+    small_cw, small_roster = within_rows([crosswalk, roster_now], broadcast_max_rows)
+    if small_cw:
+        crosswalk = F.broadcast(crosswalk)
+        roster_now = translate_numbers(roster, crosswalk, "reporting_number", "reporting_number")
+    if small_roster:
+        roster_now = F.broadcast(roster_now)
     m = dedupe_messages(messages)
     m = translate_numbers(m, crosswalk, "senderPhone", "paymentPhone")
     m = merge_worker_info(m, roster_now, tester_flag="training")

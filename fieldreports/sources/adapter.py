@@ -113,7 +113,10 @@ def landed_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = c.where(key % 11 == 0).select(
         key.cast("bigint").alias("z08_2"), (key + CROSSWALK_OFFSET).cast("bigint").alias("new_payment_number")
     )
-    extra = spark.createDataFrame([EXTRA_CROSSWALK], schemas.CROSSWALK_LANDED)
+    old, new = EXTRA_CROSSWALK
+    extra = spark.range(1).select(
+        F.lit(old).cast("bigint").alias("z08_2"), F.lit(new).cast("bigint").alias("new_payment_number")
+    )
     return changed.unionByName(extra)
 
 
