@@ -58,7 +58,11 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     system). ``fallback`` is only used when that setting is absent, as in tests;
     it is then also installed as the context's checkpoint directory.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or fallback or ""
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         chosen = configured
     elif fallback is not None:
@@ -69,6 +73,6 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; pass a shared folder for intermediate tables"
         )
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(chosen)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(chosen)
     return chosen

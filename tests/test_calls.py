@@ -149,3 +149,42 @@ def test_nearest_match_picks_nearest_day(spark, max_group_rows):
     got = {r["rid"]: (r["_match"]["mid"] if r["_match"] else None) for r in out.collect()}
     # 15th is 5 days from both the 10th and the 20th: the earlier day wins
     assert got == {1: "m1", 2: "m3", 3: "m2", 4: None, 5: "m1", 6: "m4"}
+
+
+def _simulate_lists(old, new):
+    """The reference's list behaviour: the size is read before pushing the
+    batch at the head, then the list is trimmed. Lists are oldest-first here."""
+    out = {}
+    for district in set(old) | set(new):
+        before = list(old.get(district, []))
+        batch = new.get(district, [])
+        if not batch:
+            out[district] = before
+            continue
+        merged = before + batch            # newest at the end
+        size = len(before)
+        keep = size if size > len(batch) else len(batch)
+        out[district] = merged[len(merged) - keep:]
+    return out
+
+
+@pytest.mark.parametrize("max_group_rows", [None, 1_000_000], ids=["sliced", "window"])
+def test_queue_refresh_matches_list_semantics(spark, max_group_rows):
+    import random
+
+    rnd = random.Random(5)
+    old, new = {}, {}
+    for d in ["a", "b", "c", "d", None]:
+        old[d] = [f"{d}-old-{i}" for i in range(rnd.randrange(0, 6))]
+        n = rnd.randrange(0, 6)
+        if n:
+            new[d] = [f"{d}-new-{i}" for i in range(n)]
+    old_rows = [(d, i + 1, p) for d, ps in old.items() for i, p in enumerate(ps)]
+    new_rows = [(d, p, f"{i:03d}") for d, ps in new.items() for i, p in enumerate(ps)]
+    spark.conf.set("fieldreports.maxGroupRows", str(max_group_rows or 0))
+    try:
+        got = as_lists(C.queue_refresh(queue(spark, old_rows), entries(spark, new_rows)))
+    finally:
+        spark.conf.unset("fieldreports.maxGroupRows")
+    expected = {d: ps for d, ps in _simulate_lists(old, new).items() if ps}
+    assert got == expected

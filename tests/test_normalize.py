@@ -97,3 +97,50 @@ def test_visit_dates_read_month_first(spark):
     df = spark.createDataFrame([("2018-02-10",), ("10.02.2018",), ("13/02/2018",), ("junk",)], "s string")
     got = [r[0] for r in df.select(parse_visit_date("s")).collect()]
     assert got == [date(2018, 2, 10), date(2018, 10, 2), date(2018, 2, 13), None]
+
+
+def _python_rule(text, report, max_age_days=56):
+    """The service-date rule stated in plain Python (ASCII digits only)."""
+    import re
+    from datetime import timedelta
+
+    fallback = report.replace(hour=0, minute=0, second=0, microsecond=0)
+    if text is None:
+        return fallback
+    d = re.sub(r"[^0-9]+", ".", text)
+    d = re.sub(r"^[^0-9]", "", d)
+    try:
+        parsed = datetime.strptime(d, "%d.%m.%Y")
+    except ValueError:
+        return fallback
+    if parsed > report or report - parsed > timedelta(days=max_age_days):
+        return fallback
+    return parsed
+
+
+def test_service_date_matches_python_rule_on_random_text(spark):
+    import random
+    from datetime import timedelta
+
+    rnd = random.Random(11)
+    seps = [".", "/", "-", " ", "..", "x", ". ", ""]
+    cases = []
+    for _ in range(3000):
+        report = datetime(2024, 1, 1) + timedelta(minutes=rnd.randrange(60 * 24 * 400))
+        day = report - timedelta(days=rnd.randrange(-5, 70))
+        dd = str(day.day).zfill(rnd.choice([1, 2, 2, 3]))
+        mm = str(day.month).zfill(rnd.choice([1, 2, 2, 3]))
+        yy = rnd.choice([str(day.year), str(day.year)[2:], "0" + str(day.year)])
+        if rnd.random() < 0.1:
+            dd = str(rnd.randrange(0, 35))
+        if rnd.random() < 0.1:
+            mm = str(rnd.randrange(0, 15))
+        text = rnd.choice(["", "x", " "]) + dd + rnd.choice(seps) + mm + rnd.choice(seps) + yy + rnd.choice(["", ".", " ", "z"])
+        if rnd.random() < 0.03:
+            text = None
+        cases.append((text, report))
+    df = spark.createDataFrame(cases, "s string, r timestamp_ntz")
+    got = [r[0] for r in df.select(parse_service_date("s", "r")).collect()]
+    expected = [_python_rule(t, r) for t, r in cases]
+    mismatches = [(c, g, e) for c, g, e in zip(cases, got, expected) if g != e]
+    assert not mismatches, mismatches[:5]
