@@ -16,7 +16,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldreports.operators.common import rank_within
+from fieldreports.operators.common import largest_groups, rank_within
 from fieldreports.operators.normalize import json_payload
 
 # Fixed values of the call rules.
@@ -128,14 +128,15 @@ def queue_refresh(old: DataFrame, entries: DataFrame) -> DataFrame:
     untouched. ``seq`` is renumbered 1.. per touched district, newest highest;
     new entries follow their push order (``_order``).
     """
-    new_ranked = rank_within(entries, ["district"], ["_order", "payload"], "_pos", "_new_cnt")
     new_counts = entries.groupBy(F.col("district").alias("_nd")).agg(F.count(F.lit(1)).alias("_n"))
     old_counts = old.groupBy(F.col("district").alias("_od")).agg(F.count(F.lit(1)).alias("_o"))
-
     touched = old.join(new_counts, old["district"].eqNullSafe(new_counts["_nd"]), "left_semi")
     untouched = old.join(new_counts, old["district"].eqNullSafe(new_counts["_nd"]), "left_anti")
 
-    aged = rank_within(touched, ["district"], ["seq"], "_age").join(
+    # both group-size checks in one job
+    new_top, old_top = largest_groups([(entries, ["district"]), (touched, ["district"])])
+    new_ranked = rank_within(entries, ["district"], ["_order", "payload"], "_pos", "_new_cnt", largest=new_top)
+    aged = rank_within(touched, ["district"], ["seq"], "_age", largest=old_top).join(
         new_counts, F.col("district").eqNullSafe(F.col("_nd")), "inner"
     )
     kept_old = aged.where(F.col("_age") > F.col("_n")).select(

@@ -68,6 +68,7 @@ def rank_within(
     size_col: str | None = None,
     num_slices: int | None = None,
     max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` = 1-based position of each row inside its ``keys`` group.
 
@@ -81,12 +82,15 @@ def rank_within(
     are checkpointed (one eager job) so both uses agree on the slices.
     NULL keys form one group. ``size_col`` optionally receives the group size.
     ``order`` must be a total order for the numbering to be deterministic.
-    ``max_group_rows=None`` always slices.
+    ``max_group_rows=None`` always slices. ``largest`` passes a group size
+    the caller already measured (see :func:`largest_groups`).
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     max_group_rows = _group_limit(df, max_group_rows)
-    if max_group_rows is not None and largest_group(df, keys) <= max_group_rows:
+    if largest is None and max_group_rows is not None:
+        largest = largest_group(df, keys)
+    if max_group_rows is not None and largest <= max_group_rows:
         w = Window.partitionBy(*keys)
         out = df.withColumn(rank_col, F.row_number().over(w.orderBy(*order_cols)).cast("bigint"))
         if size_col:
@@ -137,9 +141,22 @@ def _group_limit(df: DataFrame, given: int | None) -> int | None:
 
 def largest_group(df: DataFrame, keys: Sequence[str | Column]) -> int:
     """Row count of the biggest group (0 for no rows). One partially aggregated job."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = sizes.agg(F.max("_n")).first()[0]
-    return int(top or 0)
+    return largest_groups([(df, keys)])[0]
+
+
+def largest_groups(inputs: Sequence[tuple[DataFrame, Sequence[str | Column]]]) -> list[int]:
+    """:func:`largest_group` for several inputs in one job (one row per input comes back)."""
+    parts = [
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("_m")).select(
+            F.lit(i).alias("_i"), "_m"
+        )
+        for i, (df, keys) in enumerate(inputs)
+    ]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    found = {r["_i"]: r["_m"] for r in union.collect()}
+    return [int(found.get(i) or 0) for i in range(len(inputs))]
 
 
 def materialize(df: DataFrame) -> DataFrame:

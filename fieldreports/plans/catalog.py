@@ -147,7 +147,8 @@ def district_load(spark, sf):
 
 def queue_refresh(spark, sf):
     e = _enriched_shared(spark, sf)
-    after_calls = C.queue_refresh(A.old_queue(spark, sf), C.queue_entries(C.call_batch(e, AS_OF)))
+    picks = materialize(C.call_batch(e, AS_OF))
+    after_calls = C.queue_refresh(A.old_queue(spark, sf), C.queue_entries(picks))
     return C.queue_refresh(materialize(after_calls), C.queue_entries(C.training_batch(e)))
 
 

@@ -111,7 +111,8 @@ def run_calls(spark: SparkSession, data: dict[str, DataFrame], as_of: datetime,
     old = data.get("queue")
     if old is None:
         old = spark.createDataFrame([], schemas.QUEUE)
-    after_calls = materialize(C.queue_refresh(old, C.queue_entries(C.call_batch(enriched, as_of, target))))
+    picks = materialize(C.call_batch(enriched, as_of, target))
+    after_calls = materialize(C.queue_refresh(old, C.queue_entries(picks)))
     refreshed = C.queue_refresh(after_calls, C.queue_entries(C.training_batch(enriched)))
     return write_table_version(refreshed, queue_out, as_of.strftime("%Y%m%d"))
 
