@@ -76,3 +76,19 @@ def test_duplicate_crosswalk_numbers_fail(spark, landed):
     dup = data["crosswalk"].unionByName(data["crosswalk"])
     with pytest.raises(ValueError):
         jobs.validate_dimensions(data["roster"], dup)
+
+
+def test_cli_payments(spark, landed, tmp_path):
+    import json
+
+    base, _ = landed
+    specs = {name: {"path": f"{base}/{name}", "format": "parquet"}
+             for name in ["raw_messages", "events", "roster", "crosswalk"]}
+    inputs = tmp_path / "inputs.json"
+    inputs.write_text(json.dumps(specs))
+    out = tmp_path / "out"
+    jobs.main(["payments", "--inputs", str(inputs), "--as-of", "2024-02-10", "--out", str(out)])
+    written = sorted(p.name for p in out.iterdir())
+    assert written == ["supers-2024-02-10_00-00", "workers-2024-02-10_00-00"]
+    back = read_csv_report(spark, str(out / written[1]), schemas.PAYMENT)
+    assert rows(back) == rows(catalog.worker_payments(spark, SF))
