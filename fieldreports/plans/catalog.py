@@ -154,8 +154,14 @@ def queue_refresh(spark, sf):
 
 # --- survey ---------------------------------------------------------------------
 
-def _clean(spark, sf):
-    return materialize(V.clean_survey(_flatten(A.survey_responses(spark, sf))))
+def _clean(spark, sf, enriched=None):
+    """Clean survey rows; with ``enriched`` given, the survey view reuses its messages."""
+    return materialize(V.clean_survey(_flatten(A.survey_responses(spark, sf, enriched))))
+
+
+def _survey_inputs(spark, sf):
+    e = _enriched_shared(spark, sf)
+    return e, _clean(spark, sf, e)
 
 
 def _roster_now(spark, sf):
@@ -171,28 +177,28 @@ def clean_survey(spark, sf):
 
 
 def merge_exact(spark, sf):
-    return V.merge_exact(_enriched_shared(spark, sf), _clean(spark, sf), with_date=True)
+    return V.merge_exact(*_survey_inputs(spark, sf), with_date=True)
 
 
 def reconcile_survey(spark, sf):
-    return V.reconcile_survey(_enriched_shared(spark, sf), _clean(spark, sf))[0]
+    return V.reconcile_survey(*_survey_inputs(spark, sf))[0]
 
 
 def survey_orphans(spark, sf):
-    return V.reconcile_survey(_enriched_shared(spark, sf), _clean(spark, sf))[1]
+    return V.reconcile_survey(*_survey_inputs(spark, sf))[1]
 
 
 def orphan_candidates(spark, sf):
-    return V.orphan_candidates(_enriched_shared(spark, sf), _clean(spark, sf))
+    return V.orphan_candidates(*_survey_inputs(spark, sf))
 
 
 def roster_coverage(spark, sf):
-    report = V.reconcile_survey(_enriched_shared(spark, sf), _clean(spark, sf))[0]
+    report = V.reconcile_survey(*_survey_inputs(spark, sf))[0]
     return V.roster_coverage(report, _roster_now(spark, sf))
 
 
 def final_report(spark, sf):
-    report = V.reconcile_survey(_enriched_shared(spark, sf), _clean(spark, sf))[0]
+    report = V.reconcile_survey(*_survey_inputs(spark, sf))[0]
     return V.final_report(report, _roster_now(spark, sf))
 
 

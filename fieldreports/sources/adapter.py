@@ -160,14 +160,21 @@ def status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def survey_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def survey_responses(spark: SparkSession, sf_dir: str, deduped: DataFrame | None = None) -> DataFrame:
     """One response per deduped report with k%6=0, plus a contradicting copy
-    for ``sourceId % 4 = 0``."""
+    for ``sourceId % 4 = 0``.
+
+    ``deduped`` may pass already deduplicated messages (for example the
+    enriched table of the same run) so they are not derived again.
+    """
     k = F.col("patientPhone").cast("int")
-    # k comes from the patient phone, which is part of the id, so every copy of
-    # an id has the same k: filtering before the dedupe keeps the result and
-    # sends a sixth of the rows through the shuffle.
-    d = dedupe_messages(messages(spark, sf_dir).where(k % 6 == 0))
+    if deduped is not None:
+        d = deduped.where(k % 6 == 0)
+    else:
+        # k comes from the patient phone, which is part of the id, so every copy
+        # of an id has the same k: filtering before the dedupe keeps the result
+        # and sends a sixth of the rows through the shuffle.
+        d = dedupe_messages(messages(spark, sf_dir).where(k % 6 == 0))
     visit = F.date_add(F.to_date("serviceDate"), F.when(k % 18 == 0, 1).otherwise(0))
     visit_text = F.when(k % 36 == 0, F.date_format(visit, "MM.dd.yyyy")).otherwise(
         F.date_format(visit, "yyyy-MM-dd")
