@@ -97,10 +97,9 @@ def run_payments(spark: SparkSession, data: dict[str, DataFrame], as_of: datetim
     counts = P.capped_counts(enriched_table(spark, data, run_id), as_of)
     workers = P.sort_payments(P.worker_payments(counts))
     supers = P.sort_payments(P.super_payments(counts))
-    # One row per worker (supervisor) and month: small, one file is convenient.
     return (
-        write_csv_report(workers, out_dir, "workers", as_of, single_file=True),
-        write_csv_report(supers, out_dir, "supers", as_of, single_file=True),
+        write_csv_report(workers, out_dir, "workers", as_of),
+        write_csv_report(supers, out_dir, "supers", as_of),
     )
 
 

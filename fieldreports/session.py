@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # target size of a shuffle partition after AQE coalescing
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",

@@ -1,8 +1,9 @@
 """Writers (K1-K5).
 
 * :func:`write_csv_report` - header CSV under a run-stamped folder (K1, K2).
-* :func:`write_table_version` - a table is a folder of versions; each run
-  writes a new version and never rewrites an old one (K3, K5).
+* :func:`write_table_version` - a table is a folder of versions, one per
+  as-of date (K3, K5). A rerun for the same date replaces only its own
+  version with the same content, so reruns are idempotent.
 * :func:`append_rows` - insert-only append of rows computed against the
   current version (K4).
 
@@ -23,16 +24,15 @@ def run_path(base_dir: str, key: str, run_ts: datetime) -> str:
     return f"{base_dir.rstrip('/')}/{key}-{run_ts.strftime(RUN_STAMP)}"
 
 
-def write_csv_report(df: DataFrame, base_dir: str, key: str, run_ts: datetime,
-                     single_file: bool = False) -> str:
+def write_csv_report(df: DataFrame, base_dir: str, key: str, run_ts: datetime) -> str:
     """Write ``df`` as CSV with a header to ``{base_dir}/{key}-{stamp}``.
 
-    ``single_file`` merges into one task; use it only for results whose size
-    is known to be small (payment summaries), never for row-level exports.
+    Every partition writes its own part file, so no task holds the whole
+    report; a sorted DataFrame gives part files in sort order.
     """
     path = run_path(base_dir, key, run_ts)
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("errorifexists").option("header", True).csv(path)
+    # the folder belongs to this run: a rerun replaces it
+    df.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
@@ -43,7 +43,7 @@ def read_csv_report(spark: SparkSession, path: str, schema) -> DataFrame:
 def write_table_version(df: DataFrame, table_dir: str, version: str, partition_by: list[str] | None = None) -> str:
     """Write a new version of a table as parquet at ``{table_dir}/v={version}``."""
     path = f"{table_dir.rstrip('/')}/v={version}"
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -50,15 +50,18 @@ def test_csv_report_round_trip(spark, tmp_dir):
     df = spark.createDataFrame(
         [("01", 12000, 1, datetime(2018, 2, 2)), ("02", 10000, 3, datetime(2018, 4, 2))], schemas.PAYMENT
     )
-    path = write_csv_report(df, tmp_dir, "workers", datetime(2018, 6, 10, 1, 0), single_file=True)
+    path = write_csv_report(df, tmp_dir, "workers", datetime(2018, 6, 10, 1, 0))
     assert path.endswith("workers-2018-06-10_01-00")
     back = read_csv_report(spark, path, schemas.PAYMENT)
     assert sorted(back.collect()) == sorted(df.collect())
 
 
-def test_table_versions_are_never_overwritten(spark, tmp_dir):
+def test_table_versions_rerun_replaces_only_its_version(spark, tmp_dir):
     df = spark.createDataFrame([("d", 1, "x")], schemas.QUEUE)
-    path = write_table_version(df, os.path.join(tmp_dir, "queue"), "20240210")
+    table = os.path.join(tmp_dir, "queue")
+    first = write_table_version(df, table, "20240209")
+    path = write_table_version(df, table, "20240210")
+    write_table_version(df, table, "20240210")       # rerun of the same day
     assert spark.read.parquet(path).count() == 1
-    with pytest.raises(Exception):
-        write_table_version(df, os.path.join(tmp_dir, "queue"), "20240210")
+    assert spark.read.parquet(first).count() == 1
+    assert spark.read.parquet(table).count() == 2    # one row per version
