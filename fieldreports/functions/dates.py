@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The strict day.month.year shapes accepted by the report parser
-# (1-2 digit day and month, 4-digit year) and by the roster sheet (2-digit year).
+from fieldreports.constants import MAX_SERVICE_AGE_DAYS, TWO_DIGIT_YEAR_PIVOT
+
+# Shapes checked before parsing: 1-2 digit day and month, then a 4-digit
+# (report) or 2-digit (roster) year, nothing else.
 DMY4_SHAPE = r"^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}$"
 DMY2_SHAPE = r"^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{2}$"
-# Two-digit years from 69 up are read as 19xx, the rest as 20xx.
-TWO_DIGIT_YEAR_PIVOT = 69
 
 # Free-form visit dates: tried in this order. Month-first wins for a.b.yyyy
 # when both readings are valid; the day-first reading only catches the rest.
@@ -59,7 +59,7 @@ def day_start(ts) -> Column:
 def parse_service_date(
     service_date,
     report_date,
-    max_age_days: int | None = 56,
+    max_age_days: int | None = MAX_SERVICE_AGE_DAYS,
     fallback: str = "day",
 ) -> Column:
     """Service date of a report, or a fallback when it is unusable.

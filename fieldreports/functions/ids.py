@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: how a missing field is spelled inside the id text.
-MISSING_FIELD_TEXT = "None"
+from fieldreports.constants import MISSING_FIELD_TEXT
 
 
 def message_id(og_service_date, patient_name, patient_phone, code) -> Column:

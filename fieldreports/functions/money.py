@@ -11,11 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the pay rules.
-BASE_PAY = 10000
-REPORT_CAP = 30
-WORKER_BONUS = {2: 2000, 3: 1000}
-SUPERVISOR_BONUS = {1: 2000, 3: 1000}
+from fieldreports.constants import BASE_PAY, REPORT_CAP, SUPERVISOR_BONUS, WORKER_BONUS  # noqa: F401
 
 
 def _col(c) -> Column:

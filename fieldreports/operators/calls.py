@@ -11,20 +11,20 @@ over many tasks, and counts come from partial aggregation.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldreports.constants import (
+    DEFAULT_SINCE_DAYS,
+    DEFAULT_TARGET,
+    NO_TRAINING_DATE,
+    TEST_DISTRICT,
+    TESTER_NAME,
+)
 from fieldreports.operators.common import largest_groups, rank_within
 from fieldreports.operators.normalize import json_payload
 
-# Fixed values of the call rules.
-DEFAULT_SINCE_DAYS = 28
-DEFAULT_TARGET = 0.2
-TEST_DISTRICT = "Test"
-TESTER_NAME = "Tester McTesterson"
-NO_TRAINING_DATE = datetime(1970, 1, 1)
 SHUFFLE_SEED = 42
 PICK_ORDER = ("timestamp", "_id")
 PAYLOAD_COLUMNS = (

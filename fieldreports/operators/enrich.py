@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldreports.constants import EVENT_NAMES
 from fieldreports.functions.dates import day_start
 from fieldreports.operators.common import (
     DEFAULT_BROADCAST_ROWS,
@@ -24,8 +25,6 @@ from fieldreports.operators.common import (
 
 # First-wins order among copies of one report: earliest report time, then landing id.
 DEDUPE_ORDER = ("timestamp", "sourceId")
-# The status event names.
-EVENT_NAMES = ("called", "attempted", "noConsent")
 
 
 def dedupe_messages(messages: DataFrame, order: Sequence[str] = DEDUPE_ORDER) -> DataFrame:

@@ -10,20 +10,16 @@ never produce a second copy.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldreports import schemas
+from fieldreports.constants import FLAG_EVENT_TIME, TEST_DISTRICT, TESTER_NAME
 from fieldreports.functions.dates import date_or_keep, parse_service_date
 from fieldreports.operators.common import first_per_group
 from fieldreports.operators.normalize import cast_identifiers, normalize_columns
 
-# Fixed values.
-TESTER_NAME = "Tester McTesterson"
-TEST_DISTRICT = "Test"
-FLAG_EVENT_TIME = datetime(1970, 1, 1)
 EVENT_KEYS = ("event_time", "event", "record._id")
 DIRECTORY_KEYS = ("reporting_number",)
 

@@ -7,14 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldreports.constants import MAX_SERVICE_AGE_DAYS, PROVIDED_CARE_QUESTION
 from fieldreports.functions.dates import parse_service_date
 from fieldreports.functions.ids import message_id
 
-# Fixed value: question id of the "did the patient receive care" answer in the call survey.
-PROVIDED_CARE_QUESTION = "tN8EHB01kUah"
 
-
-def normalize_columns(raw: Column | None = None, max_age_days: int | None = 56,
+def normalize_columns(raw: Column | None = None, max_age_days: int | None = MAX_SERVICE_AGE_DAYS,
                       fallback: str = "day") -> list[Column]:
     """Column list turning a raw report (top-level columns or the struct ``raw``)
     into a normalised message (N1-N3)."""

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldreports.constants import REPORT_HIDDEN_FIELDS
 from fieldreports.functions.dates import iso_day, parse_visit_date
 from fieldreports.operators.common import first_per_group, nearest_match
 
@@ -25,8 +26,8 @@ SURVEY_KEYS = ("patientphone", "patient", "code", "visitdate")
 SURVEY_ORDER = ("submitted_at", "response_id")
 MESSAGE_KEYS = ("senderPhone", "patientPhone", "patientName", "code")
 RESPONSE_KEYS = ("workerphone", "patientphone", "patient", "code")
-# Columns dropped from the reconciled report (survey names after suffixing).
-HIDDEN_COLUMNS = ("_id", "messageid", "patient", "patientphone_typeform", "worker", "workerphone")
+# Columns dropped from the reconciled report, with survey names after suffixing.
+HIDDEN_COLUMNS = tuple("patientphone_typeform" if c == "patientphone" else c for c in REPORT_HIDDEN_FIELDS)
 VISIT_ORDER = ("patientName", "code", "serviceDate", "patientPhone")
 
 
