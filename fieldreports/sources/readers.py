@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldreports import schemas
+from fieldreports.constants import EVENT_NAMES
 from fieldreports.functions.dates import iso_timestamp, parse_roster_date
 
 
@@ -32,9 +33,17 @@ def read_legacy_messages(spark: SparkSession, path: str, fmt: str = "parquet") -
     return _read(spark, path, schemas.LEGACY_MESSAGE, fmt)
 
 
-def read_survey_responses(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+# Timestamps in landed JSON keep microseconds.
+JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
+
+def read_survey_responses(spark: SparkSession, path: str, fmt: str = "json",
+                          timestamp_format: str = JSON_TIMESTAMP_FORMAT) -> DataFrame:
     """Survey responses (S6). All weekly slices under ``path`` are one read."""
-    return _read(spark, path, schemas.SURVEY_RESPONSE, fmt)
+    reader = spark.read.schema(schemas.SURVEY_RESPONSE).format(fmt)
+    if fmt == "json":
+        reader = reader.option("timestampNTZFormat", timestamp_format)
+    return reader.load(path)
 
 
 def load_roster(landed: DataFrame, strict: bool = True) -> DataFrame:
@@ -120,8 +129,8 @@ def extraction_windows(starts: DataFrame, as_of, weeks: int = 1, start_col: str
     )
 
 
-# The three legacy flag kinds.
-LEGACY_KINDS = ("called", "attempted", "noConsent")
+# The legacy flag kinds are the status event names.
+LEGACY_KINDS = EVENT_NAMES
 
 
 def legacy_with_flag(legacy: DataFrame, kind: str) -> DataFrame:

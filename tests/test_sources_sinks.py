@@ -65,3 +65,18 @@ def test_table_versions_rerun_replaces_only_its_version(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 1
     assert spark.read.parquet(first).count() == 1
     assert spark.read.parquet(table).count() == 2    # one row per version
+
+
+def test_survey_responses_read_from_landed_json(spark, tmp_dir):
+    from fieldreports.operators.normalize import flatten_survey
+    from fieldreports.sources import adapter as A
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        pytest.skip("shared test data not present")
+    responses = A.survey_responses(spark, sf)
+    path = os.path.join(tmp_dir, "responses")
+    responses.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    back = R.read_survey_responses(spark, path)
+    assert back.schema == schemas.SURVEY_RESPONSE
+    assert sorted(flatten_survey(back).collect()) == sorted(flatten_survey(responses).collect())
