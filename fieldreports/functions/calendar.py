@@ -18,15 +18,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldreports.functions.dates import ts_literal
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def _lit_ts(value) -> Column:
-    if isinstance(value, Column):
-        return value.cast("timestamp_ntz")
-    return F.lit(value).cast("timestamp_ntz")
+    return ts_literal(value)
 
 
 def plus_months(ts, months) -> Column:

@@ -36,6 +36,17 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_literal(value) -> Column:
+    """A ``timestamp_ntz`` literal for a Python ``datetime`` / ``date`` / ISO text
+    (or a Column, cast). Goes through text, so the Python process's time zone
+    plays no part (``F.lit(datetime)`` would read it as local time)."""
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if hasattr(value, "isoformat"):
+        value = value.isoformat(sep=" ") if hasattr(value, "hour") else value.isoformat()
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def digits_as_dots(text) -> Column:
     """Every run of non-digits becomes one ``.``; one leading non-digit is dropped.
 

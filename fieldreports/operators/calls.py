@@ -22,6 +22,7 @@ from fieldreports.constants import (
     TEST_DISTRICT,
     TESTER_NAME,
 )
+from fieldreports.functions.dates import ts_literal
 from fieldreports.operators.common import largest_groups, rank_within
 from fieldreports.operators.normalize import json_payload
 
@@ -44,14 +45,14 @@ PAYLOAD_COLUMNS = (
 
 def call_candidates(enriched: DataFrame, as_of, since_days: int = DEFAULT_SINCE_DAYS) -> DataFrame:
     """Recent, consenting, non-training reports (F2). Recent = serviceDate strictly after as_of - since."""
-    cutoff = F.lit(as_of).cast("timestamp_ntz") - F.make_interval(days=F.lit(since_days))
+    cutoff = ts_literal(as_of) - F.make_interval(days=F.lit(since_days))
     return enriched.where((F.col("serviceDate") > cutoff) & ~F.col("training") & ~F.col("noConsent"))
 
 
 def fill_training_defaults(df: DataFrame) -> DataFrame:
     """Training rows get a placeholder training date and worker name."""
     return df.withColumn(
-        "training_date", F.coalesce(F.col("training_date"), F.lit(NO_TRAINING_DATE).cast("timestamp_ntz"))
+        "training_date", F.coalesce(F.col("training_date"), ts_literal(NO_TRAINING_DATE))
     ).withColumn("workerName", F.coalesce(F.col("workerName"), F.lit(TESTER_NAME)))
 
 

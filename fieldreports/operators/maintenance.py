@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fieldreports import schemas
 from fieldreports.constants import FLAG_EVENT_TIME, TEST_DISTRICT, TESTER_NAME
-from fieldreports.functions.dates import date_or_keep, parse_service_date
+from fieldreports.functions.dates import date_or_keep, parse_service_date, ts_literal
 from fieldreports.operators.common import first_per_group
 from fieldreports.operators.normalize import cast_identifiers, normalize_columns
 
@@ -102,7 +102,7 @@ def flags_to_events(legacy: DataFrame) -> DataFrame:
     """
     raw = F.col("originalEntry")
     record = F.struct(*normalize_columns(raw), raw.getField("sourceId").alias("sourceId"))
-    fixed_time = F.lit(FLAG_EVENT_TIME).cast("timestamp_ntz")
+    fixed_time = ts_literal(FLAG_EVENT_TIME)
     no_update = F.lit(None).cast("struct<code:string>")
 
     def ev(name: str, time: Column, updates: Column) -> Column:

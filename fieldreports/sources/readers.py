@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldreports import schemas
 from fieldreports.constants import EVENT_NAMES
-from fieldreports.functions.dates import iso_timestamp, parse_roster_date
+from fieldreports.functions.dates import iso_timestamp, parse_roster_date, ts_literal
 
 
 def _read(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
@@ -118,7 +118,7 @@ def latest_file(spark: SparkSession, directory: str, glob: str = "*") -> DataFra
 def extraction_windows(starts: DataFrame, as_of, weeks: int = 1, start_col: str = "start") -> DataFrame:
     """Consecutive ``weeks``-long request windows from each start while the
     window start is before ``as_of`` (S7). ISO text ``since`` / ``until``."""
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = ts_literal(as_of)
     step = F.make_dt_interval(F.lit(7 * weeks))
     start = F.col(start_col).cast("timestamp_ntz")
     seq = F.when(start < now, F.sequence(start, now, step))
