@@ -188,3 +188,28 @@ def test_queue_refresh_matches_list_semantics(spark, max_group_rows):
         spark.conf.unset("fieldreports.maxGroupRows")
     expected = {d: ps for d, ps in _simulate_lists(old, new).items() if ps}
     assert got == expected
+
+
+def test_literals_do_not_depend_on_the_process_time_zone(spark):
+    import os
+    import time
+
+    from fieldreports.functions.dates import ts_literal
+
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        row = spark.range(1).select(
+            ts_literal(datetime(1970, 1, 1)).alias("a"), ts_literal(datetime(2024, 2, 10, 6, 30)).alias("b")
+        ).first()
+        schema = "training boolean, chw_district string, training_date timestamp_ntz, workerName string"
+        filled = C.training_batch(spark.createDataFrame([(True, None, None, None)], schema)).first()
+    finally:
+        if old is None:
+            os.environ.pop("TZ")
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
+    assert row["a"] == datetime(1970, 1, 1) and row["b"] == datetime(2024, 2, 10, 6, 30)
+    assert filled["training_date"] == datetime(1970, 1, 1)
