@@ -1,9 +1,11 @@
 """Date parsing as Column expressions (no Python UDFs).
 
 All parsers return ``timestamp_ntz`` (or ``date``) and NULL on failure; the
-callers decide the fallback. Parsing goes through ``try_to_date`` so ANSI mode
-does not raise, behind a shape check, because Spark's parser accepts over-long
-fields such as ``010.02.2018`` that a strict ``d.m.Y`` reading rejects.
+callers decide the fallback. Nothing raises under ANSI mode: ``d.m.yyyy`` is
+split into fields whose lengths are checked and built with
+``try_make_timestamp_ntz``; the other formats use ``try_to_date`` behind a shape
+check, because Spark's parser accepts over-long fields such as ``010.02.2018``
+that a strict reading rejects.
 """
 
 from __future__ import annotations
@@ -50,16 +52,35 @@ def ts_literal(value) -> Column:
 def digits_as_dots(text) -> Column:
     """Every run of non-digits becomes one ``.``; one leading non-digit is dropped.
 
-    Only ASCII digits count as digits.
+    Only ASCII digits count as digits. After the first step a leading
+    non-digit can only be ``.``, so the second step is a prefix check, not a
+    second regular expression.
     """
     dotted = F.regexp_replace(_col(text), r"[^0-9]+", ".")
-    return F.regexp_replace(dotted, r"^[^0-9]", "")
+    return F.when(dotted.startswith("."), F.substr(dotted, F.lit(2))).otherwise(dotted)
+
+
+def _dmy_from_digits(text: Column) -> Column:
+    """``d.m.yyyy`` → timestamp_ntz for text made of digits and dots only:
+    exactly three fields of 1-2, 1-2 and 4 digits forming a calendar day."""
+    parts = F.split(text, "[.]")
+    day, month, year = F.get(parts, 0), F.get(parts, 1), F.get(parts, 2)
+    shape = (
+        (F.size(parts) == 3)
+        & F.length(day).between(1, 2)
+        & F.length(month).between(1, 2)
+        & (F.length(year) == 4)
+    )
+    made = F.try_make_timestamp_ntz(
+        year.try_cast("int"), month.try_cast("int"), day.try_cast("int"), F.lit(0), F.lit(0), F.lit(0)
+    )
+    return F.when(shape, made)
 
 
 def strict_dmy(text) -> Column:
     """Parse ``d.m.yyyy`` exactly (whole string, valid calendar day) to timestamp_ntz."""
     t = _col(text)
-    return F.when(t.rlike(DMY4_SHAPE), F.try_to_date(t, "d.M.yyyy")).cast("timestamp_ntz")
+    return F.when(t.rlike(DMY4_SHAPE), _dmy_from_digits(t))
 
 
 def day_start(ts) -> Column:
@@ -80,12 +101,15 @@ def parse_service_date(
     than ``max_age_days`` before it, is rejected. On any failure the result is
     the report's day (``fallback='day'``) or the report time itself
     (``fallback='timestamp'``, the lenient repair job).
+
+    This runs on every report, so it avoids a second regular expression and
+    the date formatter, and uses a constant interval.
     """
     report = _col(report_date)
-    parsed = strict_dmy(digits_as_dots(service_date))
+    parsed = _dmy_from_digits(digits_as_dots(service_date))
     ok = parsed.isNotNull() & (parsed <= report)
     if max_age_days is not None:
-        ok = ok & (parsed >= report - F.make_interval(days=F.lit(max_age_days)))
+        ok = ok & (parsed >= report - F.expr(f"INTERVAL '{int(max_age_days)}' DAY"))
     if fallback == "day":
         fb = day_start(report)
     elif fallback == "timestamp":
