@@ -63,18 +63,22 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
              order: Sequence[str | Column] | None = None) -> DataFrame:
     """Batch rows whose key is absent from ``target``, first per key by ``order`` (K4).
 
-    Keys may be nested paths (``record._id``) and match NULL-safely.
+    Keys may be nested paths (``record._id``) and match NULL-safely. Rows
+    whose key exists are dropped before the first-per-key step: on a rerun
+    nearly every key exists, so the dedupe only sees what is really new.
+    The target side is reduced to its distinct keys first, so a hot key
+    cannot fan out the anti join.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     keyed = batch.select("*", *_key_cols(keys))
     if order is None:
         order = [F.struct(*[F.col(c) for c in batch.columns])]
-    firsts = first_per_group(keyed, names, order)
     existing = target.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)]).distinct()
     cond = F.lit(True)
     for i in range(len(keys)):
         cond = cond & F.col(f"_k{i}").eqNullSafe(F.col(f"_t{i}"))
-    return firsts.join(existing, cond, "left_anti").select(*batch.columns)
+    absent = keyed.join(existing, cond, "left_anti")
+    return first_per_group(absent, names, order).select(*batch.columns)
 
 
 def insert_only_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
