@@ -99,6 +99,13 @@ def _keys(with_date: bool):
     return lk, rk
 
 
+def _matching_keys(m: DataFrame, lk: Sequence[str], s_keys: DataFrame, rk: Sequence[str]) -> DataFrame:
+    """Distinct message keys that also occur among ``s_keys``. The semi join
+    first (a broadcast when the survey side is small) keeps the distinct step
+    off the full message table."""
+    return m.select(*lk).join(s_keys, _keys_equal(lk, rk), "left_semi").distinct()
+
+
 def merge_exact(messages: DataFrame, survey: DataFrame, with_date: bool = True) -> DataFrame:
     """Outer merge of messages and surveys with a ``_merge`` marker.
 
@@ -111,7 +118,7 @@ def merge_exact(messages: DataFrame, survey: DataFrame, with_date: bool = True)
     lk, rk = _keys(with_date)
     both = m.join(s, _keys_equal(lk, rk), "inner").withColumn("_merge", F.lit("both"))
     s_keys = s.select(*rk).distinct()
-    m_keys = m.select(*lk).distinct()
+    m_keys = _matching_keys(m, lk, s_keys, rk)
     left_only = m.join(s_keys, _keys_equal(lk, rk), "left_anti").withColumn("_merge", F.lit("left_only"))
     right_only = (
         s.join(m_keys, _keys_equal(rk, lk), "left_anti")
@@ -147,14 +154,17 @@ def reconcile_survey(messages: DataFrame, survey: DataFrame) -> tuple[DataFrame,
     """
     m, s = _sides(messages, survey)
     lk5, rk5 = _keys(True)
+    s_keys = s.select(*rk5).distinct()
     both1 = m.join(s, _keys_equal(lk5, rk5), "inner").withColumn("_merge", F.lit("both"))
-    left1 = m.join(s.select(*rk5).distinct(), _keys_equal(lk5, rk5), "left_anti").withColumn(
-        "_merge", F.lit("left_only")
-    )
-    orphans1 = s.join(m.select(*lk5).distinct(), _keys_equal(rk5, lk5), "left_anti")
+    left1 = m.join(s_keys, _keys_equal(lk5, rk5), "left_anti").withColumn("_merge", F.lit("left_only"))
+    orphans1 = s.join(_matching_keys(m, lk5, s_keys, rk5), _keys_equal(rk5, lk5), "left_anti")
 
-    days = _message_days(messages)
+    # Pass 2 only needs messages that share the four keys with a leftover survey.
     rk4 = rk5[:4]
+    candidates = messages.join(
+        orphans1.select(*rk4).distinct(), _keys_equal(list(MESSAGE_KEYS), rk4), "left_semi"
+    )
+    days = _message_days(candidates)
     matched = nearest_match(
         days, orphans1, list(MESSAGE_KEYS), rk4, F.col("_d"), F.to_date("visitdate"),
         right_order=["response_id"],
@@ -188,11 +198,15 @@ def orphan_candidates(messages: DataFrame, survey: DataFrame) -> DataFrame:
     lk5, rk5 = _keys(True)
     unmatched = m.join(s.select(*rk5).distinct(), _keys_equal(lk5, rk5), "left_anti").drop("_sday")
     _, orphans = reconcile_survey(messages, survey)
-    per_phone = unmatched.where(F.col("patientPhone").isNotNull()).groupBy(
-        F.col("patientPhone").alias("_pp")
-    ).agg(F.count(F.lit(1)).cast("bigint").alias("n_candidates"))
-    days = _message_days(unmatched.select("patientPhone", "serviceDate", "_id", "timestamp"), ["patientPhone"])
     orphans = orphans.select("response_id", F.col("patientphone").alias("_op"), "visitdate")
+    # only phones of final orphans matter
+    unmatched = unmatched.join(
+        orphans.select("_op").distinct(), F.col("patientPhone") == F.col("_op"), "left_semi"
+    )
+    per_phone = unmatched.groupBy(F.col("patientPhone").alias("_pp")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_candidates")
+    )
+    days = _message_days(unmatched.select("patientPhone", "serviceDate", "_id", "timestamp"), ["patientPhone"])
     nearest = nearest_match(
         days.where(F.col("patientPhone").isNotNull()), orphans, ["patientPhone"], ["_op"],
         F.col("_d"), F.to_date("visitdate"), right_order=["response_id"],
