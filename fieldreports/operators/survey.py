@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from fieldreports.constants import REPORT_HIDDEN_FIELDS
 from fieldreports.functions.dates import iso_day, parse_visit_date
-from fieldreports.operators.common import first_per_group, nearest_match
+from fieldreports.operators.common import DEFAULT_BROADCAST_ROWS, first_per_group, nearest_match, within_rows
 
 SURVEY_KEYS = ("patientphone", "patient", "code", "visitdate")
 SURVEY_ORDER = ("submitted_at", "response_id")
@@ -80,17 +80,24 @@ def _survey_name(c: str, message_cols: Sequence[str]) -> str:
     return c
 
 
-def _sides(messages: DataFrame, survey: DataFrame):
+def _sides(messages: DataFrame, survey: DataFrame, broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS):
     """Rename overlapping columns: equal names get ``_app`` / ``_typeform``,
     names equal up to case get ``_typeform``; the shared key ``code`` is kept
-    once (coalesced) as in a merge on equally named keys."""
+    once (coalesced) as in a merge on equally named keys.
+
+    The survey side is checked once against ``broadcast_max_rows``; when it is
+    within bounds it - and every key set derived from it, which cannot be
+    larger - is broadcast.
+    """
+    small = broadcast_max_rows is not None and within_rows([survey], broadcast_max_rows)[0]
     m = messages
     for c in survey.columns:
         if c != "code" and c in messages.columns:
             m = m.withColumnRenamed(c, f"{c}_app")
     m = m.withColumn("_sday", iso_day("serviceDate"))
     s = survey.select(*[F.col(c).alias(_survey_name(c, messages.columns)) for c in survey.columns])
-    return m, s
+    bc = F.broadcast if small else (lambda d: d)
+    return m, bc(s), bc
 
 
 def _keys(with_date: bool):
@@ -114,10 +121,10 @@ def merge_exact(messages: DataFrame, survey: DataFrame, with_date: bool = True)
     keys match each other. ``called`` becomes ``called_app`` /
     ``called_typeform``; ``code`` appears once.
     """
-    m, s = _sides(messages, survey)
+    m, s, bc = _sides(messages, survey)
     lk, rk = _keys(with_date)
     both = m.join(s, _keys_equal(lk, rk), "inner").withColumn("_merge", F.lit("both"))
-    s_keys = s.select(*rk).distinct()
+    s_keys = bc(s.select(*rk).distinct())
     m_keys = _matching_keys(m, lk, s_keys, rk)
     left_only = m.join(s_keys, _keys_equal(lk, rk), "left_anti").withColumn("_merge", F.lit("left_only"))
     right_only = (
@@ -152,9 +159,9 @@ def reconcile_survey(messages: DataFrame, survey: DataFrame) -> tuple[DataFrame,
     are the orphans. The report is pass-1 matches and unmatched messages
     plus pass-2 matches; a message can appear twice.
     """
-    m, s = _sides(messages, survey)
+    m, s, bc = _sides(messages, survey)
     lk5, rk5 = _keys(True)
-    s_keys = s.select(*rk5).distinct()
+    s_keys = bc(s.select(*rk5).distinct())
     both1 = m.join(s, _keys_equal(lk5, rk5), "inner").withColumn("_merge", F.lit("both"))
     left1 = m.join(s_keys, _keys_equal(lk5, rk5), "left_anti").withColumn("_merge", F.lit("left_only"))
     orphans1 = s.join(_matching_keys(m, lk5, s_keys, rk5), _keys_equal(rk5, lk5), "left_anti")
@@ -162,7 +169,7 @@ def reconcile_survey(messages: DataFrame, survey: DataFrame) -> tuple[DataFrame,
     # Pass 2 only needs messages that share the four keys with a leftover survey.
     rk4 = rk5[:4]
     candidates = messages.join(
-        orphans1.select(*rk4).distinct(), _keys_equal(list(MESSAGE_KEYS), rk4), "left_semi"
+        bc(orphans1.select(*rk4).distinct()), _keys_equal(list(MESSAGE_KEYS), rk4), "left_semi"
     )
     days = _message_days(candidates)
     matched = nearest_match(
@@ -194,14 +201,14 @@ def orphan_candidates(messages: DataFrame, survey: DataFrame) -> DataFrame:
     (``candidate_id``, ``candidate_date``). Built from a per-phone count and a
     nearest-day match, so no orphan-message pairs are formed.
     """
-    m, s = _sides(messages, survey)
+    m, s, bc = _sides(messages, survey)
     lk5, rk5 = _keys(True)
-    unmatched = m.join(s.select(*rk5).distinct(), _keys_equal(lk5, rk5), "left_anti").drop("_sday")
+    unmatched = m.join(bc(s.select(*rk5).distinct()), _keys_equal(lk5, rk5), "left_anti").drop("_sday")
     _, orphans = reconcile_survey(messages, survey)
     orphans = orphans.select("response_id", F.col("patientphone").alias("_op"), "visitdate")
     # only phones of final orphans matter
     unmatched = unmatched.join(
-        orphans.select("_op").distinct(), F.col("patientPhone") == F.col("_op"), "left_semi"
+        bc(orphans.select("_op").distinct()), F.col("patientPhone") == F.col("_op"), "left_semi"
     )
     per_phone = unmatched.groupBy(F.col("patientPhone").alias("_pp")).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_candidates")
