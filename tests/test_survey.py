@@ -118,3 +118,15 @@ def test_unique_visits_drop_null_keys(spark):
             ("c", None, "c", datetime(2024, 1, 1), "p", datetime(2024, 1, 1))]
     df = spark.createDataFrame(rows, "_id string, patientName string, code string, serviceDate timestamp_ntz, patientPhone string, timestamp timestamp_ntz")
     assert [r["_id"] for r in V.unique_visits(df).collect()] == ["b"]
+
+
+def test_pass_two_matches_null_keys(spark):
+    def m(i, d):
+        return (f"m{i}", None, "p7", "G", "C7", datetime(2024, 1, d), datetime(2024, 1, d, 12), False, False, None)
+
+    msgs = spark.createDataFrame([m(1, 3), m(2, 20)], MSG)
+    survey = survey_rows(spark, [(None, "p7", "G", "C7", "2024-01-05")])   # no same-day message
+    report, orphans = V.reconcile_survey(msgs, survey)
+    both = [(r["response_id"], r["serviceDate"].day) for r in report.where(F.col("_merge") == "both").collect()]
+    assert both == [(1, 3)]
+    assert orphans.count() == 0
