@@ -21,6 +21,7 @@ from fieldreports import schemas
 from fieldreports.operators.enrich import DEDUPE_ORDER
 from fieldreports.operators.maintenance import new_rows
 from fieldreports.operators.normalize import normalize_messages
+from fieldreports.sinks.writers import append_rows
 
 
 def _existing(spark: SparkSession, table_dir: str) -> DataFrame:
@@ -51,7 +52,7 @@ def start_intake(
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         added = new_rows(_existing(spark, table_dir), batch, ["_id"], list(DEDUPE_ORDER))
-        added.write.mode("append").parquet(table_dir)
+        append_rows(added, table_dir)
 
     writer = messages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     if available_now:
