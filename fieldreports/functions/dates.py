@@ -107,9 +107,7 @@ def parse_service_date(
     """
     report = _col(report_date)
     parsed = _dmy_from_digits(digits_as_dots(service_date))
-    ok = parsed.isNotNull() & (parsed <= report)
-    if max_age_days is not None:
-        ok = ok & (parsed >= report - F.expr(f"INTERVAL '{int(max_age_days)}' DAY"))
+    ok = service_date_usable(parsed, report, max_age_days)
     if fallback == "day":
         fb = day_start(report)
     elif fallback == "timestamp":
@@ -119,6 +117,21 @@ def parse_service_date(
     return F.when(ok, parsed).otherwise(fb)
 
 
+def service_date_usable(parsed: Column, report: Column, max_age_days: int | None = MAX_SERVICE_AGE_DAYS) -> Column:
+    """Whether a parsed service date is kept: not after the report time and,
+    with ``max_age_days``, not more than that many days before it."""
+    ok = parsed.isNotNull() & (parsed <= report)
+    if max_age_days is not None:
+        ok = ok & (parsed >= report - F.expr(f"INTERVAL '{int(max_age_days)}' DAY"))
+    return ok
+
+
+def service_date_fell_back(service_date, report_date, max_age_days: int | None = MAX_SERVICE_AGE_DAYS) -> Column:
+    """True when :func:`parse_service_date` uses its fallback for this report."""
+    parsed = _dmy_from_digits(digits_as_dots(service_date))
+    return ~service_date_usable(parsed, _col(report_date), max_age_days)
+
+
 def date_or_keep(text) -> Column:
     """``d.m.yyyy`` text → ISO ``yyyy-MM-dd``; anything else is kept as it is."""
     t = _col(text)

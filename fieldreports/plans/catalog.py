@@ -20,6 +20,7 @@ from fieldreports.operators import calls as C
 from fieldreports.operators import survey as V
 from fieldreports.operators.normalize import flatten_survey as _flatten
 from fieldreports.operators import maintenance as M
+from fieldreports.operators import quality as QC
 from fieldreports.functions.dates import day_start
 from fieldreports.functions.money import SUPERVISOR_BONUS, WORKER_BONUS, bonus
 from fieldreports.sources import readers as R
@@ -279,6 +280,13 @@ def extraction_windows(spark, sf):
     return R.extraction_windows(starts, AS_OF, weeks=1)
 
 
+def quality_counts(spark, sf):
+    return QC.intake_counts(
+        A.raw_messages(spark, sf), E.dedupe_messages(A.messages(spark, sf)), A.status_events(spark, sf),
+        _flatten(A.survey_responses(spark, sf)),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "normalize_messages": normalize_messages,
     "dedupe_messages": dedupe_messages,
@@ -323,4 +331,5 @@ QUERIES: dict[str, Query] = {
     "tag_training_day": tag_training_day,
     "latest_file": latest_file,
     "extraction_windows": extraction_windows,
+    "quality_counts": quality_counts,
 }

@@ -399,6 +399,15 @@ SELECT strftime(s, '%Y-%m-%dT%H:%M:%S') AS since, strftime(s + INTERVAL 7 DAY, '
 FROM (SELECT min(date_trunc('day', Report_Date)) AS st FROM raw) b,
      LATERAL (SELECT unnest(generate_series(b.st, {AS_OF}, INTERVAL 7 DAY)) AS s) g
 WHERE s < {AS_OF}""",
+    "quality_counts": f"""
+SELECT
+  (SELECT CAST(count(*) AS BIGINT) FROM raw) AS raw_reports,
+  (SELECT CAST(count(*) AS BIGINT) FROM raw_p
+   WHERE NOT coalesce(_p IS NOT NULL AND _p <= Report_Date AND _p >= Report_Date - INTERVAL 56 DAY, false)) AS date_fallbacks,
+  (SELECT CAST(count(*) AS BIGINT) FROM sev WHERE event NOT IN ('called', 'attempted', 'noConsent')) AS unknown_event_names,
+  (SELECT CAST(count(*) AS BIGINT) FROM sev WHERE record_id NOT IN (SELECT _id FROM dd)) AS events_unknown_ids,
+  (SELECT CAST(count(*) AS BIGINT) FROM resp WHERE provided_care IS NOT NULL AND visitdate IS NOT NULL
+     AND {_visit('visitdate')} IS NULL) AS unreadable_visit_dates""",
     "unique_visits": """
 SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY patientName, code, serviceDate, patientPhone
   ORDER BY "timestamp", _id) AS _rn FROM enriched
