@@ -34,7 +34,9 @@ TEST_DISTRICT = "Test"
 TESTER_NAME = "Tester McTesterson"
 NO_TRAINING_DATE = datetime(1970, 1, 1)
 
-# Survey: id of the "did the patient receive care" question, and the hidden
-# fields dropped from the reconciled report.
+# Survey: id of the "did the patient receive care" question, the suffixes
+# of report and survey columns with the same name in merged output, and the
+# hidden fields dropped from the reconciled report.
 PROVIDED_CARE_QUESTION = "tN8EHB01kUah"
+MERGE_SUFFIXES = ("_app", "_typeform")
 REPORT_HIDDEN_FIELDS = ("_id", "messageid", "patient", "patientphone", "worker", "workerphone")

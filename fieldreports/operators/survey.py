@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldreports.constants import REPORT_HIDDEN_FIELDS
+from fieldreports.constants import MERGE_SUFFIXES, REPORT_HIDDEN_FIELDS
 from fieldreports.functions.dates import iso_day, parse_visit_date
 from fieldreports.operators.common import DEFAULT_BROADCAST_ROWS, first_per_group, nearest_match, within_rows
 
@@ -26,8 +26,9 @@ SURVEY_KEYS = ("patientphone", "patient", "code", "visitdate")
 SURVEY_ORDER = ("submitted_at", "response_id")
 MESSAGE_KEYS = ("senderPhone", "patientPhone", "patientName", "code")
 RESPONSE_KEYS = ("workerphone", "patientphone", "patient", "code")
+APP_SUFFIX, SURVEY_SUFFIX = MERGE_SUFFIXES
 # Columns dropped from the reconciled report, with survey names after suffixing.
-HIDDEN_COLUMNS = tuple("patientphone_typeform" if c == "patientphone" else c for c in REPORT_HIDDEN_FIELDS)
+HIDDEN_COLUMNS = tuple(f"patientphone{SURVEY_SUFFIX}" if c == "patientphone" else c for c in REPORT_HIDDEN_FIELDS)
 VISIT_ORDER = ("patientName", "code", "serviceDate", "patientPhone")
 
 
@@ -76,7 +77,7 @@ def _survey_name(c: str, message_cols: Sequence[str]) -> str:
     if c == "code":
         return "_s_code"
     if c.lower() in {m.lower() for m in message_cols}:
-        return f"{c}_typeform"
+        return f"{c}{SURVEY_SUFFIX}"
     return c
 
 
@@ -93,7 +94,7 @@ def _sides(messages: DataFrame, survey: DataFrame, broadcast_max_rows: int | Non
     m = messages
     for c in survey.columns:
         if c != "code" and c in messages.columns:
-            m = m.withColumnRenamed(c, f"{c}_app")
+            m = m.withColumnRenamed(c, f"{c}{APP_SUFFIX}")
     m = m.withColumn("_sday", iso_day("serviceDate"))
     s = survey.select(*[F.col(c).alias(_survey_name(c, messages.columns)) for c in survey.columns])
     bc = F.broadcast if small else (lambda d: d)
@@ -180,7 +181,7 @@ def reconcile_survey(messages: DataFrame, survey: DataFrame) -> tuple[DataFrame,
         matched.where(F.col("_match").isNotNull())
         .select(*[F.col(c) for c in orphans1.columns], "_match.*")
         .drop("_d")
-        .withColumnRenamed("called", "called_app")
+        .withColumnRenamed("called", f"called{APP_SUFFIX}")
         .withColumn("_sday", iso_day("serviceDate"))
         .withColumn("_merge", F.lit("both"))
     )
