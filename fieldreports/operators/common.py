@@ -34,12 +34,14 @@ def first_per_group(
 ) -> DataFrame:
     """One row per ``keys``: the row that sorts first by ``order``.
 
-    ``order`` should be a total order (end with a unique column) so the
-    choice is deterministic. Implemented as ``min_by(struct(row), struct(order))``:
-    partial aggregation keeps one candidate per group per map task, which is
-    what makes hot groups cheap. ``replace`` maps a column name to an
-    aggregate over the whole group that replaces the first row's value, in
-    the same aggregation.
+    ``order`` must be a total order (end with a unique column): every column
+    is taken as ``min_by(column, struct(order))``, so all of them come from
+    the same row. One aggregate per column (rather than one over a struct of
+    the row) lets Catalyst drop the columns a consumer does not read. Partial
+    aggregation keeps one candidate per group per map task, which is what
+    makes hot groups cheap. ``replace`` maps a column name to an aggregate
+    over the whole group that replaces the first row's value, in the same
+    aggregation.
     """
     keys = list(keys)
     replace = dict(replace or {})
@@ -47,10 +49,8 @@ def first_per_group(
         df = df.where(_all_not_null(keys))
     values = [c for c in df.columns if c not in keys]
     ordering = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    picked = F.min_by(F.struct(*[c for c in values if c not in replace]), ordering).alias("_first")
-    extra = [agg.alias(f"_agg_{c}") for c, agg in replace.items()]
-    out = [F.col(f"_agg_{c}").alias(c) if c in replace else F.col(f"_first.{c}").alias(c) for c in values]
-    return df.groupBy(*keys).agg(picked, *extra).select(*keys, *out)
+    aggs = [(replace[c] if c in replace else F.min_by(F.col(c), ordering)).alias(c) for c in values]
+    return df.groupBy(*keys).agg(*aggs).select(*keys, *values)
 
 
 def _all_not_null(cols: Sequence[str]) -> Column:
