@@ -56,13 +56,6 @@ def clean_survey(rows: DataFrame) -> DataFrame:
     return first.select(*out)
 
 
-def _not_null(cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    return cond
-
-
 def _keys_equal(left: Sequence[str], right: Sequence[str]) -> Column:
     cond = F.lit(True)
     for lc, rc in zip(left, right):

@@ -57,17 +57,24 @@ def _load(spark: SparkSession, spec: dict, schema) -> DataFrame:
     return spark.read.schema(schema).format(spec.get("format", "parquet")).load(spec["path"])
 
 
+def _fmt(spec: dict, default: str = "parquet") -> str:
+    return spec.get("format", default)
+
+
 def load_inputs(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
+    """Read every configured input through its reader (declared schemas)."""
     out = {
-        "raw": _load(spark, inputs.raw_messages, schemas.RAW_MESSAGE),
-        "events": _load(spark, inputs.events, schemas.EVENT),
-        "roster": R.load_roster(_load(spark, inputs.roster, schemas.ROSTER_LANDED)),
-        "crosswalk": R.load_crosswalk(_load(spark, inputs.crosswalk, schemas.CROSSWALK_LANDED)),
+        "raw": R.read_raw_messages(spark, inputs.raw_messages["path"], _fmt(inputs.raw_messages)),
+        "events": R.read_events(spark, inputs.events["path"], _fmt(inputs.events)),
+        "roster": R.read_roster(spark, inputs.roster["path"], _fmt(inputs.roster)),
+        "crosswalk": R.read_crosswalk(spark, inputs.crosswalk["path"], _fmt(inputs.crosswalk)),
     }
     if inputs.survey_responses:
-        out["responses"] = _load(spark, inputs.survey_responses, schemas.SURVEY_RESPONSE)
+        spec = inputs.survey_responses
+        out["responses"] = R.read_survey_responses(spark, spec["path"], _fmt(spec, "json"))
     if inputs.legacy_messages:
-        out["legacy"] = _load(spark, inputs.legacy_messages, schemas.LEGACY_MESSAGE)
+        spec = inputs.legacy_messages
+        out["legacy"] = R.read_legacy_messages(spark, spec["path"], _fmt(spec))
     if inputs.directory:
         out["directory"] = _load(spark, inputs.directory, schemas.DIRECTORY)
     if inputs.queue:
