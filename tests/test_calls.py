@@ -213,3 +213,32 @@ def test_literals_do_not_depend_on_the_process_time_zone(spark):
         time.tzset()
     assert row["a"] == datetime(1970, 1, 1) and row["b"] == datetime(2024, 2, 10, 6, 30)
     assert filled["training_date"] == datetime(1970, 1, 1)
+
+
+@pytest.mark.parametrize("max_group_rows", [None, 1_000_000], ids=["sliced", "window"])
+def test_nearest_match_against_brute_force(spark, max_group_rows):
+    import random
+    from datetime import date, timedelta
+
+    rnd = random.Random(17)
+    base = date(2024, 1, 1)
+    keys = ["a", "b", "c", None]
+    left_rows, seen = [], set()
+    for i in range(300):
+        k, d = rnd.choice(keys), rnd.randrange(0, 60)
+        if (k, d) in seen:
+            continue
+        seen.add((k, d))
+        left_rows.append((k, base + timedelta(days=d), f"L{i}"))
+    right_rows = [(j, rnd.choice(keys + ["z"]), base + timedelta(days=rnd.randrange(-5, 65))) for j in range(400)]
+    left = spark.createDataFrame(left_rows, "k string, d date, lid string")
+    right = spark.createDataFrame(right_rows, "rid int, k string, d date")
+    out = nearest_match(left, right, ["k"], ["k"], F.col("d"), F.col("d"), num_slices=5,
+                        max_group_rows=max_group_rows, right_order=["rid"])
+    got = {r["rid"]: (r["_match"]["lid"] if r["_match"] else None) for r in out.collect()}
+
+    def brute(k, d):
+        cands = [(abs((ld - d).days), ld, lid) for lk, ld, lid in left_rows if lk == k]
+        return min(cands)[2] if cands else None   # nearest, then earlier day
+
+    assert got == {rid: brute(k, d) for rid, k, d in right_rows}

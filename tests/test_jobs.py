@@ -5,6 +5,7 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldreports import schemas
 from fieldreports.plans import catalog, jobs
@@ -92,3 +93,14 @@ def test_cli_payments(spark, landed, tmp_path):
     assert written == ["supers-2024-02-10_00-00", "workers-2024-02-10_00-00"]
     back = read_csv_report(spark, str(out / written[1]), schemas.PAYMENT)
     assert rows(back) == rows(catalog.worker_payments(spark, SF))
+
+
+def test_calls_job_without_an_old_queue(spark, landed):
+    base, data = landed
+    fresh = {k: v for k, v in data.items() if k != "queue"}
+    path = jobs.run_calls(spark, fresh, A.AS_OF, f"{base}/queue_fresh", "t-calls-fresh")
+    out = spark.read.parquet(path)
+    # with no old entries every queue holds exactly its new entries, numbered 1..n
+    per = {r["district"]: (r["n"], r["lo"], r["hi"]) for r in
+           out.groupBy("district").agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect()}
+    assert per and all(lo == 1 and hi == n for n, lo, hi in per.values())
