@@ -156,3 +156,22 @@ def test_wrap_years_switch(spark, wrap, expected):
     df = spark.createDataFrame([(datetime(2017, 1, 10),)], "t timestamp_ntz")
     n = df.select(calendar.window_count("t", datetime(2018, 5, 10), wrap_years=wrap)).first()[0]
     assert n == expected
+
+
+def test_payment_windows_match_loop_on_random_dates(spark):
+    rnd = random.Random(23)
+    ends = [datetime(2019, 1, 31), datetime(2019, 2, 28), datetime(2020, 2, 29), datetime(2019, 8, 31)]
+    cases = []
+    for i in range(300):
+        trained = rnd.choice(ends) if rnd.random() < 0.4 else datetime(2019, 1, 1) + timedelta(days=rnd.randrange(700))
+        now = trained + timedelta(days=rnd.randrange(-20, 900))
+        cases.append((f"w{i}", trained, now))
+    df = spark.createDataFrame(cases, "reporting_number string, training_date timestamp_ntz, now timestamp_ntz")
+    w = F.explode(calendar.payment_windows("training_date", F.col("now"))).alias("w")
+    got = {}
+    for r in df.select("reporting_number", w).select("reporting_number", "w.*").collect():
+        got.setdefault(r["reporting_number"], []).append((r["window_start"], r["window_end"]))
+    for num, trained, now in cases:
+        anchor = trained + timedelta(days=1)
+        expected = [(_add_months(anchor, m), _add_months(anchor, m + 1)) for m in range(_months_component(now, anchor))]
+        assert sorted(got.get(num, [])) == expected, (num, trained, now)
