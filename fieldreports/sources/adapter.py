@@ -14,6 +14,7 @@ The DuckDB oracle in ``__spark_entry__.py`` repeats the same rules in SQL.
 
 from __future__ import annotations
 
+import weakref
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,8 +38,28 @@ SUPERVISOR_BASE = 5000
 DUPLICATE_ID_OFFSET = 1000000
 
 
+# Declared schemas of the shared test tables this adapter reads.
+TEST_TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+# The shared test tables are read-only, so a session reads each one once:
+# later uses reuse the DataFrame (no repeated file listing).
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A shared test table, read with its declared schema."""
+    path = f"{sf_dir}/{name}.parquet"
+    reads = _READS.setdefault(spark, {})
+    if path not in reads:
+        reader = spark.read
+        if name in TEST_TABLE_SCHEMAS:
+            reader = reader.schema(TEST_TABLE_SCHEMAS[name])
+        reads[path] = reader.parquet(path)
+    return reads[path]
 
 
 def _k(props: Column) -> Column:
