@@ -1,6 +1,6 @@
 """The daily jobs, assembled from operators, with their sinks.
 
-    python -m fieldreports.plans.jobs payments --inputs inputs.json --as-of 2024-02-10 --out s3a://.../reports
+    python -m fieldreports.plans.jobs payments --inputs inputs.json --as-of 2024-02-10 --out /shared/reports
     python -m fieldreports.plans.jobs calls    --inputs inputs.json --as-of ... --queue-in ... --queue-out ...
     python -m fieldreports.plans.jobs report   --inputs inputs.json --out ...
     python -m fieldreports.plans.jobs maintain --inputs inputs.json --out ...
