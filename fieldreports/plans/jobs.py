@@ -1,9 +1,12 @@
 """The daily jobs, assembled from operators, with their sinks.
 
     python -m fieldreports.plans.jobs payments --inputs inputs.json --as-of 2024-02-10 --out /shared/reports
-    python -m fieldreports.plans.jobs calls    --inputs inputs.json --as-of ... --queue-in ... --queue-out ...
-    python -m fieldreports.plans.jobs report   --inputs inputs.json --out ...
-    python -m fieldreports.plans.jobs maintain --inputs inputs.json --out ...
+    python -m fieldreports.plans.jobs calls    --inputs inputs.json --as-of 2024-02-10 --out /shared/tables/queue
+    python -m fieldreports.plans.jobs report   --inputs inputs.json --as-of 2024-02-10 --out /shared/reports
+    python -m fieldreports.plans.jobs maintain --inputs inputs.json --as-of 2024-02-10 --out /shared/tables
+
+The old call queue is the ``queue`` entry of ``inputs.json``; ``calls``
+writes the new queue as version ``v=<as-of>`` under ``--out``.
 
 ``inputs.json`` maps input names to ``{"path": ..., "format": ...}``. The
 enriched messages are written once per run as a table in the shared
