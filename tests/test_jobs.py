@@ -104,3 +104,19 @@ def test_calls_job_without_an_old_queue(spark, landed):
     per = {r["district"]: (r["n"], r["lo"], r["hi"]) for r in
            out.groupBy("district").agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect()}
     assert per and all(lo == 1 and hi == n for n, lo, hi in per.values())
+
+
+def test_cli_other_jobs(spark, landed, tmp_path):
+    import json
+
+    base, _ = landed
+    names = ["raw_messages", "events", "roster", "crosswalk", "survey_responses", "legacy_messages", "directory", "queue"]
+    specs = {name: {"path": f"{base}/{name}", "format": "parquet"} for name in names}
+    inputs = tmp_path / "inputs.json"
+    inputs.write_text(json.dumps(specs))
+    for job in ["calls", "report", "maintain"]:
+        out = tmp_path / job
+        jobs.main([job, "--inputs", str(inputs), "--as-of", "2024-02-10", "--out", str(out)])
+        assert any(out.iterdir())
+    assert spark.read.parquet(str(tmp_path / "calls" / "v=20240210")).count() == catalog.queue_refresh(spark, SF).count()
+    assert sorted(p.name for p in (tmp_path / "maintain").iterdir()) == ["directory", "events", "service_dates"]
