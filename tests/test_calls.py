@@ -242,3 +242,9 @@ def test_nearest_match_against_brute_force(spark, max_group_rows):
         return min(cands)[2] if cands else None   # nearest, then earlier day
 
     assert got == {rid: brute(k, d) for rid, k, d in right_rows}
+
+
+def test_refresh_with_an_empty_batch_changes_nothing(spark):
+    old = queue(spark, [("foo", 1, "a"), ("foo", 2, "b"), (None, 1, "c")])
+    out = C.queue_refresh(old, entries(spark, []))
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted((tuple(r) for r in old.collect()), key=str)
