@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldreports.llm import decontaminate, quality_rules, secrets
+from fieldreports.llm import decontaminate, mixing, pseudonyms, quality_rules, secrets
+
+
+# A deployment passes its own key; the registered query needs a stated one.
+PSEUDONYM_KEY = "registered-query-key"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), key=PSEUDONYM_KEY)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -21,14 +29,20 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pseudonyms": op2_pseudonyms,
     "op3_decontaminate": op3_decontaminate,
     "op5_secret_scan": op5_secret_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op10_mixing": op10_mixing,
 }
 
 _OP3_SQL = r"""
@@ -55,4 +69,44 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3_SQL}
+_OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT * FROM (SELECT doc_id, source, CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM documents)
+  WHERE n_tokens > 0),
+s AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM d GROUP BY source),
+t AS (SELECT CAST(sum(tokens) AS BIGINT) AS total, count(*) AS n FROM s),
+sh AS (SELECT list(tokens / total) AS p, any_value(n) AS n FROM s, t),
+even AS (
+  SELECT 0 AS r, 0::DOUBLE AS lo, 1::DOUBLE AS hi
+  UNION ALL
+  SELECT r + 1, CASE WHEN a IS NULL THEN lo WHEN a = 32 THEN hi ELSE lo + (hi - lo) * a / 32 END,
+    CASE WHEN a IS NULL THEN lo WHEN a = 32 THEN hi ELSE lo + (hi - lo) * (a + 1) / 32 END
+  FROM (SELECT r, lo, hi, list_max(list_filter(range(0, 33), lambda i:
+      ln(list_sum(list_transform(p, lambda x: pow(x, lo + (hi - lo) * i / 32))))
+      - list_sum(list_transform(p, lambda x: pow(x, lo + (hi - lo) * i / 32) * ln(pow(x, lo + (hi - lo) * i / 32))))
+        / list_sum(list_transform(p, lambda x: pow(x, lo + (hi - lo) * i / 32)))
+      >= {entropy}::DOUBLE * ln(n))) AS a FROM even, sh WHERE r < 6)),
+rare AS (
+  SELECT 0 AS r, 0::DOUBLE AS lo, 1::DOUBLE AS hi
+  UNION ALL
+  SELECT r + 1, CASE WHEN a IS NULL THEN lo WHEN a = 32 THEN hi ELSE lo + (hi - lo) * a / 32 END,
+    CASE WHEN a IS NULL THEN lo WHEN a = 32 THEN hi ELSE lo + (hi - lo) * (a + 1) / 32 END
+  FROM (SELECT r, lo, hi, list_max(list_filter(range(0, 33), lambda i:
+      {budget}::DOUBLE * list_max(list_transform(p, lambda x: pow(x, lo + (hi - lo) * i / 32) / x))
+        / list_sum(list_transform(p, lambda x: pow(x, lo + (hi - lo) * i / 32))) > {repeats}::DOUBLE)) AS a FROM rare, sh WHERE r < 6)),
+x AS (SELECT greatest((SELECT lo FROM even WHERE r = 6), (SELECT hi FROM rare WHERE r = 6)) AS x),
+w AS (SELECT source, tokens, pow(tokens / total, x) / (SELECT sum(pow(tokens / total, x)) FROM s, t, x) AS weight, total FROM s, t, x),
+b AS (SELECT source, CAST(budget // tokens AS INTEGER) AS epochs, budget % tokens AS rest
+  FROM (SELECT *, CAST(floor({budget}::DOUBLE * total * weight) AS BIGINT) AS budget FROM w)),
+u AS (SELECT doc_id, d.source, n_tokens, epochs, rest,
+    CAST('0x' || substr(md5('{seed}:' || epochs || ':' || doc_id), 1, 15) AS BIGINT) AS u
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
+c AS (SELECT doc_id, source, n_tokens, epochs + CASE WHEN sum(n_tokens) OVER (PARTITION BY source ORDER BY u, doc_id, n_tokens) <= rest
+    THEN 1 ELSE 0 END AS copies FROM u),
+e AS (SELECT doc_id, source, n_tokens, CAST(unnest(range(0, copies)) AS INTEGER) AS epoch FROM c),
+k AS (SELECT *, CAST('0x' || substr(md5('{seed}:' || epoch || ':' || doc_id), 1, 15) AS BIGINT) AS order_key FROM e)
+SELECT *, CAST(order_key >> 48 AS INTEGER) AS block FROM k
+""".replace("{entropy}", str(mixing.ENTROPY_SHARE)).replace("{repeats}", str(mixing.MAX_REPEATS)).replace(
+    "{budget}", str(mixing.BUDGET_SHARE)).replace("{seed}", mixing.SEED)
+
+ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3_SQL, "op10_mixing": _OP10_SQL}
