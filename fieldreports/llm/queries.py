@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldreports.llm import decontaminate, mixing, pseudonyms, quality_rules, secrets
+from fieldreports.llm import decontaminate, language_id, mixing, pseudonyms, quality_classifier, quality_rules, secrets
 
 
 # A deployment passes its own key; the registered query needs a stated one.
@@ -29,6 +29,14 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -41,6 +49,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pseudonyms": op2_pseudonyms,
     "op3_decontaminate": op3_decontaminate,
     "op5_secret_scan": op5_secret_scan,
+    "op6_language_id": op6_language_id,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op10_mixing": op10_mixing,
 }
