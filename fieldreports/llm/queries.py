@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldreports.llm import decontaminate, language_id, mixing, pseudonyms, quality_classifier, quality_rules, secrets
+from fieldreports.llm import decontaminate, jaccard_join, language_id, mixing, pseudonyms, quality_classifier, quality_rules, secrets
 
 
 # A deployment passes its own key; the registered query needs a stated one.
@@ -37,6 +37,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
 }
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,14 @@ def settled(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder; later steps read it from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table in the shared folder.
+
+    Unlike a checkpoint it keeps no partitioning, so a later join exchanges both
+    sides and Spark can split its hot keys.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
