@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldreports.llm import decontaminate, jaccard_join, language_id, mixing, pseudonyms, quality_classifier, quality_rules, secrets
+from fieldreports.llm import decontaminate, jaccard_join, language_id, mixing, pseudonyms, quality_classifier, quality_rules, secrets, substring_dedup
 
 
 # A deployment passes its own key; the registered query needs a stated one.
@@ -25,6 +25,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_report(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pseudonyms": op2_pseudonyms,
     "op3_decontaminate": op3_decontaminate,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_language_id": op6_language_id,
     "op7_quality_classifier": op7_quality_classifier,
@@ -84,6 +89,19 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP4_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM d WHERE len(w) >= 13)),
+f AS (SELECT k, min(doc_id) AS first FROM k GROUP BY k HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM k JOIN f USING (k) WHERE first < doc_id),
+rl AS (SELECT doc_id, list(p) AS gone FROM r GROUP BY doc_id),
+kept AS (SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS g,
+    array_to_string([w[p] for p in range(1, len(w) + 1) if gone IS NULL OR NOT list_contains(gone, p)], ' ') AS t
+  FROM d LEFT JOIN rl USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(g AS BIGINT) AS n_removed, sha256(t) AS kept_sha256 FROM kept
+"""
+
 _OP10_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT * FROM (SELECT doc_id, source, CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM documents)
@@ -124,4 +142,4 @@ SELECT *, CAST(order_key >> 48 AS INTEGER) AS block FROM k
 """.replace("{entropy}", str(mixing.ENTROPY_SHARE)).replace("{repeats}", str(mixing.MAX_REPEATS)).replace(
     "{budget}", str(mixing.BUDGET_SHARE)).replace("{seed}", mixing.SEED)
 
-ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3_SQL, "op10_mixing": _OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3_SQL, "op4_substring_dedup": _OP4_SQL, "op10_mixing": _OP10_SQL}
