@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldreports.llm import decontaminate, jaccard_join, language_id, mixing, pseudonyms, quality_classifier, quality_rules, secrets, substring_dedup
+from fieldreports.llm import (
+    decontaminate, jaccard_join, language_id, line_dedup, mixing, pseudonyms, quality_classifier, quality_rules, secrets,
+    substring_dedup,
+)
 
 
 # A deployment passes its own key; the registered query needs a stated one.
@@ -17,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), key=PSEUDONYM_KEY)
 
@@ -54,6 +61,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_pseudonyms": op2_pseudonyms,
     "op3_decontaminate": op3_decontaminate,
     "op4_substring_dedup": op4_substring_dedup,
