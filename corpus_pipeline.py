@@ -1,14 +1,17 @@
 """Corpus pipeline: each stage takes the documents its predecessor kept.
 
 Every function takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``, the last one the drawn mixture
+(doc_id, source, n_tokens, epoch, order_key, block).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldreports.llm import decontaminate, quality_rules
+from fieldreports.llm import decontaminate, jaccard_join, line_dedup, mixing, quality_rules
+from fieldreports.llm.shared import stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,14 +19,33 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.keep_good(docs)
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that an earlier line equals or nearly equals."""
+    cut = line_dedup.dedup_lines(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return jaccard_join.keep_one(docs)
+
+
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents drawn for the target mix of sources."""
+    return mixing.mix(docs)
+
+
 STAGES = [
     ("quality rules", quality_stage),
+    ("line dedup", line_stage),
+    ("near duplicates", near_duplicate_stage),
     ("benchmark decontamination", decontaminate_stage),
+    ("source mixing", mixing_stage),
 ]
 
 # Compression ratios and edit distances have no SQL form here; the tests compare
@@ -32,8 +54,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to the documents table."""
+    """All stages applied to the documents table; each result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
