@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldreports.llm.shared import stored
+from fieldreports.llm.shared import free_name, stored
 from fieldreports.llm.words import mix
 
 TAU = 2
@@ -404,9 +404,10 @@ def _without(text: str | None, gone: list[int] | None) -> str | None:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the removed lines cut from the text; rows and other columns unchanged."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    both = docs.join(removed_lines(plain).withColumnsRenamed({"doc": "_doc", "gone": "_gone"}),
-                     F.col(id_col).cast("long") == F.col("_doc"), "left").drop("_doc")
     names = list(docs.columns)
+    doc, gone = free_name("doc", names), free_name("gone", names)
+    both = docs.join(removed_lines(plain).withColumnsRenamed({"doc": doc, "gone": gone}),
+                     F.col(id_col).cast("long") == F.col(doc), "left").drop(doc)
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,12 +33,12 @@ WHOLE_BANDS = (
     (128, 0.45, 2.00),
     (256, 0.40, 1.20),
     (1 << 10, 0.32, 0.95),
-    (1 << 12, 0.28, 0.88),
-    (1 << 16, 0.24, 0.85),
-    (None, 0.18, 0.85),
+    (1 << 12, 0.28, 0.74),  # base64 text stays near 0.77 at any length, prose falls
+    (1 << 16, 0.24, 0.72),
+    (None, 0.18, 0.72),
 )
 CHUNK = 2048
-CHUNK_BAND = (0.20, 0.90)
+CHUNK_BAND = (0.20, 0.74)
 # A document may hold a table or a blob: it goes only when more than this share
 # of its full chunks lies outside the band.
 CHUNK_SHARE = 0.34

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +39,18 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt_anew(df: DataFrame, other: str) -> DataFrame:
+    """``df`` dealt out by another column than the one it is grouped by, so that a
+    join on the group's key exchanges both sides and Spark can split a hot key."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, other)
+
+
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """``name``, with underscores in front until no column of ``taken`` is called so."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
