@@ -31,7 +31,16 @@ VISIT_DATE_PATTERNS = (
     ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "d/M/yyyy"),
     ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "M-d-yyyy"),
     ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "d-M-yyyy"),
+    ("^[0-9]{8}$", "yyyyMMdd"),
+    ("^[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}$", "d MMM yyyy"),
+    ("^[0-9]{1,2} [A-Z][a-z]{3,8} [0-9]{4}$", "d MMMM yyyy"),
+    ("^[A-Z][a-z]{2} [0-9]{1,2},? [0-9]{4}$", "MMM d yyyy"),
+    ("^[A-Z][a-z]{3,8} [0-9]{1,2},? [0-9]{4}$", "MMMM d yyyy"),
 )
+# A time of day behind an ISO date is dropped; month names are compared without
+# regard to case; of a.b.yy the year is completed (69-99: 19yy) before parsing.
+ISO_DATE_TIME = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})[T ][0-9]{1,2}:[0-9]{2}.*$"
+SHORT_YEAR = r"^([0-9]{1,2}[./-][0-9]{1,2}[./-])([0-9]{2})$"
 
 
 def _col(c) -> Column:
@@ -70,6 +79,7 @@ def _dmy_from_digits(text: Column) -> Column:
         & F.length(day).between(1, 2)
         & F.length(month).between(1, 2)
         & (F.length(year) == 4)
+        & (year != F.lit("0000"))  # there is no year 0
     )
     made = F.try_make_timestamp_ntz(
         year.try_cast("int"), month.try_cast("int"), day.try_cast("int"), F.lit(0), F.lit(0), F.lit(0)
@@ -155,7 +165,11 @@ def parse_roster_date(text) -> Column:
 
 def parse_visit_date(text) -> Column:
     """Free-form visit date → ``date`` using :data:`VISIT_DATE_PATTERNS`; NULL if none fits."""
-    t = F.trim(_col(text))
+    t = F.regexp_replace(F.trim(_col(text)), ISO_DATE_TIME, "$1")
+    century = F.when(F.regexp_extract(t, SHORT_YEAR, 2) >= str(TWO_DIGIT_YEAR_PIVOT), "19").otherwise("20")
+    t = F.when(
+        t.rlike(SHORT_YEAR), F.concat(F.regexp_extract(t, SHORT_YEAR, 1), century, F.regexp_extract(t, SHORT_YEAR, 2))
+    ).when(t.rlike("[A-Za-z]"), F.replace(F.initcap(t), F.lit(","), F.lit(""))).otherwise(t)
     candidates = [
         F.when(t.rlike(shape), F.try_to_date(t, fmt)) for shape, fmt in VISIT_DATE_PATTERNS
     ]

@@ -4,8 +4,8 @@
 Per-worker quotas and per-district queues are exactly where one key can hold
 a large share of the rows (one very active worker; the ``Test`` district gets
 every training report). Positions inside a group therefore come from
-:func:`fieldreports.operators.common.rank_within`, which splits a large group
-over many tasks, and counts come from partial aggregation.
+:func:`fieldreports.operators.common.rank_in_slices`, which numbers a group
+slice by slice, and counts come from partial aggregation.
 """
 
 from __future__ import annotations
@@ -23,10 +23,12 @@ from fieldreports.constants import (
     TESTER_NAME,
 )
 from fieldreports.functions.dates import ts_literal
-from fieldreports.operators.common import largest_groups, rank_within
+from fieldreports.operators.common import rank_in_slices
 from fieldreports.operators.normalize import json_payload
 
 SHUFFLE_SEED = 42
+# Old queue entries numbered together in one slice.
+SEQ_SLICE = 65_536
 PICK_ORDER = ("timestamp", "_id")
 PAYLOAD_COLUMNS = (
     "_id",
@@ -81,21 +83,27 @@ def needed_calls(counts: DataFrame, target: float = DEFAULT_TARGET) -> DataFrame
     return counts.withColumn("needed", (share - F.col("called")).cast("bigint"))
 
 
+def quota_limit(needed: Column, size: Column) -> Column:
+    """How many reports of a worker to take: a negative quota keeps all but the last ``|needed|``."""
+    return F.when(needed >= 0, needed).otherwise(size + needed)
+
+
+def _by_day(messages: DataFrame, order: Sequence[str], totals) -> DataFrame:
+    return rank_in_slices(
+        messages.where(F.col("paymentPhone").isNotNull()), ["paymentPhone"], {"_day": F.to_date(order[0])}, order, totals)
+
+
 def pick_needed_calls(needed: DataFrame, messages: DataFrame, order: Sequence[str] = PICK_ORDER) -> DataFrame:
-    """First ``needed`` reports of each worker in ``order``.
+    """First ``needed`` reports of each worker in ``order``, which starts with a time.
 
     A negative quota keeps all but the last ``|needed|`` reports; a worker
     without a quota gets none. Already-called reports are not excluded.
     """
     cols = messages.columns
-    ranked = rank_within(
-        messages.where(F.col("paymentPhone").isNotNull()), ["paymentPhone"], order, "_rank", "_cnt"
-    )
+    ranked = _by_day(messages, order, {"_cnt": F.lit(1)})
     quota = needed.select(F.col("paymentPhone").alias("_qp"), F.col("needed").alias("_needed"))
-    joined = ranked.join(quota, F.col("paymentPhone") == F.col("_qp"), "left")
-    n = F.coalesce(F.col("_needed"), F.lit(0))
-    limit = F.when(n >= 0, n).otherwise(F.col("_cnt") + n)
-    return joined.where(F.col("_rank") <= limit).select(*cols)
+    joined = ranked.join(quota, F.col("paymentPhone") == F.col("_qp"), "inner")
+    return joined.where(F.col("_rank") <= quota_limit(F.col("_needed"), F.col("_cnt"))).select(*cols)
 
 
 def shuffle_key(seed: int = SHUFFLE_SEED, col: str = "_id") -> Column:
@@ -120,37 +128,42 @@ def district_load(batch: DataFrame) -> DataFrame:
     )
 
 
-def queue_refresh(old: DataFrame, entries: DataFrame) -> DataFrame:
-    """Push a batch onto per-district queues and trim them (K3).
+def queue_refresh(old: DataFrame, *batches: DataFrame) -> DataFrame:
+    """Push batches, one after the other, onto per-district queues and trim them (K3).
 
-    Per district touched by the batch, with ``o`` old and ``n`` new entries,
-    the queue keeps every new entry plus the newest ``max(o - n, 0)`` old ones,
-    so its length becomes ``max(o, n)``. Districts absent from the batch are
-    untouched. ``seq`` is renumbered 1.. per touched district, newest highest;
-    new entries follow their push order (``_order``).
+    A batch that touches a district leaves its queue as long as it was, or as
+    the batch if that is longer: all new entries and the newest old ones. The
+    order of the pushes makes no difference to the length, so after all batches
+    a touched queue is the newest ``max(old, batch 1, batch 2, ...)`` entries of
+    the old ones followed by the batches. That is one ranking. Districts absent
+    from every batch are untouched. ``seq`` is renumbered 1.. per touched
+    district, newest highest; a batch is pushed in ``_order``.
     """
-    new_counts = entries.groupBy(F.col("district").alias("_nd")).agg(F.count(F.lit(1)).alias("_n"))
-    old_counts = old.groupBy(F.col("district").alias("_od")).agg(F.count(F.lit(1)).alias("_o"))
-    touched = old.join(new_counts, old["district"].eqNullSafe(new_counts["_nd"]), "left_semi")
-    untouched = old.join(new_counts, old["district"].eqNullSafe(new_counts["_nd"]), "left_anti")
-
-    # both group-size checks in one job
-    new_top, old_top = largest_groups([(entries, ["district"]), (touched, ["district"])])
-    new_ranked = rank_within(entries, ["district"], ["_order", "payload"], "_pos", "_new_cnt", largest=new_top)
-    aged = rank_within(touched, ["district"], ["seq"], "_age", largest=old_top).join(
-        new_counts, F.col("district").eqNullSafe(F.col("_nd")), "inner"
-    )
-    kept_old = aged.where(F.col("_age") > F.col("_n")).select(
-        "district", (F.col("_age") - F.col("_n")).cast("bigint").alias("seq"), "payload"
+    pushed = old.select("district", "payload", "seq", F.lit(0).alias("_batch"), F.lit("").alias("_order"))
+    for i, batch in enumerate(batches, 1):
+        pushed = pushed.unionByName(batch.select(
+            "district", "payload", F.lit(0).cast("bigint").alias("seq"), F.lit(i).alias("_batch"), "_order"))
+    sizes = {f"_size{i}": F.when(F.col("_batch") == i, 1).otherwise(0) for i in range(len(batches) + 1)}
+    ranked = rank_in_slices(
+        pushed, ["district"],
+        # along the queue: batch, then old entries by number and new ones by leading hash digits
+        {"_s0": F.col("_batch"), "_s1": F.floor(F.col("seq") / SEQ_SLICE), "_s2": F.substring("_order", 1, 2)},
+        ["_batch", "seq", "_order", "payload"], sizes,
     )
-    placed = new_ranked.join(old_counts, F.col("district").eqNullSafe(F.col("_od")), "left")
-    offset = F.greatest(F.coalesce(F.col("_o"), F.lit(0)) - F.col("_new_cnt"), F.lit(0))
-    new_rows = placed.select("district", (offset + F.col("_pos")).cast("bigint").alias("seq"), "payload")
-    return untouched.select("district", "seq", "payload").unionByName(kept_old).unionByName(new_rows)
+    total = sum((F.col(c) for c in sizes), F.lit(0))
+    length = F.greatest(*[F.col(c) for c in sizes])
+    new = total - F.col("_size0")
+    place = (F.col("_rank") - (total - length)).cast("bigint")
+    return ranked.where((new == 0) | (place > 0)).select(
+        "district", F.when(new == 0, F.col("seq")).otherwise(place).alias("seq"), "payload")
 
 
 def call_batch(enriched: DataFrame, as_of, target: float = DEFAULT_TARGET,
                since_days: int = DEFAULT_SINCE_DAYS) -> DataFrame:
-    """Reports to verify by phone: F2 → A4 → W1 → W2."""
+    """Reports to verify by phone: F2 → A4 → W1 → W2, quota and rank from one ranking."""
     candidates = call_candidates(enriched, as_of, since_days)
-    return pick_needed_calls(needed_calls(call_counts(candidates), target), candidates)
+    ranked = _by_day(candidates, PICK_ORDER, {"reports": F.lit(1), "_calls": F.col("called").cast("bigint")})
+    # the flag of a row is called ``called`` too, so the sum takes its place for the quota only
+    quota = needed_calls(ranked.withColumn("_flag", F.col("called")).withColumn("called", F.col("_calls")), target)
+    picked = quota.where(F.col("_rank") <= quota_limit(F.col("needed"), F.col("reports")))
+    return picked.select(*[F.col("_flag").alias(c) if c == "called" else F.col(c) for c in candidates.columns])

@@ -1,28 +1,24 @@
 """Generic building blocks used by several operators.
 
-* :func:`first_per_group` - "first row per group" as an aggregate (``min_by``), so
-  Spark combines map-side and a hot group never reaches one task whole.
-* :func:`rank_within` - exact 1-based row numbers per group that stay balanced
-  when one group holds a large share of the rows.
-* :func:`broadcast_if_bounded` - broadcast a dimension only after checking its size.
+* :func:`first_per_group` - "first row per group"; Spark keeps one candidate per
+  group and map task before the shuffle, so a hot group never reaches one task
+  whole.
+* :func:`rank_in_slices` - exact 1-based row numbers per group, counted slice by
+  slice, so that a group that holds a large share of the rows is spread out.
+* :func:`nearest_day` - for every (key, day) the row with the nearest day.
 * :func:`assert_unique` - key check that raises instead of fanning rows out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldreports.session import checkpoint_dir
 
-# Largest dimension (rows) we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-# Largest group one task may hold in a window; bigger groups are sliced.
-# A session can change it with the setting ``fieldreports.maxGroupRows``.
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-MAX_GROUP_ROWS_CONF = "fieldreports.maxGroupRows"
+def _cols(names: Sequence[str | Column]) -> list[Column]:
+    return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
 def first_per_group(
@@ -30,27 +26,27 @@ def first_per_group(
     keys: Sequence[str],
     order: Sequence[str | Column],
     drop_null_keys: bool = False,
-    replace: dict[str, Column] | None = None,
+    replace: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per ``keys``: the row that sorts first by ``order``.
+    """One row per ``keys``: the row that sorts first by ``order`` (a total order).
 
-    ``order`` must be a total order (end with a unique column): every column
-    is taken as ``min_by(column, struct(order))``, so all of them come from
-    the same row. One aggregate per column (rather than one over a struct of
-    the row) lets Catalyst drop the columns a consumer does not read. Partial
-    aggregation keeps one candidate per group per map task, which is what
-    makes hot groups cheap. ``replace`` maps a column name to an aggregate
-    over the whole group that replaces the first row's value, in the same
-    aggregation.
+    Planned as ``row_number() = 1``, for which Spark limits every group to one
+    row per map task before the shuffle (WindowGroupLimit) and still prunes
+    columns nobody reads. ``replace`` maps a column to an aggregate over the
+    whole group that takes the first row's place; the group is then reduced by
+    one aggregation with a single ordering per row.
     """
     keys = list(keys)
-    replace = dict(replace or {})
     if drop_null_keys:
         df = df.where(_all_not_null(keys))
     values = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    aggs = [(replace[c] if c in replace else F.min_by(F.col(c), ordering)).alias(c) for c in values]
-    return df.groupBy(*keys).agg(*aggs).select(*keys, *values)
+    if not replace:
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*keys, *values)
+    kept = [c for c in values if c not in replace]
+    first = F.min_by(F.struct(*kept), F.struct(*_cols(order))).alias("_first")
+    grouped = df.groupBy(*keys).agg(first, *[agg.alias(c) for c, agg in replace.items()])
+    return grouped.select(*keys, *[F.col(c) if c in replace else F.col(f"_first.{c}").alias(c) for c in values])
 
 
 def _all_not_null(cols: Sequence[str]) -> Column:
@@ -60,137 +56,41 @@ def _all_not_null(cols: Sequence[str]) -> Column:
     return cond
 
 
-def rank_within(
+def rank_in_slices(
     df: DataFrame,
     keys: Sequence[str],
+    slices: Mapping[str, Column],
     order: Sequence[str | Column],
+    totals: Mapping[str, Column],
     rank_col: str = "_rank",
-    size_col: str | None = None,
-    num_slices: int | None = None,
-    max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
-    largest: int | None = None,
 ) -> DataFrame:
-    """Add ``rank_col`` = 1-based position of each row inside its ``keys`` group.
-
-    A plain ``row_number() over (partition by keys)`` sends a whole group to one
-    task. So the largest group is measured first (one partially aggregated
-    job): up to ``max_group_rows`` the plain window is used. Beyond it the rows
-    are range-partitioned on ``(keys, order)``, which cuts a large group into
-    consecutive slices; rows are numbered inside each (group, slice) and
-    shifted by the row count of the group's earlier slices. The per-slice
-    counts form a small table (at most groups + slices rows). The sliced rows
-    are checkpointed (one eager job) so both uses agree on the slices.
-    NULL keys form one group. ``size_col`` optionally receives the group size.
-    ``order`` must be a total order for the numbering to be deterministic.
-    ``max_group_rows=None`` always slices. ``largest`` passes a group size
-    the caller already measured (see :func:`largest_groups`).
+    """Add ``rank_col`` = 1-based position of each row inside its ``keys`` group, and ``totals``.
+
+    ``slices`` names expressions that do not decrease along ``order`` (a day of
+    the time, the leading digits of a hash): rows are numbered inside (keys,
+    slices) and shifted by the row count of the group's earlier slices. Those
+    counts are one partially aggregated row per slice, so no task holds a whole
+    group, and the method is the same at every size. ``totals`` maps a name to a
+    column to sum over the group. NULL keys form one group; NULLs of a slice
+    sort first. ``order`` must be a total order for a deterministic numbering.
     """
-    keys = list(keys)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    max_group_rows = _group_limit(df, max_group_rows)
-    if largest is None and max_group_rows is not None:
-        largest = largest_group(df, keys)
-    if max_group_rows is not None and largest <= max_group_rows:
-        w = Window.partitionBy(*keys)
-        out = df.withColumn(rank_col, F.row_number().over(w.orderBy(*order_cols)).cast("bigint"))
-        if size_col:
-            out = out.withColumn(size_col, F.count(F.lit(1)).over(w).cast("bigint"))
-        return out
-    spark = df.sparkSession
-    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    gk = F.struct(*[F.col(k) for k in keys])
-
-    # The slice id must be the same in both branches below (counts and
-    # numbering). A range exchange evaluated twice may sample different
-    # bounds, so the sliced rows are checkpointed once to the shared
-    # checkpoint folder; that also makes them survive executor loss.
-    checkpoint_dir(spark)
-    sliced = (
-        df.withColumn("_gk", gk)
-        .repartitionByRange(n, F.col("_gk"), *order_cols)
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    per_slice = sliced.groupBy("_gk", "_slice").agg(F.count(F.lit(1)).alias("_slice_rows"))
-    earlier = Window.partitionBy("_gk").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.select(
-        F.col("_gk").alias("_ogk"),
-        F.col("_slice").alias("_oslice"),
-        F.coalesce(F.sum("_slice_rows").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_slice_rows").over(Window.partitionBy("_gk")).alias("_group_rows"),
+    keys, parts = list(keys), list(slices)
+    sliced = df.withColumns(dict(slices))
+    per_slice = sliced.groupBy(*keys, *parts).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()])
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
+    shift = per_slice.select(
+        *[F.col(c).alias(f"_of_{c}") for c in keys + parts],
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
+        *[F.sum(f"_sum_{n}").over(group).alias(n) for n in totals],
     )
-    local = F.row_number().over(Window.partitionBy("_gk", "_slice").orderBy(*order_cols))
-    ranked = sliced.withColumn("_local", local).join(
-        offsets,
-        (F.col("_gk") == F.col("_ogk")) & (F.col("_slice") == F.col("_oslice")),
-        "inner",
-    )
-    out = ranked.withColumn(rank_col, (F.col("_local") + F.col("_offset")).cast("bigint"))
-    if size_col:
-        out = out.withColumn(size_col, F.col("_group_rows").cast("bigint"))
-    return out.drop("_gk", "_slice", "_ogk", "_oslice", "_local", "_offset", "_group_rows")
-
-
-def _group_limit(df: DataFrame, given: int | None) -> int | None:
-    """The group-size switch: an explicit argument, else the session setting, else the default."""
-    if given != DEFAULT_MAX_GROUP_ROWS:
-        return given
-    configured = df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, None)
-    return int(configured) if configured else given
-
-
-def largest_group(df: DataFrame, keys: Sequence[str | Column]) -> int:
-    """Row count of the biggest group (0 for no rows). One partially aggregated job."""
-    return largest_groups([(df, keys)])[0]
-
-
-def largest_groups(inputs: Sequence[tuple[DataFrame, Sequence[str | Column]]]) -> list[int]:
-    """:func:`largest_group` for several inputs in one job (one row per input comes back)."""
-    parts = [
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("_m")).select(
-            F.lit(i).alias("_i"), "_m"
-        )
-        for i, (df, keys) in enumerate(inputs)
-    ]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    found = {r["_i"]: r["_m"] for r in union.collect()}
-    return [int(found.get(i) or 0) for i in range(len(inputs))]
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` once to the shared checkpoint folder and read it
-    from there. For intermediates that several branches of a plan consume."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
-
-    Otherwise the DataFrame is returned unhinted and the planner (and AQE at
-    run time) picks a shuffle join. The check counts at most ``max_rows + 1``
-    rows, so it stays cheap for a large dimension.
-    """
-    return broadcast_all_if_bounded([df], max_rows)[0]
-
-
-def broadcast_all_if_bounded(dfs: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
-    """:func:`broadcast_if_bounded` for several dimensions in one counting job."""
-    return [F.broadcast(df) if ok else df for df, ok in zip(dfs, within_rows(dfs, max_rows))]
-
-
-def within_rows(dfs: Sequence[DataFrame], max_rows: int) -> list[bool]:
-    """Whether each DataFrame has at most ``max_rows`` rows: one job, and each
-    input is read only up to ``max_rows + 1`` rows."""
-    tagged = [df.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, df in enumerate(dfs)]
-    union = tagged[0]
-    for t in tagged[1:]:
-        union = union.unionByName(t)
-    # at most len(dfs) rows come back
-    counts = {r["_i"]: r["_n"] for r in union.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+    local = F.row_number().over(Window.partitionBy(*keys, *parts).orderBy(*_cols(order)))
+    same = F.lit(True)
+    for c in keys + parts:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    ranked = sliced.withColumn("_local", local).join(shift, same, "inner")
+    return ranked.select(*df.columns, (F.col("_local") + F.col("_offset")).cast("bigint").alias(rank_col), *totals)
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> None:
@@ -206,99 +106,25 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> No
         raise ValueError(f"{what}: duplicate key {dict((k, dup[0][k]) for k in keys)}")
 
 
-def nearest_match(
-    left: DataFrame,
-    right: DataFrame,
-    left_keys: Sequence[str],
-    right_keys: Sequence[str],
-    left_day: Column,
-    right_day: Column,
-    match_col: str = "_match",
-    right_order: Sequence[str] | None = None,
-    num_slices: int | None = None,
-    max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
-) -> DataFrame:
-    """As-of style join: each ``right`` row gets the ``left`` row with equal keys
-    (NULL-safe) whose day is nearest to its own; equal distance prefers the
-    earlier day. ``left`` must hold at most one row per (keys, day) - reduce it
-    with :func:`first_per_group` first. The match is a struct of all ``left``
-    columns in ``match_col`` (NULL when no left row shares the keys).
+def nearest_day(left: DataFrame, wanted: DataFrame, key: str, day: str, match_col: str = "_match") -> DataFrame:
+    """For each (key, day) of ``wanted`` the row of ``left`` with the same key and the
+    nearest day; equal distance prefers the earlier day. NULL when there is none.
 
-    No pairs are formed: both sides are unioned, range-partitioned on
-    (keys, day) into slices, and each right row looks at the nearest left row
-    before and after it in sort order. Matches that lie in another slice come
-    from a small per-slice summary (first/last left row of each slice).
-    ``right_order`` (default: all right columns) orders right rows that share
-    keys and day, which only matters for determinism of the slicing. When no
-    key holds more than ``max_group_rows`` rows (measured first), one window
-    per key replaces the slicing.
+    Both sides hold at most one row per (key, day), so a group is bounded by the
+    number of days. Each side of a day is one running ``last`` (the later one
+    over the reversed order), so the work is linear.
     """
-    spark = left.sparkSession
-    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lrow = F.struct(*[F.col(c) for c in left.columns], left_day.alias("_day"))
-    rrow = F.struct(*[F.col(c) for c in right.columns])
-    rorder = F.struct(*[F.col(c) for c in (right_order or right.columns)])
-    l_side = left.select(
-        F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(left_keys)]).alias("_gk"),
-        left_day.alias("_t"), F.lit(0).alias("_side"), lrow.alias("_l"),
-        F.lit(None).cast(right.select(rrow).schema[0].dataType).alias("_r"),
-        F.lit(None).cast(right.select(rorder).schema[0].dataType).alias("_ro"),
-    )
-    r_side = right.select(
-        F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(right_keys)]).alias("_gk"),
-        right_day.alias("_t"), F.lit(1).alias("_side"),
-        F.lit(None).cast(l_side.schema["_l"].dataType).alias("_l"), rrow.alias("_r"), rorder.alias("_ro"),
-    )
-    both = l_side.unionByName(r_side)
-    max_group_rows = _group_limit(left, max_group_rows)
-    small = max_group_rows is not None and largest_group(both, ["_gk"]) <= max_group_rows
-    if small:
-        sliced = both.withColumn("_slice", F.lit(0))
-    else:
-        checkpoint_dir(spark)
-        sliced = (
-            both.repartitionByRange(n, "_gk", "_t", "_side", "_ro")
-            .withColumn("_slice", F.spark_partition_id())
-            .checkpoint(eager=True)
-        )
-    part = Window.partitionBy("_gk", "_slice").orderBy("_t", "_side", "_ro")
-    before = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = part.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    local = sliced.select(
-        "_gk", "_slice", "_side", "_t", "_r",
-        F.last("_l", ignorenulls=True).over(before).alias("_prev"),
-        F.first("_l", ignorenulls=True).over(after).alias("_next"),
+    row = F.struct(*left.columns)
+    kind = left.select(row).schema[0].dataType
+    both = left.select(F.col(key).alias("_key"), F.col(day).alias("_day"), row.alias("_l"), F.lit(0).alias("_side")).unionByName(
+        wanted.select(F.col(key).alias("_key"), F.col(day).alias("_day"), F.lit(None).cast(kind).alias("_l"), F.lit(1).alias("_side")))
+    past = Window.partitionBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = both.select(
+        "_key", "_day", "_side",
+        F.last("_l", ignorenulls=True).over(past.orderBy("_day", "_side")).alias("_before"),
+        F.last("_l", ignorenulls=True).over(past.orderBy(F.col("_day").desc(), "_side")).alias("_after"),
     ).where(F.col("_side") == 1)
-
-    if small:
-        no_match = F.lit(None).cast(l_side.schema["_l"].dataType)
-        return _choose_nearest(local.withColumn("_cprev", no_match).withColumn("_cnext", no_match), right, match_col)
-    ends = sliced.where(F.col("_side") == 0).groupBy("_gk", "_slice").agg(
-        F.max_by("_l", "_t").alias("_last"), F.min_by("_l", "_t").alias("_first")
-    )
-    # Every slice that holds right rows needs a carry, also slices without left rows.
-    slices = sliced.select("_gk", "_slice").distinct().join(ends, ["_gk", "_slice"], "left")
-    w = Window.partitionBy("_gk").orderBy("_slice")
-    carry = slices.select(
-        F.col("_gk").alias("_cgk"), F.col("_slice").alias("_cslice"),
-        F.last("_last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_cprev"),
-        F.first("_first", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_cnext"),
-    )
-    joined = local.join(
-        carry, (F.col("_gk") == F.col("_cgk")) & (F.col("_slice") == F.col("_cslice")), "inner"
-    )
-    return _choose_nearest(joined, right, match_col)
-
-
-def _choose_nearest(joined: DataFrame, right: DataFrame, match_col: str) -> DataFrame:
-    prev = F.coalesce(F.col("_prev"), F.col("_cprev"))
-    nxt = F.coalesce(F.col("_next"), F.col("_cnext"))
-    d_prev = F.abs(F.datediff(F.col("_t"), prev["_day"]))
-    d_next = F.abs(F.datediff(nxt["_day"], F.col("_t")))
-    chosen = (
-        F.when(prev.isNull(), nxt)
-        .when(nxt.isNull(), prev)
-        .when(d_prev <= d_next, prev)
-        .otherwise(nxt)
-    )
-    return joined.select(*[F.col(f"_r.{c}").alias(c) for c in right.columns], chosen.dropFields("_day").alias(match_col))
+    back = F.datediff("_day", F.col(f"_before.{day}"))
+    ahead = F.datediff(F.col(f"_after.{day}"), F.col("_day"))
+    chosen = F.when(F.col("_after").isNull() | (back <= ahead), F.col("_before")).otherwise(F.col("_after"))
+    return seen.select(F.col("_key").alias(key), F.col("_day").alias(day), chosen.alias(match_col))

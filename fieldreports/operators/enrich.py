@@ -1,9 +1,9 @@
 """Shared enrichment: dedupe, number translation, roster attributes, training
 tags and status-event flags (A5, J1-J5).
 
-Shuffle plan of :func:`enrich`: one shuffle to dedupe by ``_id`` (map-side
-combined), the crosswalk and roster joins as broadcast joins when their size
-is within bounds, and the event flags aggregated by ``record._id`` then joined
+Shuffle plan of :func:`enrich`: one shuffle to dedupe by ``_id`` (limited to one
+row per id and map task before it), the crosswalk and roster joins as Spark
+chooses by their bytes, and the event flags aggregated by ``record._id`` then joined
 on ``_id`` - the join reuses the dedupe partitioning, so only the event side
 moves.
 """
@@ -17,11 +17,7 @@ from pyspark.sql import functions as F
 
 from fieldreports.constants import EVENT_NAMES
 from fieldreports.functions.dates import day_start
-from fieldreports.operators.common import (
-    DEFAULT_BROADCAST_ROWS,
-    first_per_group,
-    within_rows,
-)
+from fieldreports.operators.common import first_per_group
 
 # First-wins order among copies of one report: earliest report time, then landing id.
 DEDUPE_ORDER = ("timestamp", "sourceId")
@@ -113,7 +109,6 @@ def enrich(
     events: DataFrame,
     roster: DataFrame,
     crosswalk: DataFrame,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Normalised messages → enriched messages (the shared pipeline).
 
@@ -121,12 +116,6 @@ def enrich(
     tag → status flags. ``training`` starts false.
     """
     roster_now = translate_numbers(roster, crosswalk, "reporting_number", "reporting_number")
-    small_cw, small_roster = within_rows([crosswalk, roster_now], broadcast_max_rows)
-    if small_cw:
-        crosswalk = F.broadcast(crosswalk)
-        roster_now = translate_numbers(roster, crosswalk, "reporting_number", "reporting_number")
-    if small_roster:
-        roster_now = F.broadcast(roster_now)
     m = dedupe_messages(messages)
     m = translate_numbers(m, crosswalk, "senderPhone", "paymentPhone")
     m = merge_worker_info(m, roster_now, tester_flag="training")

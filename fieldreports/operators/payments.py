@@ -9,7 +9,7 @@ grouping by training date (which would be a handful of very hot keys).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,6 +118,12 @@ def super_payments(counts: DataFrame, schedule: Mapping[int, int] = SUPERVISOR_B
     )
 
 
+def calc_payments(enriched: DataFrame, as_of, payer: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Sorted payments of any payer: a function from the capped counts (A2) to
+    payment rows, such as :func:`worker_payments` or :func:`super_payments` (u2)."""
+    return sort_payments(payer(capped_counts(enriched, as_of)))
+
+
 def sort_payments(payments: DataFrame) -> DataFrame:
     """Report order: by payment date, then number (O1)."""
     return payments.orderBy("payment_due", "number")

@@ -6,21 +6,21 @@ against the *distinct* keys of the other side. AQE can split skewed
 partitions of inner and anti joins (it cannot for a full outer join), and
 NULL keys - which all hash to one partition - are handled the same way.
 
-Pass 2 of the reconciliation and the orphan candidates are nearest-day
-matches (:func:`fieldreports.operators.common.nearest_match`): one message
-per survey, never every pair that shares a key.
+Pass 2 of the reconciliation is an equi join on the four keys that keeps every
+match. Join sides carry no broadcast hints: Spark chooses by bytes, at plan
+time or, with AQE, from the sizes it measured.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldreports.constants import MERGE_SUFFIXES, REPORT_HIDDEN_FIELDS
 from fieldreports.functions.dates import iso_day, parse_visit_date
-from fieldreports.operators.common import DEFAULT_BROADCAST_ROWS, first_per_group, nearest_match, within_rows
+from fieldreports.operators.common import first_per_group, nearest_day
 
 SURVEY_KEYS = ("patientphone", "patient", "code", "visitdate")
 SURVEY_ORDER = ("submitted_at", "response_id")
@@ -74,24 +74,17 @@ def _survey_name(c: str, message_cols: Sequence[str]) -> str:
     return c
 
 
-def _sides(messages: DataFrame, survey: DataFrame, broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS):
+def _sides(messages: DataFrame, survey: DataFrame):
     """Rename overlapping columns: equal names get ``_app`` / ``_typeform``,
     names equal up to case get ``_typeform``; the shared key ``code`` is kept
     once (coalesced) as in a merge on equally named keys.
-
-    The survey side is checked once against ``broadcast_max_rows``; when it is
-    within bounds it - and every key set derived from it, which cannot be
-    larger - is broadcast.
     """
-    small = broadcast_max_rows is not None and within_rows([survey], broadcast_max_rows)[0]
     m = messages
     for c in survey.columns:
         if c != "code" and c in messages.columns:
             m = m.withColumnRenamed(c, f"{c}{APP_SUFFIX}")
     m = m.withColumn("_sday", iso_day("serviceDate"))
-    s = survey.select(*[F.col(c).alias(_survey_name(c, messages.columns)) for c in survey.columns])
-    bc = F.broadcast if small else (lambda d: d)
-    return m, bc(s), bc
+    return m, survey.select(*[F.col(c).alias(_survey_name(c, messages.columns)) for c in survey.columns])
 
 
 def _keys(with_date: bool):
@@ -115,10 +108,10 @@ def merge_exact(messages: DataFrame, survey: DataFrame, with_date: bool = True)
     keys match each other. ``called`` becomes ``called_app`` /
     ``called_typeform``; ``code`` appears once.
     """
-    m, s, bc = _sides(messages, survey)
+    m, s = _sides(messages, survey)
     lk, rk = _keys(with_date)
     both = m.join(s, _keys_equal(lk, rk), "inner").withColumn("_merge", F.lit("both"))
-    s_keys = bc(s.select(*rk).distinct())
+    s_keys = s.select(*rk).distinct()
     m_keys = _matching_keys(m, lk, s_keys, rk)
     left_only = m.join(s_keys, _keys_equal(lk, rk), "left_anti").withColumn("_merge", F.lit("left_only"))
     right_only = (
@@ -135,51 +128,29 @@ def _finish(df: DataFrame, m: DataFrame, s: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _message_days(messages: DataFrame, keys: Sequence[str] = MESSAGE_KEYS) -> DataFrame:
-    """Messages reduced to one per (keys, service day ``_d``): the latest report of that day."""
-    m = messages.withColumn("_d", F.to_date("serviceDate"))
-    keys = list(keys) + ["_d"]
-    latest = F.max_by(F.struct(*[c for c in m.columns if c not in keys]), F.struct("timestamp", "_id"))
-    return m.groupBy(*keys).agg(latest.alias("_m")).select(*keys, "_m.*")
-
-
-def reconcile_survey(messages: DataFrame, survey: DataFrame) -> tuple[DataFrame, DataFrame]:
+def reconcile_survey(
+    messages: DataFrame, survey: DataFrame, share: Callable[[DataFrame], DataFrame] = lambda leftover: leftover
+) -> tuple[DataFrame, DataFrame]:
     """Two-pass reconciliation (J9). Returns ``(report, orphans)``.
 
     Pass 1 matches on the four keys plus the day. Surveys left over are
-    matched in pass 2 without the day, each to the message with the same four
-    keys whose service day is nearest its visit date (equal distance: the
-    earlier day; same day: the latest report). Surveys with no such message
-    are the orphans. The report is pass-1 matches and unmatched messages
-    plus pass-2 matches; a message can appear twice.
+    matched in pass 2 on the four keys alone, to every message that shares them.
+    Surveys with no such message are the orphans. The report is pass-1 matches
+    and unmatched messages plus pass-2 matches; a message can appear twice.
+    ``share`` may write the surveys left over by pass 1 to a table, for callers
+    that use both results.
     """
-    m, s, bc = _sides(messages, survey)
+    m, s = _sides(messages, survey)
     lk5, rk5 = _keys(True)
-    s_keys = bc(s.select(*rk5).distinct())
+    lk4, rk4 = lk5[:4], rk5[:4]
+    s_keys = s.select(*rk5).distinct()
     both1 = m.join(s, _keys_equal(lk5, rk5), "inner").withColumn("_merge", F.lit("both"))
     left1 = m.join(s_keys, _keys_equal(lk5, rk5), "left_anti").withColumn("_merge", F.lit("left_only"))
-    orphans1 = s.join(_matching_keys(m, lk5, s_keys, rk5), _keys_equal(rk5, lk5), "left_anti")
-
-    # Pass 2 only needs messages that share the four keys with a leftover survey.
-    rk4 = rk5[:4]
-    candidates = messages.join(
-        bc(orphans1.select(*rk4).distinct()), _keys_equal(list(MESSAGE_KEYS), rk4), "left_semi"
-    )
-    days = _message_days(candidates)
-    matched = nearest_match(
-        days, orphans1, list(MESSAGE_KEYS), rk4, F.col("_d"), F.to_date("visitdate"),
-        right_order=["response_id"],
-    )
-    both2 = (
-        matched.where(F.col("_match").isNotNull())
-        .select(*[F.col(c) for c in orphans1.columns], "_match.*")
-        .drop("_d")
-        .withColumnRenamed("called", f"called{APP_SUFFIX}")
-        .withColumn("_sday", iso_day("serviceDate"))
-        .withColumn("_merge", F.lit("both"))
-    )
+    orphans1 = share(s.join(_matching_keys(m, lk5, s_keys, rk5), _keys_equal(rk5, lk5), "left_anti"))
+    both2 = m.join(orphans1, _keys_equal(lk4, rk4), "inner").withColumn("_merge", F.lit("both"))
+    found = _matching_keys(m, lk4, orphans1.select(*rk4).distinct(), rk4)
     original = {_survey_name(c, messages.columns): c for c in survey.columns}
-    orphans = matched.where(F.col("_match").isNull()).select(
+    orphans = orphans1.join(found, _keys_equal(rk4, lk4), "left_anti").select(
         *[F.col(c).alias(original[c]) for c in orphans1.columns]
     )
     report = _finish(
@@ -192,34 +163,31 @@ def orphan_candidates(messages: DataFrame, survey: DataFrame) -> DataFrame:
     """For each final orphan survey, unmatched messages of the same patient phone.
 
     Gives the number of such messages and the one nearest the visit date
-    (``candidate_id``, ``candidate_date``). Built from a per-phone count and a
-    nearest-day match, so no orphan-message pairs are formed.
+    (``candidate_id``, ``candidate_date``; of one day the latest report). No
+    orphan-message pairs are formed: messages and visit dates are reduced to
+    one row per phone and day, matched there, and the answer is joined back to
+    the orphans, a join whose hot phones Spark can split.
     """
-    m, s, bc = _sides(messages, survey)
+    m, s = _sides(messages, survey)
     lk5, rk5 = _keys(True)
-    unmatched = m.join(bc(s.select(*rk5).distinct()), _keys_equal(lk5, rk5), "left_anti").drop("_sday")
+    unmatched = m.join(s.select(*rk5).distinct(), _keys_equal(lk5, rk5), "left_anti")
     _, orphans = reconcile_survey(messages, survey)
-    orphans = orphans.select("response_id", F.col("patientphone").alias("_op"), "visitdate")
-    # only phones of final orphans matter
-    unmatched = unmatched.join(
-        bc(orphans.select("_op").distinct()), F.col("patientPhone") == F.col("_op"), "left_semi"
-    )
-    per_phone = unmatched.groupBy(F.col("patientPhone").alias("_pp")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_candidates")
-    )
-    days = _message_days(unmatched.select("patientPhone", "serviceDate", "_id", "timestamp"), ["patientPhone"])
-    nearest = nearest_match(
-        days.where(F.col("patientPhone").isNotNull()), orphans, ["patientPhone"], ["_op"],
-        F.col("_d"), F.to_date("visitdate"), right_order=["response_id"],
-    )
+    orphans = orphans.select("response_id", "patientphone", "visitdate", F.to_date("visitdate").alias("_visit"))
+    wanted = orphans.where(F.col("patientphone").isNotNull())
+    seen = unmatched.where(F.col("patientPhone").isNotNull()).select(
+        F.col("patientPhone").alias("_phone"), F.to_date("serviceDate").alias("_visit"), "_id", "timestamp"
+    ).join(wanted.select(F.col("patientphone").alias("_phone")).distinct(), "_phone", "left_semi")
+    per_phone = seen.groupBy("_phone").agg(F.count(F.lit(1)).cast("bigint").alias("n_candidates"))
+    days = seen.groupBy("_phone", "_visit").agg(F.max_by("_id", F.struct("timestamp", "_id")).alias("_id"))
+    asked = wanted.select(F.col("patientphone").alias("_phone"), "_visit").distinct()
+    nearest = nearest_day(days, asked, "_phone", "_visit").where(F.col("_match").isNotNull())
     return (
-        nearest.where(F.col("_match").isNotNull())
-        .join(per_phone, F.col("_op") == F.col("_pp"), "inner")
+        wanted.join(nearest, F.col("patientphone").eqNullSafe(F.col("_phone")) & wanted["_visit"].eqNullSafe(nearest["_visit"]), "inner")
+        .drop("_phone").join(per_phone, F.col("patientphone") == F.col("_phone"), "inner")
         .select(
-            "response_id", F.col("_op").alias("patientphone"), "visitdate",
-            "n_candidates",
+            "response_id", "patientphone", "visitdate", "n_candidates",
             F.col("_match._id").alias("candidate_id"),
-            F.col("_match._d").cast("timestamp_ntz").alias("candidate_date"),
+            F.col("_match._visit").cast("timestamp_ntz").alias("candidate_date"),
         )
     )
 

@@ -22,9 +22,9 @@ from fieldreports.operators.normalize import flatten_survey as _flatten
 from fieldreports.operators import maintenance as M
 from fieldreports.operators import quality as QC
 from fieldreports.functions.dates import day_start
+from fieldreports.functions.dates import parse_service_date as _service_date
 from fieldreports.functions.money import SUPERVISOR_BONUS, WORKER_BONUS, bonus
 from fieldreports.sources import readers as R
-from fieldreports.operators.common import materialize
 
 AS_OF = A.AS_OF
 
@@ -35,12 +35,6 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     return E.enrich(A.messages(spark, sf), A.status_events(spark, sf), A.roster(spark, sf), A.crosswalk(spark, sf))
 
 
-def _enriched_shared(spark: SparkSession, sf: str) -> DataFrame:
-    """Enriched messages written once to the checkpoint folder, for queries
-    that read them in several branches."""
-    return materialize(_enriched(spark, sf))
-
-
 def _capped(spark: SparkSession, sf: str) -> DataFrame:
     return P.capped_counts(_enriched(spark, sf), AS_OF)
 
@@ -114,7 +108,7 @@ def _candidates(spark, sf):
 
 
 def _picks(spark, sf):
-    return C.call_batch(_enriched_shared(spark, sf), AS_OF)
+    return C.call_batch(_enriched(spark, sf), AS_OF)
 
 
 def call_candidates(spark, sf):
@@ -147,21 +141,20 @@ def district_load(spark, sf):
 
 
 def queue_refresh(spark, sf):
-    e = _enriched_shared(spark, sf)
-    picks = materialize(C.call_batch(e, AS_OF))
-    after_calls = C.queue_refresh(A.old_queue(spark, sf), C.queue_entries(picks))
-    return C.queue_refresh(materialize(after_calls), C.queue_entries(C.training_batch(e)))
+    e = _enriched(spark, sf)
+    calls = C.queue_entries(C.call_batch(e, AS_OF))
+    return C.queue_refresh(A.old_queue(spark, sf), calls, C.queue_entries(C.training_batch(e)))
 
 
 # --- survey ---------------------------------------------------------------------
 
 def _clean(spark, sf, enriched=None):
     """Clean survey rows; with ``enriched`` given, the survey view reuses its messages."""
-    return materialize(V.clean_survey(_flatten(A.survey_responses(spark, sf, enriched))))
+    return V.clean_survey(_flatten(A.survey_responses(spark, sf, enriched)))
 
 
 def _survey_inputs(spark, sf):
-    e = _enriched_shared(spark, sf)
+    e = _enriched(spark, sf)
     return e, _clean(spark, sf, e)
 
 
@@ -195,7 +188,8 @@ def orphan_candidates(spark, sf):
 
 def roster_coverage(spark, sf):
     report = V.reconcile_survey(*_survey_inputs(spark, sf))[0]
-    return V.roster_coverage(report, _roster_now(spark, sf))
+    # checked against the directory before the upsert, which lacks workers
+    return V.roster_coverage(report, A.existing_directory(spark, sf))
 
 
 def final_report(spark, sf):
@@ -210,12 +204,12 @@ def unique_visits(spark, sf):
 # --- maintenance ------------------------------------------------------------------
 
 def testers(spark, sf):
-    return M.testers(E.dedupe_messages(A.messages(spark, sf)), A.roster(spark, sf), A.crosswalk(spark, sf))
+    return M.testers(A.messages(spark, sf), A.roster(spark, sf), A.crosswalk(spark, sf))
 
 
 def directory_upsert(spark, sf):
     roster = A.roster(spark, sf)
-    found = M.testers(E.dedupe_messages(A.messages(spark, sf)), roster, A.crosswalk(spark, sf))
+    found = M.testers(A.messages(spark, sf), roster, A.crosswalk(spark, sf))
     return M.directory_upsert(A.existing_directory(spark, sf), roster, found)
 
 
@@ -271,8 +265,13 @@ def tag_training_day(spark, sf):
     return E.tag_training_day(m).select("_id", "serviceDate", "training_date", "training")
 
 
-def latest_file(spark, sf):
-    return R.latest_file(spark, sf, "*.parquet")
+def parse_service_date(spark, sf):
+    raw = A.raw_messages(spark, sf)
+    return raw.select("sourceId", _service_date("Service_Date", "Report_Date").alias("serviceDate"))
+
+
+def message_id(spark, sf):
+    return A.messages(spark, sf).select("sourceId", "_id")
 
 
 def extraction_windows(spark, sf):
@@ -329,7 +328,8 @@ QUERIES: dict[str, Query] = {
     "merge_worker_info": merge_worker_info,
     "tag_testers": tag_testers,
     "tag_training_day": tag_training_day,
-    "latest_file": latest_file,
+    "parse_service_date": parse_service_date,
+    "message_id": message_id,
     "extraction_windows": extraction_windows,
     "quality_counts": quality_counts,
 }

@@ -11,7 +11,8 @@ writes the new queue as version ``v=<as-of>`` under ``--out``.
 ``inputs.json`` maps input names to ``{"path": ..., "format": ...}``. The
 enriched messages are written once per run as a table in the shared
 checkpoint folder; every output of the run reads that table, so lineage is
-short and a lost executor only recomputes from the written table.
+short and a lost executor only recomputes from the written table. The copy is
+removed when the run ends.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ from fieldreports.operators import enrich as E
 from fieldreports.operators import maintenance as M
 from fieldreports.operators import payments as P
 from fieldreports.operators import survey as V
-from fieldreports.operators.common import assert_unique, materialize
+from fieldreports.operators.common import assert_unique
 from fieldreports.operators.normalize import flatten_survey, normalize_messages
-from fieldreports.session import build_session, checkpoint_dir
+from fieldreports.session import build_session, checkpoint_dir, remove_path
 from fieldreports.sinks.writers import write_csv_report, write_table_version
 from fieldreports.sources import readers as R
 
@@ -92,56 +93,73 @@ def validate_dimensions(roster: DataFrame, crosswalk: DataFrame) -> None:
     assert_unique(now, ["reporting_number"], "roster after number changes")
 
 
-def enriched_table(spark: SparkSession, data: dict[str, DataFrame], run_id: str) -> DataFrame:
-    """Enrich once and materialise the result in the shared checkpoint folder."""
-    validate_dimensions(data["roster"], data["crosswalk"])
-    enriched = E.enrich(normalize_messages(data["raw"]), data["events"], data["roster"], data["crosswalk"])
-    path = f"{checkpoint_dir(spark).rstrip('/')}/fieldreports/{run_id}/enriched"
-    enriched.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+class RunTables:
+    """Tables of one run in the shared checkpoint folder, removed at the end of the run."""
+
+    def __init__(self, spark: SparkSession, run_id: str):
+        self.spark = spark
+        self.root = f"{checkpoint_dir(spark).rstrip('/')}/fieldreports/{run_id}"
+
+    def __enter__(self) -> "RunTables":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        remove_path(self.spark, self.root)
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written once; the outputs of the run read it from there."""
+        path = f"{self.root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def enriched(self, data: dict[str, DataFrame]) -> DataFrame:
+        validate_dimensions(data["roster"], data["crosswalk"])
+        return self.keep("enriched", E.enrich(normalize_messages(data["raw"]), data["events"], data["roster"], data["crosswalk"]))
 
 
 def run_payments(spark: SparkSession, data: dict[str, DataFrame], as_of: datetime, out_dir: str,
                  run_id: str) -> tuple[str, str]:
-    """M7: worker and supervisor payments from one enrichment, sorted by due date."""
-    counts = P.capped_counts(enriched_table(spark, data, run_id), as_of)
-    workers = P.sort_payments(P.worker_payments(counts))
-    supers = P.sort_payments(P.super_payments(counts))
-    return (
-        write_csv_report(workers, out_dir, "workers", as_of),
-        write_csv_report(supers, out_dir, "supers", as_of),
-    )
+    """M7: worker and supervisor payments from one enrichment and one count (A2), sorted by due date."""
+    with RunTables(spark, run_id) as tables:
+        counts = tables.keep("counts", P.capped_counts(tables.enriched(data), as_of))
+        workers = P.sort_payments(P.worker_payments(counts))
+        supers = P.sort_payments(P.super_payments(counts))
+        return (
+            write_csv_report(workers, out_dir, "workers", as_of),
+            write_csv_report(supers, out_dir, "supers", as_of),
+        )
 
 
 def run_calls(spark: SparkSession, data: dict[str, DataFrame], as_of: datetime, queue_out: str,
               run_id: str, target: float = C.DEFAULT_TARGET) -> str:
-    """Pick reports to verify, refresh the district queues, then the Test queue."""
-    enriched = enriched_table(spark, data, run_id)
-    old = data.get("queue")
-    if old is None:
-        old = spark.createDataFrame([], schemas.QUEUE)
-    picks = materialize(C.call_batch(enriched, as_of, target))
-    after_calls = materialize(C.queue_refresh(old, C.queue_entries(picks)))
-    refreshed = C.queue_refresh(after_calls, C.queue_entries(C.training_batch(enriched)))
-    return write_table_version(refreshed, queue_out, as_of.strftime("%Y%m%d"))
+    """Pick reports to verify, then refresh the district queues and the Test queue."""
+    with RunTables(spark, run_id) as tables:
+        enriched = tables.enriched(data)
+        old = data.get("queue")
+        if old is None:
+            old = spark.createDataFrame([], schemas.QUEUE)
+        calls = C.queue_entries(C.call_batch(enriched, as_of, target))
+        refreshed = C.queue_refresh(old, calls, C.queue_entries(C.training_batch(enriched)))
+        return write_table_version(refreshed, queue_out, as_of.strftime("%Y%m%d"))
 
 
 def run_report(spark: SparkSession, data: dict[str, DataFrame], out_dir: str, run_ts: datetime,
                run_id: str) -> tuple[str, str]:
-    """K2: reconciled survey report and the orphan surveys."""
-    enriched = enriched_table(spark, data, run_id)
-    survey = materialize(V.clean_survey(flatten_survey(data["responses"])))
-    report, orphans = V.reconcile_survey(enriched, survey)
-    return (
-        write_csv_report(report.drop("_merge"), out_dir, "reports", run_ts),
-        write_csv_report(orphans, out_dir, "orphans", run_ts),
-    )
+    """K2: reconciled survey report and the orphan surveys, from one pass 1."""
+    with RunTables(spark, run_id) as tables:
+        survey = tables.keep("survey", V.clean_survey(flatten_survey(data["responses"])))
+        report, orphans = V.reconcile_survey(
+            tables.enriched(data), survey, share=lambda leftover: tables.keep("leftover", leftover))
+        return (
+            write_csv_report(report.drop("_merge"), out_dir, "reports", run_ts),
+            write_csv_report(orphans, out_dir, "orphans", run_ts),
+        )
 
 
 def run_maintenance(spark: SparkSession, data: dict[str, DataFrame], out_dir: str, version: str) -> dict[str, str]:
     """Events from legacy flags, worker directory, repaired dates: new table versions."""
     written = {}
-    messages = E.dedupe_messages(normalize_messages(data["raw"]))
+    messages = normalize_messages(data["raw"])  # every copy counts: a sender may occur on a later one only
     if "legacy" in data:
         events = M.event_upsert(data["events"], M.flags_to_events(data["legacy"]))
         written["events"] = write_table_version(events, f"{out_dir}/events", version)

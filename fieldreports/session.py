@@ -78,3 +78,20 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(chosen)
     return chosen
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in any file system Spark can read."""
+    hadoop_path, fs = _file_system(spark, path)
+    return bool(fs.exists(hadoop_path))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder the caller made; a missing one is no error."""
+    hadoop_path, fs = _file_system(spark, path)
+    fs.delete(hadoop_path, True)

@@ -78,6 +78,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     service = (
         F.when(k % 19 == 0, F.lit("31.02.2024"))
         .when(k % 23 == 0, F.lit("unknown"))
+        .when(k % 37 == 0, F.lit("01.01.0000"))
         .when(k % 29 == 0, _day_text(ts, F.lit(3), "dd.MM.yyyy"))
         .when(k % 31 == 0, _day_text(ts, F.lit(-70), "dd.MM.yyyy"))
         .when(k % 2 == 0, _day_text(ts, -(k % 5), "dd-MM-yyyy"))
@@ -167,6 +168,7 @@ def status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind(k % 7 == 0, "attempted", no_update, False),
         kind(k % 13 == 0, "noConsent", no_update, False),
         kind(k % 41 == 0, "called", no_update, True),
+        kind(k % 43 == 0, "visited", no_update, False),  # a name no flag knows
     )
     exploded = m.select("*", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("_e"))
     record_id = F.when(F.col("_e.unknown"), F.concat(F.lit("x"), F.col("sourceId").cast("string"))).otherwise(
@@ -197,8 +199,14 @@ def survey_responses(spark: SparkSession, sf_dir: str, deduped: DataFrame | None
         # and sends a sixth of the rows through the shuffle.
         d = dedupe_messages(messages(spark, sf_dir).where(k % 6 == 0))
     visit = F.date_add(F.to_date("serviceDate"), F.when(k % 18 == 0, 1).otherwise(0))
-    visit_text = F.when(k % 36 == 0, F.date_format(visit, "MM.dd.yyyy")).otherwise(
-        F.date_format(visit, "yyyy-MM-dd")
+    visit_text = (
+        F.when(k % 36 == 0, F.date_format(visit, "MM.dd.yyyy"))
+        .when(k % 66 == 0, F.lit("soon"))
+        .when(k % 30 == 0, F.concat(F.date_format(visit, "yyyy-MM-dd"), F.lit("T12:00:00Z")))
+        .when(k % 42 == 0, F.date_format(visit, "d MMM yyyy"))
+        .when(k % 78 == 0, F.date_format(visit, "M/d/yy"))
+        .when(k % 102 == 0, F.date_format(visit, "yyyyMMdd"))
+        .otherwise(F.date_format(visit, "yyyy-MM-dd"))
     )
     hidden = F.struct(
         F.col("senderPhone").alias("workerphone"),
@@ -206,7 +214,8 @@ def survey_responses(spark: SparkSession, sf_dir: str, deduped: DataFrame | None
         F.when(k % 54 == 0, F.concat(F.lit("9"), F.col("patientPhone")))
         .otherwise(F.col("patientPhone"))
         .alias("patientphone"),
-        F.lower("patientName").alias("patient"),
+        # a wrong name leaves an orphan whose phone other reports share
+        F.when(k % 90 == 0, F.lit("someone")).otherwise(F.lower("patientName")).alias("patient"),
         F.lower("code").alias("code"),
         visit_text.alias("visitdate"),
         F.col("_id").alias("messageid"),
@@ -269,11 +278,18 @@ def legacy_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def old_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An existing call queue: ``n_nationkey % 5`` entries per district."""
+    """An existing call queue: ``n_nationkey % 5`` entries per district, a thousand
+    times as many where ``n_nationkey % 10 = 4``, and three in some districts that
+    no batch touches."""
     n = table(spark, sf_dir, "nation")
+    key = F.col("n_nationkey")
+    open_ones = n.select(
+        F.col("n_name").alias("district"), (key % 5 * F.when(key % 10 == 4, 1000).otherwise(1)).alias("n"))
+    closed = n.where(key % 6 == 0).select(F.concat(F.lit("closed "), "n_name").alias("district"), F.lit(3).alias("n"))
     return (
-        n.select(F.col("n_name").alias("district"), F.explode(F.sequence(F.lit(0), F.col("n_nationkey") % 5)).alias("seq"))
-        .where(F.col("seq") >= 1)
+        open_ones.unionByName(closed)
+        .where(F.col("n") > 0)
+        .select("district", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("seq"))
         .select(
             "district",
             F.col("seq").cast("bigint").alias("seq"),

@@ -21,14 +21,16 @@ from fieldreports import schemas
 from fieldreports.operators.enrich import DEDUPE_ORDER
 from fieldreports.operators.maintenance import new_rows
 from fieldreports.operators.normalize import normalize_messages
+from fieldreports.session import path_exists
 from fieldreports.sinks.writers import append_rows
 
 
 def _existing(spark: SparkSession, table_dir: str) -> DataFrame:
-    try:
-        return spark.read.schema(schemas.MESSAGE).parquet(table_dir)
-    except Exception:  # the table does not exist before the first batch
+    # the table does not exist before the first batch; any other trouble must
+    # stop the batch, which would else be appended a second time
+    if not path_exists(spark, table_dir):
         return spark.createDataFrame([], schemas.MESSAGE)
+    return spark.read.schema(schemas.MESSAGE).parquet(table_dir)
 
 
 def start_intake(

@@ -18,6 +18,7 @@ CTES: list[tuple[str, str]] = [
 SELECT CAST(ts AS TIMESTAMP) AS Report_Date,
   CASE WHEN k % 19 = 0 THEN '31.02.2024'
        WHEN k % 23 = 0 THEN 'unknown'
+       WHEN k % 37 = 0 THEN '01.01.0000'
        WHEN k % 29 = 0 THEN strftime(CAST(ts AS DATE) + 3, '%d.%m.%Y')
        WHEN k % 31 = 0 THEN strftime(CAST(ts AS DATE) - 70, '%d.%m.%Y')
        WHEN k % 2 = 0 THEN strftime(CAST(ts AS DATE) - CAST(k % 5 AS INTEGER), '%d-%m-%Y')
@@ -29,7 +30,7 @@ SELECT CAST(ts AS TIMESTAMP) AS Report_Date,
   CAST(event_id AS BIGINT) AS sourceId
 FROM ev_k"""),
     ("raw_p", """
-SELECT *, CASE WHEN regexp_full_match(_s, '[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}')
+SELECT *, CASE WHEN regexp_full_match(_s, '[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}') AND right(_s, 4) <> '0000'
                THEN try_strptime(_s, '%d.%m.%Y') END AS _p
 FROM (SELECT *, regexp_replace(regexp_replace(Service_Date, '[^0-9]+', '.', 'g'), '^[^0-9]', '') AS _s FROM raw)"""),
     ("msg", """
@@ -67,7 +68,8 @@ FROM roster r LEFT JOIN cw ON r.reporting_number = cw.old_number"""),
 SELECT 'called' AS event, "timestamp" AS event_time, _id AS record_id, code AS updates_code FROM msg_k WHERE k % 6 = 0
 UNION ALL SELECT 'attempted', "timestamp", _id, NULL FROM msg_k WHERE k % 7 = 0
 UNION ALL SELECT 'noConsent', "timestamp", _id, NULL FROM msg_k WHERE k % 13 = 0
-UNION ALL SELECT 'called', "timestamp", 'x' || CAST(sourceId AS VARCHAR), NULL FROM msg_k WHERE k % 41 = 0"""),
+UNION ALL SELECT 'called', "timestamp", 'x' || CAST(sourceId AS VARCHAR), NULL FROM msg_k WHERE k % 41 = 0
+UNION ALL SELECT 'visited', "timestamp", _id, NULL FROM msg_k WHERE k % 43 = 0"""),
     ("flags", """
 SELECT record_id, bool_or(event = 'called') AS called, bool_or(event = 'attempted') AS attempted,
   bool_or(event = 'noConsent') AS noConsent
@@ -132,8 +134,10 @@ SELECT * REPLACE ('Test' AS chw_district, coalesce(training_date, TIMESTAMP '197
   coalesce(workerName, 'Tester McTesterson') AS workerName)
 FROM enriched WHERE training"""),
     ("oldq", """
-SELECT n_name AS district, CAST(s.seq AS BIGINT) AS seq, '{"old":' || CAST(s.seq AS VARCHAR) || '}' AS payload
-FROM nation, LATERAL (SELECT unnest(range(1, n_nationkey % 5 + 1)) AS seq) s"""),
+SELECT district, CAST(s.seq AS BIGINT) AS seq, '{"old":' || CAST(s.seq AS VARCHAR) || '}' AS payload
+FROM (SELECT n_name AS district, n_nationkey % 5 * CASE WHEN n_nationkey % 10 = 4 THEN 1000 ELSE 1 END AS n FROM nation
+      UNION ALL SELECT 'closed ' || n_name, 3 FROM nation WHERE n_nationkey % 6 = 0) d,
+     LATERAL (SELECT unnest(range(1, d.n + 1)) AS seq) s"""),
 ]
 
 
@@ -181,15 +185,24 @@ _VISIT_PATTERNS = [
     ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "%d/%m/%Y"),
     ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "%m-%d-%Y"),
     ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "%d-%m-%Y"),
+    ("^[0-9]{8}$", "%Y%m%d"),
+    ("^[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}$", "%d %b %Y"),
+    ("^[0-9]{1,2} [A-Z][a-z]{3,8} [0-9]{4}$", "%d %B %Y"),
+    ("^[A-Z][a-z]{2} [0-9]{1,2},? [0-9]{4}$", "%b %d %Y"),
+    ("^[A-Z][a-z]{3,8} [0-9]{1,2},? [0-9]{4}$", "%B %d %Y"),
 ]
 
 
 def _visit(v: str) -> str:
-    parts = ", ".join(
-        f"CASE WHEN regexp_matches(trim({v}), '{rx}') THEN try_strptime(trim({v}), '{fmt}') END"
-        for rx, fmt in _VISIT_PATTERNS
-    )
-    return f"strftime(CAST(coalesce({parts}) AS DATE), '%Y-%m-%d')"
+    """ISO day of a free-form visit date: date part of a date-time, completed year, capitalised month name."""
+    t = f"regexp_replace(trim({v}), '^([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})[T ][0-9]{{1,2}}:[0-9]{{2}}.*$', '\\1')"
+    short = "'^[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{2}$'"
+    full = f"left({t}, -2) || CASE WHEN right({t}, 2) >= '69' THEN '19' ELSE '20' END || right({t}, 2)"
+    words = f"""array_to_string([upper(w[1]) || lower(w[2:]) for w in string_split({t}, ' ')], ' ')"""
+    t = (f"CASE WHEN regexp_full_match({t}, {short}) THEN {full} "
+         f"WHEN regexp_matches({t}, '[A-Za-z]') THEN replace({words}, ',', '') ELSE {t} END")
+    parts = ", ".join(f"CASE WHEN regexp_matches(t, '{rx}') THEN try_strptime(t, '{fmt}') END" for rx, fmt in _VISIT_PATTERNS)
+    return f"(SELECT strftime(CAST(coalesce({parts}) AS DATE), '%Y-%m-%d') FROM (SELECT {t} AS t))"
 
 
 _K5 = ["senderPhone", "patientPhone", "patientName", "code", "_sday"]
@@ -201,23 +214,29 @@ def _eq(l: str, r: str, lk, rk) -> str:
 
 
 CTES += [
-    ("sv6", "SELECT *, CAST(patientPhone AS INTEGER) AS k FROM dd WHERE CAST(patientPhone AS INTEGER) % 6 = 0"),
+    ("sv6", """
+SELECT *, CAST(serviceDate AS DATE) + CASE WHEN k % 18 = 0 THEN 1 ELSE 0 END AS _v
+FROM (SELECT *, CAST(patientPhone AS INTEGER) AS k FROM dd) WHERE k % 6 = 0"""),
     ("resp", """
 SELECT sourceId AS response_id, "timestamp" + INTERVAL 2 DAY AS submitted_at, senderPhone AS workerphone,
   'w' || senderPhone AS worker,
   CASE WHEN k % 54 = 0 THEN '9' || patientPhone ELSE patientPhone END AS patientphone,
-  lower(patientName) AS patient, lower(code) AS code,
-  CASE WHEN k % 36 = 0 THEN strftime(CAST(serviceDate AS DATE) + CASE WHEN k % 18 = 0 THEN 1 ELSE 0 END, '%m.%d.%Y')
-       ELSE strftime(CAST(serviceDate AS DATE) + CASE WHEN k % 18 = 0 THEN 1 ELSE 0 END, '%Y-%m-%d') END AS visitdate,
+  CASE WHEN k % 90 = 0 THEN 'someone' ELSE lower(patientName) END AS patient, lower(code) AS code,
+  CASE WHEN k % 36 = 0 THEN strftime(_v, '%m.%d.%Y') WHEN k % 66 = 0 THEN 'soon'
+       WHEN k % 30 = 0 THEN strftime(_v, '%Y-%m-%dT12:00:00Z') WHEN k % 42 = 0 THEN strftime(_v, '%-d %b %Y')
+       WHEN k % 78 = 0 THEN strftime(_v, '%-m/%-d/%y') WHEN k % 102 = 0 THEN strftime(_v, '%Y%m%d')
+       ELSE strftime(_v, '%Y-%m-%d') END AS visitdate,
   _id AS messageid, (k % 60 <> 0) AS called,
   CASE WHEN k % 60 = 0 THEN NULL ELSE (k % 12 = 0) END AS provided_care
 FROM sv6
 UNION ALL
 SELECT sourceId + 1000000, "timestamp" + INTERVAL 2 DAY + INTERVAL 1 HOUR, senderPhone, 'w' || senderPhone,
   CASE WHEN k % 54 = 0 THEN '9' || patientPhone ELSE patientPhone END,
-  lower(patientName), lower(code),
-  CASE WHEN k % 36 = 0 THEN strftime(CAST(serviceDate AS DATE) + CASE WHEN k % 18 = 0 THEN 1 ELSE 0 END, '%m.%d.%Y')
-       ELSE strftime(CAST(serviceDate AS DATE) + CASE WHEN k % 18 = 0 THEN 1 ELSE 0 END, '%Y-%m-%d') END,
+  CASE WHEN k % 90 = 0 THEN 'someone' ELSE lower(patientName) END, lower(code),
+  CASE WHEN k % 36 = 0 THEN strftime(_v, '%m.%d.%Y') WHEN k % 66 = 0 THEN 'soon'
+       WHEN k % 30 = 0 THEN strftime(_v, '%Y-%m-%dT12:00:00Z') WHEN k % 42 = 0 THEN strftime(_v, '%-d %b %Y')
+       WHEN k % 78 = 0 THEN strftime(_v, '%-m/%-d/%y') WHEN k % 102 = 0 THEN strftime(_v, '%Y%m%d')
+       ELSE strftime(_v, '%Y-%m-%d') END,
   _id, (k % 60 <> 0), CASE WHEN k % 60 = 0 THEN NULL ELSE NOT (k % 12 = 0) END
 FROM sv6 WHERE sourceId % 4 = 0"""),
     ("cs", f"""
@@ -240,18 +259,9 @@ WHERE NOT EXISTS (SELECT 1 FROM sr s WHERE {_eq('m', 's', _K5, _R5)})"""),
     ("orph1", f"""
 SELECT s.* FROM sr s WHERE NOT EXISTS (SELECT 1 FROM ml m WHERE {_eq('m', 's', _K5, _R5)})"""),
     ("right1", "SELECT *, 'right_only' AS _merge FROM orph1"),
-    ("mday", """
-SELECT * EXCLUDE (_rn) FROM (
-  SELECT *, CAST(serviceDate AS DATE) AS _d,
-    row_number() OVER (PARTITION BY senderPhone, patientPhone, patientName, code, CAST(serviceDate AS DATE)
-                       ORDER BY "timestamp" DESC, _id DESC) AS _rn
-  FROM ml) WHERE _rn = 1"""),
     ("both2", f"""
-SELECT * EXCLUDE (_r, _d, _sday) FROM (
-  SELECT m.*, o.* EXCLUDE (code), 'both' AS _merge,
-    row_number() OVER (PARTITION BY o.response_id
-                       ORDER BY abs(date_diff('day', m._d, CAST(o.visitdate AS DATE))), m._d) AS _r
-  FROM orph1 o JOIN mday m ON {_eq('m', 'o', _K5[:4], _R5[:4])}) WHERE _r = 1"""),
+SELECT m.* EXCLUDE (_sday), o.* EXCLUDE (code), 'both' AS _merge
+FROM ml m JOIN orph1 o ON {_eq('m', 'o', _K5[:4], _R5[:4])}"""),
     ("orph2", f"""
 SELECT o.* RENAME (called_typeform AS called, patientphone_typeform AS patientphone) FROM orph1 o
 WHERE NOT EXISTS (SELECT 1 FROM ml m WHERE {_eq('m', 'o', _K5[:4], _R5[:4])})"""),
@@ -279,7 +289,7 @@ CTES += [
 SELECT DISTINCT senderPhone AS reporting_number, senderPhone AS contact_number, 'Tester McTesterson' AS name,
   'Test' AS chw_district, CAST(NULL AS TIMESTAMP) AS training_date, CAST(NULL AS INTEGER) AS treat,
   CAST(NULL AS VARCHAR) AS phone_ps
-FROM dd WHERE senderPhone IS NOT NULL
+FROM msg WHERE senderPhone IS NOT NULL
   AND senderPhone NOT IN (SELECT reporting_number FROM roster
                           UNION SELECT new_payment_number FROM cw WHERE new_payment_number IS NOT NULL)"""),
     ("dir_old", "SELECT * FROM roster WHERE CAST(reporting_number AS BIGINT) % 2 = 0"),
@@ -358,7 +368,7 @@ UNION ALL BY NAME SELECT * FROM right1""",
     "orphan_candidates": "SELECT * FROM ocand",
     "roster_coverage": """
 SELECT CAST(count(*) AS BIGINT) AS missing FROM report r
-WHERE r.training = false AND NOT EXISTS (SELECT 1 FROM roster_t t WHERE t.reporting_number = r.paymentPhone)""",
+WHERE r.training = false AND NOT EXISTS (SELECT 1 FROM dir_old t WHERE t.reporting_number = r.paymentPhone)""",
     "final_report": """
 SELECT r.* EXCLUDE (_merge), t.contact_number FROM report r JOIN roster_t t ON r.paymentPhone = t.reporting_number""",
     "testers": "SELECT * FROM tst",
@@ -373,7 +383,7 @@ SELECT * FROM f2e n WHERE NOT EXISTS (
     "repair_dates": """
 SELECT _id, CASE WHEN _p IS NOT NULL AND _p <= Report_Date THEN _p ELSE Report_Date END AS serviceDate FROM leg_raw""",
     "date_or_keep": """
-SELECT sourceId, Service_Date, coalesce(strftime(CASE WHEN regexp_full_match(Service_Date, '[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}')
+SELECT sourceId, Service_Date, coalesce(strftime(CASE WHEN regexp_full_match(Service_Date, '[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}') AND right(Service_Date, 4) <> '0000'
   THEN try_strptime(Service_Date, '%d.%m.%Y') END, '%Y-%m-%d'), Service_Date) AS serviceDate FROM raw""",
     "payment_windows": f"""
 SELECT reporting_number, training_date, _anchor + to_months(CAST(m AS INTEGER)) AS window_start,
@@ -408,6 +418,10 @@ SELECT
   (SELECT CAST(count(*) AS BIGINT) FROM sev WHERE record_id NOT IN (SELECT _id FROM dd)) AS events_unknown_ids,
   (SELECT CAST(count(*) AS BIGINT) FROM resp WHERE provided_care IS NOT NULL AND visitdate IS NOT NULL
      AND {_visit('visitdate')} IS NULL) AS unreadable_visit_dates""",
+    "parse_service_date": """
+SELECT sourceId, CASE WHEN _p IS NOT NULL AND _p <= Report_Date AND _p >= Report_Date - INTERVAL 56 DAY
+  THEN _p ELSE date_trunc('day', Report_Date) END AS serviceDate FROM raw_p""",
+    "message_id": "SELECT sourceId, _id FROM msg",
     "unique_visits": """
 SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY patientName, code, serviceDate, patientPhone
   ORDER BY "timestamp", _id) AS _rn FROM enriched

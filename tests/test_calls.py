@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldreports import schemas
 from fieldreports.operators import calls as C
-from fieldreports.operators.common import nearest_match, rank_within
+from fieldreports.operators.common import nearest_day, rank_in_slices
 from fieldreports.operators.normalize import json_payload
 
 MSG = "paymentPhone string, serviceDate timestamp_ntz, called boolean, attempted boolean"
@@ -16,29 +16,41 @@ ORDER = ("serviceDate", "called", "attempted")
 
 @pytest.fixture()
 def messages(spark):
-    rows = [
-        ("bar", datetime(2018, 4, 1), True, False),
-        ("bar", datetime(2018, 4, 1), False, False),
-        ("foo", datetime(2018, 5, 1), False, False),
-    ]
+    """Worker 31: five reports, two called; worker 32: four reports, none called; one report without a number."""
+    rows = [("31", datetime(2021, 3, d), d in (2, 9), False) for d in (1, 2, 2, 9, 20)]
+    rows += [("32", datetime(2021, 3, d), False, True) for d in (4, 5, 6, 7)] + [(None, datetime(2021, 3, 1), True, False)]
     return spark.createDataFrame(rows, MSG)
 
 
-def test_call_counts(messages):
-    rows = C.call_counts(messages).orderBy("paymentPhone").collect()
-    assert [r["reports"] for r in rows] == [2, 1]
-    assert [r["called"] for r in rows] == [1, 0]
+def test_reports_and_calls_per_worker(messages):
+    rows = {r["paymentPhone"]: (r["reports"], r["called"]) for r in C.call_counts(messages).collect()}
+    assert rows == {"31": (5, 3), "32": (4, 0)}
 
 
-def test_needed_calls(messages):
-    rows = C.needed_calls(C.call_counts(messages), 0.6).orderBy("paymentPhone").collect()
-    assert [r["needed"] for r in rows] == [1, 1]
+@pytest.mark.parametrize("target, needed", [(0.2, {"31": -2, "32": 1}), (0.5, {"31": 0, "32": 2}), (1.0, {"31": 2, "32": 4})])
+def test_quota_is_rounded_up_and_less_the_calls_made(messages, target, needed):
+    rows = C.needed_calls(C.call_counts(messages), target).collect()
+    assert {r["paymentPhone"]: r["needed"] for r in rows} == needed
 
 
-def test_pick_needed_calls(messages):
-    needed = C.needed_calls(C.call_counts(messages), 0.6)
+def test_first_reports_of_each_worker_are_picked(messages):
+    needed = C.needed_calls(C.call_counts(messages), 0.5)
     picked = C.pick_needed_calls(needed, messages, ORDER)
-    assert picked.count() == 2 and len(picked.columns) == 4
+    assert [(r["paymentPhone"], r["serviceDate"].day) for r in picked.orderBy("paymentPhone", "serviceDate").collect()] == [("32", 4), ("32", 5)]
+    assert picked.columns == messages.columns
+
+
+def test_batch_takes_quota_and_rank_from_one_ranking(spark):
+    schema = ("paymentPhone string, serviceDate timestamp_ntz, timestamp timestamp_ntz, _id string, called boolean, "
+              "training boolean, noConsent boolean")
+    rows = [(str(w), datetime(2021, 3, 1 + i % 9), datetime(2021, 3, 1 + i % 9, i % 24), f"{w}-{i:03d}", i % w == 0, False, False)
+            for w in (2, 3, 7) for i in range(11 * w)]
+    df = spark.createDataFrame(rows, schema)
+    as_of = datetime(2021, 3, 12)
+    two_steps = C.pick_needed_calls(C.needed_calls(C.call_counts(df), 0.4), df)
+    one = C.call_batch(df, as_of, 0.4)
+    assert one.columns == df.columns
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two_steps.collect()))
 
 
 def test_negative_quota_keeps_all_but_last(spark):
@@ -50,9 +62,9 @@ def test_negative_quota_keeps_all_but_last(spark):
 
 
 def test_worker_without_quota_gets_nothing(spark, messages):
-    needed = spark.createDataFrame([("bar", 5)], "paymentPhone string, needed bigint")
+    needed = spark.createDataFrame([("32", 5)], "paymentPhone string, needed bigint")
     picked = C.pick_needed_calls(needed, messages, ORDER)
-    assert {r["paymentPhone"] for r in picked.collect()} == {"bar"}
+    assert {r["paymentPhone"] for r in picked.collect()} == {"32"}
 
 
 def queue(spark, rows):
@@ -70,32 +82,31 @@ def as_lists(df):
     return out
 
 
-def test_refresh_leaves_only_new_records(spark):
-    old = queue(spark, [("foo", 1, "bar"), ("baz", 1, "bar")])
-    new = entries(spark, [("foo", "f0", "1"), ("foo", "f1", "2"), ("baz", "b0", "1")])
-    assert as_lists(C.queue_refresh(old, new)) == {"foo": ["f0", "f1"], "baz": ["b0"]}
+def test_a_batch_as_long_as_the_queue_replaces_it(spark):
+    old = queue(spark, [("east", 1, "o1"), ("east", 2, "o2"), ("west", 4, "o")])
+    new = entries(spark, [("east", "n2", "b"), ("east", "n1", "a"), ("west", "n2", "b"), ("west", "n1", "a")])
+    assert as_lists(C.queue_refresh(old, new)) == {"east": ["n1", "n2"], "west": ["n1", "n2"]}
 
 
-def test_refresh_with_long_queue_drops_only_the_oldest(spark):
-    old = queue(spark, [("foo", 1, "1"), ("foo", 2, "2"), ("foo", 3, "3")])
-    new = entries(spark, [("foo", "new", "1")])
-    out = C.queue_refresh(old, new)
-    assert as_lists(out) == {"foo": ["2", "3", "new"]}
-    assert [r["seq"] for r in out.orderBy("seq").collect()] == [1, 2, 3]
+def test_a_short_batch_pushes_out_the_oldest(spark):
+    old = queue(spark, [("east", n, f"o{n}") for n in (3, 5, 8, 9)])
+    out = C.queue_refresh(old, entries(spark, [("east", "n", "a")]))
+    assert as_lists(out) == {"east": ["o5", "o8", "o9", "n"]}
+    assert [r["seq"] for r in out.orderBy("seq").collect()] == [1, 2, 3, 4]
 
 
 def test_refresh_accepts_null_district_and_keeps_other_districts(spark):
-    old = queue(spark, [("keep", 7, "k"), (None, 1, "o")])
-    new = entries(spark, [(None, "n", "1")])
-    got = as_lists(C.queue_refresh(old, new))
-    assert got == {None: ["n"], "keep": ["k"]}
+    old = queue(spark, [("south", 7, "k"), (None, 1, "o")])
+    out = C.queue_refresh(old, entries(spark, [(None, "n", "1")]))
+    assert as_lists(out) == {None: ["n"], "south": ["k"]}
+    assert out.where("district = 'south'").first()["seq"] == 7
 
 
 def test_payload_keeps_nulls(spark):
-    df = spark.createDataFrame([(None, "foo")], "bar double, chw_district string")
+    df = spark.createDataFrame([(None, "east")], "amount double, chw_district string")
     payload = df.select(json_payload(df)).first()[0]
-    assert json.loads(payload) == {"bar": None, "chw_district": "foo"}
-    assert '"bar":null' in payload
+    assert json.loads(payload) == {"amount": None, "chw_district": "east"}
+    assert '"amount":null' in payload
 
 
 def test_training_batch_defaults(spark):
@@ -117,8 +128,7 @@ def test_call_candidates_window_is_strict(spark):
     assert [r[0] for r in C.call_candidates(df, as_of).collect()] == [datetime(2018, 5, 14)]
 
 
-@pytest.mark.parametrize("max_group_rows", [None, 1_000_000], ids=["sliced", "window"])
-def test_rank_within_matches_row_number_on_a_hot_group(spark, max_group_rows):
+def test_slices_give_the_row_number_of_a_hot_group(spark):
     # one key holds half the rows; NULL keys form a group of their own
     df = spark.range(0, 6000).select(
         F.when(F.col("id") % 2 == 0, F.lit("hot"))
@@ -127,33 +137,18 @@ def test_rank_within_matches_row_number_on_a_hot_group(spark, max_group_rows):
         ((F.col("id") * 7919) % 6007).alias("o"),
         F.col("id"),
     )
-    ranked = rank_within(df, ["g"], ["o", "id"], "r", "n", num_slices=6, max_group_rows=max_group_rows)
-    ref = df.withColumn("e", F.row_number().over(Window.partitionBy("g").orderBy("o", "id"))).withColumn(
-        "c", F.count(F.lit(1)).over(Window.partitionBy("g")))
+    ranked = rank_in_slices(df, ["g"], {"_s": F.floor(F.col("o") / 500)}, ["o", "id"], {"n": F.lit(1), "t": F.col("o")}, "r")
+    group = Window.partitionBy("g")
+    ref = df.select("id", F.row_number().over(group.orderBy("o", "id")).alias("e"),
+                    F.count(F.lit(1)).over(group).alias("c"), F.sum("o").over(group).alias("u"))
     joined = ranked.join(ref, "id")
     assert joined.count() == 6000
-    assert joined.where((F.col("r") != F.col("e")) | (F.col("n") != F.col("c"))).count() == 0
-
-
-@pytest.mark.parametrize("max_group_rows", [None, 1_000_000], ids=["sliced", "window"])
-def test_nearest_match_picks_nearest_day(spark, max_group_rows):
-    left = spark.createDataFrame(
-        [("a", "2018-01-01", "m1"), ("a", "2018-01-10", "m2"), ("a", "2018-01-20", "m3"), ("b", "2018-01-05", "m4")],
-        "k string, d string, mid string").withColumn("d", F.to_date("d"))
-    right = spark.createDataFrame(
-        [(1, "a", "2018-01-04"), (2, "a", "2018-01-16"), (3, "a", "2018-01-15"), (4, "c", "2018-01-01"),
-         (5, "a", "2017-12-01"), (6, "b", "2018-03-01")],
-        "rid int, k string, d string").withColumn("d", F.to_date("d"))
-    out = nearest_match(left, right, ["k"], ["k"], F.col("d"), F.col("d"), num_slices=3,
-                        max_group_rows=max_group_rows)
-    got = {r["rid"]: (r["_match"]["mid"] if r["_match"] else None) for r in out.collect()}
-    # 15th is 5 days from both the 10th and the 20th: the earlier day wins
-    assert got == {1: "m1", 2: "m3", 3: "m2", 4: None, 5: "m1", 6: "m4"}
+    assert joined.where("r <> e OR n <> c OR t <> u").count() == 0
 
 
 def _simulate_lists(old, new):
-    """The reference's list behaviour: the size is read before pushing the
-    batch at the head, then the list is trimmed. Lists are oldest-first here."""
+    """Queues as lists, oldest first: the length is read before the batch is
+    pushed, then the list is trimmed."""
     out = {}
     for district in set(old) | set(new):
         before = list(old.get(district, []))
@@ -168,25 +163,22 @@ def _simulate_lists(old, new):
     return out
 
 
-@pytest.mark.parametrize("max_group_rows", [None, 1_000_000], ids=["sliced", "window"])
-def test_queue_refresh_matches_list_semantics(spark, max_group_rows):
+@pytest.mark.parametrize("seed", [5, 6, 7])
+def test_refresh_by_two_batches_is_two_list_refreshes(spark, seed, monkeypatch):
     import random
 
-    rnd = random.Random(5)
-    old, new = {}, {}
-    for d in ["a", "b", "c", "d", None]:
-        old[d] = [f"{d}-old-{i}" for i in range(rnd.randrange(0, 6))]
-        n = rnd.randrange(0, 6)
-        if n:
-            new[d] = [f"{d}-new-{i}" for i in range(n)]
+    monkeypatch.setattr(C, "SEQ_SLICE", 2)
+    rnd = random.Random(seed)
+    old, new, more = {}, {}, {}
+    for d in ["a", "b", "c", "d", "e", None]:
+        for name, lists in (("old", old), ("new", new), ("more", more)):
+            n = rnd.randrange(0, 6) if rnd.random() < 0.7 else 0
+            if n or lists is old:
+                lists[d] = [f"{d}-{name}-{i}" for i in range(n)]
     old_rows = [(d, i + 1, p) for d, ps in old.items() for i, p in enumerate(ps)]
-    new_rows = [(d, p, f"{i:03d}") for d, ps in new.items() for i, p in enumerate(ps)]
-    spark.conf.set("fieldreports.maxGroupRows", str(max_group_rows or 0))
-    try:
-        got = as_lists(C.queue_refresh(queue(spark, old_rows), entries(spark, new_rows)))
-    finally:
-        spark.conf.unset("fieldreports.maxGroupRows")
-    expected = {d: ps for d, ps in _simulate_lists(old, new).items() if ps}
+    batch = lambda lists: entries(spark, [(d, p, f"{i:03d}") for d, ps in lists.items() for i, p in enumerate(ps)])
+    got = as_lists(C.queue_refresh(queue(spark, old_rows), batch(new), batch(more)))
+    expected = {d: ps for d, ps in _simulate_lists(_simulate_lists(old, new), more).items() if ps}
     assert got == expected
 
 
@@ -215,33 +207,23 @@ def test_literals_do_not_depend_on_the_process_time_zone(spark):
     assert filled["training_date"] == datetime(1970, 1, 1)
 
 
-@pytest.mark.parametrize("max_group_rows", [None, 1_000_000], ids=["sliced", "window"])
-def test_nearest_match_against_brute_force(spark, max_group_rows):
+def test_nearest_day_against_brute_force(spark):
     import random
     from datetime import date, timedelta
 
     rnd = random.Random(17)
     base = date(2024, 1, 1)
-    keys = ["a", "b", "c", None]
-    left_rows, seen = [], set()
-    for i in range(300):
-        k, d = rnd.choice(keys), rnd.randrange(0, 60)
-        if (k, d) in seen:
-            continue
-        seen.add((k, d))
-        left_rows.append((k, base + timedelta(days=d), f"L{i}"))
-    right_rows = [(j, rnd.choice(keys + ["z"]), base + timedelta(days=rnd.randrange(-5, 65))) for j in range(400)]
-    left = spark.createDataFrame(left_rows, "k string, d date, lid string")
-    right = spark.createDataFrame(right_rows, "rid int, k string, d date")
-    out = nearest_match(left, right, ["k"], ["k"], F.col("d"), F.col("d"), num_slices=5,
-                        max_group_rows=max_group_rows, right_order=["rid"])
-    got = {r["rid"]: (r["_match"]["lid"] if r["_match"] else None) for r in out.collect()}
+    have = {(rnd.choice("abc"), base + timedelta(days=rnd.randrange(0, 60))): f"L{i}" for i in range(60)}
+    want = {(rnd.choice("abcz"), base + timedelta(days=rnd.randrange(-5, 65))) for _ in range(150)}
+    left = spark.createDataFrame([(k, d, x) for (k, d), x in have.items()], "k string, d date, name string")
+    asked = spark.createDataFrame(sorted(want), "k string, d date")
+    got = {(r["k"], r["d"]): r["_match"]["name"] if r["_match"] else None for r in nearest_day(left, asked, "k", "d").collect()}
 
     def brute(k, d):
-        cands = [(abs((ld - d).days), ld, lid) for lk, ld, lid in left_rows if lk == k]
-        return min(cands)[2] if cands else None   # nearest, then earlier day
+        found = [(abs((ld - d).days), ld, x) for (lk, ld), x in have.items() if lk == k]
+        return min(found)[2] if found else None   # nearest, then earlier day
 
-    assert got == {rid: brute(k, d) for rid, k, d in right_rows}
+    assert got == {(k, d): brute(k, d) for k, d in want}
 
 
 def test_refresh_with_an_empty_batch_changes_nothing(spark):

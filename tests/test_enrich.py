@@ -5,131 +5,99 @@ from pyspark.sql import functions as F
 
 from fieldreports.operators import enrich as E
 
-TRAINED = datetime(2018, 1, 1)
-ROSTER_SCHEMA = "contact_number string, phone_ps string, reporting_number string, treat int, training_date timestamp_ntz, name string, chw_district string"
-MSG_SCHEMA = "senderPhone string, otherkey string, _id string, serviceDate timestamp_ntz"
-EVENT_SCHEMA = "event string, event_time timestamp_ntz, record struct<_id:string>"
+TRAINED = datetime(2021, 6, 10)
+ROSTER = "reporting_number string, contact_number string, phone_ps string, treat int, training_date timestamp_ntz, name string, chw_district string"
+REPORT = "_id string, senderPhone string, note string, serviceDate timestamp_ntz"
+EVENT = "event string, event_time timestamp_ntz, record struct<_id:string>"
 
 
 @pytest.fixture()
 def roster(spark):
-    rows = [
-        ("n", "a", "foo", 0), ("n", "b", "baz", 1), ("n", "c", "bar", 2),
-        ("n", "d", "qux", 3), ("n", "d", "brat", 3), ("n", "f", "ham", 3),
-    ]
-    return spark.createDataFrame([r + (TRAINED, f"name {r[2]}", "D1") for r in rows], ROSTER_SCHEMA)
+    return spark.createDataFrame(
+        [(f"700{i}", f"800{i}", f"90{i % 2}", i % 4, TRAINED, f"Worker {i}", "North") for i in range(5)], ROSTER)
 
 
 @pytest.fixture()
-def messages(spark):
-    rows = [
-        ("foo", "otherval", "foo", datetime(2018, 1, 1, 5, 35)),
-        ("bar", "otherval", "bar", datetime(2018, 2, 2, 3, 45)),
-        ("foo", "otherval", "baz", datetime(2018, 2, 2, 1, 10)),
-    ]
-    return spark.createDataFrame(rows, MSG_SCHEMA)
-
-
-def crosswalk(spark, pairs):
-    return spark.createDataFrame(pairs, "old_number string, new_payment_number string")
-
-
-def by_id(df, col):
-    return {r["_id"]: r[col] for r in df.collect()}
-
-
-def test_translate_numbers_replaces_numbers_in_roster(spark, roster):
-    cw = crosswalk(spark, [("foo", "newnumber")])
-    new = E.translate_numbers(roster, cw, "reporting_number", "reporting_number")
-    numbers = {r[0] for r in new.select("reporting_number").collect()}
-    assert "foo" not in numbers and "newnumber" in numbers
-    assert "foo" in {r[0] for r in roster.select("reporting_number").collect()}
-    assert new.columns == roster.columns
-
-
-def test_translate_numbers_translates_messages_to_new_key(spark, messages):
-    cw = crosswalk(spark, [("foo", "newnumber")])
-    new = E.translate_numbers(messages, cw, "senderPhone", "paymentPhone")
-    assert by_id(new, "paymentPhone") == {"foo": "newnumber", "bar": "bar", "baz": "newnumber"}
-    assert by_id(new, "senderPhone") == by_id(messages, "senderPhone")
-
-
-def test_translate_numbers_many_to_one(spark, messages):
-    m = messages.withColumn("senderPhone", F.when(F.col("_id") == "baz", "foo1").otherwise(F.col("senderPhone")))
-    cw = crosswalk(spark, [("foo", "newnumber"), ("foo1", "newnumber")])
-    new = E.translate_numbers(m, cw, "senderPhone", "paymentPhone")
-    assert by_id(new, "paymentPhone") == {"foo": "newnumber", "bar": "bar", "baz": "newnumber"}
-
-
-def test_translate_numbers_is_one_hop(spark, messages):
-    cw = crosswalk(spark, [("foo", "mid"), ("mid", "last")])
-    new = E.translate_numbers(messages, cw, "senderPhone", "paymentPhone")
-    assert by_id(new, "paymentPhone")["foo"] == "mid"
-
-
-def test_merge_worker_info(messages, roster):
-    m = E.merge_worker_info(messages.withColumn("paymentPhone", F.col("senderPhone")), roster)
-    assert "treat" in m.columns and "workerName" in m.columns
-    assert "reporting_number" not in m.columns and "contact_number" not in m.columns
-    assert by_id(m, "treat") == {"foo": 0, "bar": 2, "baz": 0}
-
-
-def test_assign_tester_numbers(spark, messages, roster):
-    extra = spark.createDataFrame([("trainee", "otherval", "zzz", None)], MSG_SCHEMA)
-    m = messages.unionByName(extra).withColumn("paymentPhone", F.col("senderPhone")).withColumn("training", F.lit(False))
-    tagged = E.tag_testers(m, roster)
-    assert by_id(tagged, "training") == {"foo": False, "bar": False, "baz": False, "zzz": True}
-    folded = E.merge_worker_info(m.drop("training"), roster, tester_flag="training")
-    assert by_id(folded, "training") == by_id(tagged, "training")
-
-
-def test_assign_training_messages(messages, roster):
-    m = E.merge_worker_info(messages.withColumn("paymentPhone", F.col("senderPhone")), roster)
-    tagged = E.tag_training_day(m.withColumn("training", F.lit(False)))
-    assert by_id(tagged, "training") == {"foo": True, "bar": False, "baz": False}
-
-
-def test_add_db_events_called(spark, messages):
-    ev = spark.createDataFrame(
-        [("called", datetime(2018, 1, 3, 1, 1), ("foo",)), ("called", datetime(2018, 1, 3, 1, 1), ("bar",))],
-        EVENT_SCHEMA,
-    )
-    out = E.add_status_events(messages, ev)
-    assert by_id(out, "called") == {"foo": True, "bar": True, "baz": False}
-    assert set(by_id(out, "noConsent").values()) == {False}
-    assert set(by_id(out, "attempted").values()) == {False}
-
-
-def test_add_db_events_other_kinds_and_unknown_ids(spark, messages):
-    ev = spark.createDataFrame(
-        [
-            ("attempted", datetime(2018, 1, 3), ("foo",)),
-            ("noConsent", datetime(2018, 1, 3), ("bar",)),
-            ("attempted", datetime(2018, 1, 4), ("nope",)),
-            ("weird", datetime(2018, 1, 4), ("baz",)),
-        ],
-        EVENT_SCHEMA,
-    )
-    out = E.add_status_events(messages, ev)
-    assert out.count() == 3
-    assert set(by_id(out, "called").values()) == {False}
-    assert by_id(out, "attempted") == {"foo": True, "bar": False, "baz": False}
-    assert by_id(out, "noConsent") == {"foo": False, "bar": True, "baz": False}
-
-
-def test_pipeline_drops_duplicates(spark, roster):
-    schema = "_id string, serviceDate timestamp_ntz, ogServiceDate string, patientPhone string, patientName string, senderPhone string, timestamp timestamp_ntz, code string, sourceId bigint"
-    t = datetime(2018, 2, 3)
-    rows = [
-        ("foo", datetime(2018, 1, 1, 5, 35), "x", "p", "n", "foo", t, "A", 1),
-        ("bar", datetime(2018, 2, 2, 3, 45), "x", "p", "n", "bar", t, "A", 2),
-        ("baz", datetime(2018, 2, 2, 1, 10), "x", "p", "n", "foo", t, "A", 3),
-        ("bar", datetime(2018, 2, 2, 3, 45), "x", "p", "n", "bar", t, "A", 4),
-    ]
-    msgs = spark.createDataFrame(rows, schema)
-    ev = spark.createDataFrame([("attempted", t, ("foo",)), ("noConsent", t, ("bar",))], EVENT_SCHEMA)
-    out = E.enrich(msgs, ev, roster, crosswalk(spark, [("foo", "newnumber")]))
-    assert msgs.count() == 4
-    assert out.count() == 3
-    # first copy wins: the earlier landing id
-    assert sorted(r["sourceId"] for r in out.collect()) == [1, 2, 3]
+def reports(spark):
+    """Two reports of 7000 (one on the training day), one of 7003, one of a number outside the roster."""
+    return spark.createDataFrame([
+        ("r1", "7000", "a", datetime(2021, 6, 10, 16, 0)),
+        ("r2", "7003", "b", datetime(2021, 7, 1, 8, 30)),
+        ("r3", "7000", "c", datetime(2021, 7, 2, 9, 15)),
+        ("r4", "6666", "d", None),
+    ], REPORT)
+
+
+def changes(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "old_number string, new_payment_number string")
+
+
+def column(df, name):
+    return {r["_id"]: r[name] for r in df.collect()}
+
+
+def test_a_changed_number_replaces_the_roster_number(spark, roster):
+    now = E.translate_numbers(roster, changes(spark, ("7001", "7901")), "reporting_number", "reporting_number")
+    assert sorted(r["reporting_number"] for r in now.collect()) == ["7000", "7002", "7003", "7004", "7901"]
+    assert now.columns == roster.columns
+
+
+def test_reports_get_the_number_to_pay_and_keep_the_sender(spark, reports):
+    now = E.translate_numbers(reports, changes(spark, ("7000", "7900"), ("7003", "7900")), "senderPhone", "paymentPhone")
+    assert column(now, "paymentPhone") == {"r1": "7900", "r2": "7900", "r3": "7900", "r4": "6666"}
+    assert column(now, "senderPhone") == column(reports, "senderPhone")
+
+
+def test_a_new_number_is_not_looked_up_again(spark, reports):
+    now = E.translate_numbers(reports, changes(spark, ("7003", "7500"), ("7500", "7999")), "senderPhone", "paymentPhone")
+    assert column(now, "paymentPhone")["r2"] == "7500"
+
+
+def paid(reports):
+    return reports.withColumn("paymentPhone", F.col("senderPhone"))
+
+
+def test_worker_columns_join_by_the_number_to_pay(reports, roster):
+    info = E.merge_worker_info(paid(reports), roster)
+    assert column(info, "treat") == {"r1": 0, "r2": 3, "r3": 0, "r4": None}
+    assert column(info, "workerName")["r2"] == "Worker 3"
+    assert not {"reporting_number", "contact_number", "name"} & set(info.columns)
+
+
+def test_numbers_outside_the_roster_are_testers(reports, roster):
+    flagged = E.tag_testers(paid(reports).withColumn("training", F.lit(False)), roster)
+    assert column(flagged, "training") == {"r1": False, "r2": False, "r3": False, "r4": True}
+    folded = E.merge_worker_info(paid(reports), roster, tester_flag="training")
+    assert column(folded, "training") == column(flagged, "training")
+    kept = E.tag_testers(paid(reports).withColumn("training", F.lit(True)), roster)
+    assert set(column(kept, "training").values()) == {True}
+
+
+def test_reports_up_to_the_training_day_are_training(reports, roster):
+    info = E.merge_worker_info(paid(reports), roster).withColumn("training", F.lit(False))
+    assert column(E.tag_training_day(info), "training") == {"r1": True, "r2": False, "r3": False, "r4": False}
+
+
+def test_event_flags(spark, reports):
+    at = datetime(2021, 7, 5, 12)
+    events = spark.createDataFrame(
+        [("called", at, ("r2",)), ("called", at, ("r2",)), ("attempted", at, ("r2",)), ("noConsent", at, ("r3",)),
+         ("called", at, ("unknown",)), ("renamed", at, ("r1",)), ("called", at, (None,))], EVENT)
+    out = E.add_status_events(reports, events)
+    assert out.count() == 4
+    assert column(out, "called") == {"r1": False, "r2": True, "r3": False, "r4": False}
+    assert column(out, "attempted") == {"r1": False, "r2": True, "r3": False, "r4": False}
+    assert column(out, "noConsent") == {"r1": False, "r2": False, "r3": True, "r4": False}
+
+
+def test_enrich_keeps_the_first_copy_of_a_report(spark, roster):
+    schema = ("_id string, serviceDate timestamp_ntz, ogServiceDate string, patientPhone string, patientName string, "
+              "senderPhone string, timestamp timestamp_ntz, code string, sourceId bigint")
+    day, early, late = datetime(2021, 7, 1), datetime(2021, 7, 1, 8), datetime(2021, 7, 1, 9)
+    rows = [("r1", day, "t", "p", "n", "7002", late, "K", 11), ("r1", day, "t", "p", "n", "7002", early, "K", 14),
+            ("r1", day, "t", "p", "n", "7002", early, "K", 12), ("r2", day, "t", "p", "n", "7004", late, "K", 13)]
+    events = spark.createDataFrame([("attempted", day, ("r1",))], EVENT)
+    out = E.enrich(spark.createDataFrame(rows, schema), events, roster, changes(spark, ("7004", "7904")))
+    assert column(out, "sourceId") == {"r1": 12, "r2": 13}
+    assert column(out, "paymentPhone") == {"r1": "7002", "r2": "7904"}
+    assert column(out, "attempted") == {"r1": True, "r2": False}

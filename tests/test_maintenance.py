@@ -23,6 +23,22 @@ def test_testers(spark):
     assert rows[0]["training_date"] is None
 
 
+def test_a_sender_of_a_later_copy_is_found(spark, tmp_dir):
+    """The id leaves the sender out, so copies of one report may come from two numbers."""
+    import os
+
+    from fieldreports.plans import jobs
+
+    raw = [(TS, "10.02.2018", "ann", "1", "500", "e", 1), (datetime(2018, 2, 28), "10.02.2018", "ann", "1", "501", "e", 2)]
+    data = {
+        "raw": spark.createDataFrame(raw, schemas.RAW_MESSAGE), "roster": roster(spark, ["400"]),
+        "crosswalk": spark.createDataFrame([], "old_number string, new_payment_number string"),
+        "directory": roster(spark, ["400"]),
+    }
+    written = jobs.run_maintenance(spark, data, os.path.join(tmp_dir, "out"), "1")
+    assert {r["reporting_number"] for r in spark.read.parquet(written["directory"]).collect()} == {"400", "500", "501"}
+
+
 def test_directory_upsert_inserts_only_new_numbers(spark):
     existing = roster(spark, ["a"]).withColumn("name", F.lit("old name"))
     found = M.testers(spark.createDataFrame([("c",), ("d",)], "senderPhone string"), roster(spark, []),

@@ -8,6 +8,7 @@ from fieldreports.functions.dates import (
     parse_roster_date,
     parse_service_date,
     parse_visit_date,
+    strict_dmy,
 )
 from fieldreports.functions.ids import message_id
 from fieldreports.operators.normalize import normalize_messages
@@ -144,3 +145,19 @@ def test_service_date_matches_python_rule_on_random_text(spark):
     expected = [_python_rule(t, r) for t, r in cases]
     mismatches = [(c, g, e) for c, g, e in zip(cases, got, expected) if g != e]
     assert not mismatches, mismatches[:5]
+
+
+def test_there_is_no_year_zero(spark):
+    df = spark.createDataFrame([("01.01.0000",), ("01.01.0001",)], "t string")
+    assert [r[0] is None for r in df.select(strict_dmy("t")).collect()] == [True, False]
+    assert [r[0] for r in df.select(date_or_keep("t")).collect()] == ["01.01.0000", "0001-01-01"]
+
+
+def test_free_form_visit_dates(spark):
+    day = "2018-10-02"
+    texts = {t: day for t in ("2018-10-02", "2018-10-02T12:00:00Z", "2018-10-02 07:30", "2 Oct 2018", "2 october 2018", "Oct 2, 2018",
+                              "October 2 2018", "10/2/18", "10.02.2018", "20181002", " 2018/10/2 ")}
+    texts |= {"13/2/99": "1999-02-13", "soon": None, "2018-13-40": None, "": None, "2018-10-02Tnoon": None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: str(r["d"]) if r["d"] else None for r in df.select("t", parse_visit_date("t").alias("d")).collect()}
+    assert got == texts

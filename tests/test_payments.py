@@ -7,21 +7,18 @@ from pyspark.sql import functions as F
 from fieldreports.functions import calendar
 from fieldreports.operators import payments as P
 
-AS_OF = datetime(2018, 6, 10)
-TRAINED = datetime(2018, 1, 1)
+AS_OF = datetime(2021, 9, 20)
+TRAINED = datetime(2021, 3, 14)
 SCHEMA = "paymentPhone string, serviceDate timestamp_ntz, phone_ps string, treat int, training_date timestamp_ntz, training boolean, timestamp timestamp_ntz, _id string, chw_district string, workerName string"
 
-RECORDS = [
-    ("01", datetime(2018, 2, 1), "13", 2),
-    ("01", datetime(2018, 4, 1), "13", 2),
-    ("02", datetime(2018, 4, 1), "12", 1),
-    ("03", datetime(2018, 4, 1), "14", 3),
-    ("04", datetime(2018, 5, 1), "11", 0),
-    ("04", datetime(2018, 5, 1), "11", 0),
-    ("01", datetime(2018, 5, 1), "12", 1),
-    ("05", datetime(2100, 12, 1), "14", 3),
+# (worker, service date, supervisor, arm): windows run from the 15th to the 15th
+VISITS = [
+    ("710", datetime(2021, 3, 20), "91", 2), ("710", datetime(2021, 4, 14), "91", 2), ("710", datetime(2021, 4, 15), "91", 2),
+    ("711", datetime(2021, 4, 1), "91", 3),
+    ("712", datetime(2021, 5, 20), "92", 1), ("712", datetime(2021, 5, 21), "92", 1),
+    ("713", datetime(2021, 5, 30), "93", 0),
+    ("714", datetime(2030, 1, 1), "93", 2),  # after the last window
 ]
-FAT = [("05", datetime(2018, m, 3), "14", 3) for m in range(3, 5) for _ in range(1, 50)]
 
 
 def frame(spark, records):
@@ -31,8 +28,8 @@ def frame(spark, records):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def ordered(df):
-    return df.orderBy("payment_due", "number").collect()
+def paid(df):
+    return {(r["number"], r["payment_due"].strftime("%m-%d")): (r["payment"], r["reports"]) for r in df.collect()}
 
 
 def windows(spark, trained, now):
@@ -40,17 +37,16 @@ def windows(spark, trained, now):
     return [(r["window_start"], r["window_end"]) for r in P.payment_windows(df, now).orderBy("window_start").collect()]
 
 
-def test_monther_makes_range(spark):
-    w = windows(spark, datetime(2018, 3, 5), datetime(2018, 5, 10))
-    assert w == [(datetime(2018, 3, 6), datetime(2018, 4, 6)), (datetime(2018, 4, 6), datetime(2018, 5, 6))]
+def test_windows_start_the_day_after_training(spark):
+    day = lambda m, d: datetime(2021, m, d)
+    assert windows(spark, day(7, 30), day(10, 5)) == [(day(7, 31), day(8, 31)), (day(8, 31), day(9, 30))]
 
 
-def test_monther_handles_all_dates(spark):
-    now = datetime(2018, 5, 10)
-    assert len(windows(spark, datetime(2017, 1, 10), now)) == 3   # 15 months wrap to 3
-    assert len(windows(spark, datetime(2018, 1, 9), now)) == 4
-    assert len(windows(spark, datetime(2017, 12, 10), now)) == 4
-    assert len(windows(spark, now, now)) == 0
+@pytest.mark.parametrize("trained, open_windows", [
+    (datetime(2021, 9, 20), 0), (datetime(2021, 8, 18), 1), (datetime(2021, 8, 19), 1), (datetime(2021, 8, 20), 0),
+    (datetime(2020, 7, 1), 2)])
+def test_number_of_windows_counts_whole_months_within_a_year(spark, trained, open_windows):
+    assert len(windows(spark, trained, AS_OF)) == open_windows
 
 
 def _months_component(now, anchor):
@@ -96,65 +92,59 @@ def test_payment_due_matches_window_loop_on_month_ends(spark):
     assert [r[0] for r in got] == expected
 
 
-def test_aggs_reports(spark):
-    df = spark.createDataFrame(
-        [("foo", datetime(2018, 5, 1)), ("bar", datetime(2018, 5, 2)), ("foo", datetime(2018, 5, 1))],
-        "paymentPhone string, payment_due timestamp_ntz",
-    )
-    agged = P.report_counts(df, first_columns=()).orderBy("paymentPhone").collect()
-    assert len(agged) == 2 and len(agged[0]) == 3
-    assert [r["reports"] for r in agged] == [1, 2]
-    assert [r["paymentPhone"] for r in agged] == ["bar", "foo"]
-    assert [r["payment_due"] for r in agged] == [datetime(2018, 5, 2), datetime(2018, 5, 1)]
+def test_reports_per_worker_and_payment_date(spark):
+    due = datetime(2021, 4, 15)
+    df = spark.createDataFrame([("710", due), ("711", due), ("710", due), (None, due), ("712", None)], "paymentPhone string, payment_due timestamp_ntz")
+    rows = P.report_counts(df, first_columns=()).collect()
+    assert {(r["paymentPhone"], r["payment_due"]): r["reports"] for r in rows} == {("710", due): 2, ("711", due): 1}
 
 
 def test_first_non_null_attribute(spark):
+    due = datetime(2021, 4, 15)
     df = spark.createDataFrame(
-        [("a", datetime(2018, 5, 1), None, datetime(2018, 1, 1), "1"),
-         ("a", datetime(2018, 5, 1), 3, datetime(2018, 1, 2), "2"),
-         ("a", datetime(2018, 5, 1), 2, datetime(2018, 1, 3), "3")],
+        [("710", due, None, datetime(2021, 4, 1), "x"), ("710", due, 2, datetime(2021, 4, 3), "y"), ("710", due, 3, datetime(2021, 4, 2), "z")],
         "paymentPhone string, payment_due timestamp_ntz, treat int, timestamp timestamp_ntz, _id string",
     )
     assert P.report_counts(df, first_columns=("treat",)).first()["treat"] == 3
 
 
-def test_payments(spark):
-    counts = P.capped_counts(frame(spark, RECORDS), AS_OF)
-    workers = ordered(P.worker_payments(counts))
-    assert [r["payment"] for r in workers] == [12000, 12000, 10000, 11000, 10000, 10000]
-    assert [r["reports"] for r in workers] == [1, 1, 1, 1, 1, 2]
-    supers = ordered(P.super_payments(counts))
-    assert [r["payment"] for r in supers] == [10000, 12000, 10000, 11000, 10000, 12000]
+def test_pay_is_base_plus_the_bonus_of_the_arm(spark):
+    counts = P.capped_counts(frame(spark, VISITS), AS_OF)
+    assert paid(P.worker_payments(counts)) == {
+        ("710", "04-15"): (14000, 2), ("710", "05-15"): (12000, 1), ("711", "04-15"): (11000, 1),
+        ("712", "06-15"): (10000, 2), ("713", "06-15"): (10000, 1)}
+    # the supervisor's arm is that of the lowest worker number: 2 for supervisor 91
+    assert paid(P.super_payments(counts)) == {
+        ("91", "04-15"): (10000, 3), ("91", "05-15"): (10000, 1), ("92", "06-15"): (14000, 2), ("93", "06-15"): (10000, 1)}
 
 
-def test_payments_gives_base_for_each_month_with_one_message(spark):
-    counts = P.capped_counts(frame(spark, RECORDS), AS_OF)
-    w = [r["payment"] for r in ordered(P.worker_payments(counts)) if r["number"] == "01"]
-    assert w == [12000, 12000, 10000]
+def test_at_most_30_reports_of_a_month_count(spark):
+    busy = [("720", datetime(2021, 6, 20), "94", 3)] * 31 + [("721", datetime(2021, 6, 21), "94", 3)] * 2 + [("722", datetime(2021, 6, 22), "95", 2)] * 30
+    counts = P.capped_counts(frame(spark, busy), AS_OF)
+    assert paid(P.worker_payments(counts)) == {("720", "07-15"): (40000, 31), ("721", "07-15"): (12000, 2), ("722", "07-15"): (70000, 30)}
+    assert paid(P.super_payments(counts))[("94", "07-15")] == (42000, 33)  # the cap holds per worker
 
 
-def test_payments_caps_at_30(spark):
-    counts = P.capped_counts(frame(spark, RECORDS + FAT), AS_OF)
-    workers = [r["payment"] for r in ordered(P.worker_payments(counts)) if r["number"] == "05"]
-    assert workers == [40000, 40000]
-    supers = [r["payment"] for r in ordered(P.super_payments(counts)) if r["number"] == "14"]
-    assert supers == [41000, 40000]
+def test_any_payer_can_be_plugged_in(spark):
+    by_arm = P.calc_payments(frame(spark, VISITS), AS_OF, lambda counts: P.worker_payments(counts, {0: 500}))
+    assert paid(by_arm)[("713", "06-15")] == (10500, 1)
+    assert [r["payment_due"] for r in by_arm.collect()] == sorted(r["payment_due"] for r in by_arm.collect())
 
 
 def test_training_rows_are_not_paid(spark):
-    df = frame(spark, RECORDS).withColumn("training", F.lit(True))
+    df = frame(spark, VISITS).withColumn("training", F.lit(True))
     assert P.capped_counts(df, AS_OF).count() == 0
 
 
 def test_supervisor_number_drops_leading_zeros(spark):
-    df = frame(spark, [("01", datetime(2018, 2, 1), "0013", 2)])
-    assert [r["number"] for r in P.super_payments(P.capped_counts(df, AS_OF)).collect()] == ["13"]
+    df = frame(spark, [("710", datetime(2021, 4, 1), "0091", 2)])
+    assert [r["number"] for r in P.super_payments(P.capped_counts(df, AS_OF)).collect()] == ["91"]
 
 
-@pytest.mark.parametrize("wrap,expected", [(True, 3), (False, 15)])
+@pytest.mark.parametrize("wrap,expected", [(True, 2), (False, 14)])
 def test_wrap_years_switch(spark, wrap, expected):
-    df = spark.createDataFrame([(datetime(2017, 1, 10),)], "t timestamp_ntz")
-    n = df.select(calendar.window_count("t", datetime(2018, 5, 10), wrap_years=wrap)).first()[0]
+    df = spark.createDataFrame([(datetime(2020, 7, 1),)], "t timestamp_ntz")
+    n = df.select(calendar.window_count("t", AS_OF, wrap_years=wrap)).first()[0]
     assert n == expected
 
 

@@ -1,6 +1,9 @@
 import os
 from datetime import datetime
 
+import pytest
+from pyspark.errors import PySparkException
+
 from fieldreports import schemas
 from fieldreports.streaming.intake import start_intake
 
@@ -31,3 +34,15 @@ def test_intake_is_insert_only_across_batches(spark, tmp_dir):
     # nothing new: a rerun adds nothing
     start_intake(spark, raw_dir, table, ckpt).awaitTermination()
     assert spark.read.parquet(table).count() == 2
+
+
+def test_intake_stops_when_its_table_cannot_be_read(spark, tmp_dir):
+    """A damaged table must not pass for an empty one: the batch would be appended again."""
+    raw_dir, table = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "messages")
+    land(spark, [(datetime(2018, 2, 27), "10.02.2018", "ann", "1", "100", "e", 1)], raw_dir)
+    os.makedirs(table)
+    with open(os.path.join(table, "part-0.parquet"), "w") as fh:
+        fh.write("not a parquet file")
+    with pytest.raises(PySparkException):
+        start_intake(spark, raw_dir, table, os.path.join(tmp_dir, "ckpt")).awaitTermination()
+    assert os.listdir(table) == ["part-0.parquet"] or not [f for f in os.listdir(table) if f.endswith(".snappy.parquet")]

@@ -86,8 +86,9 @@ def test_reconcile_two_passes(pair):
     msgs, survey = pair
     report, orphans = V.reconcile_survey(msgs, survey)
     rows = sorted((r["_merge"], r["response_id"] or 0, r["patientPhone"], r["serviceDate"].day) for r in report.collect())
+    # survey 2 has no message of its day and fits both messages of its four keys
     assert rows == [
-        ("both", 1, "p1", 10), ("both", 2, "p3", 5), ("both", 4, "p5", 2),
+        ("both", 1, "p1", 10), ("both", 2, "p3", 5), ("both", 2, "p3", 20), ("both", 4, "p5", 2),
         ("left_only", 0, "p2", 11), ("left_only", 0, "p3", 5), ("left_only", 0, "p3", 20),
     ]
     assert [r["response_id"] for r in orphans.collect()] == [3]
@@ -109,7 +110,7 @@ def test_roster_coverage_and_final_report(spark, pair):
     with pytest.raises(ValueError):
         V.check_roster_coverage(report, roster)
     final = V.final_report(report, roster)
-    assert final.count() == 5 and "contact_number" in final.columns and "_merge" not in final.columns
+    assert final.count() == 6 and "contact_number" in final.columns and "_merge" not in final.columns
 
 
 def test_unique_visits_drop_null_keys(spark):
@@ -127,6 +128,25 @@ def test_pass_two_matches_null_keys(spark):
     msgs = spark.createDataFrame([m(1, 3), m(2, 20)], MSG)
     survey = survey_rows(spark, [(None, "p7", "G", "C7", "2024-01-05")])   # no same-day message
     report, orphans = V.reconcile_survey(msgs, survey)
-    both = [(r["response_id"], r["serviceDate"].day) for r in report.where(F.col("_merge") == "both").collect()]
-    assert both == [(1, 3)]
+    both = sorted((r["response_id"], r["serviceDate"].day) for r in report.where(F.col("_merge") == "both").collect())
+    assert both == [(1, 3), (1, 20)]
     assert orphans.count() == 0
+
+
+def test_candidates_of_one_hot_phone(spark):
+    """100,000 unmatched messages and 100,000 orphans on one phone: linear work."""
+    n = 100_000
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 900).cast("int"))
+    msgs = spark.range(n).select(
+        F.concat(F.lit("m"), "id").alias("_id"), F.lit("w").alias("senderPhone"), F.lit("p").alias("patientPhone"),
+        F.lit("A").alias("patientName"), F.lit("C").alias("code"), day.cast("timestamp_ntz").alias("serviceDate"),
+        day.cast("timestamp_ntz").alias("timestamp"), F.lit(False).alias("called"), F.lit(False).alias("training"), F.lit("w").alias("paymentPhone"))
+    survey = spark.range(n).select(
+        F.col("id").alias("response_id"), F.lit(T0).cast("timestamp_ntz").alias("submitted_at"), F.lit("x").alias("workerphone"),
+        F.lit("w").alias("worker"), F.lit("p").alias("patientphone"), F.lit("B").alias("patient"), F.lit("C").alias("code"),
+        F.date_format(F.date_add(F.lit("2019-12-20").cast("date"), (F.col("id") % 30).cast("int")), "yyyy-MM-dd").alias("visitdate"),
+        F.lit("m").alias("messageid"), F.lit(True).alias("called"), F.lit(True).alias("provided_care"))
+    out = V.orphan_candidates(msgs, survey)
+    got = out.groupBy("n_candidates", F.to_date("candidate_date").alias("d")).count().collect()
+    assert {r["n_candidates"] for r in got} == {n} and sum(r["count"] for r in got) == n
+    assert {str(r["d"]) for r in got} == {str(datetime(2020, 1, d).date()) for d in range(1, 19)}
