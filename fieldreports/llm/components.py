@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldreports.llm.shared import stored
+from fieldreports.llm.shared import dealt_anew, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -29,19 +29,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         # large star: larger neighbours of u point at the smallest neighbour
         both = edges.where("u <> v").unionByName(edges.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(dealt_anew(least, "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         # small star: u and its smaller neighbours point at the smallest of them
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(dealt_anew(low, "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         # done when every node has one link, to a node without any
-        more = new.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() or (
-            new.join(new.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
-        )
-        edges = new
-        if not more:
+        again = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u").union(
+            edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").select("u"))
+        if not again.limit(1).count():
             break
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
