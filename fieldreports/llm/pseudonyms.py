@@ -12,8 +12,8 @@ Only SQL functions, one pass, no shuffle: linkage needs no table of values.
 
 Domains: cards - payload digits, check digit recomputed; IBAN - digits of the
 account part, check digits recomputed; US social security numbers - the valid
-area, group and serial numbers; phones - ten digits with area and exchange from
-200; IPv4 - 32 bits; dates - the 73,000 days from 1900-01-01 as yyyy-mm-dd,
+area, group and serial numbers; phones - ten digits, where area and exchange from
+200 stay so; IPv4 - 32 bits; dates - the 73,000 days from 1900-01-01 as yyyy-mm-dd,
 mm/dd/yyyy or dd.mm.yyyy; mail - letters and digits of the local part, the
 domain is kept. Anything that fails its validation is left as it is.
 
@@ -221,16 +221,25 @@ def _ssn(key: str, m: Column) -> Column:
     return F.when(valid, _let(feistel(key, "ssn", index, 898 * 99, 9999), spell))
 
 
+# (least area, least exchange, number of exchanges, Feistel factors): assignable
+# numbers stay assignable; the two classes of other numbers stay in their class.
+_PHONES = ((200, 200, 800, 80_000, 80_000), (200, 0, 200, 40_000, 40_000), (0, 0, 1000, 40_000, 50_000))
+
+
 def _phone(key: str, m: Column) -> Column:
     def change(d: Column) -> Column:
         ten = F.right(d, F.lit(10))
         area, exchange, line = ten.substr(1, 3).cast("long"), ten.substr(4, 3).cast("long"), ten.substr(7, 4).cast("long")
-        index = ((area - 200) * 800 + exchange - 200) * 10000 + line
-        spell = lambda v: _relayout(m, F.concat(
-            d.substr(F.lit(1), F.length(d) - 10), _pad(_div(v, _long(8_000_000)) + 200, 3),
-            _pad(_div(v, _long(10000)) % 800 + 200, 3), _pad(v % 10000, 4),
-        ))
-        return F.when((area >= 200) & (exchange >= 200), _let(feistel(key, "phone", index, 80_000, 80_000), spell))
+
+        def within(low: int, first: int, many: int, a: int, b: int) -> Column:
+            index = ((area - low) * many + exchange - first) * 10000 + line
+            return _let(feistel(key, f"phone{low}.{first}", index, a, b), lambda v: _relayout(m, F.concat(
+                d.substr(F.lit(1), F.length(d) - 10), _pad(_div(v, _long(10000 * many)) + low, 3),
+                _pad(_div(v, _long(10000)) % many + first, 3), _pad(v % 10000, 4),
+            )))
+
+        good, odd, low = (within(*x) for x in _PHONES)
+        return F.when((area >= 200) & (exchange >= 200), good).when(area >= 200, odd).otherwise(low)
 
     return _let(_digits(m), change)
 

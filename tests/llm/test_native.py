@@ -56,6 +56,18 @@ def test_permutations_are_bijections(spark):
     assert pseudonyms.pseudonymise(mails, "k").select("text").distinct().count() == 121
 
 
+def test_phones_keep_their_class_and_never_meet(spark):
+    rng = random.Random(3)
+    numbers = [(rng.randrange(1000), rng.randrange(1000), rng.randrange(10000)) for _ in range(300)] + [(11, 555, 1), (199, 999, 9999), (999, 199, 0), (0, 0, 0)]
+    numbers = list(dict.fromkeys(numbers))
+    got = rewrite(spark, [f"+1 ({a:03d}) {b:03d}-{c:04d}" for a, b, c in numbers])
+    new = [tuple(map(int, re.fullmatch(r"\+1 \((\d{3})\) (\d{3})-(\d{4})", r["text"]).groups())) for r in got]
+    kind = lambda a, b: "low" if a < 200 else "odd" if b < 200 else "good"
+    assert [kind(a, b) for a, b, _ in new] == [kind(a, b) for a, b, _ in numbers]
+    assert len(set(new)) == len(numbers) and sum(x == y for x, y in zip(new, numbers)) == 0
+    assert all(r["n_phone"] == 1 for r in got)
+
+
 def test_pseudonyms_odd_rows(corpus, rows, spark):
     got = pseudonyms.pseudonymise(corpus, "k")
     plain = {t for _, t in rows}
