@@ -17,7 +17,8 @@ A group is one row per document, and tasks combine before the shuffle: of equal
 prefixes in one buffer only the first document's row is grouped, the others are
 known to be repeats. A passage in a third of all documents thus reaches its group
 once per buffer, and a group's rows are streamed, not held. The texts are
-exchanged once, by id; both later reads share that exchange.
+exchanged once, by id and packed with zstandard; both later reads share that
+exchange.
 
 Prefixes travel as hashes of 96 bits (64 for the first step, where a collision
 only adds work).
@@ -36,6 +37,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,6 +88,38 @@ def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Te
             yield ids[lo:hi], texts, batch, lo, hi
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, packed text); the text is compressed for the exchange."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3, write_checksum=False)
+        for batch in batches:
+            texts = texts_of(batch.column(1))
+            small = [packer.compress(texts.raw[a:b].tobytes()) for a, b in zip(texts.off[:-1], texts.off[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary())], names=["doc_id", "packed"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, packed binary")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts again in the second column, at most BUFFER_BYTES (or one text) per batch."""
+    reader = zstandard.ZstdDecompressor()
+    for batch in batches:
+        small, first, size = batch.column(1).to_pylist(), 0, 0
+        sizes = [zstandard.frame_content_size(x) for x in small]
+        for i in range(len(small) + 1):
+            if i == len(small) or (i > first and size + sizes[i] > BUFFER_BYTES):
+                if i > first:
+                    part = batch.slice(first, i - first)
+                    texts = pa.array([reader.decompress(x) if n else b"" for x, n in zip(small[first:i], sizes[first:i])], pa.large_binary())
+                    columns = list(part.columns)
+                    columns[1] = texts.cast(pa.large_string())
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", *part.schema.names[2:]])
+                first, size = i, 0
+            if i < len(small):
+                size += sizes[i]
+
+
 def prefix_rows(docs: DataFrame) -> DataFrame:
     """Selected prefixes: (route, doc) to be grouped by route, or (random route, doc, known)
     where the prefix is known to be shared."""
@@ -119,12 +153,11 @@ def prefix_rows(docs: DataFrame) -> DataFrame:
 
 
 def window_rows(joined: DataFrame) -> DataFrame:
-    """13-word prefixes around the shared prefixes of (doc_id, text, prefixes):
+    """13-word prefixes around the shared prefixes of (doc_id, packed, prefixes):
     (route, check, doc) to be grouped, or (random route, 0, doc, known) where known to repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(batch.column(2).is_valid())
+        for batch in _unpacked(b.filter(b.column(2).is_valid()) for b in batches):
             for ids, buffer, part, first_row, _ in _buffers(iter([batch])):
                 lists = part.column(2)
                 keys, checks, owners = [], [], []
@@ -171,8 +204,8 @@ def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     prefixes = prefix_rows(docs).withColumns({"low": F.min("doc").over(group), "high": F.max("doc").over(group)})
     shared = prefixes.where("low < high OR known IS NOT NULL").select("doc", F.coalesce("known", "route").alias("prefix"))
     by_doc = shared.groupBy("doc").agg(F.collect_list("prefix").alias("prefixes"))
-    texts = docs.select("doc_id", "text")
-    joined = texts.join(by_doc, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "prefixes")
+    texts = packed(docs)
+    joined = texts.join(by_doc, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "packed", "prefixes")
     node = Window.partitionBy("route", "check")
     windows = window_rows(joined).withColumn("first", F.min("doc").over(node))
     removed = windows.where("first < doc OR known IS NOT NULL").select("doc", F.coalesce("known", "route").alias("window"))
@@ -215,7 +248,7 @@ def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     texts, removed = repeated_windows(_renamed(docs, id_col, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _unpacked(batches):
             n, gone, digest = [], [], []
             for kept, lost in _kept(batch.column(1), batch.column(2)):
                 n.append(len(kept) + lost)
@@ -226,7 +259,7 @@ def substring_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"],
             )
 
-    both = texts.join(removed, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "removed")
+    both = texts.join(removed, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "packed", "removed")
     return both.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -235,9 +268,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts, removed = repeated_windows(_renamed(docs, id_col, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _unpacked(batches):
             kept = [b" ".join(words).decode() for words, _ in _kept(batch.column(1), batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["doc_id", "text"])
 
-    both = texts.join(removed, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "removed")
+    both = texts.join(removed, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "packed", "removed")
     return both.mapInArrow(run, "doc_id long, text string")
