@@ -12,15 +12,14 @@ import io
 import os
 import re
 import sys
-import tempfile
 from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from fieldreports.plans.catalog import QUERIES  # noqa: E402
-from fieldreports.session import build_session, checkpoint_dir  # noqa: E402
+from fieldreports.session import build_session  # noqa: E402
 
-HEADLINE = ("worker_payments", "enrich", "pick_needed_calls", "reconcile_survey", "event_upsert")
+HEADLINE = ("worker_payments", "enrich", "pick_needed_calls", "queue_refresh", "reconcile_survey", "event_upsert")
 
 
 def shorten(line: str, width: int = 180) -> str:
@@ -32,7 +31,6 @@ def main(argv):
     sf = argv[0] if argv else "/root/testdata/sf0.1"
     spark = build_session("local[8]", shuffle_partitions=16, extra_conf={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="fr-plans-"))
     out = ["# Physical plans", "", f"Generated by `scripts/show_plans.py` at `{sf}` (local[8], 16 shuffle partitions).",
            "Lines are shortened; `#id` suffixes removed.", ""]
     for name in HEADLINE:
