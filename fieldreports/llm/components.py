@@ -30,11 +30,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # large star: larger neighbours of u point at the smallest neighbour
         both = edges.where("u <> v").unionByName(edges.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(dealt_anew(least, "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where("v > u").join(dealt_anew(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         # small star: u and its smaller neighbours point at the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(dealt_anew(low, "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(dealt_anew(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         # done when every node has one link, to a node without any
         again = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u").union(

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,11 +42,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dealt_anew(df: DataFrame, other: str) -> DataFrame:
-    """``df`` dealt out by another column than the one it is grouped by, so that a
-    join on the group's key exchanges both sides and Spark can split a hot key."""
+def dealt_anew(df: DataFrame) -> DataFrame:
+    """``df`` dealt out evenly instead of by the key it is grouped by, so that a join
+    on that key exchanges both sides and Spark can split a hot key."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, other)
+    return df.repartition(n, F.xxhash64(*df.columns))
 
 
 def free_name(name: str, taken: Sequence[str]) -> str:
