@@ -21,7 +21,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that an earlier line equals or nearly equals."""
-    cut = line_dedup.dedup_lines(docs)
+    cut = line_dedup.dedup_lines(docs, blocks=True)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 

@@ -3,7 +3,12 @@
 A line (text between line feeds, without surrounding white space) of at least
 ``MIN_CHARS`` code points is removed where an earlier line - smaller doc_id, or
 the same document further up - lies within edit distance ``TAU`` of it (equal
-lines included). Lines are judged on the input, not on what is left.
+lines included). With ``blocks`` it also goes where the two lines differ in one
+run of characters only (a word, a date, a number), however many edits that takes;
+the run is at most a tenth of the longer line, or ten characters in one of 60 to 100
+(a sixth in a shorter one). A shorter line that is not blank
+goes only where an earlier line equals it. Lines are judged on the input, not on
+what is left.
 
 1. Occurrences of equal lines meet by a 128-bit hash; only different lines are
    compared.
@@ -11,6 +16,9 @@ lines included). Lines are judged on the input, not on what is left.
    one segment of the shorter is a substring of the longer, and only at a few
    positions that depend on the lengths. Segments and those substrings meet in
    groups (length, segment number, content).
+   Lines that differ in one run share their first or their last characters, at
+   least half of what is outside the run: with ``blocks`` a line also brings its
+   beginning and its end, cut to lengths of a geometric grid.
 3. Pairs of a group whose lengths and character counts allow the distance are
    verified by a bit-parallel automaton over the band of ``2 * TAU + 1`` diagonals.
 
@@ -20,7 +28,7 @@ only those that pass the counts become rows. A task emits the segments of equal
 lines once.
 
 Defined results: a null text stays null with no lines; an empty text is one
-empty line, which is too short to go; rows with a null ``doc_id`` neither lose
+empty line, and blank lines stay; rows with a null ``doc_id`` neither lose
 lines nor take any; rows with the same id count as one position, so equal lines
 at the same place of such rows are all kept or all removed; an empty table gives
 an empty table. Other columns are not read by the report and kept unchanged by
@@ -42,6 +50,8 @@ from fieldreports.llm.words import mix
 
 TAU = 2
 MIN_CHARS = 20
+# Lengths of beginnings and ends, each a quarter above the one before.
+GRID = np.unique((6 * 1.25 ** np.arange(120)).astype(np.int64))
 TILE = 1024
 BUCKETS = 32
 PAIR_BATCH = 1 << 19
@@ -54,12 +64,13 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def lines_of(text: str | None) -> list[tuple[int, str]]:
-    """(line number, stripped line) of the lines long enough to be judged."""
+def lines_of(text: str | None, least: int | None = None) -> list[tuple[int, str]]:
+    """(line number, stripped line) of the lines long enough to be compared with near ones, or of ``least`` characters."""
+    least = MIN_CHARS if least is None else least
     out = []
     for k, line in enumerate((text or "").split("\n")):
         line = line.strip(_BLANK)
-        if len(line) >= MIN_CHARS:
+        if len(line) >= least:
             out.append((k, line))
     return out
 
@@ -102,8 +113,19 @@ def probes(n: np.ndarray) -> Iterator[tuple[np.ndarray, int, int, np.ndarray, np
                     yield some, less, i, at[some], size[some]
 
 
-def segment_rows(lines: list[str], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(group key, id) of all segments and probes; the lowest bit of the id marks a segment."""
+def run_limit(n: np.ndarray) -> np.ndarray:
+    """Greatest differing run where the longer line has ``n`` characters."""
+    return np.maximum(n // 10, np.minimum(10, n // 6))
+
+
+def block_size(n: np.ndarray) -> np.ndarray:
+    """Greatest grid length that lines of ``n`` and fewer characters share at one end if one run differs."""
+    return GRID[np.searchsorted(GRID, (n - run_limit(n) + 1) // 2, side="right") - 1]
+
+
+def segment_rows(lines: list[str], ids: np.ndarray, blocks: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(group key, id) of all segments and probes; the lowest bit of the id marks a segment,
+    with ``blocks`` that of the key a beginning or an end."""
     n = np.array([len(x) for x in lines], dtype=np.int64)
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     begin = np.cumsum(n) - n
@@ -132,17 +154,26 @@ def segment_rows(lines: list[str], ids: np.ndarray) -> tuple[np.ndarray, np.ndar
             some, at, size = some[~own], at[~own], size[~own]
         keys.append(key(some, at, size, n[some] - less, i))
         owners.append(ids[some])
+    if blocks:
+        keys = [k & ~_U(1) for k in keys]
+        size, lowest = block_size(n), block_size(n - run_limit(n))
+        while len(every):  # a line probes the sizes of the shorter lines that may be near
+            for i, at in enumerate((np.zeros_like(every), n[every] - size[every])):
+                keys.append(key(every, at, size[every], size[every], TAU + 1 + i) | _U(1))
+                owners.append(ids[every] | (size[every] == block_size(n[every])))
+            every = every[size[every] > lowest[every]]
+            size[every] = GRID[np.searchsorted(GRID, size[every]) - 1]
     return np.concatenate(keys), np.concatenate(owners)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(line, doc, at): hash, document and line number of every judged line."""
+    """(line, doc, at): hash, document and line number of every line that is not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, owner, number = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for k, line in lines_of(text.as_py()) if doc is not None else ():
+                for k, line in lines_of(text.as_py(), 1) if doc is not None else ():
                     keys.append(line_key(line))
                     owner.append(doc)
                     number.append(k)
@@ -172,14 +203,14 @@ def _fresh_lines(batch: pa.RecordBatch, seen: set[int]) -> Iterator[tuple[list[s
         yield lines, keys
 
 
-def segments(docs: DataFrame) -> DataFrame:
-    """(key, id) rows of all judged lines."""
+def segments(docs: DataFrame, blocks: bool = False) -> DataFrame:
+    """(key, id) rows of all lines of MIN_CHARS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for lines, keys in _fresh_lines(batch, seen):
-                key, owner = segment_rows(lines, np.array([short_key(k) for k in keys], dtype=np.int64))
+                key, owner = segment_rows(lines, np.array([short_key(k) for k in keys], dtype=np.int64), blocks)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(owner)], names=["key", "id"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "key long, id long")
@@ -231,14 +262,16 @@ def _run_pairs(first: np.ndarray, split: np.ndarray, last: np.ndarray) -> Iterat
         at = upto
 
 
-def _close(a: np.ndarray, b: np.ndarray, length: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Whether lengths and counts of rows a and b allow the distance (an edit changes at most two counts)."""
-    ok = np.flatnonzero(np.abs(length[a] - length[b]) <= TAU)
+def _close(a: np.ndarray, b: np.ndarray, length: np.ndarray, table: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """Whether lengths and counts of rows a and b allow the distance, or one differing run where row a is
+    ``wide`` (an edit changes at most two counts)."""
+    most = np.where(wide[a], run_limit(np.maximum(length[a], length[b])), TAU)
+    ok = np.flatnonzero(np.abs(length[a] - length[b]) <= most)
     gap = table[a[ok]] - table[b[ok]]
-    return ok[np.minimum(gap, -gap).sum(axis=1, dtype=np.int64) <= 2 * TAU]
+    return ok[np.minimum(gap, -gap).sum(axis=1, dtype=np.int64) <= 2 * most[ok]]
 
 
-def group_pairs(rows: DataFrame) -> DataFrame:
+def group_pairs(rows: DataFrame, blocks: bool = False) -> DataFrame:
     """Candidate pairs (a, b), a < b, of rows (key, i, j, part, line, n, counts) sorted by (key, i, j, part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,11 +294,12 @@ def group_pairs(rows: DataFrame) -> DataFrame:
         count = np.frombuffer(b"".join(table.column(6).to_pylist()), dtype=np.uint8).reshape(-1, BUCKETS)
         first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
         last = np.append(first[1:], len(key))
+        wide = (key[:, 0] & 1 == 1) & blocks
         # within a run the segment rows (part 0) come first
         split = first + np.add.reduceat((part == 0).astype(np.int64), first)
         found: set[tuple[bytes, bytes]] = set()
         for a, b in _run_pairs(first, split, last):
-            ok = _close(a, b, length, count)
+            ok = _close(a, b, length, count, wide)
             for x, y in zip(lines[a[ok]], lines[b[ok]]):
                 if x != y:
                     found.add((x, y) if x < y else (y, x))
@@ -331,14 +365,23 @@ def within(left: list[str], right: list[str], tau: int = TAU) -> np.ndarray:
     return good
 
 
-def verified(pairs: DataFrame) -> DataFrame:
-    """Of (a, b, x, y) the pairs (a, b) whose texts x and y are within the distance."""
+def one_run(x: str, y: str) -> bool:
+    """Whether x and y differ in one run within :func:`run_limit`."""
+    short, most = min(len(x), len(y)), max(len(x), len(y))
+    a, b = (np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype="<u4") for s in (x, y))
+    front, back = a[:short] != b[:short], a[len(x) - short:][::-1] != b[len(y) - short:][::-1]
+    same = sum(int(d.argmax()) if d.any() else short for d in (front, back))
+    return most - min(same, short) <= run_limit(most)
+
+
+def verified(pairs: DataFrame, blocks: bool = False) -> DataFrame:
+    """Of (a, b, x, y) the pairs (a, b) whose texts x and y are within the distance, or differ in one run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            order = sorted(range(len(x)), key=lambda k: len(x[k]))
-            good = np.zeros(len(x), dtype=bool)
+            good = np.array([blocks and one_run(*p) for p in zip(x, y)], dtype=bool)
+            order = sorted((k for k in range(len(x)) if not good[k] and abs(len(x[k]) - len(y[k])) <= TAU), key=lambda k: len(x[k]))
             at = 0
             while at < len(order):  # pairs of like length together, a bounded number of characters
                 upto = at + 1
@@ -352,12 +395,12 @@ def verified(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-def line_links(docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different lines within the distance."""
+def line_links(docs: DataFrame, blocks: bool = False) -> DataFrame:
+    """Pairs (a, b) of different lines within the distance, with ``blocks`` also of those that differ in one run."""
     group = Window.partitionBy("key")
     part = F.col("id").bitwiseAND(F.lit(1))
     line_id = F.col("id") - part
-    rows = segments(docs).select("key", line_id.alias("id"), part.alias("segment")).withColumns({
+    rows = segments(docs, blocks).select("key", line_id.alias("id"), part.alias("segment")).withColumns({
         "low": F.min("id").over(group), "high": F.max("id").over(group),
         "any": F.max("segment").over(group), "members": F.count(F.lit(1)).over(group),
     }).where("low < high AND any = 1")
@@ -365,28 +408,27 @@ def line_links(docs: DataFrame) -> DataFrame:
     lines = stored(candidate_lines(docs, rows.select("id").distinct()))
     placed = rows.join(lines.select("id", "line", F.length("text").alias("n"), "counts"), "id")
     # segment rows of block i meet the rows of block j in the tile (key, i, j)
-    blocks = F.ceil(F.col("members") / TILE).cast("int")
-    placed = placed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("blocks", F.ceil(F.col("members") / TILE).cast("int")).withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
     # part 0: a segment row as such; part 1: any row in its role as a probe
     roles = placed.withColumn("part", F.explode(F.when(F.col("segment") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
     tiles = roles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.when(F.col("part") == 0, F.col("block")).otherwise(F.col("other")).alias("i"),
         F.when(F.col("part") == 0, F.col("other")).otherwise(F.col("block")).alias("j"), "part", "line", "n", "counts")
     dealt = tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "part")
-    pairs = group_pairs(dealt).distinct()
+    pairs = group_pairs(dealt, blocks).distinct()
     texts = lines.select("line", "text")
     both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("x")), "a").join(
         texts.select(F.col("line").alias("b"), F.col("text").alias("y")), "b")
-    return stored(verified(both))
+    return stored(verified(both, blocks))
 
 
 # -- removal ----------------------------------------------------------------------
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, blocks: bool = False) -> DataFrame:
     """(doc, gone): the numbers of the lines to remove, for documents that lose any."""
     found = stored(occurrences(docs))
     first = stored(found.groupBy("line").agg(F.min(F.struct("doc", "at")).alias("first")))
-    links = line_links(docs)
+    links = line_links(docs, blocks)
     both = links.union(links.select("b", "a"))
     near = both.join(first.select(F.col("line").alias("b"), F.col("first").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))
     least = stored(first.join(near, F.col("line") == F.col("a"), "left").select("line", F.least("first", "near").alias("least")))
@@ -401,12 +443,12 @@ def _without(text: str | None, gone: list[int] | None) -> str | None:
     return "\n".join(line for k, line in enumerate(text.split("\n")) if k not in drop)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: bool = False) -> DataFrame:
     """``docs`` with the removed lines cut from the text; rows and other columns unchanged."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     names = list(docs.columns)
     doc, gone = free_name("doc", names), free_name("gone", names)
-    both = docs.join(removed_lines(plain).withColumnsRenamed({"doc": doc, "gone": gone}),
+    both = docs.join(removed_lines(plain, blocks).withColumnsRenamed({"doc": doc, "gone": gone}),
                      F.col(id_col).cast("long") == F.col(doc), "left").drop(doc)
     at = names.index(text_col)
 
@@ -419,10 +461,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return both.mapInArrow(run, docs.schema)
 
 
-def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed and the text that is left."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    both = plain.join(removed_lines(plain), F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "gone")
+    both = plain.join(removed_lines(plain, blocks), F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
