@@ -2,9 +2,12 @@
 
 Text that says little compresses too well, text that says nothing (random
 bytes, encoded blobs) does not compress at all. Each document is compressed
-with zstandard as a whole and in fixed chunks; both ratios (compressed bytes /
-UTF-8 bytes) must lie in a band that depends on the length, because a short
-text carries more frame overhead and gives the compressor less to reuse.
+with zstandard as a whole and in chunks; both ratios (compressed bytes / UTF-8 bytes)
+must lie in a band that depends on the length, because a short text carries more
+frame overhead and gives the compressor less to reuse. The chunks cover the whole
+text: the last one ends where the text ends and overlaps the one before. Texts of
+less than two large chunks are cut into small ones; a text below a small chunk is
+judged as a whole only.
 
 One pass, no shuffle: a row needs only its own text.
 
@@ -32,16 +35,17 @@ from fieldreports.llm.words import (
 WHOLE_BANDS = (
     (128, 0.45, 2.00),
     (256, 0.40, 1.20),
-    (1 << 10, 0.32, 0.95),
+    (1 << 9, 0.36, 0.82),  # base64 text: 0.84 and more
+    (1 << 10, 0.34, 0.76),  # 0.79 and more
     (1 << 12, 0.28, 0.74),  # base64 text stays near 0.77 at any length, prose falls
     (1 << 16, 0.24, 0.72),
     (None, 0.18, 0.72),
 )
-CHUNK = 2048
-CHUNK_BAND = (0.20, 0.74)
+# (texts of bytes below this, chunk, least ratio, greatest ratio); the last entry holds beyond.
+CHUNKS = ((1 << 12, 512, 0.25, 0.78), (None, 2048, 0.20, 0.62))
 # A document may hold a table or a blob: it goes only when more than this share
-# of its full chunks lies outside the band.
-CHUNK_SHARE = 0.34
+# of its chunks lies outside the band.
+CHUNK_SHARE = 0.2
 LEVEL = 3
 MIN_WORDS = 10
 REPEAT_WINDOW = 5
@@ -86,8 +90,14 @@ def _dup_lines(texts: Texts, i: int) -> int:
     return len(lines) - len(set(lines))
 
 
+def chunk_starts(n: int, chunk: int) -> list[int]:
+    """Starts of the chunks of a text of ``n`` bytes; the last one ends with the text."""
+    starts = list(range(0, n - chunk + 1, chunk))
+    return starts + [n - chunk] if starts and n % chunk else starts
+
+
 def bands(texts: Texts) -> dict[str, np.ndarray]:
-    """Whole-text ratio, full chunks, chunks outside their band, and the verdict."""
+    """Whole-text ratio, chunks, chunks outside their band, and the verdict."""
     packer = zstandard.ZstdCompressor(level=LEVEL)
     n = len(texts)
     ratio, total, outside, good = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
@@ -96,10 +106,11 @@ def bands(texts: Texts) -> dict[str, np.ndarray]:
         if not text:
             continue
         ratio[i] = len(packer.compress(text)) / len(text)
-        for at in range(0, len(text) - CHUNK + 1, CHUNK):
+        size, least, most = next((c, lo, hi) for below, c, lo, hi in CHUNKS if below is None or len(text) < below)
+        for at in chunk_starts(len(text), size):
             total[i] += 1
-            part = len(packer.compress(text[at : at + CHUNK])) / CHUNK
-            outside[i] += not CHUNK_BAND[0] <= part <= CHUNK_BAND[1]
+            part = len(packer.compress(text[at : at + size])) / size
+            outside[i] += not least <= part <= most
         lo, hi = next((lo, hi) for below, lo, hi in WHOLE_BANDS if below is None or len(text) < below)
         good[i] = lo <= ratio[i] <= hi and outside[i] <= CHUNK_SHARE * total[i]
     return {"ratio": ratio, "chunks": total, "chunks_outside": outside, "good": good}
