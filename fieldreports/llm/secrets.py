@@ -3,8 +3,11 @@
 Base patterns find assignments, access keys and long hex runs. Candidates that
 look like encoded keys are then decoded, and only what has the structure of a
 key is reported: PEM blocks and base64 or hex text whose DER lengths nest
-exactly, SSH public keys whose fields fill the blob, and signed tokens whose
-header is a JSON object naming an algorithm.
+exactly, SSH public keys whose fields fill the blob, encrypted PEM blocks whose
+DEK-Info header names a cipher and an initial value, and signed or encrypted tokens
+whose header is a JSON object naming an algorithm. Lines of equal width (the last
+may be shorter) are joined before they are decoded; indents, quote marks and
+continuation signs between them are passed over.
 
 One pass, no shuffle. A null text counts as an empty one; texts are scanned
 whole, each row on its own (repeated rows give repeated results); a null
@@ -33,9 +36,18 @@ KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt")
 # Lower-cased text without any of these holds no assignment.
 _KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----([A-Za-z0-9+/=\s\\]+?)-----END \1-----")
+PEM = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]{1,40})-----((?:(?:\s|\\[nr])*[A-Za-z][A-Za-z0-9-]*:[^\n\\]*(?:\n[ \t]+[^\n\\]*)*(?:\n|\\n))*)"
+    r"([A-Za-z0-9+/=\s\\]+?)-----END \1-----"
+)
+DEK = re.compile(r"DEK-Info:\s*[A-Z0-9-]+,\s*[0-9A-Fa-f]{16,}")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+# What may stand between two lines of one wrapped key.
+WRAP = re.compile(r"[\"',;\\ \t]*(?:\r?\n|\\n)[\"'>|#* \t]*")
+# Three parts, five where the content is encrypted; parts may be empty.
+JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*\.[A-Za-z0-9_-]*")
+JWE_REST = re.compile(r"\.[A-Za-z0-9_-]*\.[A-Za-z0-9_-]*")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _LONG_RUN = re.compile(r"[A-Za-z0-9+/_-]{40}")
 
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_confirmed long"
@@ -96,13 +108,79 @@ def ssh_key(data: bytes) -> bool:
     return at == len(data) and len(fields) >= 2 and re.match(rb"(ssh|ecdsa|sk)-[\w@.-]+$", fields[0]) is not None
 
 
-def signed_token(text: str) -> bool:
-    """Header and payload are JSON objects and the header names an algorithm."""
+def token_header(text: str) -> dict | None:
+    """The JSON object that ``text`` encodes, if it names an algorithm."""
     try:
-        head, body = (json.loads(decoded(x) or b"") for x in text.split(".")[:2])
+        head = json.loads(decoded(text) or b"")
     except (ValueError, UnicodeDecodeError, RecursionError):
-        return False
-    return isinstance(head, dict) and isinstance(body, dict) and isinstance(head.get("alg"), str)
+        return None
+    return head if isinstance(head, dict) and isinstance(head.get("alg"), str) else None
+
+
+def tokens(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the tokens with a valid header."""
+    at = 0
+    while m := JWT.search(text, at):
+        head, at = token_header(m[1]), m.end()
+        if head is None:
+            at = m.end(1)
+        else:
+            rest = JWE_REST.match(text, at) if "enc" in head else None
+            at = rest.end() if rest else at
+            yield m.start(), at
+
+
+def der_size(head: bytes) -> int:
+    """Bytes of the DER sequence that begins with ``head``, 0 if none does."""
+    if len(head) < 6 or head[0] != 0x30:
+        return 0
+    n = head[1] & 0x7F if head[1] & 0x80 else 0
+    return 0 if n > 4 else 2 + n + (int.from_bytes(head[2 : 2 + n], "big") if n else head[1])
+
+
+def wrapped_keys(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, kind index, end) of keys that go on over lines of equal width."""
+    at = 0
+    while m := BASE64.search(text, at):
+        width, runs = m.end() - m.start(), [(m.start(), m.end())]
+        while gap := WRAP.match(text, runs[-1][1]):
+            line = _RUN.match(text, gap.end())
+            if not line or line.end() - line.start() > width:
+                break
+            runs.append(line.span())
+            if line.end() - line.start() < width:
+                break
+        at, k = m.end(), 0
+        while k < len(runs) - 1:
+            found = _wrapped(text, runs[k:])
+            if found:
+                yield runs[k][0], found[0], runs[k + found[1] - 1][1]
+            k += found[1] if found else 1
+        at = max(at, runs[max(k, 1) - 1][1])
+
+
+def _wrapped(text: str, runs: list[tuple[int, int]]) -> tuple[int, int] | None:
+    """(kind index, number of lines) of a key that starts with the first of ``runs``."""
+    first = text[runs[0][0] : runs[0][1]]
+    joined = lambda n: "".join(text[a:b] for a, b in runs[:n])
+    hexed = re.fullmatch(r"30[0-9a-fA-F]+", first) is not None and len(first) % 2 == 0
+    head = bytes.fromhex(first) if hexed else decoded(first[: len(first) // 4 * 4])
+    if size := der_size(head or b""):
+        chars = 2 * size if hexed else -(-4 * size // 3)
+        n = -(-chars // len(first))
+        if 1 < n <= len(runs):
+            whole = joined(n)
+            try:
+                data = bytes.fromhex(whole) if hexed else decoded(whole)
+            except ValueError:
+                data = None
+            if data and der_key(data):
+                return 4, n
+    if (head or b"")[:3] == b"\0\0\0":
+        for n in (len(runs), len(runs) - 1):
+            if n > 1 and (data := decoded(joined(n))) and ssh_key(data):
+                return 5, n
+    return None
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -123,8 +201,8 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     out = []
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            body = decoded(re.sub(r"\\n|\s", "", m[2]))
-            if body and (der_key(body) or body.startswith(b"openssh-key-v1\0")):
+            body = decoded(re.sub(r"\\[nr]|\s", "", m[3]))
+            if body and (der_key(body) or body.startswith(b"openssh-key-v1\0") or DEK.search(m[2])):
                 out.append((m.start(), 3, m.end()))
     if _LONG_RUN.search(text):
         for m in BASE64.finditer(text):
@@ -135,8 +213,11 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
                 out.append((m.start(), 5, m.end()))
             elif re.fullmatch(r"[0-9a-fA-F]+", m[0]) and len(m[0]) % 2 == 0 and der_key(bytes.fromhex(m[0])):
                 out.append((m.start(), 4, m.end()))
+        # not again what a PEM block or a line of its own has shown
+        known = list(out)
+        out += [x for x in wrapped_keys(text) if not any(start < x[2] and x[0] < end for start, _, end in known)]
     if "eyJ" in text:
-        out += [(m.start(), 6, m.end()) for m in JWT.finditer(text) if signed_token(m[0])]
+        out += [(start, 6, end) for start, end in tokens(text)]
     return out
 
 
