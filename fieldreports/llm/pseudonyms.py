@@ -5,7 +5,10 @@ calendar, octet and area ranges) and replaced by a keyed permutation of their
 own domain: a generalised Feistel network over Z_a x Z_b, which is a bijection
 for any a and b, so a valid value becomes a valid value of the same format and
 equal values stay equal in every document. The digit layout (spaces, dashes,
-brackets) is kept. A date in another notation, or a card with other separators,
+brackets) is kept. A run of digit groups is searched for cards from group border to
+group border, the longest first; what is left of it, and of an IBAN candidate that
+fails, is searched again for the other kinds. Inside a run a card starts with a group
+of four digits or more. A date in another notation, or a card with other separators,
 gets the same pseudonym in its own notation.
 
 Only SQL functions, one pass, no shuffle: linkage needs no table of values.
@@ -13,7 +16,8 @@ Only SQL functions, one pass, no shuffle: linkage needs no table of values.
 Domains: cards - payload digits, check digit recomputed; IBAN - digits of the
 account part, check digits recomputed; US social security numbers - the valid
 area, group and serial numbers; phones - ten digits, where area and exchange from
-200 stay so; IPv4 - 32 bits; dates - the 73,000 days from 1900-01-01 as yyyy-mm-dd,
+200 stay so; phones with another country code keep it, and all their other digits are
+permuted; IPv4 - 32 bits; dates - the 73,000 days from 1900-01-01 as yyyy-mm-dd,
 mm/dd/yyyy or dd.mm.yyyy; mail - letters and digits of the local part, the
 domain is kept. Anything that fails its validation is left as it is.
 
@@ -31,19 +35,37 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 KINDS = ("mail", "iban", "ip", "date", "ssn", "phone", "card")
-CANDIDATE = "|".join((
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+# IBAN length of each registered country.
+_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FO|GL|NL", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|XK", 21: "CH|CR|HR|LI|LV",
+    22: "BG|BH|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST",
+    26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA",
+    30: "JO|KW|MU", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+_KNOWN = "|".join(_LENGTHS.values())
+_IBAN = "|".join(rf"(?:{c})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in _LENGTHS.items())
+# A group of four digits or more that begins a run as long as a card.
+_CARD_NEXT = r"[ -]\d{4}(?:[ -]?\d){9}"
+_SIMPLE = (
     r"(?<![A-Za-z0-9.])(?:\d{1,3}\.){3}\d{1,3}(?![A-Za-z0-9]|\.\d)",
-    r"(?<![A-Za-z0-9/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![A-Za-z0-9/-])",
+    r"(?<![A-Za-z0-9/.-])(?:\d{4}-\d{2}-\d{2}(?=T\d)|(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![A-Za-z0-9/-]))",
     r"(?<![A-Za-z0-9-])\d{3}-\d{2}-\d{4}(?![A-Za-z0-9-])",
     r"(?<![A-Za-z0-9])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![A-Za-z0-9])",
-    r"(?<![A-Za-z0-9])\d(?:[ -]?\d){12,18}(?![A-Za-z0-9])",
+    r"(?<![A-Za-z0-9])(?:\+1[ .-]?\d{10}|1?[2-9]\d{9})(?![A-Za-z0-9])",
+    rf"(?<![A-Za-z0-9+])\+[2-9](?:(?!{_CARD_NEXT})[ .()/-]{{0,3}}\d){{7,14}}(?![A-Za-z0-9])",
+)
+_RUN = r"(?<![A-Za-z0-9])\d(?:[ -]?\d){12,}+[A-Za-z0-9]*+"
+SIMPLE = "|".join(_SIMPLE)
+CANDIDATE = "|".join((
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])",
+    rf"(?<![A-Za-z0-9])[A-Z]{{2}}\d{{2}}(?:(?! (?:{_KNOWN})\d\d) ?[A-Z0-9]{{4}}){{2,7}}(?:(?! (?:{_KNOWN})\d\d) ?[A-Z0-9]{{1,3}})?(?![A-Za-z0-9])",
+    *_SIMPLE, _RUN,
 ))
 _SHAPES = {
     "mail": "@", "iban": r"^[A-Z]{2}\d{2}", "ip": r"^(?:\d{1,3}\.){3}\d{1,3}$",
     "date": r"^(?:\d{4}-\d{2}-\d{2}|\d{2}[/.]\d{2}[/.]\d{4})$", "ssn": r"^\d{3}-\d{2}-\d{4}$",
-    "phone": r"^(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}$",
+    "phone": r"^(?:(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+1[ .-]?\d{10}|1?\d{10}|\+[2-9].*)$",
 }
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FIRST_DAY, DAYS = "1900-01-01", (250, 292)
@@ -226,7 +248,15 @@ def _ssn(key: str, m: Column) -> Column:
 _PHONES = ((200, 200, 800, 80_000, 80_000), (200, 0, 200, 40_000, 40_000), (0, 0, 1000, 40_000, 50_000))
 
 
+_COUNTRY = r"^(?:7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+
+
 def _phone(key: str, m: Column) -> Column:
+    def abroad(d: Column) -> Column:
+        code = F.regexp_extract(d, _COUNTRY, 0)
+        rest = d.substr(F.length(code) + 1, F.length(d))
+        return _relayout(m, F.concat(code, _permute_digits(key, "abroad", rest)))
+
     def change(d: Column) -> Column:
         ten = F.right(d, F.lit(10))
         area, exchange, line = ten.substr(1, 3).cast("long"), ten.substr(4, 3).cast("long"), ten.substr(7, 4).cast("long")
@@ -239,7 +269,7 @@ def _phone(key: str, m: Column) -> Column:
             )))
 
         good, odd, low = (within(*x) for x in _PHONES)
-        return F.when((area >= 200) & (exchange >= 200), good).when(area >= 200, odd).otherwise(low)
+        return F.when(m.rlike(r"^\+[2-9]"), abroad(d)).when((area >= 200) & (exchange >= 200), good).when(area >= 200, odd).otherwise(low)
 
     return _let(_digits(m), change)
 
@@ -277,34 +307,91 @@ def _mail(key: str, m: Column) -> Column:
 
 
 _CHANGE = {"mail": _mail, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone}
+_PIECES = "array<struct<kind:string,new:string,old:string>>"
+
+
+def _piece(kind: Column, new: Column, old: Column) -> Column:
+    return F.struct(kind.cast("string").alias("kind"), new.cast("string").alias("new"), old.alias("old"))
+
 
+def _plain(old: Column) -> Column:
+    return _piece(F.lit(None), F.lit(None), old)
 
-def pseudonym(key: str, m: Column) -> Column:
-    """Struct (kind, new) of a candidate; ``new`` is null where it fails its validation."""
+
+def pseudonym(key: str, m: Column, kinds: tuple[str, ...] = tuple(_CHANGE)) -> Column:
+    """Piece of a candidate; ``new`` is null where it fails its validation, and for a run of digits, of the kind card."""
     chain = None
-    for name, change in _CHANGE.items():
-        case = F.struct(F.lit(name).alias("kind"), change(key, m).alias("new"))
-        test = m.rlike(_SHAPES[name])
+    for name in kinds:
+        case, test = _piece(F.lit(name), _CHANGE[name](key, m), m), m.rlike(_SHAPES[name])
         chain = F.when(test, case) if chain is None else chain.when(test, case)
-    return chain.otherwise(F.struct(F.lit("card").alias("kind"), _card(key, m).alias("new")))
+    return chain.otherwise(_piece(F.lit("card"), F.lit(None), m))
+
+
+def _pieces(text: Column, pattern: str, use: Callable[[Column], Column]) -> Column:
+    """``text`` as pieces in order: the gaps between the candidates, and ``use`` of each candidate."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), use)
+    return _let(F.struct(F.split(text, pattern, -1).alias("gaps"), found.alias("found")), lambda x: F.flatten(F.transform(
+        F.sequence(F.lit(1), F.size(x["gaps"])),
+        lambda i: F.when(i <= F.size(x["found"]), F.array(_plain(F.element_at(x["gaps"], i)), F.try_element_at(x["found"], i)))
+        .otherwise(F.array(_plain(F.element_at(x["gaps"], i)))),
+    )))
+
+
+def _cards(key: str, run: Column) -> Column:
+    """A run of digit groups as pieces: the cards in it, from border to border, and the text between them."""
+
+    def search(groups: Column) -> Column:
+        def end(i: Column) -> Column:
+            """Last group of the longest card that starts with group ``i``, or null."""
+            ends = F.sequence(F.least(i + 18, F.size(groups)), i)
+            return F.try_element_at(F.filter(ends, lambda j: _let(
+                F.array_join(F.slice(groups, i, j - i + 1), ""),
+                lambda d: F.when(d.rlike("^[0-9]{13,19}$"), F.right(d, F.lit(1)) == _check_digit(d.substr(F.lit(1), F.length(d) - 1))).otherwise(False),
+            )), F.lit(1))
+
+        def turn(acc: Column, i: Column) -> Column:
+            group = F.element_at(groups, i)
+            after = acc["at"] + F.length(group) + 1
+            starts = (i >= acc["free"]) & group.rlike("^[0-9]+$") & ((i == 1) | (F.length(group) >= 4))
+            last = F.when(starts, end(i))
+            return _let(last, lambda j: F.when(j.isNull(), F.struct(
+                after.alias("at"), acc["free"].alias("free"), acc["done"].alias("done"), acc["out"].alias("out"),
+            )).otherwise(_let(F.length(F.array_join(F.slice(groups, i, j - i + 1), " ")), lambda n: F.struct(
+                after.alias("at"), (j + 1).alias("free"), (acc["at"] + n).alias("done"),
+                F.concat(acc["out"], F.array(
+                    _plain(run.substr(acc["done"], acc["at"] - acc["done"])),
+                    _piece(F.lit("card"), _card(key, run.substr(acc["at"], n)), run.substr(acc["at"], n)),
+                )).alias("out"),
+            ))))
+
+        start = F.struct(F.lit(1).alias("at"), F.lit(1).alias("free"), F.lit(1).alias("done"), F.array().cast(_PIECES).alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, turn, lambda acc: F.concat(
+            acc["out"], F.array(_plain(run.substr(acc["done"], F.length(run))))))
+
+    return _let(F.split(run, "[ -]"), search)
+
+
+def _again(pieces: Column, test: Callable[[Column], Column], use: Callable[[Column], Column]) -> Column:
+    """``pieces`` with those that pass ``test`` replaced by the pieces ``use`` of their text."""
+    return F.flatten(F.transform(pieces, lambda p: F.when(test(p), use(p["old"])).otherwise(F.array(p))))
 
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the rewritten text and the number of replaced values of each kind."""
-    text = F.col("text")
+    text, simple = F.col("text"), ("ip", "date", "ssn", "phone")
+    failed = lambda kind: lambda p: (p["kind"] == kind) & p["new"].isNull()
+
+    def runs(run: Column) -> Column:
+        rest = lambda p: p["kind"].isNull() & p["old"].rlike("[0-9]")
+        return _again(_cards(key, run), rest, lambda t: _pieces(t, SIMPLE, lambda m: pseudonym(key, m, simple)))
+
+    first = _pieces(text, CANDIDATE, lambda m: pseudonym(key, m))
+    second = _again(first, failed("iban"), lambda t: _pieces(t, f"{SIMPLE}|{_RUN}", lambda m: pseudonym(key, m, simple)))
     # most texts hold neither a digit nor an at sign: one scan settles them
-    found = F.when(text.rlike("[0-9@]"), F.transform(
-        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),
-        lambda m: _let(pseudonym(key, m), lambda p: F.struct(p["kind"].alias("kind"), p["new"].alias("new"), m.alias("old"))),
-    )).otherwise(F.array().cast("array<struct<kind:string,new:string,old:string>>"))
+    found = F.when(text.rlike("[0-9@]"), _again(second, failed("card"), runs)).otherwise(F.array().cast(_PIECES))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("found", found)
-    gaps = F.split(text, CANDIDATE, -1)
-    rewritten = F.when(F.exists("found", lambda p: p["new"].isNotNull()), _let(gaps, lambda g: F.array_join(
-        F.transform(F.sequence(F.lit(1), F.size(g)), lambda i: F.concat(
-            F.element_at(g, i),
-            F.coalesce(F.try_element_at(F.col("found"), i)["new"], F.try_element_at(F.col("found"), i)["old"], F.lit("")),
-        )), "",
-    ))).otherwise(text)
+    rewritten = F.when(F.exists("found", lambda p: p["new"].isNotNull()), F.array_join(
+        F.transform("found", lambda p: F.coalesce(p["new"], p["old"])), "")).otherwise(text)
     changed = F.transform(F.filter("found", lambda p: p["new"].isNotNull()), lambda p: p["kind"])
     counts = [
         (F.size(changed) - F.size(F.array_remove(changed, k))).cast("long").alias(f"n_{k}") for k in KINDS
