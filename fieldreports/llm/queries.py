@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldreports.llm import (
-    decontaminate, jaccard_join, language_id, line_dedup, mixing, pseudonyms, quality_classifier, quality_rules, secrets,
-    substring_dedup,
+    decontaminate, importance_resampling, jaccard_join, language_id, line_dedup, mixing, periodic_runs, pseudonyms,
+    quality_classifier, quality_rules, secrets, simhash_join, substring_dedup,
 )
 
 
@@ -60,6 +60,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_simhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_join.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=periodic_runs.planted_order).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "n_dropped", "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pseudonyms": op2_pseudonyms,
@@ -71,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_simhash_join": op12_simhash_join,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _OP3_SQL = r"""
@@ -150,4 +167,39 @@ SELECT *, CAST(order_key >> 48 AS INTEGER) AS block FROM k
 """.replace("{entropy}", str(mixing.ENTROPY_SHARE)).replace("{repeats}", str(mixing.MAX_REPEATS)).replace(
     "{budget}", str(mixing.BUDGET_SHARE)).replace("{seed}", mixing.SEED)
 
-ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3_SQL, "op4_substring_dedup": _OP4_SQL, "op10_mixing": _OP10_SQL}
+# The table of the checksum (one entry per byte value) comes from its polynomial; each word is reduced byte by byte.
+_OP11_SQL = r"""
+WITH tab AS (SELECT list(c ORDER BY i) AS tab FROM (
+  SELECT i, list_reduce([i]::BIGINT[] || range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM (SELECT unnest(range(0, 256)) AS i))),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, f, count(*) AS n FROM (SELECT doc_id, unnest(w) AS f FROM d) GROUP BY doc_id, f),
+bw AS (SELECT f, count(*) AS n FROM (SELECT unnest(w) AS f FROM b) GROUP BY f),
+v AS (SELECT f, xor(list_reduce([4294967295]::BIGINT[] || list_transform(range(0, octet_length(CAST(f AS BLOB))),
+      lambda j: CAST('0x' || substr(hex(f), CAST(2 * j + 1 AS BIGINT), 2) AS BIGINT)),
+      lambda c, x: xor(c >> 8, tab[CAST((xor(c, x) & 255) + 1 AS BIGINT)])), 4294967295) % {buckets} AS bucket
+  FROM (SELECT f FROM dw UNION SELECT f FROM bw), tab),
+s AS (SELECT bucket, sum(n) AS s FROM dw JOIN v USING (f) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM bw JOIN v USING (f) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + {buckets})::DOUBLE
+      / ((coalesce(s, 0) + 1)::DOUBLE * (all_t + {buckets})::DOUBLE))) AS BIGINT) AS gain
+  FROM (SELECT DISTINCT bucket FROM v) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket),
+    (SELECT coalesce(sum(n), 0) AS all_s FROM dw), (SELECT coalesce(sum(n), 0) AS all_t FROM bw)),
+w AS (SELECT doc_id, sum(n * gain) AS weight FROM dw JOIN v USING (f) JOIN g USING (bucket) GROUP BY doc_id),
+x AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{seed}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN w USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM x WHERE n_features >= {least})
+SELECT x.*, CASE WHEN r <= {share} * n // 100 THEN r END AS rank FROM x LEFT JOIN r USING (doc_id)
+""".replace("{buckets}", str(importance_resampling.BUCKETS)).replace("{seed}", importance_resampling.SEED).replace(
+    "{least}", str(importance_resampling.LEAST_WORDS)).replace("{share}", str(importance_resampling.SHARE_PERCENT))
+
+ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3_SQL, "op4_substring_dedup": _OP4_SQL, "op10_mixing": _OP10_SQL,
+                              "op11_importance_resampling": _OP11_SQL}

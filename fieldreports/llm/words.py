@@ -112,6 +112,16 @@ def split_words(texts: Texts, inside: np.ndarray = NON_SPACE, lower: bool = Fals
     return Words(raw, start, end, np.searchsorted(start, texts.off))
 
 
+def joined(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All words back to back with one space between them, and where each one begins and ends there."""
+    size = words.end - words.start
+    end = np.cumsum(size + 1) - 1
+    out = np.full(end[-1] if len(end) else 0, 0x20, dtype=np.uint8)
+    at = np.arange(int(size.sum()))
+    out[at + np.repeat(np.arange(len(size)), size)] = words.raw[at + np.repeat(words.start - (np.cumsum(size) - size), size)]
+    return out.tobytes(), end - size, end
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (bijective)."""
     h = h ^ (h >> _U(30))
