@@ -180,7 +180,7 @@ b AS (
          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 dw AS (SELECT doc_id, f, count(*) AS n FROM (SELECT doc_id, unnest(w) AS f FROM d) GROUP BY doc_id, f),
 bw AS (SELECT f, count(*) AS n FROM (SELECT unnest(w) AS f FROM b) GROUP BY f),
-v AS (SELECT f, xor(list_reduce([4294967295]::BIGINT[] || list_transform(range(0, octet_length(CAST(f AS BLOB))),
+v AS (SELECT f, xor(list_reduce([4294967295]::BIGINT[] || list_transform(range(0, strlen(f)),
       lambda j: CAST('0x' || substr(hex(f), CAST(2 * j + 1 AS BIGINT), 2) AS BIGINT)),
       lambda c, x: xor(c >> 8, tab[CAST((xor(c, x) & 255) + 1 AS BIGINT)])), 4294967295) % {buckets} AS bucket
   FROM (SELECT f FROM dw UNION SELECT f FROM bw), tab),
