@@ -22,6 +22,7 @@ import binascii
 import hashlib
 import json
 import re
+import string
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,17 +37,22 @@ KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt")
 # Lower-cased text without any of these holds no assignment.
 _KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
-PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]{1,40})-----((?:(?:\s|\\[nr])*[A-Za-z][A-Za-z0-9-]*:[^\n\\]*(?:\n[ \t]+[^\n\\]*)*(?:\n|\\n))*)"
-    r"([A-Za-z0-9+/=\s\\]+?)-----END \1-----"
-)
+BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----")
+# A header line of a block, and a line that goes on with one. Possessive, so that no text is read twice.
+HEADER = re.compile(r"(?:\s|\\[nr])*+[A-Za-z][A-Za-z0-9-]*+:[^\n\\]*+(?:\n|\\n)")
+FOLDED = re.compile(r"[ \t]++[^\n\\]*+(?:\n|\\n)|\r?(?:\n|\\n)")
+BLANK = re.compile(r"(?:\n|\\n)[ \t\r]*+(?:\n|\\n)")
+_BODY = string.ascii_letters + string.digits + "+/=\\" + "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 DEK = re.compile(r"DEK-Info:\s*[A-Z0-9-]+,\s*[0-9A-Fa-f]{16,}")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 # What may stand between two lines of one wrapped key.
 WRAP = re.compile(r"[\"',;\\ \t]*(?:\r?\n|\\n)[\"'>|#* \t]*")
 # Three parts, five where the content is encrypted; parts may be empty.
-JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*\.[A-Za-z0-9_-]*")
-JWE_REST = re.compile(r"\.[A-Za-z0-9_-]*\.[A-Za-z0-9_-]*")
+JWT_PART = re.compile(r"[A-Za-z0-9_-]++")
+JWT_REST = re.compile(r"\.[A-Za-z0-9_-]*+\.[A-Za-z0-9_-]*+")
+# How an SSH blob begins, and more fields than any key or certificate has.
+SSH_HEAD = re.compile(rb"\0\0\0[\x01-\x40](?:ssh|ecdsa|sk)-")
+SSH_FIELDS = 32
 _RUN = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _LONG_RUN = re.compile(r"[A-Za-z0-9+/_-]{40}")
 
@@ -99,7 +105,7 @@ def _elements(data: bytes, at: int, end: int, depth: int) -> list[tuple[int, int
 def ssh_key(data: bytes) -> bool:
     """Length-prefixed fields that fill ``data``, the first naming a key type."""
     fields, at = [], 0
-    while at + 4 <= len(data):
+    while at + 4 <= len(data) and len(fields) <= SSH_FIELDS:
         size = int.from_bytes(data[at : at + 4], "big")
         if size > len(data) - at - 4:
             return False
@@ -120,14 +126,36 @@ def token_header(text: str) -> dict | None:
 def tokens(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of the tokens with a valid header."""
     at = 0
-    while m := JWT.search(text, at):
-        head, at = token_header(m[1]), m.end()
-        if head is None:
-            at = m.end(1)
-        else:
-            rest = JWE_REST.match(text, at) if "enc" in head else None
-            at = rest.end() if rest else at
-            yield m.start(), at
+    while part := JWT_PART.search(text, at):
+        at = part.end()
+        start = text.find("eyJ", part.start(), at)
+        rest = JWT_REST.match(text, at) if 0 <= start < at - 3 else None
+        head = token_header(text[start:at]) if rest else None
+        if head is not None:
+            more = JWT_REST.match(text, rest.end()) if "enc" in head else None
+            at = (more or rest).end()
+            yield start, at
+
+
+def pem_blocks(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, header lines, body) of the armoured blocks; neither part holds five dashes."""
+    for m in BEGIN.finditer(text):
+        stop = text.find("-----", m.end())
+        mark = f"-----END {m[1]}-----"
+        if not text.startswith(mark, stop):
+            continue
+        inner = text[m.end() : stop]
+        least, at = len(inner.rstrip(_BODY)), 0
+        first = HEADER.match(inner)
+        if first and (gap := BLANK.search(inner, first.end() - 1)) and gap.end() < len(inner.rstrip()):
+            least = max(least, gap.end())  # headers end with a blank line where there is one
+        while at < least:
+            line = HEADER.match(inner, at) or (FOLDED.match(inner, at) if at else None)
+            if not line:
+                break
+            at = line.end()
+        if at >= least and at < len(inner):
+            yield m.start(), stop + len(mark), inner[:at], inner[at:]
 
 
 def der_size(head: bytes) -> int:
@@ -176,13 +204,29 @@ def _wrapped(text: str, runs: list[tuple[int, int]]) -> tuple[int, int] | None:
                 data = None
             if data and der_key(data):
                 return 4, n
-    if (head or b"")[:3] == b"\0\0\0":
+    if SSH_HEAD.match(head or b""):
         for n in (len(runs), len(runs) - 1):
-            if n > 1 and (data := decoded(joined(n))) and ssh_key(data):
+            if n > 1 and _fields_fill(text, runs, n) and (data := decoded(joined(n))) and ssh_key(data):
                 return 5, n
     return None
 
 
+def _fields_fill(text: str, runs: list[tuple[int, int]], n: int) -> bool:
+    """Whether length-prefixed fields fill the first ``n`` of ``runs``; reads the lengths only."""
+    width = runs[0][1] - runs[0][0]
+    last = text[runs[n - 1][0] : runs[n - 1][1]].rstrip("=")
+    total, at, count = ((n - 1) * width + len(last)) * 3 // 4, 0, 0
+    while at + 4 <= total and count <= SSH_FIELDS:
+        char = at // 3 * 4  # eight characters hold the four bytes from here on
+        lines = range(char // width, min((char + 7) // width, n - 1) + 1)
+        piece = "".join(text[a:b] for a, b in (runs[i] for i in lines))[char % width :][:8]
+        four = (decoded(piece) or b"")[at % 3 : at % 3 + 4]
+        if len(four) < 4:
+            return False
+        at, count = at + 4 + int.from_bytes(four, "big"), count + 1
+    return at == total
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of the base kinds."""
     out = []
@@ -200,10 +244,10 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of candidates whose decoded structure is that of a key."""
     out = []
     if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            body = decoded(re.sub(r"\\[nr]|\s", "", m[3]))
-            if body and (der_key(body) or body.startswith(b"openssh-key-v1\0") or DEK.search(m[2])):
-                out.append((m.start(), 3, m.end()))
+        for start, end, head, lines in pem_blocks(text):
+            body = decoded(re.sub(r"\\[nr]|\s", "", lines))
+            if body and (der_key(body) or body.startswith(b"openssh-key-v1\0") or DEK.search(head)):
+                out.append((start, 3, end))
     if _LONG_RUN.search(text):
         for m in BASE64.finditer(text):
             body = decoded(m[0])
