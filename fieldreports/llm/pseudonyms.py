@@ -57,7 +57,8 @@ _SIMPLE = (
 _RUN = r"(?<![A-Za-z0-9])\d(?:[ -]?\d){12,}+[A-Za-z0-9]*+"
 SIMPLE = "|".join(_SIMPLE)
 CANDIDATE = "|".join((
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    # a local part has at most 64 characters; possessive groups match in a loop, others recurse once per label
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])",
     rf"(?<![A-Za-z0-9])[A-Z]{{2}}\d{{2}}(?:(?! (?:{_KNOWN})\d\d) ?[A-Z0-9]{{4}}){{2,7}}(?:(?! (?:{_KNOWN})\d\d) ?[A-Z0-9]{{1,3}})?(?![A-Za-z0-9])",
     *_SIMPLE, _RUN,
