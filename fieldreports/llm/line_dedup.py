@@ -21,11 +21,15 @@ what is left.
    beginning and its end, cut to lengths of a geometric grid.
 3. Pairs of a group whose lengths and character counts allow the distance are
    verified by a bit-parallel automaton over the band of ``2 * TAU + 1`` diagonals.
+   A line goes as soon as one earlier line is near it, so every line is compared with
+   the earliest line of its group first, then with later and later ones, until one is
+   near; the group returns one row for each line that goes.
 
-Groups of more than ``TILE`` lines are dealt into tiles of ``TILE`` x ``TILE``, so
-no task holds a whole hot group; pairs inside a tile exist as index arrays, and
-only those that pass the counts become rows. A task emits the segments of equal
-lines once.
+Groups of more than ``TILE`` lines or ``TILE_CHARS`` characters are dealt into tiles
+of two such blocks, so no task compares a whole hot group; pairs exist only as index
+arrays inside a tile. A task emits the segments of equal lines once. The rows of one
+key are sorted in one task to see whether different lines share it (sixteen bytes a
+row, spilled to disk where they are many).
 
 Defined results: a null text stays null with no lines; an empty text is one
 empty line, and blank lines stay; rows with a null ``doc_id`` neither lose
@@ -45,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldreports.llm.shared import free_name, stored
+from fieldreports.llm.shared import dealt_anew, free_name, stored
 from fieldreports.llm.words import mix
 
 TAU = 2
@@ -53,6 +57,7 @@ MIN_CHARS = 20
 # Lengths of beginnings and ends, each a quarter above the one before.
 GRID = np.unique((6 * 1.25 ** np.arange(120)).astype(np.int64))
 TILE = 1024
+TILE_CHARS = 1 << 22
 BUCKETS = 32
 PAIR_BATCH = 1 << 19
 BATCH_CHARS = 1 << 20
@@ -271,42 +276,70 @@ def _close(a: np.ndarray, b: np.ndarray, length: np.ndarray, table: np.ndarray,
     return ok[np.minimum(gap, -gap).sum(axis=1, dtype=np.int64) <= 2 * most[ok]]
 
 
-def group_pairs(rows: DataFrame, blocks: bool = False) -> DataFrame:
-    """Candidate pairs (a, b), a < b, of rows (key, i, j, part, line, n, counts) sorted by (key, i, j, part)."""
+def near_earlier(rows: DataFrame, blocks: bool = False) -> DataFrame:
+    """(line): the lines that have a near earlier one among the rows (key, i, j, part, line, n, counts, text, doc, at)
+    of their tile, sorted by (key, i, j, part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-            key = np.stack([held.column(c).to_numpy() for c in (0, 1, 2)], axis=1)
-            start = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1)))) if len(key) else []
+            start = _run_starts(held)
             if len(start) > 1:  # the last run may go on in the next batch
-                yield from pairs(held.slice(0, int(start[-1])))
+                yield _gone(held.slice(0, int(start[-1])), blocks)
                 held = held.slice(int(start[-1]))
         if held is not None and held.num_rows:
-            yield from pairs(held)
-
-    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = np.stack([table.column(c).to_numpy() for c in (0, 1, 2)], axis=1)
-        part, length = table.column(3).to_numpy(), table.column(5).to_numpy()
-        lines = table.column(4).to_numpy()
-        count = np.frombuffer(b"".join(table.column(6).to_pylist()), dtype=np.uint8).reshape(-1, BUCKETS)
-        first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
-        last = np.append(first[1:], len(key))
-        wide = (key[:, 0] & 1 == 1) & blocks
-        # within a run the segment rows (part 0) come first
-        split = first + np.add.reduceat((part == 0).astype(np.int64), first)
-        found: set[tuple[bytes, bytes]] = set()
-        for a, b in _run_pairs(first, split, last):
-            ok = _close(a, b, length, count, wide)
-            for x, y in zip(lines[a[ok]], lines[b[ok]]):
-                if x != y:
-                    found.add((x, y) if x < y else (y, x))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p[0] for p in found], pa.binary()), pa.array([p[1] for p in found], pa.binary())], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a binary, b binary")
+            yield _gone(held, blocks)
+
+    return rows.mapInArrow(run, "line binary")
+
+
+def _run_starts(table: pa.Table) -> np.ndarray:
+    key = np.stack([table.column(c).to_numpy() for c in (0, 1, 2)], axis=1)
+    return np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1)))) if len(key) else np.zeros(0, np.int64)
+
+
+def _gone(table: pa.Table, blocks: bool) -> pa.RecordBatch:
+    key, part, length = (table.column(c).to_numpy() for c in (0, 3, 5))
+    count = np.frombuffer(b"".join(table.column(6).to_pylist()), dtype=np.uint8).reshape(-1, BUCKETS)
+    doc, at = table.column(8).to_numpy(), table.column(9).to_numpy()
+    order = np.lexsort((at, doc))
+    step = (doc[order][1:] != doc[order][:-1]) | (at[order][1:] != at[order][:-1])
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.concatenate(([0], np.cumsum(step)))  # equal for lines that begin at the same place
+    names, row, number = np.unique(table.column(4).to_numpy(), return_index=True, return_inverse=True)
+    place, text = place[row], table.column(7).take(pa.array(row)).to_pylist()
+    gone = np.zeros(len(names), dtype=bool)
+    first = _run_starts(table)
+    # within a run the segment rows (part 0) come first
+    split = first + np.add.reduceat((part == 0).astype(np.int64), first)
+    wide = (key & 1 == 1) & blocks
+    for a, b in _run_pairs(first, split, np.append(first[1:], len(key))):
+        ok = _close(a, b, length, count, wide)
+        x, y = number[a[ok]], number[b[ok]]
+        late, early = np.where(place[x] > place[y], x, y), np.where(place[x] > place[y], y, x)
+        _settle(late, early, place, text, gone, blocks)
+    return pa.RecordBatch.from_arrays([pa.array(names[gone], pa.binary())], names=["line"])
+
+
+def _settle(late: np.ndarray, early: np.ndarray, place: np.ndarray, text: list[str], gone: np.ndarray, blocks: bool) -> None:
+    """Mark in ``gone`` the lines ``late`` near one of their ``early`` lines; a line's earliest candidate is tried first,
+    then twice as many a round, until one is near."""
+    use = np.flatnonzero((place[early] < place[late]) & ~gone[late])
+    use = use[np.lexsort((place[early[use]], late[use]))]
+    late, early = late[use], early[use]
+    new = np.ones(len(late), dtype=bool)
+    new[1:] = (late[1:] != late[:-1]) | (early[1:] != early[:-1])
+    late, early = late[new], early[new]
+    some = 1
+    while len(late):
+        rank = np.arange(len(late)) - np.searchsorted(late, late)
+        now = np.flatnonzero(rank < some)
+        good = near([text[k] for k in late[now]], [text[k] for k in early[now]], blocks)
+        gone[late[now[good]]] = True
+        left = (rank >= some) & ~gone[late]
+        late, early, some = late[left], early[left], 2 * some
 
 
 # -- verification -----------------------------------------------------------------
@@ -374,52 +407,45 @@ def one_run(x: str, y: str) -> bool:
     return most - min(same, short) <= run_limit(most)
 
 
-def verified(pairs: DataFrame, blocks: bool = False) -> DataFrame:
-    """Of (a, b, x, y) the pairs (a, b) whose texts x and y are within the distance, or differ in one run."""
+def near(x: list[str], y: list[str], blocks: bool = False) -> np.ndarray:
+    """Whether the lines of each pair are within the distance, or with ``blocks`` differ in one run."""
+    good = np.array([blocks and one_run(*p) for p in zip(x, y)], dtype=bool)
+    order = sorted((k for k in range(len(x)) if not good[k] and abs(len(x[k]) - len(y[k])) <= TAU), key=lambda k: len(x[k]))
+    at = 0
+    while at < len(order):  # pairs of like length together, a bounded number of characters
+        upto = at + 1
+        while upto < len(order) and (upto - at + 1) * (len(x[order[upto]]) + TAU) <= BATCH_CHARS:
+            upto += 1
+        some = order[at:upto]
+        good[some] = within([x[k] for k in some], [y[k] for k in some])
+        at = upto
+    return good
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            good = np.array([blocks and one_run(*p) for p in zip(x, y)], dtype=bool)
-            order = sorted((k for k in range(len(x)) if not good[k] and abs(len(x[k]) - len(y[k])) <= TAU), key=lambda k: len(x[k]))
-            at = 0
-            while at < len(order):  # pairs of like length together, a bounded number of characters
-                upto = at + 1
-                while upto < len(order) and (upto - at + 1) * (len(x[order[upto]]) + TAU) <= BATCH_CHARS:
-                    upto += 1
-                some = order[at:upto]
-                good[some] = within([x[k] for k in some], [y[k] for k in some])
-                at = upto
-            yield batch.filter(pa.array(good)).select([0, 1])
-
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
-
-
-def line_links(docs: DataFrame, blocks: bool = False) -> DataFrame:
-    """Pairs (a, b) of different lines within the distance, with ``blocks`` also of those that differ in one run."""
+
+def near_lines(docs: DataFrame, first: DataFrame, blocks: bool = False) -> DataFrame:
+    """(line): the lines near a different one that occurs earlier; ``first`` holds each line's first place."""
     group = Window.partitionBy("key")
     part = F.col("id").bitwiseAND(F.lit(1))
     line_id = F.col("id") - part
     rows = segments(docs, blocks).select("key", line_id.alias("id"), part.alias("segment")).withColumns({
-        "low": F.min("id").over(group), "high": F.max("id").over(group),
-        "any": F.max("segment").over(group), "members": F.count(F.lit(1)).over(group),
+        "low": F.min("id").over(group), "high": F.max("id").over(group), "any": F.max("segment").over(group),
     }).where("low < high AND any = 1")
-    rows = stored(rows.select("key", "id", "segment", "members"))
-    lines = stored(candidate_lines(docs, rows.select("id").distinct()))
-    placed = rows.join(lines.select("id", "line", F.length("text").alias("n"), "counts"), "id")
+    rows = stored(rows.groupBy("key", "id").agg(F.max("segment").alias("segment")))
+    lines = candidate_lines(docs, rows.select("id").distinct())
+    lines = stored(lines.join(first, "line").select("id", "line", "text", "counts", "first.doc", "first.at"))
+    placed = stored(rows.join(lines.withColumn("n", F.length("text")), "id"))
+    size = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("chars"))
+    size = size.select("key", F.ceil(F.greatest(F.col("members") / TILE, F.col("chars") / TILE_CHARS)).cast("int").alias("blocks"))
+    placed = placed.join(dealt_anew(size), "key").withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
     # segment rows of block i meet the rows of block j in the tile (key, i, j)
-    placed = placed.withColumn("blocks", F.ceil(F.col("members") / TILE).cast("int")).withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
     # part 0: a segment row as such; part 1: any row in its role as a probe
     roles = placed.withColumn("part", F.explode(F.when(F.col("segment") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
     tiles = roles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.when(F.col("part") == 0, F.col("block")).otherwise(F.col("other")).alias("i"),
-        F.when(F.col("part") == 0, F.col("other")).otherwise(F.col("block")).alias("j"), "part", "line", "n", "counts")
+        F.when(F.col("part") == 0, F.col("other")).otherwise(F.col("block")).alias("j"),
+        "part", "line", "n", "counts", "text", "doc", "at")
     dealt = tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "part")
-    pairs = group_pairs(dealt, blocks).distinct()
-    texts = lines.select("line", "text")
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("x")), "a").join(
-        texts.select(F.col("line").alias("b"), F.col("text").alias("y")), "b")
-    return stored(verified(both, blocks))
+    return near_earlier(dealt, blocks).distinct()
 
 
 # -- removal ----------------------------------------------------------------------
@@ -428,11 +454,9 @@ def removed_lines(docs: DataFrame, blocks: bool = False) -> DataFrame:
     """(doc, gone): the numbers of the lines to remove, for documents that lose any."""
     found = stored(occurrences(docs))
     first = stored(found.groupBy("line").agg(F.min(F.struct("doc", "at")).alias("first")))
-    links = line_links(docs, blocks)
-    both = links.union(links.select("b", "a"))
-    near = both.join(first.select(F.col("line").alias("b"), F.col("first").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))
-    least = stored(first.join(near, F.col("line") == F.col("a"), "left").select("line", F.least("first", "near").alias("least")))
-    later = found.join(least, "line").where(F.struct("doc", "at") > F.col("least"))
+    gone = near_lines(docs, first, blocks).withColumn("near", F.lit(True))
+    known = stored(first.join(gone, "line", "left"))
+    later = found.join(known, "line").where(F.col("near").isNotNull() | (F.struct("doc", "at") > F.col("first")))
     return later.groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("gone"))
 
 
