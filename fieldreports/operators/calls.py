@@ -47,8 +47,12 @@ PAYLOAD_COLUMNS = (
 
 def call_candidates(enriched: DataFrame, as_of, since_days: int = DEFAULT_SINCE_DAYS) -> DataFrame:
     """Recent, consenting, non-training reports (F2). Recent = serviceDate strictly after as_of - since."""
+    return enriched.where(_is_candidate(as_of, since_days))
+
+
+def _is_candidate(as_of, since_days: int) -> Column:
     cutoff = ts_literal(as_of) - F.make_interval(days=F.lit(since_days))
-    return enriched.where((F.col("serviceDate") > cutoff) & ~F.col("training") & ~F.col("noConsent"))
+    return (F.col("serviceDate") > cutoff) & ~F.col("training") & ~F.col("noConsent")
 
 
 def fill_training_defaults(df: DataFrame) -> DataFrame:
@@ -79,8 +83,12 @@ def call_counts(messages: DataFrame) -> DataFrame:
 
 def needed_calls(counts: DataFrame, target: float = DEFAULT_TARGET) -> DataFrame:
     """``needed = ceil(reports * target) - called``; may be negative."""
-    share = F.ceil(F.col("reports").cast("double") * F.lit(float(target)).cast("double"))
-    return counts.withColumn("needed", (share - F.col("called")).cast("bigint"))
+    return counts.withColumn("needed", _quota("reports", "called", target))
+
+
+def _quota(reports: str, called: str, target: float) -> Column:
+    share = F.ceil(F.col(reports).cast("double") * F.lit(float(target)).cast("double"))
+    return (share - F.col(called)).cast("bigint")
 
 
 def quota_limit(needed: Column, size: Column) -> Column:
@@ -113,11 +121,12 @@ def shuffle_key(seed: int = SHUFFLE_SEED, col: str = "_id") -> Column:
 
 def queue_entries(batch: DataFrame, payload_columns: Sequence[str] = PAYLOAD_COLUMNS,
                   seed: int = SHUFFLE_SEED) -> DataFrame:
-    """Batch rows → ``(district, payload, _order)``: JSON payload with explicit nulls."""
+    """Batch rows → ``(district, payload, _order)``, and ``_batch`` where rows carry one: JSON payload with explicit nulls."""
     return batch.select(
         F.col("chw_district").alias("district"),
         json_payload(batch, payload_columns).alias("payload"),
         shuffle_key(seed).alias("_order"),
+        *(["_batch"] if "_batch" in batch.columns else []),
     )
 
 
@@ -139,11 +148,21 @@ def queue_refresh(old: DataFrame, *batches: DataFrame) -> DataFrame:
     from every batch are untouched. ``seq`` is renumbered 1.. per touched
     district, newest highest; a batch is pushed in ``_order``.
     """
-    pushed = old.select("district", "payload", "seq", F.lit(0).alias("_batch"), F.lit("").alias("_order"))
+    entries = None
     for i, batch in enumerate(batches, 1):
-        pushed = pushed.unionByName(batch.select(
-            "district", "payload", F.lit(0).cast("bigint").alias("seq"), F.lit(i).alias("_batch"), "_order"))
-    sizes = {f"_size{i}": F.when(F.col("_batch") == i, 1).otherwise(0) for i in range(len(batches) + 1)}
+        part = batch.select("district", "payload", "_order", F.lit(i).alias("_batch"))
+        entries = part if entries is None else entries.unionByName(part)
+    return push_entries(old, entries, len(batches)) if batches else old.select("district", "seq", "payload")
+
+
+def push_entries(old: DataFrame, entries: DataFrame, batches: int, touched_only: bool = False) -> DataFrame:
+    """:func:`queue_refresh` of entries that carry the number of their batch (``_batch``, from 1 on).
+
+    ``touched_only`` leaves out the queues that no batch touches.
+    """
+    pushed = old.select("district", "payload", "seq", F.lit(0).alias("_batch"), F.lit("").alias("_order")).unionByName(
+        entries.select("district", "payload", F.lit(0).cast("bigint").alias("seq"), F.col("_batch").cast("int").alias("_batch"), "_order"))
+    sizes = {f"_size{i}": F.when(F.col("_batch") == i, 1).otherwise(0) for i in range(batches + 1)}
     ranked = rank_in_slices(
         pushed, ["district"],
         # along the queue: batch, then old entries by number and new ones by leading hash digits
@@ -154,7 +173,8 @@ def queue_refresh(old: DataFrame, *batches: DataFrame) -> DataFrame:
     length = F.greatest(*[F.col(c) for c in sizes])
     new = total - F.col("_size0")
     place = (F.col("_rank") - (total - length)).cast("bigint")
-    return ranked.where((new == 0) | (place > 0)).select(
+    kept = (new > 0) & (place > 0) if touched_only else (new == 0) | (place > 0)
+    return ranked.where(kept).select(
         "district", F.when(new == 0, F.col("seq")).otherwise(place).alias("seq"), "payload")
 
 
@@ -167,3 +187,27 @@ def call_batch(enriched: DataFrame, as_of, target: float = DEFAULT_TARGET,
     quota = needed_calls(ranked.withColumn("_flag", F.col("called")).withColumn("called", F.col("_calls")), target)
     picked = quota.where(F.col("_rank") <= quota_limit(F.col("needed"), F.col("reports")))
     return picked.select(*[F.col("_flag").alias(c) if c == "called" else F.col(c) for c in candidates.columns])
+
+
+def queue_batches(enriched: DataFrame, as_of, target: float = DEFAULT_TARGET,
+                  since_days: int = DEFAULT_SINCE_DAYS) -> DataFrame:
+    """The entries of both daily batches from one pass over the reports: the picked calls
+    (``_batch`` 1, as :func:`call_batch`) and all training reports (2, as :func:`training_batch`).
+
+    Every report is in one batch at most, so a label takes the place of two derivations and
+    one ranking serves both.
+    """
+    label = F.when(F.col("training"), 2).when(_is_candidate(as_of, since_days) & F.col("paymentPhone").isNotNull(), 1)
+    rows = enriched.withColumn("_batch", label).where(F.col("_batch").isNotNull())
+    ranked = rank_in_slices(
+        rows, ["_batch", "paymentPhone"], {"_day": F.to_date(PICK_ORDER[0])}, PICK_ORDER,
+        {"_reports": F.lit(1), "_calls": F.col("called").cast("bigint")})
+    test = F.col("_batch") == 2
+    picked = ranked.where(test | (F.col("_rank") <= quota_limit(_quota("_reports", "_calls", target), F.col("_reports"))))
+    filled = picked.select(
+        *[c for c in rows.columns if c not in ("training_date", "workerName", "chw_district")],
+        F.when(test, F.lit(TEST_DISTRICT)).otherwise(F.col("chw_district")).alias("chw_district"),
+        F.when(test, F.coalesce("training_date", ts_literal(NO_TRAINING_DATE))).otherwise(F.col("training_date")).alias("training_date"),
+        F.when(test, F.coalesce("workerName", F.lit(TESTER_NAME))).otherwise(F.col("workerName")).alias("workerName"),
+    )
+    return queue_entries(filled)

@@ -152,6 +152,39 @@ def repair_dates(legacy: DataFrame) -> DataFrame:
     return legacy.select("_id", fixed.alias("serviceDate"))
 
 
+def date_repairs(legacy: DataFrame, *extra: str) -> DataFrame:
+    """``_id`` and repaired ``serviceDate`` of the messages whose stored date differs, with columns ``extra`` of theirs."""
+    raw = F.col("originalEntry")
+    fixed = parse_service_date(
+        raw.getField("Service_Date"), raw.getField("Report_Date"), max_age_days=None, fallback="timestamp"
+    )
+    return legacy.where(~fixed.eqNullSafe(F.col("serviceDate"))).select("_id", fixed.alias("serviceDate"), *extra)
+
+
+def update_by_key(target: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``target`` with ``columns`` set from the row of ``updates`` that has the same keys (K5).
+
+    Rows without an update stay as they are, updates without a row are ignored, and a
+    NULL in an update is written as such. Keys match NULL-safely. Of several updates of one
+    key the first by their values counts, so no row is duplicated.
+    """
+    one = first_per_group(updates.select(*keys, *columns), list(keys), list(columns))
+    new = one.select(*_key_cols(keys), F.struct(*columns).alias("_new"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = target.join(new, same, "left")
+    hit = F.col("_new").isNotNull()
+    return joined.select(*[
+        F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns
+    ])
+
+
+def repaired_messages(legacy: DataFrame) -> DataFrame:
+    """The legacy table after the date repair (K5 applied): only rows whose date changes are looked up."""
+    return update_by_key(legacy, date_repairs(legacy), ["_id"], ["serviceDate"])
+
+
 def dates_or_kept(df: DataFrame, col: str = "Service_Date", out: str = "serviceDate") -> DataFrame:
     """``d.m.yyyy`` text → ISO date text, other text unchanged."""
     return df.withColumn(out, date_or_keep(col))

@@ -1,14 +1,15 @@
 """Reconciling reports with call-survey answers.
 
-Joins are split into their parts instead of one full outer join:
-``both`` is an inner join, ``left_only`` / ``right_only`` are anti joins
-against the *distinct* keys of the other side. AQE can split skewed
-partitions of inner and anti joins (it cannot for a full outer join), and
-NULL keys - which all hash to one partition - are handled the same way.
-
-Pass 2 of the reconciliation is an equi join on the four keys that keeps every
-match. Join sides carry no broadcast hints: Spark chooses by bytes, at plan
-time or, with AQE, from the sizes it measured.
+The surveys are marked first: one row per four keys of the messages, with the set of
+their service days, tells each survey whether a message shares its four keys and
+whether one also shares the day. Both passes are then one left join of the messages
+(:func:`reconcile_survey`), and what no message matched is a filter of the marked
+surveys. No full outer join is used: AQE can split skewed partitions of inner, left
+and anti joins, but not of a full outer one, and NULL keys, which all hash to one
+partition, are handled the same way.
+
+Join sides carry no broadcast hints: Spark chooses by bytes, at plan time or, with
+AQE, from the sizes it measured.
 """
 
 from __future__ import annotations
@@ -93,11 +94,32 @@ def _keys(with_date: bool):
     return lk, rk
 
 
-def _matching_keys(m: DataFrame, lk: Sequence[str], s_keys: DataFrame, rk: Sequence[str]) -> DataFrame:
-    """Distinct message keys that also occur among ``s_keys``. The semi join
-    first (a broadcast when the survey side is small) keeps the distinct step
-    off the full message table."""
-    return m.select(*lk).join(s_keys, _keys_equal(lk, rk), "left_semi").distinct()
+def _day_key(day: Column) -> Column:
+    """A day that is never NULL, so that sets of days can hold it."""
+    return F.coalesce(F.concat(F.lit("="), day), F.lit(""))
+
+
+def _marked(m: DataFrame, s: DataFrame) -> DataFrame:
+    """Surveys with ``_found`` (a message has the four keys) and ``_same_day`` (one also has the visit day).
+
+    The messages are cut to those that share four keys with a survey before they
+    are grouped, so a row per key is only built for keys in use; its set of days is
+    bounded by the number of days.
+    """
+    lk, rk = _keys(False)
+    names = [f"_d{i}" for i in range(len(lk))]
+    asked = s.select(*[F.col(c).alias(f"_a{i}") for i, c in enumerate(rk)]).distinct()
+    days = (
+        m.select(*lk, _day_key(F.col("_sday")).alias("_day"))
+        .join(asked, _keys_equal(lk, [f"_a{i}" for i in range(len(lk))]), "left_semi")
+        .groupBy(*[F.col(c).alias(n) for c, n in zip(lk, names)])
+        .agg(F.collect_set("_day").alias("_days"))
+    )
+    found = s.join(days, _keys_equal(rk, names), "left")
+    return found.select(
+        *s.columns, F.col("_days").isNotNull().alias("_found"),
+        F.coalesce(F.array_contains("_days", _day_key(F.col("visitdate"))), F.lit(False)).alias("_same_day"),
+    )
 
 
 def merge_exact(messages: DataFrame, survey: DataFrame, with_date: bool = True) -> DataFrame:
@@ -110,17 +132,14 @@ def merge_exact(messages: DataFrame, survey: DataFrame, with_date: bool = True)
     """
     m, s = _sides(messages, survey)
     lk, rk = _keys(with_date)
-    both = m.join(s, _keys_equal(lk, rk), "inner").withColumn("_merge", F.lit("both"))
-    s_keys = s.select(*rk).distinct()
-    m_keys = _matching_keys(m, lk, s_keys, rk)
-    left_only = m.join(s_keys, _keys_equal(lk, rk), "left_anti").withColumn("_merge", F.lit("left_only"))
+    hit = F.when(F.col("_hit").isNotNull(), F.lit("both")).otherwise(F.lit("left_only"))
+    left = m.join(s.withColumn("_hit", F.lit(True)), _keys_equal(lk, rk), "left").withColumn("_merge", hit).drop("_hit")
     right_only = (
-        s.join(m_keys, _keys_equal(rk, lk), "left_anti")
+        _marked(m, s).where(~F.col("_same_day" if with_date else "_found"))
         .withColumn("code", F.col("_s_code"))
         .withColumn("_merge", F.lit("right_only"))
     )
-    return _finish(both.unionByName(left_only, allowMissingColumns=True)
-                   .unionByName(right_only, allowMissingColumns=True), m, s)
+    return _finish(left.unionByName(right_only, allowMissingColumns=True), m, s)
 
 
 def _finish(df: DataFrame, m: DataFrame, s: DataFrame) -> DataFrame:
@@ -137,26 +156,27 @@ def reconcile_survey(
     matched in pass 2 on the four keys alone, to every message that shares them.
     Surveys with no such message are the orphans. The report is pass-1 matches
     and unmatched messages plus pass-2 matches; a message can appear twice.
-    ``share`` may write the surveys left over by pass 1 to a table, for callers
-    that use both results.
+    ``share`` may write the marked surveys to a table, for callers that use both results.
+
+    The messages are read once: each one looks for the surveys of its day (pass 1)
+    and for those that no day matched (pass 2), both in one left join on the four
+    keys, the pass and the day.
     """
     m, s = _sides(messages, survey)
-    lk5, rk5 = _keys(True)
-    lk4, rk4 = lk5[:4], rk5[:4]
-    s_keys = s.select(*rk5).distinct()
-    both1 = m.join(s, _keys_equal(lk5, rk5), "inner").withColumn("_merge", F.lit("both"))
-    left1 = m.join(s_keys, _keys_equal(lk5, rk5), "left_anti").withColumn("_merge", F.lit("left_only"))
-    orphans1 = share(s.join(_matching_keys(m, lk5, s_keys, rk5), _keys_equal(rk5, lk5), "left_anti"))
-    both2 = m.join(orphans1, _keys_equal(lk4, rk4), "inner").withColumn("_merge", F.lit("both"))
-    found = _matching_keys(m, lk4, orphans1.select(*rk4).distinct(), rk4)
+    lk, rk = _keys(False)
+    marked = share(_marked(m, s))
+    first = F.col("_same_day")
+    asked = marked.select(
+        *s.columns, F.when(first, 1).otherwise(2).alias("_asked"), F.when(first, _day_key(F.col("visitdate"))).alias("_asked_day"))
+    looks = m.withColumn("_pass", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
+        "_look_day", F.when(F.col("_pass") == 1, _day_key(F.col("_sday"))))
+    joined = looks.join(
+        asked, _keys_equal([*lk, "_look_day"], [*rk, "_asked_day"]) & (F.col("_pass") == F.col("_asked")), "left")
+    hit = F.col("_asked").isNotNull()
+    report = joined.where(hit | (F.col("_pass") == 1)).withColumn("_merge", F.when(hit, F.lit("both")).otherwise(F.lit("left_only")))
     original = {_survey_name(c, messages.columns): c for c in survey.columns}
-    orphans = orphans1.join(found, _keys_equal(rk4, lk4), "left_anti").select(
-        *[F.col(c).alias(original[c]) for c in orphans1.columns]
-    )
-    report = _finish(
-        both1.unionByName(left1, allowMissingColumns=True).unionByName(both2, allowMissingColumns=True), m, s
-    ).drop(*HIDDEN_COLUMNS)
-    return report, orphans
+    orphans = marked.where(~F.col("_found")).select(*[F.col(c).alias(original[c]) for c in s.columns])
+    return _finish(report, m, s).drop(*HIDDEN_COLUMNS), orphans
 
 
 def orphan_candidates(messages: DataFrame, survey: DataFrame) -> DataFrame:
@@ -207,6 +227,26 @@ def check_roster_coverage(report: DataFrame, roster: DataFrame) -> None:
         raise ValueError(f"{missing} report rows from numbers missing in the roster")
 
 
+def with_contact(report: DataFrame, roster: DataFrame) -> DataFrame:
+    """Report rows with the worker's ``contact_number`` and whether the roster has the number (``_covered``)."""
+    r = roster.select(F.col("reporting_number").alias("_rn"), "contact_number", F.lit(True).alias("_in"))
+    joined = report.join(r, F.col("paymentPhone") == F.col("_rn"), "left").drop("_rn")
+    return joined.withColumn("_covered", F.coalesce("_in", F.lit(False))).drop("_in")
+
+
+def uncovered() -> Column:
+    """Aggregate over :func:`with_contact`: non-training rows whose number the roster lacks (F8)."""
+    return F.count_if((F.col("training") == F.lit(False)) & ~F.col("_covered"))
+
+
+def null_keys() -> Column:
+    """Aggregate over messages: rows with a NULL among the merge keys; they all meet in one join key or few."""
+    some = F.lit(False)
+    for c in MESSAGE_KEYS:
+        some = some | F.col(c).isNull()
+    return F.count_if(some)
+
+
 def final_report(report: DataFrame, roster: DataFrame) -> DataFrame:
     """Report rows of roster workers with the worker's contact number."""
     r = roster.select(F.col("reporting_number").alias("_rn"), "contact_number")

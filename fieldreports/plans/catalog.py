@@ -141,21 +141,17 @@ def district_load(spark, sf):
 
 
 def queue_refresh(spark, sf):
-    e = _enriched(spark, sf)
-    calls = C.queue_entries(C.call_batch(e, AS_OF))
-    return C.queue_refresh(A.old_queue(spark, sf), calls, C.queue_entries(C.training_batch(e)))
+    return C.push_entries(A.old_queue(spark, sf), C.queue_batches(_enriched(spark, sf), AS_OF), batches=2)
 
 
 # --- survey ---------------------------------------------------------------------
 
-def _clean(spark, sf, enriched=None):
-    """Clean survey rows; with ``enriched`` given, the survey view reuses its messages."""
-    return V.clean_survey(_flatten(A.survey_responses(spark, sf, enriched)))
+def _clean(spark, sf):
+    return V.clean_survey(_flatten(A.survey_responses(spark, sf)))
 
 
 def _survey_inputs(spark, sf):
-    e = _enriched(spark, sf)
-    return e, _clean(spark, sf, e)
+    return _enriched(spark, sf), _clean(spark, sf)
 
 
 def _roster_now(spark, sf):
@@ -226,6 +222,18 @@ def repair_dates(spark, sf):
     return M.repair_dates(A.legacy_messages(spark, sf))
 
 
+def repaired_messages(spark, sf):
+    fixed = M.repaired_messages(A.legacy_messages(spark, sf))
+    return fixed.select("_id", "code", "called", "noConsent", "serviceDate")
+
+
+def legacy_with_flag(spark, sf):
+    """The filtered reads of the legacy table, one per kind of flag."""
+    legacy = A.legacy_messages(spark, sf)
+    kinds = [R.legacy_with_flag(legacy, kind).select("_id", F.lit(kind).alias("kind")) for kind in R.LEGACY_KINDS]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+
+
 def date_or_keep(spark, sf):
     return M.dates_or_kept(A.raw_messages(spark, sf).select("sourceId", "Service_Date"))
 
@@ -282,7 +290,7 @@ def extraction_windows(spark, sf):
 def quality_counts(spark, sf):
     return QC.intake_counts(
         A.raw_messages(spark, sf), E.dedupe_messages(A.messages(spark, sf)), A.status_events(spark, sf),
-        _flatten(A.survey_responses(spark, sf)),
+        _flatten(A.survey_responses(spark, sf)), merge_keys=True,
     )
 
 
@@ -322,6 +330,8 @@ QUERIES: dict[str, Query] = {
     "flags_to_events": flags_to_events,
     "event_upsert": event_upsert,
     "repair_dates": repair_dates,
+    "repaired_messages": repaired_messages,
+    "legacy_with_flag": legacy_with_flag,
     "date_or_keep": date_or_keep,
     "payment_windows": payment_windows,
     "bonus_schedule": bonus_schedule,

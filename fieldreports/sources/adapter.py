@@ -235,20 +235,19 @@ def survey_responses(spark: SparkSession, sf_dir: str, deduped: DataFrame | None
         return F.when(k % 60 == 0, F.array(other)).otherwise(F.array(other, asked))
 
     care = k % 12 == 0
-    submitted = F.col("timestamp") + F.make_interval(days=F.lit(2))
-    first = d.select(
-        F.col("sourceId").alias("response_id"),
-        submitted.alias("submitted_at"),
-        hidden.alias("hidden"),
-        answers(care).alias("answers"),
+    # the response and, for every fourth report, a later copy that contradicts it
+    copies = F.array(
+        F.struct(F.lit(0).cast("bigint").alias("shift"), F.lit(0).alias("hours"), care.alias("care")),
+        F.when(F.col("sourceId") % 4 == 0, F.struct(
+            F.lit(DUPLICATE_ID_OFFSET).cast("bigint").alias("shift"), F.lit(1).alias("hours"), (~care).alias("care"))),
     )
-    again = d.where(F.col("sourceId") % 4 == 0).select(
-        (F.col("sourceId") + DUPLICATE_ID_OFFSET).alias("response_id"),
-        (submitted + F.make_interval(hours=F.lit(1))).alias("submitted_at"),
+    rows = d.withColumn("_copy", F.explode(F.filter(copies, lambda c: c.isNotNull())))
+    return rows.select(
+        (F.col("sourceId") + F.col("_copy.shift")).alias("response_id"),
+        (F.col("timestamp") + F.make_interval(days=F.lit(2), hours=F.col("_copy.hours"))).alias("submitted_at"),
         hidden.alias("hidden"),
-        answers(~care).alias("answers"),
+        answers(F.col("_copy.care")).alias("answers"),
     )
-    return first.unionByName(again)
 
 
 def legacy_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

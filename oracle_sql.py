@@ -382,6 +382,14 @@ SELECT * FROM f2e n WHERE NOT EXISTS (
     AND o.record_id IS NOT DISTINCT FROM n.record_id)""",
     "repair_dates": """
 SELECT _id, CASE WHEN _p IS NOT NULL AND _p <= Report_Date THEN _p ELSE Report_Date END AS serviceDate FROM leg_raw""",
+    "repaired_messages": """
+SELECT _id, upper(Service_Code) AS code, CAST(Patient_Phone_Number AS INTEGER) % 6 = 0 AS called,
+  CAST(Patient_Phone_Number AS INTEGER) % 13 = 0 AS noConsent,
+  CASE WHEN _p IS NOT NULL AND _p <= Report_Date THEN _p ELSE Report_Date END AS serviceDate FROM leg_raw""",
+    "legacy_with_flag": """
+SELECT _id, 'called' AS kind FROM lg WHERE k % 6 = 0
+UNION ALL SELECT _id, 'noConsent' FROM lg WHERE k % 13 = 0
+UNION ALL SELECT _id, 'attempted' FROM lg WHERE k % 17 <> 0 AND (k % 7 = 0 OR k % 11 = 0)""",
     "date_or_keep": """
 SELECT sourceId, Service_Date, coalesce(strftime(CASE WHEN regexp_full_match(Service_Date, '[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}') AND right(Service_Date, 4) <> '0000'
   THEN try_strptime(Service_Date, '%d.%m.%Y') END, '%Y-%m-%d'), Service_Date) AS serviceDate FROM raw""",
@@ -417,7 +425,11 @@ SELECT
   (SELECT CAST(count(*) AS BIGINT) FROM sev WHERE event NOT IN ('called', 'attempted', 'noConsent')) AS unknown_event_names,
   (SELECT CAST(count(*) AS BIGINT) FROM sev WHERE record_id NOT IN (SELECT _id FROM dd)) AS events_unknown_ids,
   (SELECT CAST(count(*) AS BIGINT) FROM resp WHERE provided_care IS NOT NULL AND visitdate IS NOT NULL
-     AND {_visit('visitdate')} IS NULL) AS unreadable_visit_dates""",
+     AND {_visit('visitdate')} IS NULL) AS unreadable_visit_dates,
+  (SELECT CAST(count(*) AS BIGINT) FROM dd WHERE senderPhone IS NULL OR patientPhone IS NULL OR patientName IS NULL OR code IS NULL)
+    AS null_merge_keys,
+  (SELECT CAST(max(n) AS BIGINT) FROM (SELECT count(*) AS n FROM dd GROUP BY senderPhone, patientPhone, patientName, code))
+    AS largest_merge_key""",
     "parse_service_date": """
 SELECT sourceId, CASE WHEN _p IS NOT NULL AND _p <= Report_Date AND _p >= Report_Date - INTERVAL 56 DAY
   THEN _p ELSE date_trunc('day', Report_Date) END AS serviceDate FROM raw_p""",
