@@ -5,8 +5,14 @@
     python -m fieldreports.plans.jobs report   --inputs inputs.json --as-of 2024-02-10 --out /shared/reports
     python -m fieldreports.plans.jobs maintain --inputs inputs.json --as-of 2024-02-10 --out /shared/tables
 
+    python -m fieldreports.plans.jobs queue    --inputs inputs.json --as-of 2024-02-10 --out /shared/tables/queue
+    python -m fieldreports.plans.jobs repair   --inputs inputs.json --as-of 2024-02-10 --out /shared/tables/legacy
+
 The old call queue is the ``queue`` entry of ``inputs.json``; ``calls``
-writes the new queue as version ``v=<as-of>`` under ``--out``.
+writes the new queue as version ``v=<as-of>`` under ``--out``. ``queue`` refreshes a
+queue table in place instead: ``--out`` is partitioned by district, and the files of
+districts without new entries are neither read nor written. ``repair`` corrects
+service dates in a legacy table partitioned by ``code``, in place as well.
 
 ``inputs.json`` maps input names to ``{"path": ..., "format": ...}``. The
 enriched messages are written once per run as a table in the shared
@@ -23,7 +29,8 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from fieldreports import schemas
 from fieldreports.operators import calls as C
@@ -33,8 +40,10 @@ from fieldreports.operators import payments as P
 from fieldreports.operators import survey as V
 from fieldreports.operators.common import assert_unique
 from fieldreports.operators.normalize import flatten_survey, normalize_messages
-from fieldreports.session import build_session, checkpoint_dir, remove_path
-from fieldreports.sinks.writers import write_csv_report, write_table_version
+from fieldreports.session import build_session, checkpoint_dir, path_exists, remove_path, write_text
+from fieldreports.sinks.writers import (
+    discard, overwrite_partitions, publish, stage_csv_report, write_csv_report, write_table_version,
+)
 from fieldreports.sources import readers as R
 
 
@@ -138,22 +147,92 @@ def run_calls(spark: SparkSession, data: dict[str, DataFrame], as_of: datetime,
         old = data.get("queue")
         if old is None:
             old = spark.createDataFrame([], schemas.QUEUE)
-        calls = C.queue_entries(C.call_batch(enriched, as_of, target))
-        refreshed = C.queue_refresh(old, calls, C.queue_entries(C.training_batch(enriched)))
-        return write_table_version(refreshed, queue_out, as_of.strftime("%Y%m%d"))
+        entries = tables.keep("entries", C.queue_batches(enriched, as_of, target))
+        return write_table_version(C.push_entries(old, entries, batches=2), queue_out, as_of.strftime("%Y%m%d"))
+
+
+def refresh_queue_table(spark: SparkSession, data: dict[str, DataFrame], as_of: datetime, queue_dir: str,
+                        run_id: str, target: float = C.DEFAULT_TARGET) -> list[str | None]:
+    """Refresh a queue table partitioned by district in place (K3, W4). Returns the districts it wrote.
+
+    Only districts that get entries are read (static partition pruning) and written (dynamic
+    overwrite); the list of their names is bounded by the number of partitions, which the
+    driver lists anyway. The new content is first written to a folder of the as-of date and
+    a marker is set at the end: a run that died goes on from the written content, and a
+    second run for the same date pushes nothing twice. An empty district name cannot be
+    told from a missing one in a partition, so it counts as missing.
+    """
+    day = as_of.strftime("%Y%m%d")
+    done, staged = f"{queue_dir}/_runs/{day}", f"{queue_dir}/_staged/{day}"
+    if path_exists(spark, done):
+        return []
+    if not path_exists(spark, f"{staged}/_SUCCESS"):
+        with RunTables(spark, run_id) as tables:
+            entries = tables.keep("entries", C.queue_batches(tables.enriched(data), as_of, target).withColumn(
+                "district", F.nullif("district", F.lit(""))))
+            names = [r["district"] for r in entries.select("district").distinct().collect()]
+            if path_exists(spark, queue_dir):
+                old = spark.read.schema(schemas.QUEUE).parquet(queue_dir)
+            else:
+                old = spark.createDataFrame([], schemas.QUEUE)
+            mine = old.where(F.col("district").isin([n for n in names if n is not None])
+                             | (F.col("district").isNull() & F.lit(None in names)))
+            C.push_entries(mine, entries, batches=2, touched_only=True).write.mode("overwrite").parquet(staged)
+    fresh = spark.read.schema(schemas.QUEUE).parquet(staged)
+    written = [r["district"] for r in fresh.select("district").distinct().collect()]
+    overwrite_partitions(fresh, queue_dir, ["district"])
+    write_text(spark, done, run_id)
+    remove_path(spark, staged)
+    return written
+
+
+def repair_legacy_table(spark: SparkSession, table_dir: str, run_id: str, partition: str = "code") -> int:
+    """Correct the service dates of a legacy table in place (K5): copy-on-write of the partitions
+    that hold a wrong date. Returns the number of corrected messages; a second run finds none."""
+    legacy = spark.read.schema(schemas.LEGACY_MESSAGE).parquet(table_dir)
+    with RunTables(spark, run_id) as tables:
+        repairs = tables.keep("repairs", M.date_repairs(legacy, partition))
+        found = {r[partition]: r["n"] for r in repairs.groupBy(partition).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if found:
+            touched = legacy.where(F.col(partition).isin([p for p in found if p is not None])
+                                   | (F.col(partition).isNull() & F.lit(None in found)))
+            fresh = tables.keep("fresh", M.update_by_key(touched, repairs, ["_id"], ["serviceDate"]))
+            overwrite_partitions(fresh, table_dir, [partition])
+        return sum(found.values())
 
 
 def run_report(spark: SparkSession, data: dict[str, DataFrame], out_dir: str, run_ts: datetime,
-               run_id: str) -> tuple[str, str]:
-    """K2: reconciled survey report and the orphan surveys, from one pass 1."""
+               run_id: str, roster: DataFrame | None = None) -> tuple[str, str]:
+    """K2: reconciled survey report, the report with contact numbers (J11) and the orphan surveys.
+
+    The coverage guard (F8, A9) and the key counts of the merge (J8) are observed while
+    the outputs are staged, so they cost no pass of their own. A non-training row whose number
+    is missing in ``roster`` (the run's roster after number changes, unless one is given) fails
+    the job before anything is published.
+    """
+    if roster is None:
+        roster = E.translate_numbers(data["roster"], data["crosswalk"], "reporting_number", "reporting_number")
+    seen, checked = Observation(f"{run_id}-merge"), Observation(f"{run_id}-coverage")
     with RunTables(spark, run_id) as tables:
         survey = tables.keep("survey", V.clean_survey(flatten_survey(data["responses"])))
-        report, orphans = V.reconcile_survey(
-            tables.enriched(data), survey, share=lambda leftover: tables.keep("leftover", leftover))
-        return (
-            write_csv_report(report.drop("_merge"), out_dir, "reports", run_ts),
-            write_csv_report(orphans, out_dir, "orphans", run_ts),
-        )
+        messages = tables.enriched(data).observe(seen, V.null_keys().alias("null_merge_keys"), F.count(F.lit(1)).alias("messages"))
+        report, orphans = V.reconcile_survey(messages, survey, share=lambda marked: tables.keep("marked", marked))
+        report = tables.keep("report", V.with_contact(report, roster).observe(
+            checked, V.uncovered().alias("uncovered"), F.count(F.lit(1)).alias("rows")))
+        counted = {**seen.get, **checked.get}
+        if counted["uncovered"]:
+            raise ValueError(f"{counted['uncovered']} report rows from numbers missing in the roster")
+        plain = report.drop("_merge", "contact_number", "_covered")
+        staged = []
+        try:
+            for key, df in (("reports", plain), ("orphans", orphans),
+                            ("final", report.where("_covered").drop("_merge", "_covered"))):
+                staged.append(stage_csv_report(df, out_dir, key, run_ts))
+        except BaseException:
+            discard(spark, staged)
+            raise
+        paths = publish(spark, staged, counted)
+        return paths[0], paths[1]
 
 
 def run_maintenance(spark: SparkSession, data: dict[str, DataFrame], out_dir: str, version: str) -> dict[str, str]:
@@ -173,7 +252,7 @@ def run_maintenance(spark: SparkSession, data: dict[str, DataFrame], out_dir: st
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="fieldreports")
-    ap.add_argument("job", choices=["payments", "calls", "report", "maintain"])
+    ap.add_argument("job", choices=["payments", "calls", "queue", "report", "maintain", "repair"])
     ap.add_argument("--inputs", required=True)
     ap.add_argument("--as-of", required=True, help="YYYY-MM-DD; no job reads the wall clock")
     ap.add_argument("--out", required=True)
@@ -188,6 +267,10 @@ def main(argv=None) -> None:
         print(run_payments(spark, data, as_of, args.out, run_id))
     elif args.job == "calls":
         print(run_calls(spark, data, as_of, args.out, run_id, args.target))
+    elif args.job == "queue":
+        print(refresh_queue_table(spark, data, as_of, args.out, run_id, args.target))
+    elif args.job == "repair":
+        print(repair_legacy_table(spark, args.out, run_id))
     elif args.job == "report":
         print(run_report(spark, data, args.out, as_of, run_id))
     else:

@@ -95,3 +95,36 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder the caller made; a missing one is no error."""
     hadoop_path, fs = _file_system(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or folder; raises where the file system refuses."""
+    source_path, fs = _file_system(spark, source)
+    if not fs.rename(source_path, _file_system(spark, target)[0]):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small UTF-8 file, replacing one of that name."""
+    hadoop_path, fs = _file_system(spark, path)
+    stream = fs.create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small UTF-8 file."""
+    hadoop_path, fs = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none where the folder is missing."""
+    hadoop_path, fs = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
