@@ -225,7 +225,7 @@ def group_links(rows: DataFrame) -> DataFrame:
 
 def fingerprint_links(nodes: DataFrame) -> DataFrame:
     """(a, b) rows that connect all fingerprints of ``nodes`` (fp, distinct) within RADIUS bits of each other."""
-    rows = key_rows(nodes)
+    rows = key_rows(dealt_anew(nodes))  # a fingerprint has some seventy rows: many tasks make them
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.bool_and("probe").alias("only_probes"))
     pairs = counts.where((F.col("members") > 1) & ~F.col("only_probes")).select("key", "members")
     live = stored(rows.join(dealt_anew(pairs), "key"))
