@@ -20,27 +20,18 @@ from fieldreports.constants import MAX_SERVICE_AGE_DAYS, TWO_DIGIT_YEAR_PIVOT
 DMY4_SHAPE = r"^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}$"
 DMY2_SHAPE = r"^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{2}$"
 
-# Free-form visit dates: tried in this order. Month-first wins for a.b.yyyy
-# when both readings are valid; the day-first reading only catches the rest.
-VISIT_DATE_PATTERNS = (
-    ("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"),
-    ("^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "yyyy/M/d"),
-    ("^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}$", "M.d.yyyy"),
-    ("^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}$", "d.M.yyyy"),
-    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
-    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "d/M/yyyy"),
-    ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "M-d-yyyy"),
-    ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "d-M-yyyy"),
-    ("^[0-9]{8}$", "yyyyMMdd"),
-    ("^[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}$", "d MMM yyyy"),
-    ("^[0-9]{1,2} [A-Z][a-z]{3,8} [0-9]{4}$", "d MMMM yyyy"),
-    ("^[A-Z][a-z]{2} [0-9]{1,2},? [0-9]{4}$", "MMM d yyyy"),
-    ("^[A-Z][a-z]{3,8} [0-9]{1,2},? [0-9]{4}$", "MMMM d yyyy"),
+# Free-form visit dates are read token by token: what is no part of the day is taken out,
+# the rest is split at any separators.
+# A time of day behind an ISO date goes with all that follows it.
+ISO_DATE_TIME = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})[t ][0-9]{1,2}:[0-9]{2}.*$"
+TIME_OF_DAY = (
+    r"\b[0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]+)?)?\s*(?:[ap]m\b)?\s*(?:(?:z|utc|gmt)\b|[+-][0-9]{2}:?[0-9]{2}\b)?"
+    r"|\b[0-9]{1,2}\s*[ap]m\b"
 )
-# A time of day behind an ISO date is dropped; month names are compared without
-# regard to case; of a.b.yy the year is completed (69-99: 19yy) before parsing.
-ISO_DATE_TIME = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})[T ][0-9]{1,2}:[0-9]{2}.*$"
-SHORT_YEAR = r"^([0-9]{1,2}[./-][0-9]{1,2}[./-])([0-9]{2})$"
+FILLERS = r"\b(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?\b|\b(?:at|on|of|the|and)\b"
+ORDINAL = r"([0-9])(?:st|nd|rd|th)\b"
+DATE_TEXT = r"^[a-z0-9 ,./-]+$"
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 
 
 def _col(c) -> Column:
@@ -164,16 +155,56 @@ def parse_roster_date(text) -> Column:
 
 
 def parse_visit_date(text) -> Column:
-    """Free-form visit date → ``date`` using :data:`VISIT_DATE_PATTERNS`; NULL if none fits."""
-    t = F.regexp_replace(F.trim(_col(text)), ISO_DATE_TIME, "$1")
-    century = F.when(F.regexp_extract(t, SHORT_YEAR, 2) >= str(TWO_DIGIT_YEAR_PIVOT), "19").otherwise("20")
-    t = F.when(
-        t.rlike(SHORT_YEAR), F.concat(F.regexp_extract(t, SHORT_YEAR, 1), century, F.regexp_extract(t, SHORT_YEAR, 2))
-    ).when(t.rlike("[A-Za-z]"), F.replace(F.initcap(t), F.lit(","), F.lit(""))).otherwise(t)
-    candidates = [
-        F.when(t.rlike(shape), F.try_to_date(t, fmt)) for shape, fmt in VISIT_DATE_PATTERNS
-    ]
-    return F.coalesce(*candidates)
+    """Free-form visit date → ``date``, NULL if it cannot be read (f5).
+
+    Weekday names, ordinals, filler words and a time of day are passed over, and any of
+    blank, comma, dot, slash and hyphen separates. What is left must be eight digits
+    (``yyyymmdd``), a month name with a day and a year, or three numbers: the year first
+    where the first has four digits, else last; of the other two the month comes first
+    unless only the other reading is a date. Two-digit years are completed (69-99: 19yy).
+    """
+    t = F.regexp_replace(F.lower(F.trim(_col(text))), ISO_DATE_TIME, "$1")
+    for pattern, new in ((TIME_OF_DAY, " "), (FILLERS, " "), (ORDINAL, "$1")):
+        t = F.regexp_replace(t, pattern, new)
+    # each step is evaluated once: its value is the variable of a one-element transform
+    return _let(t, lambda clean: F.when(
+        clean.rlike(DATE_TEXT), _let(F.regexp_extract_all(clean, F.lit("[a-z]+|[0-9]+"), F.lit(0)), _date_of_tokens)))
+
+
+def _let(value: Column, use) -> Column:
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _date_of_tokens(tokens: Column) -> Column:
+    numbers = F.filter(tokens, lambda x: x.rlike("^[0-9]+$"))
+    names = F.filter(tokens, lambda x: ~x.rlike("^[0-9]+$"))
+    name = F.get(names, 0)
+    month = F.coalesce(*[
+        F.nullif(F.array_position(F.array(*[F.lit(m) for m in spelled]), name), F.lit(0))
+        for spelled in (MONTHS, [m[:3] for m in MONTHS])
+    ], F.when(name == "sept", F.lit(9))).cast("int")
+    a, b, c = (F.get(numbers, i) for i in range(3))
+
+    def made(year: Column, month: Column, day: Column) -> Column:
+        y = year.try_cast("int")
+        full = F.when(F.length(year) == 4, y).when(F.length(year) == 2, y + F.when(y >= TWO_DIGIT_YEAR_PIVOT, 1900).otherwise(2000))
+        return F.to_date(F.when((F.length(day) <= 2) & (full > 0), F.try_make_timestamp_ntz(
+            full, month.cast("int"), day.try_cast("int"), F.lit(0), F.lit(0), F.lit(0))))
+
+    def either(year: Column, x: Column, y: Column) -> Column:
+        two = (F.length(x) <= 2) & (F.length(y) <= 2)
+        return F.when(two, F.coalesce(made(year, x.try_cast("int"), y), made(year, y.try_cast("int"), x)))
+
+    whole = (F.size(tokens) == 1) & (F.length(a) == 8)
+    named = (F.size(numbers) == 2) & (F.size(names) == 1)
+    plain = (F.size(numbers) == 3) & (F.size(names) == 0)
+    return (
+        F.when(whole, made(F.substring(a, 1, 4), F.substring(a, 5, 2).try_cast("int"), F.substring(a, 7, 2)))
+        .when(named & (F.length(a) == 4), made(a, month, b))
+        .when(named, made(b, month, a))
+        .when(plain & (F.length(a) == 4), either(a, b, c))
+        .when(plain, either(c, a, b))
+    )
 
 
 def iso_day(ts) -> Column:

@@ -24,6 +24,7 @@ from fieldreports.constants import (
 )
 from fieldreports.functions.dates import ts_literal
 from fieldreports.operators.common import rank_in_slices
+from fieldreports.operators.enrich import dedupe_messages
 from fieldreports.operators.normalize import json_payload
 
 SHUFFLE_SEED = 42
@@ -55,6 +56,24 @@ def _is_candidate(as_of, since_days: int) -> Column:
     return (F.col("serviceDate") > cutoff) & ~F.col("training") & ~F.col("noConsent")
 
 
+def recent_first_copies(messages: DataFrame, as_of, since_days: int = DEFAULT_SINCE_DAYS,
+                        month: str | None = None) -> DataFrame:
+    """First copies (A5) of the reports that can be call candidates (F2), read from recent partitions.
+
+    A service date never lies after its report, so a candidate's report is later than the
+    cut-off. Copies are decided over all reports all the same: a recent copy of an older report
+    is no first copy, and older reports are read for their ids only. ``month`` names a
+    partition column ``yyyy-MM`` of the report time, which prunes both reads.
+    """
+    cutoff = ts_literal(as_of) - F.make_interval(days=F.lit(since_days))
+    recent, older = F.col("timestamp") > cutoff, F.col("timestamp") <= cutoff
+    if month:
+        edge = F.date_format(cutoff, "yyyy-MM")
+        recent, older = recent & (F.col(month) >= edge), older & (F.col(month) <= edge)
+    known = messages.where(older).select(F.col("_id").alias("_known")).distinct()
+    return dedupe_messages(messages.where(recent)).join(known, F.col("_id").eqNullSafe(F.col("_known")), "left_anti")
+
+
 def fill_training_defaults(df: DataFrame) -> DataFrame:
     """Training rows get a placeholder training date and worker name."""
     return df.withColumn(

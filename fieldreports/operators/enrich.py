@@ -109,14 +109,15 @@ def enrich(
     events: DataFrame,
     roster: DataFrame,
     crosswalk: DataFrame,
+    deduped: bool = False,
 ) -> DataFrame:
     """Normalised messages → enriched messages (the shared pipeline).
 
-    dedupe → payment number → roster attributes + tester tag → training-day
+    dedupe (unless ``messages`` are ``deduped`` already) → payment number → roster attributes + tester tag → training-day
     tag → status flags. ``training`` starts false.
     """
     roster_now = translate_numbers(roster, crosswalk, "reporting_number", "reporting_number")
-    m = dedupe_messages(messages)
+    m = messages if deduped else dedupe_messages(messages)
     m = translate_numbers(m, crosswalk, "senderPhone", "paymentPhone")
     m = merge_worker_info(m, roster_now, tester_flag="training")
     m = tag_training_day(m)

@@ -25,8 +25,10 @@ from fieldreports.functions.dates import day_start
 from fieldreports.functions.dates import parse_service_date as _service_date
 from fieldreports.functions.money import SUPERVISOR_BONUS, WORKER_BONUS, bonus
 from fieldreports.sources import readers as R
+from fieldreports.sources.slices import slice_of
 
 AS_OF = A.AS_OF
+SLICE_START = "2024-01-01"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,6 +117,13 @@ def call_candidates(spark, sf):
     return _candidates(spark, sf)
 
 
+def recent_candidates(spark, sf):
+    """The call candidates, from the first copies of recent reports."""
+    firsts = C.recent_first_copies(A.messages(spark, sf), AS_OF)
+    e = E.enrich(firsts, A.status_events(spark, sf), A.roster(spark, sf), A.crosswalk(spark, sf), deduped=True)
+    return C.call_candidates(e, AS_OF)
+
+
 def call_counts(spark, sf):
     return C.call_counts(_candidates(spark, sf))
 
@@ -162,6 +171,13 @@ def flatten_survey(spark, sf):
     return _flatten(A.survey_responses(spark, sf))
 
 
+def survey_slices(spark, sf):
+    """Responses and answers per request window."""
+    rows = _flatten(A.survey_responses(spark, sf)).withColumn("slice", slice_of("submitted_at", SLICE_START))
+    return rows.groupBy("slice").agg(
+        F.count(F.lit(1)).alias("responses"), F.count("provided_care").alias("answered"))
+
+
 def clean_survey(spark, sf):
     return _clean(spark, sf)
 
@@ -309,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "worker_payments": worker_payments,
     "super_payments": super_payments,
     "call_candidates": call_candidates,
+    "recent_candidates": recent_candidates,
     "call_counts": call_counts,
     "needed_calls": needed_calls,
     "pick_needed_calls": pick_needed_calls,
@@ -317,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "district_load": district_load,
     "queue_refresh": queue_refresh,
     "flatten_survey": flatten_survey,
+    "survey_slices": survey_slices,
     "clean_survey": clean_survey,
     "merge_exact": merge_exact,
     "reconcile_survey": reconcile_survey,

@@ -206,6 +206,8 @@ def survey_responses(spark: SparkSession, sf_dir: str, deduped: DataFrame | None
         .when(k % 42 == 0, F.date_format(visit, "d MMM yyyy"))
         .when(k % 78 == 0, F.date_format(visit, "M/d/yy"))
         .when(k % 102 == 0, F.date_format(visit, "yyyyMMdd"))
+        .when(k % 114 == 0, F.date_format(visit, "EEEE, d'th of' MMMM yyyy 'at 3:30 pm'"))
+        .when(k % 138 == 0, F.date_format(visit, "yyyy.MM/dd"))
         .otherwise(F.date_format(visit, "yyyy-MM-dd"))
     )
     hidden = F.struct(

@@ -176,33 +176,29 @@ FROM {out}_n n LEFT JOIN {out}_oc oc ON oc.district IS NOT DISTINCT FROM n.distr
     ]
 
 
-_VISIT_PATTERNS = [
-    ("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "%Y-%m-%d"),
-    ("^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "%Y/%m/%d"),
-    ("^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}$", "%m.%d.%Y"),
-    ("^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}$", "%d.%m.%Y"),
-    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "%m/%d/%Y"),
-    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "%d/%m/%Y"),
-    ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "%m-%d-%Y"),
-    ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "%d-%m-%Y"),
-    ("^[0-9]{8}$", "%Y%m%d"),
-    ("^[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}$", "%d %b %Y"),
-    ("^[0-9]{1,2} [A-Z][a-z]{3,8} [0-9]{4}$", "%d %B %Y"),
-    ("^[A-Z][a-z]{2} [0-9]{1,2},? [0-9]{4}$", "%b %d %Y"),
-    ("^[A-Z][a-z]{3,8} [0-9]{1,2},? [0-9]{4}$", "%B %d %Y"),
-]
-
-
 def _visit(v: str) -> str:
-    """ISO day of a free-form visit date: date part of a date-time, completed year, capitalised month name."""
-    t = f"regexp_replace(trim({v}), '^([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})[T ][0-9]{{1,2}}:[0-9]{{2}}.*$', '\\1')"
-    short = "'^[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{2}$'"
-    full = f"left({t}, -2) || CASE WHEN right({t}, 2) >= '69' THEN '19' ELSE '20' END || right({t}, 2)"
-    words = f"""array_to_string([upper(w[1]) || lower(w[2:]) for w in string_split({t}, ' ')], ' ')"""
-    t = (f"CASE WHEN regexp_full_match({t}, {short}) THEN {full} "
-         f"WHEN regexp_matches({t}, '[A-Za-z]') THEN replace({words}, ',', '') ELSE {t} END")
-    parts = ", ".join(f"CASE WHEN regexp_matches(t, '{rx}') THEN try_strptime(t, '{fmt}') END" for rx, fmt in _VISIT_PATTERNS)
-    return f"(SELECT strftime(CAST(coalesce({parts}) AS DATE), '%Y-%m-%d') FROM (SELECT {t} AS t))"
+    """ISO day of a free-form visit date: clock times, weekdays, filler words and ordinal endings out, then
+    the words that are left, with the month name as its number."""
+    t = f"regexp_replace(lower(trim({v})), '^([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})[t ][0-9]{{1,2}}:[0-9]{{2}}.*$', '\\1')"
+    for rx in (r"\b[0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?\s*([ap]m\b)?\s*((z|utc|gmt)\b|[+-][0-9]{2}:?[0-9]{2}\b)?",
+               r"\b[0-9]{1,2}\s*[ap]m\b", r"\b(mon|tues?|wed(nes)?|thu(r|rs)?|fri|sat(ur)?|sun)(day)?\b", r"\b(at|on|of|the|and)\b"):
+        t = f"regexp_replace({t}, '{rx}', ' ', 'g')"
+    t = rf"regexp_replace({t}, '([0-9])(st|nd|rd|th)\b', '\1', 'g')"
+    months = "['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec']"
+    long = "['january','february','march','april','may','june','july','august','september','october','november','december','sept']"
+    year = lambda y: f"CASE len({y}) WHEN 4 THEN {y} WHEN 2 THEN (CASE WHEN {y} >= '69' THEN '19' ELSE '20' END) || {y} END"
+    day = lambda y, m, d: f"CASE WHEN {year(y)} <> '0000' AND len({d}) <= 2 THEN try_strptime({year(y)} || '-' || {m} || '-' || {d}, '%Y-%m-%d') END"
+    pair = lambda y, p, q: f"CASE WHEN len({p}) <= 2 AND len({q}) <= 2 THEN coalesce({day(y, p, q)}, {day(y, q, p)}) END"
+    mon = f"CAST(coalesce(list_position({months}, w[1]), list_position({long}, w[1])) AS VARCHAR)"
+    mon = f"replace({mon}, '13', '9')"
+    return f"""(SELECT strftime(CAST(CASE
+      WHEN NOT regexp_full_match(t, '[a-z0-9 ,./-]+') THEN NULL
+      WHEN len(n) = 1 AND len(w) = 0 AND len(n[1]) = 8 THEN try_strptime(n[1], '%Y%m%d')
+      WHEN len(n) = 2 AND len(w) = 1 AND len(n[1]) = 4 THEN {day('n[1]', mon, 'n[2]')}
+      WHEN len(n) = 2 AND len(w) = 1 THEN {day('n[2]', mon, 'n[1]')}
+      WHEN len(n) = 3 AND len(w) = 0 AND len(n[1]) = 4 THEN {pair('n[1]', 'n[2]', 'n[3]')}
+      WHEN len(n) = 3 AND len(w) = 0 THEN {pair('n[3]', 'n[1]', 'n[2]')} END AS DATE), '%Y-%m-%d')
+    FROM (SELECT t, regexp_extract_all(t, '[0-9]+') AS n, regexp_extract_all(t, '[a-z]+') AS w FROM (SELECT {t} AS t)))"""
 
 
 _K5 = ["senderPhone", "patientPhone", "patientName", "code", "_sday"]
@@ -225,6 +221,7 @@ SELECT sourceId AS response_id, "timestamp" + INTERVAL 2 DAY AS submitted_at, se
   CASE WHEN k % 36 = 0 THEN strftime(_v, '%m.%d.%Y') WHEN k % 66 = 0 THEN 'soon'
        WHEN k % 30 = 0 THEN strftime(_v, '%Y-%m-%dT12:00:00Z') WHEN k % 42 = 0 THEN strftime(_v, '%-d %b %Y')
        WHEN k % 78 = 0 THEN strftime(_v, '%-m/%-d/%y') WHEN k % 102 = 0 THEN strftime(_v, '%Y%m%d')
+       WHEN k % 114 = 0 THEN strftime(_v, '%A, %-dth of %B %Y at 3:30 pm') WHEN k % 138 = 0 THEN strftime(_v, '%Y.%m/%d')
        ELSE strftime(_v, '%Y-%m-%d') END AS visitdate,
   _id AS messageid, (k % 60 <> 0) AS called,
   CASE WHEN k % 60 = 0 THEN NULL ELSE (k % 12 = 0) END AS provided_care
@@ -236,6 +233,7 @@ SELECT sourceId + 1000000, "timestamp" + INTERVAL 2 DAY + INTERVAL 1 HOUR, sende
   CASE WHEN k % 36 = 0 THEN strftime(_v, '%m.%d.%Y') WHEN k % 66 = 0 THEN 'soon'
        WHEN k % 30 = 0 THEN strftime(_v, '%Y-%m-%dT12:00:00Z') WHEN k % 42 = 0 THEN strftime(_v, '%-d %b %Y')
        WHEN k % 78 = 0 THEN strftime(_v, '%-m/%-d/%y') WHEN k % 102 = 0 THEN strftime(_v, '%Y%m%d')
+       WHEN k % 114 = 0 THEN strftime(_v, '%A, %-dth of %B %Y at 3:30 pm') WHEN k % 138 = 0 THEN strftime(_v, '%Y.%m/%d')
        ELSE strftime(_v, '%Y-%m-%d') END,
   _id, (k % 60 <> 0), CASE WHEN k % 60 = 0 THEN NULL ELSE NOT (k % 12 = 0) END
 FROM sv6 WHERE sourceId % 4 = 0"""),
@@ -351,6 +349,7 @@ FROM counts WHERE counted > 0 ORDER BY payment_due, number""",
 SELECT CAST(CAST(phone_ps AS BIGINT) AS VARCHAR) AS number, {_pay({1: 2000, 3: 1000})} AS payment, reports, payment_due
 FROM sup WHERE counted > 0 ORDER BY payment_due, number""",
     "call_candidates": "SELECT * FROM cand",
+    "recent_candidates": "SELECT * FROM cand",
     "call_counts": "SELECT * FROM cc",
     "needed_calls": "SELECT * FROM need",
     "pick_needed_calls": "SELECT * FROM picks",
@@ -359,6 +358,10 @@ FROM sup WHERE counted > 0 ORDER BY payment_due, number""",
     "district_load": "SELECT chw_district AS district, CAST(count(*) AS BIGINT) AS loaded FROM picks GROUP BY chw_district",
     "queue_refresh": "SELECT * FROM q2",
     "flatten_survey": "SELECT * FROM resp",
+    "survey_slices": """
+SELECT CASE WHEN d >= 0 THEN strftime(DATE '2024-01-01' + CAST(d // 7 * 7 AS INTEGER), '%Y-%m-%d') END AS slice,
+  CAST(count(*) AS BIGINT) AS responses, CAST(count(provided_care) AS BIGINT) AS answered
+FROM (SELECT *, date_diff('day', DATE '2024-01-01', CAST(submitted_at AS DATE)) AS d FROM resp) GROUP BY 1""",
     "clean_survey": "SELECT * FROM cs",
     "merge_exact": """
 SELECT * FROM both1 UNION ALL BY NAME SELECT * FROM left1
