@@ -7,7 +7,7 @@ from fieldreports.llm.queries import ORACLE_SQL, QUERIES
 
 
 def test_queries_are_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE_SQL) <= set(QUERIES) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
