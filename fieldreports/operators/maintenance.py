@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fieldreports import schemas
 from fieldreports.constants import FLAG_EVENT_TIME, TEST_DISTRICT, TESTER_NAME
 from fieldreports.functions.dates import date_or_keep, parse_service_date, ts_literal
-from fieldreports.operators.common import first_per_group
+from fieldreports.operators.common import first_per_group, possible_members
 from fieldreports.operators.normalize import cast_identifiers, normalize_columns
 
 EVENT_KEYS = ("event_time", "event", "record._id")
@@ -66,14 +66,17 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     Keys may be nested paths (``record._id``) and match NULL-safely. Rows
     whose key exists are dropped before the first-per-key step: on a rerun
     nearly every key exists, so the dedupe only sees what is really new.
-    The target side is reduced to its distinct keys first, so a hot key
-    cannot fan out the anti join.
+    Of the target only keys that may be in the batch (:func:`possible_members`)
+    are made distinct and shuffled; the target itself is scanned, its key columns
+    only, and not exchanged.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     keyed = batch.select("*", *_key_cols(keys))
     if order is None:
         order = [F.struct(*[F.col(c) for c in batch.columns])]
-    existing = target.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)]).distinct()
+    there = [f"_t{i}" for i in range(len(keys))]
+    existing = possible_members(
+        target.select(*[F.col(k).alias(t) for k, t in zip(keys, there)]), there, keyed, names).distinct()
     cond = F.lit(True)
     for i in range(len(keys)):
         cond = cond & F.col(f"_k{i}").eqNullSafe(F.col(f"_t{i}"))

@@ -1,9 +1,11 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from fieldreports import schemas
+from fieldreports.operators import common
 from fieldreports.operators import maintenance as M
 from fieldreports.sources.readers import legacy_with_flag
 
@@ -91,3 +93,39 @@ def test_legacy_filters(spark):
     assert legacy_with_flag(lg, "attempted").count() == 1
     with pytest.raises(ValueError):
         legacy_with_flag(lg, "visited")
+
+
+@pytest.mark.parametrize("bits", [7, 24])
+def test_new_rows_behind_the_key_filter(spark, monkeypatch, bits):
+    """A table of few bits lets stored keys through that are not in the batch; the rows stay exact."""
+    monkeypatch.setattr(common, "FILTER_BITS", bits)
+    target = spark.createDataFrame([(i, f"k{i % 50}" if i % 7 else None, i) for i in range(0, 300, 2)], "a int, b string, v int")
+    batch = spark.createDataFrame([(i % 300, f"k{i % 50}" if i % 7 else None, i) for i in range(600)] + [(None, None, 1)] * 2,
+                                  "a int, b string, v int")
+    stored = {(r["a"], r["b"]) for r in target.collect()}
+    want = {}
+    for r in batch.collect():
+        key = (r["a"], r["b"])
+        if key not in stored:
+            want[key] = min(want.get(key, r["v"]), r["v"])
+    got = M.new_rows(target, batch, ["a", "b"], ["v"]).collect()
+    assert sorted(map(repr, got)) == sorted(repr(Row(a=k[0], b=k[1], v=v)) for k, v in want.items())
+    assert M.new_rows(target.where("false"), batch, ["a", "b"]).count() == len({(r["a"], r["b"]) for r in batch.collect()})
+    assert M.new_rows(target, batch.where("false"), ["a", "b"]).count() == 0
+
+
+def test_possible_members_do_not_shuffle_the_rows(spark, tmp_dir):
+    spark.range(100_000).select(F.col("id").cast("string").alias("k")).write.parquet(f"{tmp_dir}/target")
+    target = spark.read.parquet(f"{tmp_dir}/target")
+    keys = spark.range(99_990, 100_010).select(F.col("id").cast("string").alias("b"))
+    left = common.possible_members(target, ["k"], keys, ["b"])
+    rows = {r["k"] for r in left.collect()}
+    assert {str(i) for i in range(99_990, 100_000)} <= rows and len(rows) < 20
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    above_scan = plan[: plan.index("FileScan")]
+    assert "BroadcastHashJoin" in above_scan and " Exchange hashpartitioning" not in above_scan.split("BroadcastExchange")[0]
+
+
+def test_possible_members_need_equal_types(spark):
+    with pytest.raises(ValueError, match="key types differ"):
+        common.possible_members(spark.range(3), ["id"], spark.range(3).select(F.col("id").cast("int").alias("i")), ["i"])
