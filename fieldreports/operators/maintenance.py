@@ -60,7 +60,7 @@ def _key_cols(keys: Sequence[str]) -> list[Column]:
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-             order: Sequence[str | Column] | None = None) -> DataFrame:
+             order: Sequence[str | Column] | None = None, large_target: bool = True) -> DataFrame:
     """Batch rows whose key is absent from ``target``, first per key by ``order`` (K4).
 
     Keys may be nested paths (``record._id``) and match NULL-safely. Rows
@@ -68,15 +68,18 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     nearly every key exists, so the dedupe only sees what is really new.
     Of the target only keys that may be in the batch (:func:`possible_members`)
     are made distinct and shuffled; the target itself is scanned, its key columns
-    only, and not exchanged.
+    only, and not exchanged. That reads the batch keys once more; it pays unless the
+    batch is about as large as the target (``large_target=False``).
     """
     names = [f"_k{i}" for i in range(len(keys))]
     keyed = batch.select("*", *_key_cols(keys))
     if order is None:
         order = [F.struct(*[F.col(c) for c in batch.columns])]
     there = [f"_t{i}" for i in range(len(keys))]
-    existing = possible_members(
-        target.select(*[F.col(k).alias(t) for k, t in zip(keys, there)]), there, keyed, names).distinct()
+    existing = target.select(*[F.col(k).alias(t) for k, t in zip(keys, there)])
+    if large_target:
+        existing = possible_members(existing, there, keyed, names)
+    existing = existing.distinct()
     cond = F.lit(True)
     for i in range(len(keys)):
         cond = cond & F.col(f"_k{i}").eqNullSafe(F.col(f"_t{i}"))
@@ -95,7 +98,7 @@ def directory_upsert(existing: DataFrame, roster: DataFrame, tester_rows: DataFr
     """Worker directory after inserting roster and tester numbers that are new (U1 + K4)."""
     batch = directory_batch(roster, tester_rows)
     order = ["_priority", "contact_number", "name"]
-    added = new_rows(existing, batch, DIRECTORY_KEYS, order)
+    added = new_rows(existing, batch, DIRECTORY_KEYS, order, large_target=False)  # a batch is a whole roster
     return existing.unionByName(added.select(*existing.columns))
 
 
