@@ -133,25 +133,27 @@ def nearest_day(left: DataFrame, wanted: DataFrame, key: str, day: str, match_co
     return seen.select(F.col("_key").alias(key), F.col("_day").alias(day), chosen.alias(match_col))
 
 
-def possible_members(rows: DataFrame, rows_key: Sequence[str], members: DataFrame, members_key: Sequence[str]) -> DataFrame:
+def possible_members(rows: DataFrame, rows_key: Sequence[str], members: DataFrame, members_key: Sequence[str],
+                     bits: int | None = None) -> DataFrame:
     """The ``rows`` whose key may be one of the keys of ``members``: all that are, and few that are not.
 
-    The keys of ``members`` are hashed into a table of 2 ** ``FILTER_BITS`` bits, kept as words
-    of 64 bits. At most 2 ** (``FILTER_BITS`` - 6) words (16 bytes each, 4 MB in all) can be
-    set, however many members there are, so the table is broadcast and ``rows`` are not
+    The keys of ``members`` are hashed into a table of 2 ** ``bits`` bits (``FILTER_BITS`` where
+    none is given), kept as words of 64 bits. At most 2 ** (``bits`` - 6) words (16 bytes each,
+    4 MB in all with 24 bits) can be set, however many members there are, so the table is broadcast and ``rows`` are not
     shuffled. With many more members than bits it lets more rows through, never fewer than
     it must. Equal keys need equal types on both sides; NULLs match NULLs.
     """
+    bits = FILTER_BITS if bits is None else bits
     wanted = [members.select(F.col(k).alias("k")).schema["k"].dataType.simpleString() for k in members_key]
     given = [rows.select(F.col(k).alias("k")).schema["k"].dataType.simpleString() for k in rows_key]
     if wanted != given:
         raise ValueError(f"key types differ: {given} and {wanted}")
 
     def place(keys: Sequence[str]) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1 << FILTER_BITS))
+        return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1 << bits))
 
-    bits = members.select(place(members_key).alias("_bit")).groupBy(F.shiftright("_bit", 6).alias("_word")).agg(
+    table = members.select(place(members_key).alias("_bit")).groupBy(F.shiftright("_bit", 6).alias("_word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(_bit & 63 AS INT))")).alias("_set"))
     return rows.withColumn("_bit", place(rows_key)).join(
-        F.broadcast(bits), F.shiftright("_bit", 6) == F.col("_word")
+        F.broadcast(table), F.shiftright("_bit", 6) == F.col("_word")
     ).where("shiftrightunsigned(_set, CAST(_bit & 63 AS INT)) & 1 = 1").select(*rows.columns)
