@@ -51,6 +51,7 @@ from pyspark.sql import functions as F
 
 from fieldreports.llm.shared import dealt_anew, free_name, stored
 from fieldreports.llm.words import mix
+from fieldreports.operators.common import possible_members
 
 TAU = 2
 MIN_CHARS = 20
@@ -61,8 +62,8 @@ TILE_CHARS = 1 << 22
 BUCKETS = 32
 PAIR_BATCH = 1 << 19
 BATCH_CHARS = 1 << 20
-# Ids of candidate lines are broadcast up to this many rows of 8 bytes.
-BROADCAST_IDS = 2_000_000
+# Bits of the table that holds back lines without a candidate id: at most 2 M words, 32 MB, broadcast at every size.
+FILTER_BITS = 27
 _BLANK = " \t\v\f\r"
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -229,7 +230,7 @@ def counts(line: str) -> bytes:
 
 def candidate_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, line, text, counts) of the lines whose id is in ``wanted``, each once."""
-    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    wanted = stored(wanted)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -246,7 +247,8 @@ def candidate_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 names=["id", "line", "text", "counts"])
 
     rows = docs.select("doc_id", "text").mapInArrow(spell, "id long, line binary, text string")
-    return rows.join(ids, "id", "left_semi").dropDuplicates(["line"]).select("id", "line", "text").mapInArrow(
+    some = possible_members(rows, ["id"], wanted, ["id"], FILTER_BITS)
+    return some.join(wanted, "id", "left_semi").dropDuplicates(["line"]).select("id", "line", "text").mapInArrow(
         count, "id long, line binary, text string, counts binary")
 
 

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldreports.session import remove_path
+
+# paths of the tables written inside each open block of temporary_tables
+_open: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder: ``spark.checkpoint.dir`` where the session names one.
@@ -31,17 +37,40 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once as a table in the shared folder.
+def new_path(spark: SparkSession) -> str:
+    """A path for a table in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written once as a table in the shared folder, or at a ``path`` that no
+    :func:`temporary_tables` removes.
 
     Unlike a checkpoint it keeps no partitioning, so a later join exchanges both
     sides and Spark can split its hot keys.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    if path is None:
+        path = new_path(df.sparkSession)
+        if _open:
+            _open[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end the tables that :func:`stored` writes inside the block.
+
+    What is to outlive the block must not read them: write it with a path of its own.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove_path(spark, path)
+
+
 def dealt_anew(df: DataFrame) -> DataFrame:
     """``df`` dealt out evenly instead of by the key it is grouped by, so that a join
     on that key exchanges both sides and Spark can split a hot key."""

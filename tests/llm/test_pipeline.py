@@ -1,9 +1,12 @@
 """The pipeline stages in order, each judged on its own input."""
 
+import os
+
 import __spark_entry__ as entry
 import corpus_pipeline as cp
 from fieldreports.llm import decontaminate, quality_rules
 from fieldreports.llm.queries import ORACLE_SQL, QUERIES
+from fieldreports.llm.shared import new_path
 
 
 def test_queries_are_registered():
@@ -36,3 +39,13 @@ def test_stages(spark, shared_tables):
 def test_run(spark, shared_tables):
     out = cp.run(spark, shared_tables)
     assert out.count() > 0 and "doc_id" in out.columns
+
+
+def test_run_keeps_only_the_last_result(spark, shared_tables):
+    folder = new_path(spark).rsplit("/", 1)[0].removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = cp.run(spark, shared_tables)
+    # the result that the mixture is drawn from, and tables of the mixing stage itself
+    last = {f.removeprefix("file://").split(folder)[1].split("/")[1] for f in out.inputFiles() if folder in f}
+    assert set(os.listdir(folder)) - before >= last and len(set(os.listdir(folder)) - before) <= 2
+    assert out.count() > 0
