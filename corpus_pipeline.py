@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldreports.llm import decontaminate, jaccard_join, line_dedup, mixing, quality_rules
-from fieldreports.llm.shared import stored
+from fieldreports.llm.shared import new_path, stored, temporary_tables
+from fieldreports.session import remove_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +55,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to the documents table; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages applied to the documents table; each result is written and read again.
+
+    The tables a stage writes on its way go when its result is written, and a result goes
+    when the next one is. The last result kept is what the returned rows are read from.
+    """
+    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        path = new_path(spark)
+        with temporary_tables(spark):
+            docs = stored(stage(spark, docs, sf_dir), path)
+        if folder is not None:
+            remove_path(spark, folder)
+        folder = path
     return STAGES[-1][1](spark, docs, sf_dir)
