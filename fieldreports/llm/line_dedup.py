@@ -248,7 +248,8 @@ def candidate_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     rows = docs.select("doc_id", "text").mapInArrow(spell, "id long, line binary, text string")
     some = possible_members(rows, ["id"], wanted, ["id"], FILTER_BITS)
-    return some.join(wanted, "id", "left_semi").dropDuplicates(["line"]).select("id", "line", "text").mapInArrow(
+    # inner, as a semi join would be pushed below the bit table; ``wanted`` has each id once
+    return some.join(wanted, "id").dropDuplicates(["line"]).select("id", "line", "text").mapInArrow(
         count, "id long, line binary, text string, counts binary")
 
 
