@@ -1,27 +1,37 @@
 """Removal of passages that an earlier document already holds (operator 4).
 
-The suffixes of all texts are split into groups by prefixes of growing length,
-and a group is only ever extended while it holds more than one document:
-
-1. Prefixes of five words, of one suffix in about five: in every 13 consecutive
-   words the five-word prefix with the smallest hash is selected, so any 13 words
-   that two documents share start a selected prefix in both. Prefixes of a single
-   document are leaves of the suffix tree and end here; that is most of them.
-2. The suffixes around the surviving prefixes are extended to 13 words. A group of
-   equal 13-word prefixes is a node of that depth; where it holds more than one
-   document it is internal, and all suffixes of a document other than the node's
-   first are repeats. Deeper internal nodes lie below such nodes, so the union of
-   their windows covers every maximal repeat of 13 words or more.
-
-A group is one row per document, and tasks combine before the shuffle: of equal
-prefixes in one buffer only the first document's row is grouped, the others are
-known to be repeats. A passage in a third of all documents thus reaches its group
-once per buffer, and a group's rows are streamed, not held. The texts are
-exchanged once, by id and packed with zstandard; both later reads share that
-exchange.
-
-Prefixes travel as hashes of 96 bits (64 for the first step, where a collision
-only adds work).
+Suffix trees partitioned by prefix. The suffixes of all texts are split into groups
+by prefixes of variable length, each group small enough for a task's memory; a
+group's subtree is built from its sorted suffixes, and its deep internal nodes are
+the repeats.
+
+1. Prefixes of five words, of one suffix in about five: every 13 consecutive words
+   select their five-word prefix with the smallest hash, so equal windows of two
+   documents select equal prefixes. Prefixes of a single document are leaves of the
+   tree and end here; that is most of them. The occurrences of the others are counted.
+2. A prefix of at most ``GROUP_ROWS`` occurrences is a group. A document sends it one
+   stretch per occurrence: the words of all windows that select the prefix there (13
+   to 21 words, 32 bits each), which hold up to nine suffixes of the tree. In the
+   group all suffixes are sorted; neighbours that share 13 words or more lie below one
+   internal node of that depth, and all suffixes of a node but those of its first
+   document are repeats.
+3. Suffixes below a prefix with more occurrences are split by longer prefixes, of 13
+   words. Such a group is one node; its rows are sorted by document and streamed.
+
+Deeper internal nodes lie below those of 13 words, so the union of their windows is
+the union of all maximal repeats of 13 words or more: :func:`repeated_passages`
+returns its stretches.
+
+Tasks combine before the shuffle: of equal stretches in one buffer (windows in step
+3) only the first document's is sent to the group, the others are known to be
+repeats. A passage in a third of all documents thus reaches its group once per buffer.
+Which prefixes are split is told by a bit table of fixed size: a bit that stands for a
+second prefix too only makes that one's group split as well. The texts are exchanged
+once, by id and packed with zstandard; both later reads share that exchange.
+
+Prefixes of five words travel as 64 bits, of 13 words as 95 bits; the other words of
+a stretch as 32 bits each, so two windows that differ in one word are taken as equal
+in one of four billion cases, and more words make it rarer.
 
 Defined results: a null or empty text has no words and keeps nothing; a document
 of fewer than 13 words loses nothing; a null ``doc_id`` is no smaller or larger
@@ -37,46 +47,78 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldreports.llm.words import (
-    Texts, chunks, covered, hash_words, inside_text, mix, split_words, texts_of, window_hashes,
+    Texts, Words, chunks, covered, hash_words, inside_text, mix, split_words, texts_of, window_hashes,
 )
 
 WINDOW = 13
 PREFIX = 5
+# A group holds at most so many stretches: 2 MB of them, at most 50 MB while its subtree is built.
+GROUP_ROWS = 16_384
+# Bits of the table of prefixes that are split (at most 524,288 words of 16 bytes).
+SPLIT_BITS = 25
 # Equal prefixes are combined within this many bytes of text before the shuffle.
 BUFFER_BYTES = 16 << 20
+# Rows of one Arrow batch that a task returns.
+BATCH_ROWS = 50_000
+# All windows of a stretch.
+ALL = (1 << (WINDOW - PREFIX + 1)) - 1
 _U = np.uint64
-_WHITE = b" \t\n\x0b\x0c\r"
 
 
-def selected(grams: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    """Positions of the prefixes with the smallest hash (the last of equals) of every window."""
+def stretches(grams: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the selected prefixes, the first window that selects each, and how many
+    (consecutive) windows do. The smallest hash is selected, the last of equals."""
     at, span = np.flatnonzero(whole), WINDOW - PREFIX + 1
     if not len(at):
-        return at
+        return at, at, at
     least, pick = grams[: len(grams) - span + 1].copy(), np.zeros(len(grams) - span + 1, dtype=np.int64)
     for j in range(1, span):
         other = grams[j : j + len(least)]
         lower = other <= least
         least[lower] = other[lower]
         pick[lower] = j
-    return np.unique(at + pick[at])
+    chosen = at + pick[at]
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = chosen[1:] != chosen[:-1]
+    first = np.flatnonzero(new)
+    return chosen[first], at[first], np.diff(np.append(first, len(at)))
 
 
-def _combine(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (key, doc) rows, and whether the row is its key's first document here."""
-    order = np.lexsort((doc, key))
-    key, doc = key[order], doc[order]
-    new = np.ones(len(key), dtype=bool)
-    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-    key, doc = key[new], doc[new]
-    first = np.ones(len(key), dtype=bool)
-    first[1:] = key[1:] != key[:-1]
-    return key, doc, first
+def contents(windows: np.ndarray, at: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Hash of each stretch and of where its prefix is: its first and last window hold all its words."""
+    shape = (n * 16 + (at - first)).astype(np.uint64)
+    return mix(windows[first] ^ mix(windows[first + n - 1] + shape))
+
+
+def _changes(*keys: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before in any key."""
+    new = np.ones(len(keys[0]), dtype=bool)
+    new[1:] = False
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    return new
+
+
+def _in_ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions start[i] to start[i] + size[i] - 1 of all i."""
+    return np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
+def _of(value: np.ndarray, whose: np.ndarray) -> np.ndarray:
+    return mix(value ^ mix(whose.astype(np.uint64)))
+
+
+def _listed(lists: pa.Array, value: np.ndarray, whose: np.ndarray) -> np.ndarray:
+    """Whether the list of row ``whose[i]`` holds ``value[i]``."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    return np.isin(_of(value, whose), _of(flat, row))
 
 
 def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Texts, pa.RecordBatch, int, int]]:
@@ -121,122 +163,278 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def prefix_rows(docs: DataFrame) -> DataFrame:
-    """Selected prefixes: (route, doc) to be grouped by route, or (random route, doc, known)
-    where the prefix is known to be shared."""
+    """Selected prefixes: (route, doc, n occurrences) to be grouped by route, or (random route,
+    doc, known) where the prefix is known to be shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, buffer, _, _, _ in _buffers(batches):
             keys, owners = [], []
             for lo, _, texts in chunks(buffer):
                 words = split_words(texts)
-                h = hash_words(words)
-                grams = window_hashes(h, PREFIX)
-                at = selected(grams, inside_text(words, WINDOW))
+                grams = window_hashes(hash_words(words), PREFIX)
+                at, _, _ = stretches(grams, inside_text(words, WINDOW))
                 keys.append(grams[at])
                 owners.append(ids[lo + words.owner()[at]])
             if not keys:
                 continue
-            key, doc, first = _combine(np.concatenate(keys), np.concatenate(owners))
+            key, doc = np.concatenate(keys), np.concatenate(owners)
+            order = np.lexsort((doc, key))
+            key, doc = key[order], doc[order]
+            n = np.diff(np.append(np.flatnonzero(_changes(key)), len(key)))
+            new = _changes(key, doc)
+            key, doc = key[new], doc[new]
+            first = _changes(key)
             # a key of several documents: all of them are known to share it
             several = np.zeros(len(key), dtype=bool)
             several[1:] = ~first[1:]
             several[:-1] |= ~first[1:]
-            route = np.concatenate([key[first], mix(key[several] ^ mix(doc[several].astype(np.uint64)))])
-            known = pa.array(np.concatenate([key[first], key[several]]).view(np.int64),
-                             mask=np.arange(len(route)) < first.sum())
+            route = np.concatenate([key[first], _of(key[several], doc[several])])
+            grouped = np.arange(len(route)) < len(n)
+            known = np.concatenate([key[first], key[several]]).view(np.int64)
+            counts = np.concatenate([n, np.zeros(len(route) - len(n), dtype=n.dtype)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(route.view(np.int64)), pa.array(np.concatenate([doc[first], doc[several]])), known],
-                names=["route", "doc", "known"],
+                [pa.array(route.view(np.int64)), pa.array(np.concatenate([doc[first], doc[several]])),
+                 pa.array(known, mask=grouped), pa.array(counts, mask=~grouped)],
+                names=["route", "doc", "known", "n"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "route long, doc long, known long")
+    return docs.select("doc_id", "text").mapInArrow(run, "route long, doc long, known long, n int")
 
 
-def window_rows(joined: DataFrame) -> DataFrame:
-    """13-word prefixes around the shared prefixes of (doc_id, packed, prefixes):
-    (route, check, doc) to be grouped, or (random route, 0, doc, known) where known to repeat."""
+def shared_prefixes(docs: DataFrame) -> DataFrame:
+    """(doc, small, large): the prefixes of each document that others have too, those that are a
+    group as they are and those whose suffixes are split by longer prefixes."""
+    # read twice; both times all columns, so that Spark exchanges the rows once
+    rows = prefix_rows(docs).repartition("route")
+    group = Window.partitionBy("route")
+    shared = rows.withColumns({"low": F.min("doc").over(group), "high": F.max("doc").over(group)}).where(
+        "low < high AND n > 0 OR known IS NOT NULL").select("doc", F.coalesce("known", "route").alias("prefix"))
+    large = rows.groupBy("route").agg(F.sum("n").alias("n"), F.max("doc").alias("doc"), F.count("known").alias("known")).where(
+        (F.col("n") > GROUP_ROWS) & F.col("doc").isNotNull() & (F.col("known") == 0))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << SPLIT_BITS))
+    table = large.select(place("route").alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("bits"))
+    marked = shared.withColumn("place", place("prefix")).join(
+        F.broadcast(table), F.shiftright("place", 6) == F.col("word"), "left")
+    split = F.coalesce(F.expr("shiftrightunsigned(bits, CAST(place & 63 AS INT)) & 1 = 1"), F.lit(False))
+    return marked.groupBy("doc").agg(
+        F.collect_list(F.when(~split, F.col("prefix"))).alias("small"), F.collect_list(F.when(split, F.col("prefix"))).alias("large"))
+
+
+_ROWS = "route long, check int, doc long, id long, codes binary"
+
+
+def _batches(route, check, doc, ids=None, codes=None, start=None, size=None) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_ROWS``; the codes of row i are ``codes[start[i]:start[i] + size[i]]``."""
+    for lo in range(0, len(route), BATCH_ROWS):
+        some = slice(lo, lo + BATCH_ROWS)
+        n = len(route[some])
+        if codes is None:
+            packed_codes = pa.nulls(n, pa.binary())
+        else:
+            ends = np.concatenate(([0], np.cumsum(size[some]) * 4)).astype(np.int32)
+            flat = codes[_in_ranges(start[some], size[some])]
+            packed_codes = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(route[some].view(np.int64)), pa.array(check[some].astype(np.int32)), pa.array(doc[some]),
+             pa.nulls(n, pa.int64()) if ids is None else pa.array(ids[some].view(np.int64)), packed_codes],
+            names=["route", "check", "doc", "id", "codes"])
+
+
+def suffix_rows(joined: DataFrame) -> DataFrame:
+    """The suffixes below the shared prefixes of (doc_id, packed, small, large), as rows of three kinds:
+
+    * a stretch (route: its prefix, check: where the prefix is in it, id: its content, codes: its words);
+    * a window of 13 words as a prefix of its own (route, check: its hash; neither id nor codes);
+    * a known repeat (random route, id: the content and check: ``ALL``, or id: the window and check: 0).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _unpacked(b.filter(b.column(2).is_valid()) for b in batches):
             for ids, buffer, part, first_row, _ in _buffers(iter([batch])):
-                lists = part.column(2)
-                keys, checks, owners = [], [], []
+                found, codes, length, nodes = [], [], 0, []
                 for lo, hi, texts in chunks(buffer):
                     words = split_words(texts)
-                    h = hash_words(words)
-                    grams, whole, owner = window_hashes(h, PREFIX), inside_text(words, WINDOW), words.owner()
-                    at = selected(grams, whole)
-                    some = lists.slice(first_row + lo, hi - lo)
-                    shared = some.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-                    whose = np.repeat(np.arange(hi - lo), np.array(some.value_lengths()))
-                    mine = mix(grams[at] ^ mix(owner[at].astype(np.uint64)))
-                    at = at[np.isin(mine, mix(shared ^ mix(whose.astype(np.uint64))))]
-                    near = (at[:, None] - np.arange(WINDOW - PREFIX + 1)).ravel()
-                    near = np.unique(near[near >= 0])
-                    near = near[near < len(whole)]
-                    near = near[whole[near]]
-                    keys.append(window_hashes(h, WINDOW)[near])
-                    checks.append((window_hashes(mix(h), WINDOW)[near] >> _U(33)).astype(np.int64))
-                    owners.append(ids[lo + owner[near]])
-                if not keys:
+                    h, owner = hash_words(words), words.owner()
+                    grams, windows = window_hashes(h, PREFIX), window_hashes(h, WINDOW)
+                    at, first, n = stretches(grams, inside_text(words, WINDOW))
+                    rows = slice(first_row + lo, first_row + hi)
+                    small = _listed(part.column(2)[rows], grams[at], owner[at])
+                    s_at, s_first, s_n = at[small], first[small], n[small]
+                    found.append((grams[s_at], contents(windows, s_at, s_first, s_n), ids[lo + owner[s_at]],
+                                  s_at - s_first, s_first + length, s_n + WINDOW - 1))
+                    codes.append((h >> _U(32)).astype(np.uint32))
+                    length += len(h)
+                    large = _listed(part.column(3)[rows], grams[at], owner[at])
+                    near = _in_ranges(first[large], n[large])
+                    nodes.append((windows[near], (window_hashes(mix(h), WINDOW)[near] >> _U(33)) if len(near) else near.astype(np.uint64),
+                                  ids[lo + owner[near]]))
+                if not found:
                     continue
-                key, check, doc = np.concatenate(keys), np.concatenate(checks), np.concatenate(owners)
-                order = np.lexsort((doc, check, key))
-                key, check, doc = key[order], check[order], doc[order]
-                same = np.zeros(len(key), dtype=bool)
-                same[1:] = (key[1:] == key[:-1]) & (check[1:] == check[:-1])
-                new = ~same
-                new[1:] |= doc[1:] != doc[:-1]
-                key, check, doc, same = key[new], check[new], doc[new], same[new]
-                route = np.where(same, mix(key ^ mix(doc.astype(np.uint64))), key)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(route.view(np.int64)), pa.array(np.where(same, 0, check).astype(np.int32)),
-                     pa.array(doc), pa.array(key.view(np.int64), mask=~same)],
-                    names=["route", "check", "doc", "known"],
-                )
-
-    return joined.mapInArrow(run, "route long, check int, doc long, known long")
-
+                yield from _stretch_batches(*(np.concatenate(c) for c in zip(*found)), np.concatenate(codes))
+                yield from _node_batches(*(np.concatenate(c) for c in zip(*nodes)))
+
+    return joined.mapInArrow(run, _ROWS)
+
+
+def _stretch_batches(route, content, doc, offset, start, size, codes) -> Iterator[pa.RecordBatch]:
+    """Of equal stretches of a buffer the first document's; the others are known repeats."""
+    order = np.lexsort((doc, route, content))
+    order = order[_changes(content[order], route[order], doc[order])]
+    first = _changes(content[order], route[order])
+    lead, rest = order[first], order[~first]
+    yield from _batches(route[lead], offset[lead], doc[lead], content[lead], codes, start[lead], size[lead])
+    yield from _batches(_of(content[rest], doc[rest]), np.full(len(rest), ALL), doc[rest], content[rest])
+
+
+def _node_batches(key, check, doc) -> Iterator[pa.RecordBatch]:
+    """Of equal windows of a buffer the first document's; the others are known repeats."""
+    order = np.lexsort((doc, check, key))
+    order = order[_changes(key[order], check[order], doc[order])]
+    first = _changes(key[order], check[order])
+    lead, rest = order[first], order[~first]
+    yield from _batches(key[lead], check[lead], doc[lead])
+    yield from _batches(_of(key[rest], doc[rest]), np.zeros(len(rest)), doc[rest], key[rest])
+
+
+def deep_repeats(group: np.ndarray, doc: np.ndarray, codes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Per stretch the windows (a bit each) that a document with a smaller id in its group holds.
+
+    ``codes`` holds the words of all stretches, ``size[i]`` of them of stretch i. The
+    suffixes of 13 words or more are sorted within their group; runs of neighbours that
+    share 13 words are the internal nodes of that depth, in the order of their documents.
+    """
+    n = size - WINDOW + 1
+    owner = np.repeat(np.arange(len(n)), n)
+    bit = _in_ranges(np.zeros(len(n), dtype=np.int64), n)
+    begin = (np.cumsum(size) - size)[owner] + bit
+    word = [codes[begin + j].astype(np.uint64) for j in range(WINDOW)]
+    keys = [(a << _U(32)) | b for a, b in zip(word[0::2], word[1::2])] + word[WINDOW - 1 :]
+    whose, within = doc[owner], group[owner]
+    order = np.lexsort((whose, *reversed(keys), within))
+    head = _changes(within[order], *(k[order] for k in keys))
+    whose = whose[order]
+    first = whose[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+    marks = np.where(whose > first, 1 << bit[order], 0)
+    return np.bincount(owner[order], weights=marks, minlength=len(n)).astype(np.int64)
+
+
+def _words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all stretches of a binary column, and how many each has."""
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    flat = np.frombuffer(column.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]].view(np.uint32)
+    return flat, np.diff(ends) // 4
+
+
+def subtrees(rows: DataFrame) -> DataFrame:
+    """(doc, id, mask): the repeats among :func:`suffix_rows`. With a mask, the windows of the
+    stretches with that content; without (0), the windows with that hash.
+
+    Groups arrive one after another. Stretches of one prefix are held until the next prefix;
+    of a window only its first document is.
+    """
+
+    def out(doc, ids, mask) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([doc, ids, mask], names=["doc", "id", "mask"])
+
+    def grown(some: pa.Table) -> pa.RecordBatch:
+        batch = some.combine_chunks().to_batches()[0]
+        codes, size = _words_of(batch.column(4))
+        mask = deep_repeats(batch.column(0).to_numpy(), batch.column(2).to_numpy(), codes, size)
+        keep = pa.array(mask > 0)
+        return out(batch.column(2).filter(keep), batch.column(3).filter(keep), pa.array(mask[mask > 0].astype(np.int32)))
 
-def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts by id, (doc, removed): the hashes of each document's windows that an earlier one holds)."""
-    group = Window.partitionBy("route")
-    prefixes = prefix_rows(docs).withColumns({"low": F.min("doc").over(group), "high": F.max("doc").over(group)})
-    shared = prefixes.where("low < high OR known IS NOT NULL").select("doc", F.coalesce("known", "route").alias("prefix"))
-    by_doc = shared.groupBy("doc").agg(F.collect_list("prefix").alias("prefixes"))
-    texts = packed(docs)
-    joined = texts.join(by_doc, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "packed", "prefixes")
-    node = Window.partitionBy("route", "check")
-    windows = window_rows(joined).withColumn("first", F.min("doc").over(node))
-    removed = windows.where("first < doc OR known IS NOT NULL").select("doc", F.coalesce("known", "route").alias("window"))
-    return texts, removed.groupBy("doc").agg(F.collect_list("window").alias("removed"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, node = None, None
+        for batch in batches:
+            stretch, known = batch.column(4).is_valid(), batch.column(3).is_valid()
+            some = batch.filter(pc.and_not(known, stretch))
+            if len(some):
+                yield out(some.column(2), some.column(3), some.column(1))
+            some = batch.filter(pc.invert(known))
+            if len(some):
+                key, check, doc = (some.column(k).to_numpy() for k in range(3))
+                head = _changes(key, check)
+                first = doc[np.maximum.accumulate(np.where(head, np.arange(len(doc)), 0))]
+                if node is not None and node[:2] == (key[0], check[0]):
+                    upto = int(np.flatnonzero(np.append(head[1:], True))[0]) + 1
+                    first[:upto] = node[2]
+                node = (key[-1], check[-1], first[-1])
+                keep = pa.array(doc > first)
+                repeat = some.filter(keep)
+                yield out(repeat.column(2), repeat.column(0), pa.array(np.zeros(len(repeat), dtype=np.int32)))
+            some = batch.filter(stretch)
+            if len(some):
+                table = pa.Table.from_batches([some] if held is None else [*held.to_batches(), some])
+                route = table.column(0).to_numpy()
+                cut = int(np.searchsorted(route, route[-1]))
+                if cut:
+                    yield grown(table.slice(0, cut))
+                held = table.slice(cut)
+        if held is not None:
+            yield grown(held)
+
+    dealt = rows.repartition("route").sortWithinPartitions("route", "check", "doc")
+    return dealt.mapInArrow(run, "doc long, id long, mask int")
 
 
-def _kept(column: pa.Array, removed: pa.Array) -> Iterator[tuple[list[bytes], int]]:
-    """Per text the kept words and the number of removed ones."""
+def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(texts by id, (doc, removed): what of each document an earlier one holds, as :func:`subtrees` has it)."""
+    texts, by_doc = packed(docs), shared_prefixes(docs)
+    joined = texts.join(by_doc, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "packed", "small", "large")
+    removed = subtrees(suffix_rows(joined))
+    return texts, removed.groupBy("doc").agg(F.collect_list(F.struct("id", "mask")).alias("removed"))
+
+
+def _repeat_starts(words: Words, lists: pa.Array) -> np.ndarray:
+    """Where the windows begin that ``lists`` (one per text) name."""
+    sizes = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+    flat = lists.flatten()
+    ids = pc.struct_field(flat, "id").to_numpy(zero_copy_only=False).view(np.uint64)
+    mask = pc.struct_field(flat, "mask").to_numpy(zero_copy_only=False).astype(np.int64)
+    named = _of(ids, np.repeat(np.arange(len(lists)), sizes))
+    h, owner = hash_words(words), words.owner()
+    grams, windows, whole = window_hashes(h, PREFIX), window_hashes(h, WINDOW), inside_text(words, WINDOW)
+    some = sizes > 0
+    # by window
+    by_hash = np.flatnonzero(whole) if (mask == 0).any() else np.zeros(0, dtype=np.int64)
+    by_hash = by_hash[some[owner[by_hash]]]
+    starts = [by_hash[np.isin(_of(windows[by_hash], owner[by_hash]), named[mask == 0])]]
+    # by stretch; a content that is named twice has the bits of both
+    order = np.argsort(named[mask > 0], kind="stable")
+    key, bits = named[mask > 0][order], mask[mask > 0][order]
+    if len(key):
+        heads = np.flatnonzero(_changes(key))
+        key, bits = key[heads], np.bitwise_or.reduceat(bits, heads)
+        at, first, n = stretches(grams, whole)
+        use = some[owner[at]]
+        at, first, n = at[use], first[use], n[use]
+        mine = _of(contents(windows, at, first, n), owner[at])
+        place = np.minimum(np.searchsorted(key, mine), len(key) - 1)
+        got = np.where(key[place] == mine, bits[place], 0)
+        starts += [first[(got >> k & 1 == 1) & (k < n)] + k for k in range(WINDOW - PREFIX + 1)]
+    return np.concatenate(starts)
+
+
+def _marked(column: pa.Array, removed: pa.Array) -> Iterator[tuple[bytes, np.ndarray | None]]:
+    """Per text its bytes and, where it loses any words, which ones."""
     for lo, hi, texts in chunks(texts_of(column)):
         lists = removed.slice(lo, hi - lo)
-        mask = None
-        if lists.null_count < len(lists):
+        some = lists.is_valid().to_numpy(zero_copy_only=False)
+        if some.any():
             words = split_words(texts)
-            h, owner = hash_words(words), words.owner()
-            keys, whole = window_hashes(h, WINDOW), inside_text(words, WINDOW)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            sizes = np.array(lists.value_lengths().fill_null(0))
-            whose = np.repeat(np.arange(hi - lo), sizes)
-            # only windows of texts that lose something
-            at = np.flatnonzero(whole)
-            at = at[(sizes > 0)[owner[at]]]
-            mine = mix(keys[at] ^ mix(owner[at].astype(np.uint64)))
-            at = at[np.isin(mine, mix(flat ^ mix(whose.astype(np.uint64))))]
-            mask = ~covered(len(words), at, WINDOW)
+            gone = covered(len(words), _repeat_starts(words, lists), WINDOW)
         for i in range(hi - lo):
-            found = texts.raw[texts.off[i] : texts.off[i + 1]].tobytes().split()
-            if mask is not None and sizes[i]:
-                kept = list(compress(found, mask[words.at[i] : words.at[i + 1]]))
-                yield kept, len(found) - len(kept)
-            else:
-                yield found, 0
+            raw = texts.raw[texts.off[i] : texts.off[i + 1]].tobytes()
+            yield raw, gone[words.at[i] : words.at[i + 1]] if some[i] else None
+
+
+def _kept(column: pa.Array, removed: pa.Array) -> Iterator[tuple[list[bytes], int]]:
+    """Per text the kept words and the number of removed ones."""
+    for raw, lost in _marked(column, removed):
+        found = raw.split()
+        kept = found if lost is None else list(compress(found, ~lost))
+        yield kept, len(found) - len(kept)
 
 
 def _renamed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -274,3 +472,22 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     both = texts.join(removed, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "packed", "removed")
     return both.mapInArrow(run, "doc_id long, text string")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, start, length): the longest stretches of words, in word numbers from 0, that consist
+    of windows an earlier document holds; every maximal repeat of 13 words or more lies in one."""
+    texts, removed = repeated_windows(_renamed(docs, id_col, text_col))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _unpacked(b.filter(b.column(2).is_valid()) for b in batches):
+            doc, start, length = [], [], []
+            for key, (_, lost) in zip(batch.column(0).to_pylist(), _marked(batch.column(1), batch.column(2))):
+                edge = np.flatnonzero(np.diff(np.concatenate(([0], lost.view(np.int8), [0]))))
+                doc += [key] * (len(edge) // 2)
+                start += edge[0::2].tolist()
+                length += (edge[1::2] - edge[0::2]).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (doc, start, length)], names=["doc_id", "start", "length"])
+
+    both = texts.join(removed, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "packed", "removed")
+    return both.mapInArrow(run, "doc_id long, start long, length long")

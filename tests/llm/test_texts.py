@@ -6,6 +6,7 @@ import json
 import random
 import re
 
+import numpy as np
 import pytest
 from conftest import prose
 from fieldreports.llm import decontaminate, quality_rules, secrets, substring_dedup
@@ -58,6 +59,46 @@ def test_substring_dedup_hot_passage_and_repeats(spark, monkeypatch):
     assert got == substring_expected(rows)
 
 
+@pytest.mark.parametrize("group_rows", [1, 5])
+def test_substring_dedup_splits_large_groups(spark, corpus, rows, monkeypatch, group_rows):
+    """Prefixes with more occurrences than a group holds are split by longer ones."""
+    monkeypatch.setattr(substring_dedup, "GROUP_ROWS", group_rows)
+    plan = substring_dedup.substring_report(corpus)
+    assert by_row(plan, "doc_id", "n_words", "n_removed", "kept_sha256") == substring_expected(rows)
+
+
+def test_substring_subtrees_of_several_groups():
+    rng = random.Random(3)
+    sizes = np.array([rng.randint(13, 21) for _ in range(300)])
+    texts = [[rng.choice((7, 8)) if i % 9 == 0 else 7 + i for i in range(n)] for n in sizes]
+    group, doc = np.array([rng.randrange(3) for _ in sizes]), np.array([rng.randrange(40) for _ in sizes])
+    first = {}
+    for g, d, w in zip(group, doc, texts):
+        for i in range(len(w) - 12):
+            k = (g, tuple(w[i : i + 13]))
+            first[k] = min(first.get(k, d), d)
+    want = [sum(1 << i for i in range(len(w) - 12) if first[g, tuple(w[i : i + 13])] < d) for g, d, w in zip(group, doc, texts)]
+    got = substring_dedup.deep_repeats(group, doc, np.array(sum(texts, []), dtype=np.uint32), sizes)
+    assert got.tolist() == want
+    assert 0 < sum(m > 0 for m in want) < len(want)
+
+
+def test_substring_passages(spark):
+    """Passages of 13 words or more that an earlier document holds, as word ranges."""
+    rng = random.Random(9)
+    new = iter(range(100_000))
+
+    def fresh(n):
+        return " ".join(f"w{next(new)}" for _ in range(n))
+
+    long, short = fresh(60), fresh(12)
+    rows = [(1, f"{fresh(5)} {long} {fresh(20)}"), (2, f"{fresh(9)} {long} {short} {fresh(3)}"), (3, f"{short} {fresh(30)}"), (4, None),
+            (5, f"{' '.join(long.split()[20:45])} {fresh(2)} {' '.join(long.split()[:13])}")]
+    rng.shuffle(rows)
+    got = by_row(substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "start", "length")
+    assert got == [(2, 9, 60), (5, 0, 25), (5, 27, 13)]
+
+
 def test_substring_dedup_text(corpus, rows):
     left = substring_dedup.substring_dedup(corpus)
     digests = {(r["doc_id"], hashlib.sha256(r["text"].encode()).hexdigest()) for r in left.collect()}
