@@ -209,10 +209,11 @@ def shared_prefixes(docs: DataFrame) -> DataFrame:
     group = Window.partitionBy("route")
     shared = rows.withColumns({"low": F.min("doc").over(group), "high": F.max("doc").over(group)}).where(
         "low < high AND n > 0 OR known IS NOT NULL").select("doc", F.coalesce("known", "route").alias("prefix"))
-    large = rows.groupBy("route").agg(F.sum("n").alias("n"), F.max("doc").alias("doc"), F.count("known").alias("known")).where(
-        (F.col("n") > GROUP_ROWS) & F.col("doc").isNotNull() & (F.col("known") == 0))
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << SPLIT_BITS))
-    table = large.select(place("route").alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(
+    large = rows.groupBy("route").agg(
+        F.sum("n").alias("n"), F.max("doc").alias("doc"), F.count("known").alias("known"), F.max(place("route")).alias("place"),
+    ).where((F.col("n") > GROUP_ROWS) & F.col("doc").isNotNull() & (F.col("known") == 0))
+    table = large.groupBy(F.shiftright("place", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("bits"))
     marked = shared.withColumn("place", place("prefix")).join(
         F.broadcast(table), F.shiftright("place", 6) == F.col("word"), "left")
